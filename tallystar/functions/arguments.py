@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from tallystar.errors import ArgumentError
 
-YEARS = (2000, 2100)
 MONTHS = (1, 12)
 
 
@@ -31,7 +30,7 @@ def required(name: str, value):
     return value
 
 
-def year(name: str, value, bounds: tuple[int, int] = YEARS):
+def year(name: str, value, bounds: tuple[int, int]):
     return whole(name, value, *bounds)
 
 

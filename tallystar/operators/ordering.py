@@ -1,11 +1,10 @@
 """Exact ranks and percentiles for groups too large for one task.
 
 A window or a `percentile` aggregate brings a whole group to one task. Here the distinct values of
-a group are counted first, and put into coarse and fine buckets that follow the order of the
-values. Counts then run through three levels (coarse buckets of a group, fine buckets of a coarse
-one, values of a fine one), each with few rows per window: with three decimals a fine bucket holds
-at most 65,536 values, a coarse one about 65,536 fine ones, and a group of values up to 10**11 at
-most 23,284 coarse ones.
+a group are counted first and put into buckets that follow the order of the values. Counts then run
+on two levels, over the buckets of a group and over the values of a bucket. Both are bounded: with
+three decimals a bucket of this width holds at most 10**7 values, and a group of values up to
+10**11 has at most 10**7 buckets.
 """
 
 from __future__ import annotations
@@ -17,25 +16,19 @@ from pyspark.sql import functions as F
 
 from tallystar.functions.columns import join_groups
 
-FINE_WIDTH = 65.536
-COARSE_WIDTH = FINE_WIDTH * 65536
+BUCKET_WIDTH = 10_000.0
 
 
-def _bucket(value: str, width: float) -> Column:
-    # Cast, division and floor never swap two values, which is all the levels need.
-    return F.floor(F.col(value).cast("double") / F.lit(width))
-
-
-def _levels(counts: DataFrame, keys: list[str], value: str):
-    """(values, fine buckets, coarse buckets), each with the number of rows `_n`."""
-    values = counts.withColumns({"_coarse": _bucket(value, COARSE_WIDTH), "_fine": _bucket(value, FINE_WIDTH)})
-    fine = values.groupBy(*keys, "_coarse", "_fine").agg(F.sum("_n").alias("_n"))
-    coarse = fine.groupBy(*keys, "_coarse").agg(F.sum("_n").alias("_n"))
-    return values, fine, coarse
+def _levels(counts: DataFrame, keys: list[str], value: str) -> tuple[DataFrame, DataFrame]:
+    """Values and buckets of each group, with the number of rows `_n` of each."""
+    # Cast, division and floor never swap two values, which is all the buckets need.
+    bucket = F.floor(F.col(value).cast("double") / F.lit(BUCKET_WIDTH))
+    values = counts.withColumn("_bucket", bucket)
+    return values, values.groupBy(*keys, "_bucket").agg(F.sum("_n").alias("_n"))
 
 
 def _ahead(within: list[str], order: Column) -> Column:
-    """Rows of the buckets ordered before this one."""
+    """Rows ordered before this part of the group."""
     window = Window.partitionBy(*within).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
     return F.coalesce(F.sum("_n").over(window), F.lit(0))
 
@@ -45,15 +38,11 @@ def rank_within(df: DataFrame, keys: list[str], value: str, name: str, dense: bo
     counts = df.where(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count("*").alias("_n"))
     if dense:
         counts = counts.withColumn("_n", F.lit(1).cast("bigint"))
-    values, fine, coarse = _levels(counts, keys, value)
-    coarse = coarse.select(*keys, "_coarse", _ahead(keys, F.desc("_coarse")).alias("_ahead1"))
-    fine = fine.select(*keys, "_coarse", "_fine", _ahead([*keys, "_coarse"], F.desc("_fine")).alias("_ahead2"))
-    values = values.select(
-        *keys, value, "_coarse", "_fine", _ahead([*keys, "_coarse", "_fine"], F.desc(value)).alias("_ahead3")
-    )
-    placed = join_groups(values, fine, [*keys, "_coarse", "_fine"])
-    placed = join_groups(placed, coarse, [*keys, "_coarse"])
-    ranks = placed.select(*keys, value, (F.col("_ahead1") + F.col("_ahead2") + F.col("_ahead3") + 1).alias(name))
+    values, buckets = _levels(counts, keys, value)
+    buckets = buckets.select(*keys, "_bucket", _ahead(keys, F.desc("_bucket")).alias("_ahead1"))
+    values = values.select(*keys, value, "_bucket", _ahead([*keys, "_bucket"], F.desc(value)).alias("_ahead2"))
+    placed = join_groups(values, buckets, [*keys, "_bucket"])
+    ranks = placed.select(*keys, value, (F.col("_ahead1") + F.col("_ahead2") + 1).alias(name))
 
     pairs = [*keys, value]
     renamed = ranks.withColumnsRenamed({k: f"_rank_{k}" for k in pairs})
@@ -70,11 +59,11 @@ def window_rank(df: DataFrame, keys: list[str], value: str, name: str, dense: bo
     return df.withColumn(name, F.when(F.col(value).isNotNull(), function().over(window)).cast("bigint"))
 
 
-def _within_level(buckets: DataFrame, keys: list[str], order: str) -> DataFrame:
-    """Targets whose row number falls into the bucket; the row number then counts from the bucket."""
+def _within_level(level: DataFrame, keys: list[str], order: str) -> DataFrame:
+    """Targets whose row number falls into this part; the row number then counts from its start."""
     ahead = _ahead(keys, F.asc(order)).alias("_ahead")
     hit = (F.col("_ahead") <= F.col("_row")) & (F.col("_row") < F.col("_ahead") + F.col("_n"))
-    return buckets.select("*", ahead).where(hit).withColumn("_row", F.col("_row") - F.col("_ahead"))
+    return level.select("*", ahead).where(hit).withColumn("_row", F.col("_row") - F.col("_ahead"))
 
 
 def quantiles(
@@ -83,14 +72,14 @@ def quantiles(
     """Exact inclusive percentiles with linear interpolation, one column per named point.
 
     `weight` names a column with the number of times each row counts. Only the buckets a point
-    falls into are opened on the next level.
+    falls into are opened.
     """
     if not keys:
         one_group = quantiles(df.withColumn("_all", F.lit(0)), ["_all"], value, points, weight)
         return one_group.drop("_all")
     times = F.sum(weight) if weight else F.count("*")
     counts = df.where(F.col(value).isNotNull()).groupBy(*keys, value).agg(times.alias("_n"))
-    values, fine, coarse = _levels(counts, keys, value)
+    values, buckets = _levels(counts, keys, value)
 
     # Two row numbers per point (0-based), below and above its position.
     wanted = F.explode(F.array(*[F.struct(F.lit(n).alias("name"), F.lit(float(p)).alias("p")) for n, p in points.items()]))
@@ -102,7 +91,7 @@ def quantiles(
         )
     )
     target = ["_name", "_side"]
-    totals = coarse.groupBy(*keys).agg(F.sum("_n").alias("_total"))
+    totals = buckets.groupBy(*keys).agg(F.sum("_n").alias("_total"))
     targets = (
         totals.select("*", wanted.alias("_point"))
         .withColumn("_position", position)
@@ -116,11 +105,8 @@ def quantiles(
         )
     )
     keep = [*keys, *target, "_row", "_part"]
-    found = _within_level(join_groups(coarse, targets, keys), [*keys, *target], "_coarse")
-    found = found.select(*keep, "_coarse")
-    opened = join_groups(fine, found, [*keys, "_coarse"])
-    found = _within_level(opened, [*keys, *target], "_fine").select(*keep, "_coarse", "_fine")
-    opened = join_groups(values, found, [*keys, "_coarse", "_fine"])
+    found = _within_level(join_groups(buckets, targets, keys), [*keys, *target], "_bucket").select(*keep, "_bucket")
+    opened = join_groups(values, found, [*keys, "_bucket"])
     found = _within_level(opened, [*keys, *target], value)
 
     def pick(name: str, side: str) -> Column:

@@ -93,6 +93,7 @@ class Reference:
     group_rules: tuple[tuple[str, str, str], ...] = GROUP_RULES
     other_group: str = OTHER_GROUP
     state_code_length: int | None = 2
+    year_bounds: tuple[int, int] = (2000, 2100)
 
     @property
     def group_names(self) -> tuple[str, ...]:

@@ -51,6 +51,7 @@ def feed_reference(spark: SparkSession, sf_dir: str) -> Reference:
         group_rules=FEED_GROUP_RULES,
         other_group=FEED_OTHER_GROUP,
         state_code_length=None,
+        year_bounds=(1900, 2100),
     )
 
 

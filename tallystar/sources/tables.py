@@ -50,12 +50,11 @@ def read_table(spark: SparkSession, path: str) -> DataFrame:
 
 
 def load_warehouse(spark: SparkSession, tables: dict[str, DataFrame], database: str) -> list[str]:
-    """Full refresh: drop and recreate every table, in the given order (staging, dimensions, fact)."""
+    """Full refresh: every table is recreated, in the given order (staging, dimensions, fact)."""
     spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`")
     loaded = []
     for name, df in tables.items():
         full_name = f"`{database}`.`{name}`"
-        spark.sql(f"DROP TABLE IF EXISTS {full_name}")
         writer = df.write.mode("overwrite").format("parquet")
         if "source_year" in df.columns and name in ("staging", "fact"):
             writer = writer.partitionBy("source_year")
