@@ -7,7 +7,7 @@ are compared at six decimals, where both engines round alike.
 from __future__ import annotations
 
 from collections.abc import Callable
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -17,7 +17,7 @@ from checks.context import Context, context, plain
 from tallystar.operators import profile, quality
 from tallystar.operators.facts import LOOKUPS, bad_values, merged_rows, unpivot, unresolved, with_keys
 from tallystar.plans import job, measures, queries, views
-from tallystar.plans.star import source_year_mismatches
+from tallystar.plans.star import Star, source_year_mismatches
 from tallystar.reference import unmapped
 from tallystar.sources.raw import stack_years
 
@@ -39,6 +39,11 @@ def add(name: str, frame: Callable[[Context], DataFrame], sql: str | None) -> No
 D = "CAST({} AS DOUBLE)".format
 
 
+def any_size(c: Context) -> Star:
+    """The star with its size checks off, so that the forms for data of any size are compared too."""
+    return replace(c.star, small_dims=frozenset(), few_values=False)
+
+
 def r6(expression: str) -> str:
     return f"ROUND({expression}, 6) + CAST(0 AS DOUBLE)"
 
@@ -587,6 +592,17 @@ SUMMARY = """SELECT (SELECT COUNT(*) FROM staging) AS staging_rows, (SELECT COUN
 add("v28_quality_summary", lambda c: views.quality_summary(c.star, digits=6), SUMMARY)
 
 
+for name, view in (
+    ("v06_national", views.national),
+    ("v14_by_weapon", views.by_weapon),
+    ("v22_municipality_ranking", views.municipality_ranking),
+    ("v23c_jurisdiction_ranking", views.jurisdiction_ranking),
+    ("v24_weight_percentiles", views.weight_percentiles),
+    ("v25_outlier_impact", lambda star: views.outlier_impact(star, digits=6)),
+):
+    add(f"{name}_any_size", lambda c, view=view: view(any_size(c)), ENTRIES[name].sql.removeprefix(BASE))
+
+
 def through_view(c: Context) -> DataFrame:
     views.register_views(c.star.spark, c.star, "star_")
     return c.star.spark.sql(
@@ -768,6 +784,11 @@ for number, item in ((19, "state"), (20, "municipality"), (21, "region"), (23, "
         lambda c, item=item: measures.dense_ranking(c.star, item, ["indicator", "year"]),
         dense_sql(item, "indicator, year"),
     )
+add(
+    "m20_dense_rank_municipality_any_size",
+    lambda c: measures.dense_ranking(any_size(c), "municipality", ["indicator", "year"]),
+    dense_sql("municipality", "indicator, year"),
+)
 add(
     "m22_dense_rank_indicator",
     lambda c: measures.dense_ranking(c.star, "indicator", ["semantic_group", "unit", "year"]),

@@ -44,7 +44,8 @@ def dim_time(df: DataFrame) -> DataFrame:
 
 def dim_place(df: DataFrame, reference: Reference, small_rows: int = SMALL_ROWS) -> DataFrame:
     """One row per (state, municipality); states without a region fail."""
-    members = df.select("state", "municipality").distinct()
+    # Cut off once: the coverage check and the numbering both read the members.
+    members = settle(df.select("state", "municipality").distinct())
     require_coverage(members, reference.regions, "state")
     numbered = number_rows(members, ["state", "municipality"], "place_id", small_rows)
     return numbered.join(reference.regions, "state").select("place_id", "state", "municipality", "region")

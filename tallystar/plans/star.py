@@ -10,11 +10,16 @@ from pyspark.sql import functions as F
 
 from tallystar.operators.dimensions import build_dimensions
 from tallystar.operators.facts import aggregate_to_grain, build_fact, require_keys, require_valid_fact, with_keys
+from tallystar.operators.quality import layer_counts
 from tallystar.operators.staging import build_staging
 from tallystar.reference import Reference
 from tallystar.sources import tables
 from tallystar.sources.raw import stack_years
 
+STORED = ("staging", "grain", "fact", "place_year", "indicator_month", "value_counts")
+# Groups of up to this many rows may meet in one task.
+ONE_TASK_ROWS = 1_000_000
+
 
 @dataclass(frozen=True)
 class Star:
@@ -25,12 +30,17 @@ class Star:
     grain: DataFrame
     fact: DataFrame
     dims: Mapping[str, DataFrame] = field(repr=False)
-    place_year: DataFrame | None = None
-    indicator_month: DataFrame | None = None
+    place_year: DataFrame
+    indicator_month: DataFrame
+    value_counts: DataFrame
     raw: DataFrame | None = None
-    # True once checked that every row's source year is its calendar year: year filters may then
-    # also prune the partitions of the fact.
+    # The rest is checked on the stored tables; unchecked, the forms for any size are used.
+    # Every row's source year is its calendar year: year filters may prune the fact's partitions.
     years_agree: bool = False
+    # Dimensions known to fit a sort in one task.
+    small_dims: frozenset[str] = frozenset()
+    # All value counts together fit the memory of one task.
+    few_values: bool = False
 
     @property
     def spark(self) -> SparkSession:
@@ -52,6 +62,15 @@ def total_by_month(fact: DataFrame) -> DataFrame:
     return fact.groupBy("indicator_id", "time_id").agg(F.sum("value").alias("total"))
 
 
+def count_values(fact: DataFrame, time: DataFrame) -> DataFrame:
+    """How often each value occurs, per indicator and year: what percentiles are read from."""
+    return (
+        fact.join(time.select("time_id", "year"), "time_id")
+        .groupBy("indicator_id", "source_year", "year", "value")
+        .agg(F.count("*").alias("times"))
+    )
+
+
 def source_year_mismatches(grain: DataFrame) -> DataFrame:
     """Grain rows whose source year differs from their calendar year."""
     return grain.agg(F.count_if(F.col("source_year") != F.year("ref_month")).alias("rows_of_another_year"))
@@ -66,9 +85,17 @@ def build_in_memory(raw_by_year: Mapping[int, DataFrame], reference: Reference)
     require_keys(with_keys(grain, dims))
     fact = build_fact(grain, dims)
     require_valid_fact(fact)
-    agree = source_year_mismatches(grain).first()[0] == 0
     return Star(
-        reference, staging, grain, fact, dims, total_by_place_year(fact), total_by_month(fact), raw, agree
+        reference=reference,
+        staging=staging,
+        grain=grain,
+        fact=fact,
+        dims=dims,
+        place_year=total_by_place_year(fact),
+        indicator_month=total_by_month(fact),
+        value_counts=count_values(fact, dims["time"]),
+        raw=raw,
+        years_agree=source_year_mismatches(grain).first()[0] == 0,
     )
 
 
@@ -87,14 +114,25 @@ def write_star(raw_by_year: Mapping[int, DataFrame], reference: Reference, root:
     tables.write_fact(build_fact(grain, dims), f"{root}/fact")
     fact = tables.read_table(spark, f"{root}/fact")
     require_valid_fact(fact)
-    tables.write_table(total_by_place_year(fact), f"{root}/place_year")
+    tables.write_clustered(total_by_place_year(fact), f"{root}/place_year", "year")
     tables.write_table(total_by_month(fact), f"{root}/indicator_month")
+    tables.write_table(count_values(fact, dims["time"]), f"{root}/value_counts")
     return read_star(spark, reference, root, raw)
 
 
 def read_star(spark: SparkSession, reference: Reference, root: str, raw: DataFrame | None = None) -> Star:
     """Open the tables of an earlier run."""
-    read = {name: tables.read_table(spark, f"{root}/{name}") for name in ("staging", "grain", "fact", "place_year", "indicator_month")}
+    read = {name: tables.read_table(spark, f"{root}/{name}") for name in STORED}
     dims = {name: tables.read_table(spark, path) for name, path in tables.dimension_paths(root).items()}
-    agree = source_year_mismatches(read["grain"]).first()[0] == 0
-    return Star(reference=reference, dims=dims, raw=raw, years_agree=agree, **read)
+    # Counts of stored tables come from the file footers.
+    sizes = layer_counts({**dims, "values": read["value_counts"]})
+    rows = {row.layer: row.row_count for row in sizes.collect()}
+    return Star(
+        reference=reference,
+        dims=dims,
+        raw=raw,
+        years_agree=source_year_mismatches(read["grain"]).first()[0] == 0,
+        small_dims=frozenset(name for name in dims if rows[name] <= ONE_TASK_ROWS),
+        few_values=rows["values"] <= ONE_TASK_ROWS,
+        **read,
+    )

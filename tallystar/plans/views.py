@@ -1,8 +1,8 @@
 """The semantic layer: one function per view, all lazy.
 
 Totals are summed on integer ids first; labels join the few rows that are left. Windows are used
-only over series and classes (months, states, indicators, sexes: bounded by the calendar or by
-configuration); places, which grow with the data, go through `rank_within` and `share_of`.
+only where the calendar or the configuration bounds them (months, states, indicators, sexes), or a
+checked row count does. Beyond that, places and classes go through `rank_within` and `share_of`.
 """
 
 from __future__ import annotations
@@ -12,10 +12,10 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tallystar.functions.columns import mean, month_number, number, percent, ratio, rounded
+from tallystar.functions.columns import join_groups, mean, month_number, number, percent, ratio, rounded, share_of
 from tallystar.operators.facts import not_reported
-from tallystar.operators.ordering import approximate_quantiles, quantiles, rank_within, window_rank
-from tallystar.plans.star import Star, total_by_month, total_by_place_year
+from tallystar.operators.ordering import quantiles, quantiles_of_few, rank_within, window_rank
+from tallystar.plans.star import Star
 from tallystar.reference import semantic_group
 from tallystar.schema import MONTHS_PER_FULL_YEAR, WEIGHT
 
@@ -50,7 +50,18 @@ def enriched_fact(star: Star) -> DataFrame:
 # --- aggregates on ids -------------------------------------------------------
 
 
-def indicator_year_statistics(star: Star, approximate: bool = False) -> DataFrame:
+def ranker(star: Star, dim: str) -> Callable[..., DataFrame]:
+    """How to rank the members of a dimension: by a window when all of them fit one task."""
+    return window_rank if dim in star.small_dims else rank_within
+
+
+def percentiles(star: Star, counts: DataFrame, keys: list[str], points: dict[str, float]) -> DataFrame:
+    """Percentiles over (part of) the stored value counts."""
+    find = quantiles_of_few if star.few_values else quantiles
+    return find(counts, keys, "value", points, "times")
+
+
+def indicator_year_statistics(star: Star) -> DataFrame:
     """Count, sum, mean, median, extremes and population deviation per indicator and year."""
     keys = ["indicator_id", "source_year"]
     value = F.col("value")
@@ -61,9 +72,9 @@ def indicator_year_statistics(star: Star, approximate: bool = False) -> DataFram
         F.max(value).alias("maximum"),
         F.stddev_pop(number("value")).alias("deviation"),
     )
-    find = approximate_quantiles if approximate else quantiles
+    medians = percentiles(star, star.value_counts, keys, {"median": 0.5})
     return (
-        stats.join(find(star.fact, keys, "value", {"median": 0.5}), keys)
+        stats.join(medians, keys)
         .withColumn("mean", mean("total", "row_count"))
         .withColumnRenamed("source_year", "year")
         .select("indicator_id", "year", "row_count", "total", "mean", "median", "minimum", "maximum", "deviation")
@@ -71,8 +82,8 @@ def indicator_year_statistics(star: Star, approximate: bool = False) -> DataFram
 
 
 def indicator_place_year(star: Star) -> DataFrame:
-    """Total per indicator, place and year, from the stored aggregate when there is one."""
-    return star.place_year if star.place_year is not None else total_by_place_year(star.fact)
+    """Total per indicator, place and year."""
+    return star.place_year
 
 
 def indicator_jurisdiction_year(star: Star) -> DataFrame:
@@ -82,16 +93,16 @@ def indicator_jurisdiction_year(star: Star) -> DataFrame:
 
 
 def indicator_month(star: Star) -> DataFrame:
-    """Total per indicator and month, from the stored aggregate when there is one."""
-    return star.indicator_month if star.indicator_month is not None else total_by_month(star.fact)
+    """Total per indicator and month."""
+    return star.indicator_month
 
 
 # --- breakdowns --------------------------------------------------------------
 
 
-def national(star: Star, approximate: bool = False) -> DataFrame:
+def national(star: Star) -> DataFrame:
     return (
-        indicator_year_statistics(star, approximate)
+        indicator_year_statistics(star)
         .join(indicator_labels(star), "indicator_id")
         .join(year_flags(star), "year")
         .select(
@@ -167,18 +178,17 @@ def _by_class(star: Star, name: str, per_indicator: bool = True) -> DataFrame:
     return totals.join(indicator_labels(star), "indicator_id") if per_indicator else totals
 
 
-def _with_class_share(totals: DataFrame, digits: int) -> DataFrame:
-    whole = F.sum("total").over(Window.partitionBy("indicator_id", "year"))
-    return totals.withColumn("pct", percent(F.col("total"), whole, digits))
-
-
 def by_sex(star: Star, digits: int = 2) -> DataFrame:
     """Shares sum to 100 per indicator and year."""
-    return _with_class_share(_by_class(star, "sex"), digits).select("indicator", "kind", "year", "sex", "total", "pct")
+    whole = F.sum("total").over(Window.partitionBy("indicator_id", "year"))
+    shared = _by_class(star, "sex").withColumn("pct", percent(F.col("total"), whole, digits))
+    return shared.select("indicator", "kind", "year", "sex", "total", "pct")
 
 
 def by_age_band(star: Star, digits: int = 2) -> DataFrame:
-    return _with_class_share(_by_class(star, "age_band"), digits).select("indicator", "year", "age_band", "total", "pct")
+    shared = share_of(_by_class(star, "age_band"), "total", ["indicator_id", "year"], "share")
+    pct = rounded(100 * F.col("share"), digits).alias("pct")
+    return shared.select("indicator", "year", "age_band", "total", pct)
 
 
 def by_agent(star: Star) -> DataFrame:
@@ -188,7 +198,7 @@ def by_agent(star: Star) -> DataFrame:
 def by_weapon(star: Star) -> DataFrame:
     """Weapons ranked per year, across indicators."""
     totals = _by_class(star, "weapon", per_indicator=False)
-    return window_rank(totals, ["year"], "total", "rank").select("year", "weapon", "total", "rank")
+    return ranker(star, "weapon")(totals, ["year"], "total", "rank").select("year", "weapon", "total", "rank")
 
 
 def victim_totals(star: Star) -> DataFrame:
@@ -314,7 +324,7 @@ def state_ranking(star: Star) -> DataFrame:
 def municipality_ranking(star: Star) -> DataFrame:
     """Municipalities with a total above zero; ranked on ids before the labels join."""
     positive = indicator_place_year(star).where(F.col("total") > 0)
-    ranked = rank_within(positive, ["indicator_id", "year"], "total", "rank")
+    ranked = ranker(star, "place")(positive, ["indicator_id", "year"], "total", "rank")
     return _label_places(star, ranked).select(
         *LABELS, "year", "is_partial_year", "state", "municipality", "total", "rank"
     )
@@ -339,7 +349,7 @@ def indicator_ranking(star: Star) -> DataFrame:
 
 
 def jurisdiction_ranking(star: Star) -> DataFrame:
-    ranked = window_rank(by_jurisdiction(star), ["indicator", "year"], "total", "rank")
+    ranked = ranker(star, "jurisdiction")(by_jurisdiction(star), ["indicator", "year"], "total", "rank")
     return ranked.select(*LABELS, "year", "jurisdiction", "total", "rank")
 
 
@@ -355,48 +365,44 @@ def state_share(star: Star, digits: int = 2) -> DataFrame:
 # --- weights and outliers ----------------------------------------------------
 
 
-def weight_rows(star: Star) -> DataFrame:
-    """Fact rows of the weight family."""
+def weight_counts(star: Star) -> DataFrame:
+    """Value counts of the weight family."""
     weights = star.dim("indicator").where(F.col("family") == WEIGHT).select("indicator_id")
-    return star.fact.join(weights, "indicator_id", "left_semi")
+    return star.value_counts.join(weights, "indicator_id", "left_semi")
 
 
-def weight_percentiles(star: Star, approximate: bool = False) -> DataFrame:
-    rows = weight_rows(star).join(star.dim("time").select("time_id", "year"), "time_id")
-    keys = ["indicator_id", "year"]
-    stats = rows.groupBy(*keys).agg(
-        F.count("*").alias("row_count"), F.sum("value").alias("total"), F.max("value").alias("maximum")
+def weight_percentiles(star: Star) -> DataFrame:
+    counts, keys = weight_counts(star), ["indicator_id", "year"]
+    stats = counts.groupBy(*keys).agg(
+        F.sum("times").alias("row_count"),
+        F.sum(F.col("value") * F.col("times")).alias("total"),
+        F.max("value").alias("maximum"),
     )
-    find = approximate_quantiles if approximate else quantiles
     points = {"median": 0.5} | UPPER_POINTS
     return (
-        stats.join(find(rows, keys, "value", points), keys)
+        stats.join(percentiles(star, counts, keys, points), keys)
         .join(indicator_labels(star), "indicator_id")
         .withColumn("mean", mean("total", "row_count"))
         .select("indicator", "year", "unit", "row_count", "total", "mean", *points, "maximum")
     )
 
 
-def outlier_contrast(rows: DataFrame, keys: list[str], digits: int = 1, approximate: bool = False) -> DataFrame:
-    """Means and sums with and without the values above the 99th percentile of their group.
+def outlier_contrast(counts: DataFrame, limits: DataFrame, keys: list[str], weight: str, digits: int = 1) -> DataFrame:
+    """Means and sums with and without the values above `p99`, their group's limit.
 
-    Nothing is removed from the data. The rows are counted per value first, so the percentile and
-    the contrast share one shuffle.
+    Nothing is removed from the data. `weight` is the number of rows with each value.
     """
-    counted = rows.groupBy(*keys, "value").agg(F.count("*").alias("times"))
-    find = approximate_quantiles if approximate else quantiles
-    limits = find(rows, keys, "value", {"p99": 0.99}) if approximate else find(counted, keys, "value", {"p99": 0.99}, "times")
     below = number("value") <= F.col("p99")
-    weighted = F.col("value") * F.col("times")
+    weighted = F.col("value") * F.col(weight)
     return (
-        counted.join(limits, keys)
+        join_groups(counts, limits, keys)
         .groupBy(*keys)
         .agg(
-            F.sum("times").alias("row_count"),
-            F.coalesce(F.sum(F.when(~below, F.col("times"))), F.lit(0)).alias("rows_above_p99"),
+            F.sum(weight).alias("row_count"),
+            F.coalesce(F.sum(F.when(~below, F.col(weight))), F.lit(0)).alias("rows_above_p99"),
             F.sum(weighted).alias("sum_with_outliers"),
             F.sum(F.when(below, weighted)).alias("sum_without_top"),
-            F.sum(F.when(below, F.col("times"))).alias("_kept"),
+            F.sum(F.when(below, F.col(weight))).alias("_kept"),
         )
         .withColumns(
             {
@@ -414,7 +420,8 @@ def outlier_contrast(rows: DataFrame, keys: list[str], digits: int = 1, approxim
 
 def outlier_impact(star: Star, digits: int = 1) -> DataFrame:
     """Outlier contrast per weight indicator, over all years."""
-    contrast = outlier_contrast(weight_rows(star), ["indicator_id"], digits)
+    counts, keys = weight_counts(star), ["indicator_id"]
+    contrast = outlier_contrast(counts, percentiles(star, counts, keys, {"p99": 0.99}), keys, "times", digits)
     return contrast.join(star.dim("indicator").select("indicator_id", "indicator"), "indicator_id").select(
         "indicator", "row_count", "rows_above_p99", "mean_with_outliers", "mean_without_top",
         "sum_with_outliers", "sum_without_top", "pct_impact",

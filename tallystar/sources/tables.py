@@ -28,21 +28,20 @@ def write_dimension(df: DataFrame, path: str) -> None:
     write_table(df, path)
 
 
-def write_fact(fact: DataFrame, path: str) -> None:
+def write_clustered(df: DataFrame, path: str, year: str) -> None:
     """Partitioned by year, clustered by indicator and place.
 
     The range is over the year, the indicator and the place, so a year or an indicator holding a
     third of all rows is spread over many tasks, and each file covers few indicators: a filter on
     one skips files by their min/max statistics.
     """
-    layout = ("source_year", "indicator_id", "place_id")
-    (
-        fact.repartitionByRange(*layout)
-        .sortWithinPartitions(*layout)
-        .write.mode("overwrite")
-        .partitionBy("source_year")
-        .parquet(path)
-    )
+    layout = (year, "indicator_id", "place_id")
+    clustered = df.repartitionByRange(*layout).sortWithinPartitions(*layout)
+    clustered.write.mode("overwrite").partitionBy(year).parquet(path)
+
+
+def write_fact(fact: DataFrame, path: str) -> None:
+    write_clustered(fact, path, "source_year")
 
 
 def read_table(spark: SparkSession, path: str) -> DataFrame:
