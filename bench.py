@@ -16,9 +16,10 @@ from pyspark.sql import SparkSession
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-from checks.context import build_context  # noqa: E402
+from checks.context import build_context, lay_out  # noqa: E402
 from tallystar.operators import quality  # noqa: E402
 from tallystar.plans import measures, queries, views  # noqa: E402
+from tallystar.storage import run_dir  # noqa: E402
 
 INDICATOR, STATE, YEAR = 3, "NATION_3", 1998
 
@@ -64,9 +65,12 @@ def main() -> None:
     spark = session()
     spark.range(1000).selectExpr("sum(id)").collect()
 
+    root = run_dir(spark, "bench")
     started = time.perf_counter()
-    star = build_context(spark, folder).star
-    times = {"build_star": time.perf_counter() - started}
+    paths = lay_out(spark, folder, root)
+    laid_out = time.perf_counter()
+    star = build_context(spark, folder, root, paths).star
+    times = {"lay_out_feed": laid_out - started, "build_star": time.perf_counter() - laid_out}
     for name, query in QUERIES.items():
         runs = []
         for _ in range(2):

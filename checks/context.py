@@ -29,9 +29,12 @@ class Context:
 _built: dict[tuple[str, str], Context] = {}
 
 
-def build_context(spark: SparkSession, sf_dir: str) -> Context:
-    root = run_dir(spark, "star")
-    paths = tables.write_landing(feed(spark, sf_dir), f"{root}/landing")
+def lay_out(spark: SparkSession, sf_dir: str, root: str) -> dict[int, str]:
+    """Write the raw feed as one folder per year, the form its readers expect."""
+    return tables.write_landing(feed(spark, sf_dir), f"{root}/landing")
+
+
+def build_context(spark: SparkSession, sf_dir: str, root: str, paths: dict[int, str]) -> Context:
     raw_by_year = read_years(spark, paths)
     return Context(write_star(raw_by_year, feed_reference(spark, sf_dir), root), raw_by_year, root)
 
@@ -39,7 +42,8 @@ def build_context(spark: SparkSession, sf_dir: str) -> Context:
 def context(spark: SparkSession, sf_dir: str) -> Context:
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _built:
-        _built[key] = build_context(spark, sf_dir)
+        root = run_dir(spark, "star")
+        _built[key] = build_context(spark, sf_dir, root, lay_out(spark, sf_dir, root))
     return _built[key]
 
 

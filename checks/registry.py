@@ -208,11 +208,11 @@ CHECKS = {
         ),
     ),
     "dq2_no_negative": (
-        lambda c: quality.check_no_negative(c.star.fact),
+        lambda c: quality.check_no_negative(c.star.fact, c.star.dim("indicator")),
         check_sql("no_negative_values", "COUNT(*) FILTER (WHERE value < 0) AS n", "n || ' negative values'", "labelled"),
     ),
     "dq3_mandatory": (
-        lambda c: quality.check_mandatory(c.star.fact),
+        lambda c: quality.check_mandatory(c.star.fact, c.star.dim("indicator")),
         check_sql(
             "mandatory_fields",
             "COUNT(*) - COUNT(time_id) AS t, COUNT(*) - COUNT(place_id) AS p, COUNT(*) - COUNT(indicator_id) AS i, "

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -80,20 +82,21 @@ def dim_sex(df: DataFrame) -> DataFrame:
     return df.sparkSession.createDataFrame(rows, "sex_id int, sex string")
 
 
-def build_dimensions(df: DataFrame, reference: Reference) -> dict[str, DataFrame]:
-    """All dimensions of a staging or grain frame.
+def build_dimensions(df: DataFrame, reference: Reference) -> dict[str, Callable[[], DataFrame]]:
+    """Builders of all dimensions of a staging or grain frame.
 
     Months, indicators and classes come from one pass over the rows: their distinct combinations
-    are few against the rows, and are cut off there because six dimensions read them.
+    are few against the rows, and are cut off there because six dimensions read them. A builder runs
+    its own checks and counts when it is called, so callers may run several side by side.
     """
     combos = settle(df.select("ref_month", "indicator", *CLASS_COLUMNS).distinct())
     return {
-        "time": dim_time(combos),
-        "place": dim_place(df, reference),
-        "indicator": dim_indicator(combos, reference),
-        "jurisdiction": dim_jurisdiction(combos),
-        "agent": dim_agent(combos),
-        "weapon": dim_weapon(combos),
-        "age_band": dim_age_band(combos),
-        "sex": dim_sex(df),
+        "time": lambda: dim_time(combos),
+        "place": lambda: dim_place(df, reference),
+        "indicator": lambda: dim_indicator(combos, reference),
+        "jurisdiction": lambda: dim_jurisdiction(combos),
+        "agent": lambda: dim_agent(combos),
+        "weapon": lambda: dim_weapon(combos),
+        "age_band": lambda: dim_age_band(combos),
+        "sex": lambda: dim_sex(df),
     }

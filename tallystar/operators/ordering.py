@@ -126,5 +126,6 @@ def quantiles_of_few(
     df: DataFrame, keys: list[str], value: str, points: Mapping[str, float], weight: str
 ) -> DataFrame:
     """The same percentiles in one aggregate, for value counts known to fit the memory of a task."""
-    number = F.col(value).cast("double")
-    return df.groupBy(*keys).agg(*[F.percentile(number, p, F.col(weight)).alias(n) for n, p in points.items()])
+    wanted = F.percentile(F.col(value).cast("double"), list(points.values()), F.col(weight)).alias("_points")
+    found = [F.col("_points")[i].alias(name) for i, name in enumerate(points)]
+    return df.groupBy(*keys).agg(wanted).select(*keys, *found)

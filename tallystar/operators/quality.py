@@ -24,6 +24,7 @@ from tallystar.schema import (
 
 TOLERANCE = 1e-6
 PASS, FAIL = "PASS", "FAIL"
+MANDATORY = REQUIRED_IDS + ("value",)
 
 
 def _status(bad: Column) -> Column:
@@ -48,56 +49,91 @@ def check_unique_grain(fact: DataFrame) -> DataFrame:
     return _check(found, "unique_grain", "n", F.concat(F.col("n"), F.lit(" rows share a key")))
 
 
-def check_no_negative(fact: DataFrame) -> DataFrame:
-    found = fact.agg(F.count_if(F.col("value") < 0).alias("n"))
-    return _check(found, "no_negative_values", "n", F.concat(F.col("n"), F.lit(" negative values")))
-
-
 def mandatory_nulls(fact: DataFrame) -> DataFrame:
     """Null counts per mandatory field, in one pass."""
-    return fact.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in REQUIRED_IDS + ("value",)])
+    return fact.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in MANDATORY])
 
 
-def check_mandatory(fact: DataFrame) -> DataFrame:
-    fields = REQUIRED_IDS + ("value",)
-    nulls = mandatory_nulls(fact).withColumn("n", sum((F.col(c) for c in fields), F.lit(0)))
-    detail = F.concat_ws(", ", *[F.concat(F.lit(f"{c}: "), F.col(c)) for c in fields])
-    return _check(nulls, "mandatory_fields", "n", detail)
+def families_per_indicator(indicators: DataFrame) -> DataFrame:
+    """How many families the dimension gives each indicator id."""
+    return indicators.groupBy("indicator_id").agg(
+        F.count_distinct("family").alias("families"), F.min("family").alias("family")
+    )
 
 
-def check_sex(fact: DataFrame, indicators: DataFrame) -> DataFrame:
-    """Victim rows always have a sex, the others never."""
-    counted = fact.groupBy("indicator_id").agg(
-        F.count_if(F.col("sex_id").isNull()).alias("_without"), F.count_if(F.col("sex_id").isNotNull()).alias("_with")
+def fact_checks(fact: DataFrame, indicators: DataFrame) -> DataFrame:
+    """The four checks that need each fact row once, in one pass over the fact.
+
+    No negative values; mandatory fields filled; victim rows always with a sex and the others
+    never; every indicator with exactly one family.
+    """
+    counts = {c: F.count_if(F.col(c).isNull()) for c in MANDATORY} | {
+        "negative": F.count_if(F.col("value") < 0),
+        "sexless": F.count_if(F.col("sex_id").isNull()),
+        "sexed": F.count_if(F.col("sex_id").isNotNull()),
+    }
+    # The key gets a name of its own, so that its nulls can be counted next to it.
+    per_indicator = fact.withColumn("_id", F.col("indicator_id")).groupBy("_id").agg(
+        *[count.alias(f"_{name}") for name, count in counts.items()]
     )
+    families = families_per_indicator(indicators)
+    joined = per_indicator.join(families, F.col("_id") == F.col("indicator_id"), "left")
     victim = F.col("family") == VICTIM
-    found = (
-        counted.join(indicators.select("indicator_id", "family"), "indicator_id", "left")
-        .agg(
-            F.coalesce(F.sum(F.when(victim, F.col("_without"))), F.lit(0)).alias("victims_without_sex"),
-            F.coalesce(F.sum(F.when(~victim, F.col("_with"))), F.lit(0)).alias("others_with_sex"),
-        )
-        .withColumn("n", F.col("victims_without_sex") + F.col("others_with_sex"))
-    )
-    detail = F.concat(
-        F.lit("victim rows without sex: "), "victims_without_sex", F.lit(", other rows with sex: "), "others_with_sex"
+
+    def total(column: Column, name: str) -> Column:
+        return F.coalesce(F.sum(column), F.lit(0)).alias(name)
+
+    row = joined.agg(
+        *[total(F.col(f"_{c}"), c) for c in MANDATORY],
+        total(F.col("_negative"), "negative"),
+        total(F.when(victim, F.col("_sexless")), "victims_without_sex"),
+        total(F.when(~victim, F.col("_sexed")), "others_with_sex"),
+        F.count_if(F.coalesce("families", F.lit(0)) != 1).alias("mixed"),
     )
-    return _check(found, "sex_consistency", "n", detail)
 
+    def check(name: str, bad: Column, *detail: str | Column) -> Column:
+        n_bad = bad.cast("bigint")
+        return F.struct(
+            F.lit(name).alias("check"),
+            _status(n_bad).alias("status"),
+            n_bad.alias("n_bad"),
+            F.concat(*detail).alias("detail"),
+        )
 
-def families_per_indicator(fact: DataFrame, indicators: DataFrame) -> DataFrame:
-    """Families each indicator id of the fact has; an id the dimension lacks has none."""
-    used = fact.select("indicator_id").distinct()
-    return (
-        used.join(indicators.select("indicator_id", "family"), "indicator_id", "left")
-        .groupBy("indicator_id")
-        .agg(F.count_distinct("family").alias("families"), F.array_sort(F.collect_set("family")).alias("names"))
+    nulls = F.concat_ws(", ", *[F.concat(F.lit(f"{c}: "), F.col(c)) for c in MANDATORY])
+    return row.select(
+        F.inline(
+            F.array(
+                check("no_negative_values", F.col("negative"), "negative", F.lit(" negative values")),
+                check("mandatory_fields", sum((F.col(c) for c in MANDATORY), F.lit(0)), nulls),
+                check(
+                    "sex_consistency",
+                    F.col("victims_without_sex") + F.col("others_with_sex"),
+                    F.lit("victim rows without sex: "), "victims_without_sex",
+                    F.lit(", other rows with sex: "), "others_with_sex",
+                ),
+                check(
+                    "one_family_per_indicator", F.col("mixed"), "mixed", F.lit(" indicators without exactly one family")
+                ),
+            )
+        )
     )
 
 
+def check_no_negative(fact: DataFrame, indicators: DataFrame) -> DataFrame:
+    return fact_checks(fact, indicators).where(F.col("check") == "no_negative_values")
+
+
+def check_mandatory(fact: DataFrame, indicators: DataFrame) -> DataFrame:
+    return fact_checks(fact, indicators).where(F.col("check") == "mandatory_fields")
+
+
+def check_sex(fact: DataFrame, indicators: DataFrame) -> DataFrame:
+    return fact_checks(fact, indicators).where(F.col("check") == "sex_consistency")
+
+
 def check_one_family(fact: DataFrame, indicators: DataFrame) -> DataFrame:
-    found = families_per_indicator(fact, indicators).agg(F.count_if(F.col("families") != 1).alias("n"))
-    return _check(found, "one_family_per_indicator", "n", F.concat(F.col("n"), F.lit(" indicators without exactly one family")))
+    return fact_checks(fact, indicators).where(F.col("check") == "one_family_per_indicator")
 
 
 def check_units(indicators: DataFrame) -> DataFrame:
@@ -164,10 +200,7 @@ def run_checks(raw: DataFrame, staging: DataFrame, fact: DataFrame, dims: Mappin
     checks = [
         check_row_counts(raw, staging),
         check_unique_grain(fact),
-        check_no_negative(fact),
-        check_mandatory(fact),
-        check_sex(fact, dims["indicator"]),
-        check_one_family(fact, dims["indicator"]),
+        fact_checks(fact, dims["indicator"]),
         check_units(dims["indicator"]),
         check_time(dims["time"]),
     ]
@@ -242,10 +275,11 @@ def constraint_violations(fact: DataFrame, dims: Mapping[str, DataFrame]) -> Dat
     def add(name: str, one_row: DataFrame) -> None:
         found.append(one_row.select(F.lit(name).alias("constraint"), F.col("n").cast("bigint").alias("violations")))
 
-    nulls = mandatory_nulls(fact)
-    for column in REQUIRED_IDS + ("value",):
-        add(f"fact.{column} not null", nulls.select(F.col(column).alias("n")))
-    add("fact.value >= 0", fact.agg(F.count_if(F.col("value") < 0).alias("n")))
+    rules = {f"fact.{c} not null": F.col(c).isNull() for c in MANDATORY} | {"fact.value >= 0": F.col("value") < 0}
+    broken = [
+        F.struct(F.lit(name).alias("constraint"), F.count_if(rule).alias("violations")) for name, rule in rules.items()
+    ]
+    found.append(fact.agg(F.array(*broken).alias("_rules")).select(F.inline("_rules")))
     add("fact key unique", duplicate_keys(fact).agg(F.count("*").alias("n")))
     for name, dim in dims.items():
         id_name = f"{name}_id"

@@ -15,6 +15,7 @@ from tallystar.operators.staging import build_staging
 from tallystar.reference import Reference
 from tallystar.sources import tables
 from tallystar.sources.raw import stack_years
+from tallystar.storage import together
 
 STORED = ("staging", "grain", "fact", "place_year", "indicator_month", "value_counts")
 # Groups of up to this many rows may meet in one task.
@@ -81,7 +82,7 @@ def build_in_memory(raw_by_year: Mapping[int, DataFrame], reference: Reference)
     raw = stack_years(raw_by_year)
     staging = build_staging(raw)
     grain = aggregate_to_grain(staging)
-    dims = build_dimensions(grain, reference)
+    dims = {name: build() for name, build in build_dimensions(grain, reference).items()}
     require_keys(with_keys(grain, dims))
     fact = build_fact(grain, dims)
     require_valid_fact(fact)
@@ -101,38 +102,43 @@ def build_in_memory(raw_by_year: Mapping[int, DataFrame], reference: Reference)
 
 def write_star(raw_by_year: Mapping[int, DataFrame], reference: Reference, root: str) -> Star:
     """Build the star layer by layer; every layer is written once and read back by the next."""
-    spark = reference.indicators.sparkSession
     raw = stack_years(raw_by_year)
-    tables.write_staging(build_staging(raw), f"{root}/staging")
-    staging = tables.read_table(spark, f"{root}/staging")
-    tables.write_table(aggregate_to_grain(staging), f"{root}/grain")
-    grain = tables.read_table(spark, f"{root}/grain")
+    staging = tables.write_staging(build_staging(raw), f"{root}/staging")
+    grain = tables.write_table(aggregate_to_grain(staging), f"{root}/grain")
     paths = tables.dimension_paths(root)
-    for name, dim in build_dimensions(grain, reference).items():
-        tables.write_dimension(dim, paths[name])
-    dims = {name: tables.read_table(spark, path) for name, path in paths.items()}
-    tables.write_fact(build_fact(grain, dims), f"{root}/fact")
-    fact = tables.read_table(spark, f"{root}/fact")
+    builders = build_dimensions(grain, reference)
+    dims = together(
+        **{name: lambda name=name: tables.write_dimension(builders[name](), paths[name]) for name in builders}
+    )
+    fact = tables.write_fact(build_fact(grain, dims), f"{root}/fact")
     require_valid_fact(fact)
-    tables.write_clustered(total_by_place_year(fact), f"{root}/place_year", "year")
-    tables.write_table(total_by_month(fact), f"{root}/indicator_month")
-    tables.write_table(count_values(fact, dims["time"]), f"{root}/value_counts")
-    return read_star(spark, reference, root, raw)
+    sums = together(
+        place_year=lambda: tables.write_clustered(total_by_place_year(fact), f"{root}/place_year", "year"),
+        indicator_month=lambda: tables.write_table(total_by_month(fact), f"{root}/indicator_month"),
+        value_counts=lambda: tables.write_table(count_values(fact, dims["time"]), f"{root}/value_counts"),
+    )
+    return _checked(reference, dims, {"staging": staging, "grain": grain, "fact": fact, **sums}, raw)
 
 
 def read_star(spark: SparkSession, reference: Reference, root: str, raw: DataFrame | None = None) -> Star:
     """Open the tables of an earlier run."""
-    read = {name: tables.read_table(spark, f"{root}/{name}") for name in STORED}
+    stored = {name: tables.read_table(spark, f"{root}/{name}") for name in STORED}
     dims = {name: tables.read_table(spark, path) for name, path in tables.dimension_paths(root).items()}
+    return _checked(reference, dims, stored, raw)
+
+
+def _checked(
+    reference: Reference, dims: Mapping[str, DataFrame], stored: Mapping[str, DataFrame], raw: DataFrame | None
+) -> Star:
     # Counts of stored tables come from the file footers.
-    sizes = layer_counts({**dims, "values": read["value_counts"]})
+    sizes = layer_counts({**dims, "values": stored["value_counts"]})
     rows = {row.layer: row.row_count for row in sizes.collect()}
     return Star(
         reference=reference,
         dims=dims,
         raw=raw,
-        years_agree=source_year_mismatches(read["grain"]).first()[0] == 0,
+        years_agree=source_year_mismatches(stored["grain"]).first()[0] == 0,
         small_dims=frozenset(name for name in dims if rows[name] <= ONE_TASK_ROWS),
         few_values=rows["values"] <= ONE_TASK_ROWS,
-        **read,
+        **stored,
     )

@@ -9,26 +9,34 @@ from tallystar.schema import DIMENSIONS
 
 def write_landing(raw: DataFrame, path: str) -> dict[int, str]:
     """Lay a raw feed out as one folder per source year; returns the folder of each year."""
-    raw.write.mode("overwrite").partitionBy("source_year").parquet(path)
-    spark = raw.sparkSession
-    years = spark.read.parquet(path).select("source_year").distinct().collect()
+    landed = _stored(raw, path, "source_year")
+    years = landed.select("source_year").distinct().collect()
     return {row.source_year: f"{path}/source_year={row.source_year}" for row in years}
 
 
-def write_staging(staging: DataFrame, path: str) -> None:
-    staging.write.mode("overwrite").partitionBy("source_year").parquet(path)
+def _stored(df: DataFrame, path: str, partition: str | None = None) -> DataFrame:
+    """Write a table and open what was written; its schema is known, so no file is opened for it."""
+    writer = df.write.mode("overwrite")
+    if partition is not None:
+        writer = writer.partitionBy(partition)
+    writer.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def write_table(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").parquet(path)
+def write_staging(staging: DataFrame, path: str) -> DataFrame:
+    return _stored(staging, path, "source_year")
 
 
-def write_dimension(df: DataFrame, path: str) -> None:
+def write_table(df: DataFrame, path: str) -> DataFrame:
+    return _stored(df, path)
+
+
+def write_dimension(df: DataFrame, path: str) -> DataFrame:
     """Dimensions keep Spark's partitioning: places grow with the data, the others are one file anyway."""
-    write_table(df, path)
+    return _stored(df, path)
 
 
-def write_clustered(df: DataFrame, path: str, year: str) -> None:
+def write_clustered(df: DataFrame, path: str, year: str) -> DataFrame:
     """Partitioned by year, clustered by indicator and place.
 
     The range is over the year, the indicator and the place, so a year or an indicator holding a
@@ -36,12 +44,11 @@ def write_clustered(df: DataFrame, path: str, year: str) -> None:
     one skips files by their min/max statistics.
     """
     layout = (year, "indicator_id", "place_id")
-    clustered = df.repartitionByRange(*layout).sortWithinPartitions(*layout)
-    clustered.write.mode("overwrite").partitionBy(year).parquet(path)
+    return _stored(df.repartitionByRange(*layout).sortWithinPartitions(*layout), path, year)
 
 
-def write_fact(fact: DataFrame, path: str) -> None:
-    write_clustered(fact, path, "source_year")
+def write_fact(fact: DataFrame, path: str) -> DataFrame:
+    return write_clustered(fact, path, "source_year")
 
 
 def read_table(spark: SparkSession, path: str) -> DataFrame:

@@ -4,9 +4,14 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
+from typing import TypeVar
 
 from pyspark.sql import DataFrame, SparkSession
 
+T = TypeVar("T")
+
 CHECKPOINT_CONF = "spark.checkpoint.dir"
 
 
@@ -30,3 +35,10 @@ def settle(df: DataFrame) -> DataFrame:
     """Reliable checkpoint: the rows are on shared storage, so a lost executor cannot change them."""
     shared_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def together(**work: Callable[[], T]) -> dict[str, T]:
+    """Start independent jobs side by side, so that small ones do not wait for each other."""
+    with ThreadPoolExecutor(max_workers=len(work)) as pool:
+        started = {name: pool.submit(job) for name, job in work.items()}
+        return {name: done.result() for name, done in started.items()}
