@@ -15,7 +15,7 @@ from tallystar.operators.staging import build_staging
 from tallystar.reference import Reference
 from tallystar.sources import tables
 from tallystar.sources.raw import stack_years
-from tallystar.storage import together
+from tallystar.storage import settle, together
 
 STORED = ("staging", "grain", "fact", "place_year", "indicator_month", "value_counts")
 # Groups of up to this many rows may meet in one task.
@@ -78,13 +78,13 @@ def source_year_mismatches(grain: DataFrame) -> DataFrame:
 
 
 def build_in_memory(raw_by_year: Mapping[int, DataFrame], reference: Reference) -> Star:
-    """The star as lazy frames, nothing written: for small feeds and tests."""
+    """The star without a warehouse folder, its layers checkpointed: for small feeds and tests."""
     raw = stack_years(raw_by_year)
     staging = build_staging(raw)
-    grain = aggregate_to_grain(staging)
-    dims = {name: build() for name, build in build_dimensions(grain, reference).items()}
+    grain = settle(aggregate_to_grain(staging))
+    dims = together(**{name: lambda b=b: settle(b()) for name, b in build_dimensions(grain, reference).items()})
     require_keys(with_keys(grain, dims))
-    fact = build_fact(grain, dims)
+    fact = settle(build_fact(grain, dims))
     require_valid_fact(fact)
     return Star(
         reference=reference,

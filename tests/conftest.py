@@ -57,6 +57,16 @@ def months(year, last, **values):
     return [row("SP", "CIDADE TESTE", "Homicídio doloso", year, m, **(values or zeros())) for m in range(1, last + 1)]
 
 
+def counts_rows(year, last, scale=1.0):
+    """Cargo thefts in four towns of three states, the same every month."""
+    towns = (("SP", "A", 4.0), ("SP", "B", 1.0), ("MG", "A", 3.0), ("RJ", "A", 3.0))
+    return [
+        row(state, town, "Roubo de carga", year, month, count_value=value * scale)
+        for month in range(1, last + 1)
+        for state, town, value in towns
+    ]
+
+
 def feed_rows():
     """A full year, a partial one, and one case for each rule of the model."""
     elsewhere = ("SP", "OUTRACIDADE")
