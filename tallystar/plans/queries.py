@@ -1,8 +1,7 @@
 """The parameterised read queries.
 
 Filters reach the fact before it is summed: the indicator and the year prune files and partitions,
-months and jurisdictions filter through their small dimensions, and places are filtered on the
-sums per place, so that the fact itself never joins the place dimension.
+the others are semi-joins with the filtered dimension. Labels join the sums.
 """
 
 from __future__ import annotations
@@ -77,16 +76,10 @@ def _places(star: Star, state=None, municipality=None, region=None) -> DataFrame
 
 
 def _sums(fact: DataFrame, keys: list[str], places: DataFrame | None) -> DataFrame:
-    """Sum and row count by keys; with a place filter, summed per place first."""
-    totals = (F.sum("value").alias("value"), F.count("*").alias("row_count"))
-    if places is None:
-        return fact.groupBy(*keys).agg(*totals)
-    per_place = fact.groupBy("place_id", *keys).agg(*totals)
-    return (
-        per_place.join(places.select("place_id"), "place_id", "left_semi")
-        .groupBy(*keys)
-        .agg(F.sum("value").alias("value"), F.sum("row_count").alias("row_count"))
-    )
+    """Sum and row count by keys, over some places or all."""
+    if places is not None:
+        fact = fact.join(places.select("place_id"), "place_id", "left_semi")
+    return fact.groupBy(*keys).agg(F.sum("value").alias("value"), F.count("*").alias("row_count"))
 
 
 def _state(star: Star, state):

@@ -133,7 +133,8 @@ def test_profile_faults(spark):
 
 def test_top_values_are_cut_before_the_shuffle(raw):
     plan = profile.top_values(raw)._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("WindowGroupLimit") >= 2 or "Partial" in plan
+    before_shuffle = plan.rindex("WindowGroupLimit")
+    assert plan.count("WindowGroupLimit") == 2 and plan.index("Exchange") < before_shuffle
 
 
 # --- the job -----------------------------------------------------------------
