@@ -41,7 +41,7 @@ D = "CAST({} AS DOUBLE)".format
 
 def any_size(c: Context) -> Star:
     """The star with its size checks off, so that the forms for data of any size are compared too."""
-    return replace(c.star, small_dims=frozenset(), few_values=False)
+    return replace(c.star, small_dims=frozenset(), few_values=False, few_rows=False)
 
 
 def r6(expression: str) -> str:
@@ -818,6 +818,16 @@ WEIGHTS = f"{q(0.5)} AS median, {q(0.9)} AS p90, {q(0.95)} AS p95, {q(0.99)} AS
 add("m28_weight_statistics", lambda c: measures.weight_statistics(c.star), f"SELECT {WEIGHTS}")
 add("m28_weight_statistics_by_state", lambda c: measures.weight_statistics(c.star, ["indicator", "state"]), f"SELECT indicator, state, {WEIGHTS} GROUP BY indicator, state")
 OUTLIERS = f"{r6('m_all')} AS mean_with_outliers, {r6('m_low')} AS mean_without_top, {r6('(m_all - m_low) / NULLIF(m_low, 0)')} AS ratio_impact"
+add(
+    "m28_weight_statistics_by_state_any_size",
+    lambda c: measures.weight_statistics(any_size(c), ["indicator", "state"]),
+    f"SELECT indicator, state, {WEIGHTS} GROUP BY indicator, state",
+)
+add(
+    "m33_weight_outliers_by_region_any_size",
+    lambda c: measures.weight_outliers(any_size(c), ["indicator", "region"]),
+    f"SELECT indicator, region, {OUTLIERS} FROM ({outlier_sql('indicator, region')})",
+)
 add("m33_weight_outliers", lambda c: measures.weight_outliers(c.star, []), f"SELECT {OUTLIERS} FROM ({outlier_sql('')})")
 add(
     "m33_weight_outliers_by_region",

@@ -49,11 +49,6 @@ def check_unique_grain(fact: DataFrame) -> DataFrame:
     return _check(found, "unique_grain", "n", F.concat(F.col("n"), F.lit(" rows share a key")))
 
 
-def mandatory_nulls(fact: DataFrame) -> DataFrame:
-    """Null counts per mandatory field, in one pass."""
-    return fact.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in MANDATORY])
-
-
 def families_per_indicator(indicators: DataFrame) -> DataFrame:
     """How many families the dimension gives each indicator id."""
     return indicators.groupBy("indicator_id").agg(

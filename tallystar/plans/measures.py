@@ -11,8 +11,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallystar.functions.columns import join_groups, mean, number, ratio, rounded, share_of
-from tallystar.operators.ordering import quantiles, window_rank
+from tallystar.functions.columns import mean, number, ratio, rounded, share_of
+from tallystar.operators.ordering import quantiles, quantiles_of_few, window_rank
 from tallystar.plans import views
 from tallystar.plans.star import Star
 from tallystar.reference import (
@@ -243,18 +243,24 @@ def indicator_share_of_family(star: Star, by: Sequence[str] = (), where: Filters
 
 def weight_statistics(star: Star, by: Sequence[str] = (), where: Filters = None) -> DataFrame:
     """Median, P90, P95, P99 and maximum of the weight family."""
-    keys = list(by)
-    values = sliced(star, keys, {**(where or {}), "family": WEIGHT}, per_value=True)
-    found = quantiles(values, keys, "value", {"median": 0.5} | views.UPPER_POINTS, "row_count")
-    top = values.groupBy(*keys).agg(F.max("value").alias("maximum"))
-    return join_groups(found, top, keys)
+    points = {"median": 0.5} | views.UPPER_POINTS | {"maximum": 1.0}
+    return _weight_points(star, _weight_values(star, by, where), list(by), points)
+
+
+def _weight_values(star: Star, by: Sequence[str], where: Filters) -> DataFrame:
+    return sliced(star, list(by), {**(where or {}), "family": WEIGHT}, per_value=True)
+
+
+def _weight_points(star: Star, values: DataFrame, keys: list[str], points: dict[str, float]) -> DataFrame:
+    find = quantiles_of_few if star.few_rows else quantiles
+    return find(values, keys, "value", points, "row_count")
 
 
 def weight_outliers(star: Star, by: Sequence[str] = ("indicator",), where: Filters = None, digits: int = 6) -> DataFrame:
     """Mean of the weights with and without the top 1% of their group, and the ratio between them."""
     keys = list(by)
-    values = sliced(star, keys, {**(where or {}), "family": WEIGHT}, per_value=True)
-    limits = quantiles(values, keys, "value", {"p99": 0.99}, "row_count")
+    values = _weight_values(star, keys, where)
+    limits = _weight_points(star, values, keys, {"p99": 0.99})
     contrast = views.outlier_contrast(values, limits, keys, "row_count")
     impact = ratio(F.col("mean_with_outliers") - F.col("mean_without_top"), "mean_without_top")
     return contrast.select(

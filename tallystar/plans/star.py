@@ -40,8 +40,9 @@ class Star:
     years_agree: bool = False
     # Dimensions known to fit a sort in one task.
     small_dims: frozenset[str] = frozenset()
-    # All value counts together fit the memory of one task.
+    # All stored value counts, or all fact rows, together fit the memory of one task.
     few_values: bool = False
+    few_rows: bool = False
 
     @property
     def spark(self) -> SparkSession:
@@ -131,7 +132,7 @@ def _checked(
     reference: Reference, dims: Mapping[str, DataFrame], stored: Mapping[str, DataFrame], raw: DataFrame | None
 ) -> Star:
     # Counts of stored tables come from the file footers.
-    sizes = layer_counts({**dims, "values": stored["value_counts"]})
+    sizes = layer_counts({**dims, "values": stored["value_counts"], "rows": stored["fact"]})
     rows = {row.layer: row.row_count for row in sizes.collect()}
     return Star(
         reference=reference,
@@ -140,5 +141,6 @@ def _checked(
         years_agree=source_year_mismatches(stored["grain"]).first()[0] == 0,
         small_dims=frozenset(name for name in dims if rows[name] <= ONE_TASK_ROWS),
         few_values=rows["values"] <= ONE_TASK_ROWS,
+        few_rows=rows["rows"] <= ONE_TASK_ROWS,
         **stored,
     )

@@ -137,6 +137,18 @@ def test_stray_count_on_a_victim_row_is_kept_and_caught(spark):
     assert (result.status, result.n_bad) == ("FAIL", 1)
 
 
+def test_a_place_with_a_third_of_all_rows(spark):
+    """Half of the hot place's rows share one key; nothing is lost and nothing is dropped."""
+    hot = [row("SP", "HOT", "Homicídio doloso", 2030, 1 + i % 2 * (i % 12), female=1.0, male=float(i % 3)) for i in range(300)]
+    rest = [row("MG", f"M{i}", "Homicídio doloso", 2030, 1 + i % 12, female=2.0) for i in range(600)]
+    star = star_of(spark, {2030: hot + rest})
+    totals = star.fact.join(star.dim("place"), "place_id").groupBy("municipality").agg(F.sum("value").alias("v"))
+    found = {r.municipality: float(r.v) for r in totals.collect()}
+    assert found["HOT"] == 300 + sum(i % 3 for i in range(300)) and len(found) == 601
+    assert sum(found.values()) == found["HOT"] + 1200
+    assert facts.merged_rows(star.staging, star.grain).first().merged_rows == 900 - star.grain.count()
+
+
 # --- dimensions and reference ------------------------------------------------
 
 

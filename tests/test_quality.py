@@ -174,6 +174,16 @@ def test_failing_run_raises(spark, tmp_path):
         job.require_passed(out)
 
 
+def test_command_line(spark, tmp_path, capsys):
+    feeds = []
+    for year, rows in feed_rows().items():
+        raw_frame(spark, rows).write.option("header", True).csv(str(tmp_path / str(year)))
+        feeds += ["--feed", f"{year}={tmp_path / str(year)}"]
+    job.main([*feeds, "--format", "csv", "--out", str(tmp_path / "run")])
+    assert "'reconciled_passed': 31" in capsys.readouterr().out
+    assert spark.sql("SELECT count(*) FROM monthly_series").first()[0] > 0
+
+
 def test_a_year_filter_prunes_partitions(spark, tmp_path):
     from tallystar.plans import queries
 
