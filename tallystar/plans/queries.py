@@ -1,7 +1,8 @@
 """The parameterised read queries.
 
 Filters reach the fact before it is summed: the indicator and the year prune files and partitions,
-the others are semi-joins with the filtered dimension. Labels join the sums.
+the others are semi-joins with the filtered dimension. Labels join the sums. Questions the stored sums
+per month or per place and year can answer do not read the fact at all.
 """
 
 from __future__ import annotations
@@ -75,11 +76,20 @@ def _places(star: Star, state=None, municipality=None, region=None) -> DataFrame
     return places
 
 
-def _sums(fact: DataFrame, keys: list[str], places: DataFrame | None) -> DataFrame:
-    """Sum and row count by keys, over some places or all."""
-    if places is not None:
-        fact = fact.join(places.select("place_id"), "place_id", "left_semi")
-    return fact.groupBy(*keys).agg(F.sum("value").alias("value"), F.count("*").alias("row_count"))
+def _in_places(rows: DataFrame, places: DataFrame | None) -> DataFrame:
+    return rows if places is None else rows.join(places.select("place_id"), "place_id", "left_semi")
+
+
+def _place_rows(star: Star, indicator_id=None, jurisdiction=None, year=None, month=None) -> DataFrame:
+    """`value` and `row_count` by indicator and place, to be summed: stored sums, or fact rows."""
+    if jurisdiction is not None or month is not None or (year is not None and not star.years_agree):
+        fact = _fact(star, indicator_id, jurisdiction, year=year, month=month)
+        return fact.select("indicator_id", "place_id", "value", F.lit(1).alias("row_count"))
+    stored = star.place_year.withColumnRenamed("total", "value")
+    for column, wanted in (("indicator_id", indicator_id), ("year", year)):
+        if wanted is not None:
+            stored = stored.where(F.col(column) == F.lit(wanted))
+    return stored
 
 
 def _state(star: Star, state):
@@ -124,9 +134,11 @@ def kpis(star: Star, indicator_id=None, state=None, municipality=None, year=None
     """Sum and row count per indicator, never across indicators."""
     state, year = _state(star, state), _year(star, "year", year)
     places = _places(star, state, municipality) if state or municipality else None
-    sums = _sums(_fact(star, indicator_id, jurisdiction, year=year), ["indicator_id"], places)
+    sums = _in_places(_place_rows(star, indicator_id, jurisdiction, year), places)
     return (
-        sums.join(star.dim("indicator"), "indicator_id")
+        sums.groupBy("indicator_id")
+        .agg(F.sum("value").alias("value"), F.sum("row_count").alias("row_count"))
+        .join(star.dim("indicator"), "indicator_id")
         .select("indicator_id", "indicator", "family", "unit", "value", "row_count")
         .orderBy("indicator")
     )
@@ -140,9 +152,16 @@ def temporal(
     year_from, year_to = _year(star, "year_from", year_from), _year(star, "year_to", year_to)
     get_indicator(star, indicator_id)
     places = _places(star, state, municipality) if state or municipality else None
-    fact = _fact(star, indicator_id, jurisdiction, year_from=year_from, year_to=year_to)
+    if places is None and jurisdiction is None:
+        months = star.indicator_month.where(F.col("indicator_id") == F.lit(indicator_id))
+        times = _times(star, year_from=year_from, year_to=year_to)
+        months = months if times is None else months.join(times, "time_id", "left_semi")
+        months = months.withColumnRenamed("total", "value")
+    else:
+        fact = _fact(star, indicator_id, jurisdiction, year_from=year_from, year_to=year_to)
+        months = _in_places(fact, places).groupBy("time_id").agg(F.sum("value").alias("value"))
     return (
-        _sums(fact, ["time_id"], places)
+        months
         .join(star.dim("time"), "time_id")
         .groupBy("year", "month")
         .agg(F.sum("value").alias("value"), F.bool_or("is_partial_year").alias("is_partial_year"))
@@ -205,7 +224,8 @@ def year_over_year(
 def by_state(star: Star, indicator_id: int, year=None, month=None, region=None, jurisdiction=None) -> DataFrame:
     year, month = _year(star, "year", year), arguments.month(month)
     get_indicator(star, indicator_id)
-    per_place = _sums_by_place(_fact(star, indicator_id, jurisdiction, year=year, month=month))
+    rows = _place_rows(star, indicator_id, jurisdiction, year, month)
+    per_place = rows.groupBy("place_id").agg(F.sum("value").alias("value"))
     return (
         per_place.join(_places(star, region=region), "place_id")
         .groupBy("state", "region")
@@ -214,10 +234,6 @@ def by_state(star: Star, indicator_id: int, year=None, month=None, region=None,
     )
 
 
-def _sums_by_place(fact: DataFrame) -> DataFrame:
-    return fact.groupBy("place_id").agg(F.sum("value").alias("value"))
-
-
 def _page(rows: DataFrame, order: list, page: int, page_size: int) -> DataFrame:
     first = (page - 1) * page_size
     if first + page_size <= TOP_K_ROWS:
@@ -233,7 +249,7 @@ def by_municipality(star: Star, indicator_id: int, state=None, year=None, page=1
     arguments.whole("page_size", arguments.required("page_size", page_size), 1, MAX_PAGE_SIZE)
     get_indicator(star, indicator_id)
     # A place is one (state, municipality), so the sums per place are the groups already.
-    per_place = _sums_by_place(_fact(star, indicator_id, year=year))
+    per_place = _place_rows(star, indicator_id, year=year).groupBy("place_id").agg(F.sum("value").alias("value"))
     totals = per_place.join(_places(star, state), "place_id").select("state", "municipality", "value")
     order = [F.desc("value"), F.asc("municipality"), F.asc("state")]
     return Page(_page(totals, order, page, page_size), totals.agg(F.count("*").alias("total")), page, page_size)

@@ -53,9 +53,9 @@ class Star:
 
 
 def total_by_place_year(fact: DataFrame) -> DataFrame:
-    """Total per indicator, place and year."""
+    """Total and row count per indicator, place and year."""
     return fact.groupBy("indicator_id", "place_id", F.col("source_year").alias("year")).agg(
-        F.sum("value").alias("total")
+        F.sum("value").alias("total"), F.count("*").alias("row_count")
     )
 
 

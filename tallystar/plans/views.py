@@ -83,7 +83,7 @@ def indicator_year_statistics(star: Star) -> DataFrame:
 
 def indicator_place_year(star: Star) -> DataFrame:
     """Total per indicator, place and year."""
-    return star.place_year
+    return star.place_year.select("indicator_id", "place_id", "year", "total")
 
 
 def indicator_jurisdiction_year(star: Star) -> DataFrame:

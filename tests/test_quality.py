@@ -189,5 +189,5 @@ def test_a_year_filter_prunes_partitions(spark, tmp_path):
 
     raw = {year: raw_frame(spark, rows) for year, rows in feed_rows().items()}
     star = job.run(raw, default_reference(spark), str(tmp_path / "run")).star
-    plan = queries.kpis(star, indicator_id=14, year=2031)._jdf.queryExecution().executedPlan().toString()
+    plan = queries.kpis(star, indicator_id=14, year=2031, jurisdiction="Estadual")._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(source_year" in plan and "EqualTo(indicator_id,14)" in plan

@@ -1,3 +1,5 @@
+from dataclasses import replace
+
 import pytest
 from conftest import counts_rows, star_of
 
@@ -115,6 +117,21 @@ def test_pages_cover_all_rows_once(cargo, monkeypatch, top_k_rows):
     assert pages[0].total.first().total == 4 and pages[2].rows.isEmpty()
 
 
+def test_stored_sums_and_the_fact_agree(feed_context):
+    """A year filter reads stored sums only once source years are known to be calendar years."""
+    star = feed_context.star
+    assert star.years_agree
+    unknown = replace(star, years_agree=False)
+    for query in (
+        lambda s: queries.kpis(s, state="NATION_3", year=1998),
+        lambda s: queries.by_state(s, 3, year=1998),
+        lambda s: queries.by_municipality(s, 3, year=1998).rows,
+        lambda s: queries.by_municipality(s, 3, year=1998).total,
+        lambda s: queries.temporal(s, 3, year_from=1997),
+    ):
+        assert [tuple(r) for r in query(star).collect()] == [tuple(r) for r in query(unknown).collect()]
+
+
 def test_rankings(cargo):
     star, number = cargo
     assert [(r["rank"], r.state) for r in queries.ranking_of_states(star, number, 2030).collect()] == [(1, "SP"), (2, "MG"), (2, "RJ")]
