@@ -6,13 +6,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tallystar.llm.op01_balanced_labels import op1_balanced_labels
 from tallystar.llm.op02_license_scan import op2_license_scan
+from tallystar.llm.op05_best_fit_packing import op5_best_fit_packing
 from tallystar.llm.op08_quality_rules import op8_quality_rules
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {
+    "op1_balanced_labels": op1_balanced_labels,
     "op2_license_scan": op2_license_scan,
+    "op5_best_fit_packing": op5_best_fit_packing,
     "op8_quality_rules": op8_quality_rules,
 }
 
