@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from tallystar.llm.op01_balanced_labels import op1_balanced_labels
 from tallystar.llm.op02_license_scan import op2_license_scan
 from tallystar.llm.op05_best_fit_packing import op5_best_fit_packing
+from tallystar.llm.op06_weak_supervision import op6_weak_supervision
 from tallystar.llm.op07_noisy_channel import op7_noisy_channel
 from tallystar.llm.op08_quality_rules import op8_quality_rules
 
@@ -18,6 +19,7 @@ QUERIES: dict[str, Query] = {
     "op1_balanced_labels": op1_balanced_labels,
     "op2_license_scan": op2_license_scan,
     "op5_best_fit_packing": op5_best_fit_packing,
+    "op6_weak_supervision": op6_weak_supervision,
     "op7_noisy_channel": op7_noisy_channel,
     "op8_quality_rules": op8_quality_rules,
 }
