@@ -5,8 +5,8 @@ line is one shingle) is at least THRESHOLD. Of each component of such lines, the
 (doc_id, line number) is kept. Lines of white space are no candidates and stay.
 
 1. Equal lines meet by their md5; from here on there is one row per different line.
-2. Signature: the shingles that start a word are hashed once, and each hash falls into one of BINS bins; the
-   smallest hash of every bin is the MinHash (one permutation).
+2. Signature: the ANCHOR-character shingles that start a word are hashed once, and each hash falls into one of
+   BINS bins; the smallest hash of every bin is the MinHash (one permutation).
 3. Banding: the minima of BINS / BANDS neighbouring bins make one key. Lines with a key in common are linked
    with the smallest and the largest line of that key, never with all, if sketches of two bits per bin agree
    well enough.
@@ -28,6 +28,7 @@ from tallystar.llm.graph import components
 from tallystar.storage import run_dir
 
 SHINGLE = 8
+ANCHOR = 16  # characters from the start of a word that the signature hashes; long ones tell lines apart
 THRESHOLD = 0.75
 BINS = 32
 BANDS = 8
@@ -46,7 +47,7 @@ def lines_of(docs: DataFrame) -> DataFrame:
 
 def signed(lines: DataFrame) -> DataFrame:
     """Add `bands` (one key per band that has a minimum) and `sketch`."""
-    anchors = F.regexp_extract_all("line", F.lit(r"(?s)(?<!\S)(?=(\S.{0,%d}))" % (SHINGLE - 1)), F.lit(1))
+    anchors = F.regexp_extract_all("line", F.lit(r"(?s)(?<!\S)(?=(\S.{0,%d}))" % (ANCHOR - 1)), F.lit(1))
     positive = F.lit((1 << 63) - 1)
     hashed = lines.withColumn("h", F.sort_array(F.transform(anchors, lambda a: F.xxhash64(a).bitwiseAND(positive))))
 
@@ -54,9 +55,11 @@ def signed(lines: DataFrame) -> DataFrame:
         return (i == 0) | (F.shiftright(x, BIN_SHIFT) != F.shiftright(F.get("h", i - 1), BIN_SHIFT))
 
     minima = hashed.withColumn("m", F.filter("h", first_of_bin)).drop("h")
-    keys = [
-        F.xxhash64(F.lit(band), F.filter("m", lambda x, b=band: F.shiftright(x, BAND_SHIFT) == b)) for band in range(BANDS)
-    ]
+
+    def of_band(band: int) -> Column:
+        return F.filter("m", lambda x: F.shiftright(x, BAND_SHIFT) == band)
+
+    keys = [F.xxhash64(F.lit(band), of_band(band)) for band in range(BANDS)]
     bits = F.aggregate(
         "m",
         F.lit(0).cast("long"),
