@@ -13,6 +13,7 @@ from tallystar.llm.op05_best_fit_packing import op5_best_fit_packing
 from tallystar.llm.op06_weak_supervision import op6_weak_supervision
 from tallystar.llm.op07_noisy_channel import op7_noisy_channel
 from tallystar.llm.op08_quality_rules import op8_quality_rules
+from tallystar.llm.op09_templates import op9_templates
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -24,6 +25,7 @@ QUERIES: dict[str, Query] = {
     "op6_weak_supervision": op6_weak_supervision,
     "op7_noisy_channel": op7_noisy_channel,
     "op8_quality_rules": op8_quality_rules,
+    "op9_templates": op9_templates,
 }
 
 SQL: dict[str, str] = {}
