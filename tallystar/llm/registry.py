@@ -14,6 +14,7 @@ from tallystar.llm.op06_weak_supervision import op6_weak_supervision
 from tallystar.llm.op07_noisy_channel import op7_noisy_channel
 from tallystar.llm.op08_quality_rules import op8_quality_rules
 from tallystar.llm.op09_templates import op9_templates
+from tallystar.llm.op10_signature_tree import op10_signature_tree
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -26,6 +27,7 @@ QUERIES: dict[str, Query] = {
     "op7_noisy_channel": op7_noisy_channel,
     "op8_quality_rules": op8_quality_rules,
     "op9_templates": op9_templates,
+    "op10_signature_tree": op10_signature_tree,
 }
 
 SQL: dict[str, str] = {}
