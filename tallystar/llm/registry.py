@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from tallystar.llm.op01_balanced_labels import op1_balanced_labels
 from tallystar.llm.op02_license_scan import op2_license_scan
 from tallystar.llm.op03_fuzzy_lines import op3_fuzzy_lines
+from tallystar.llm.op04_suffix_index import op4_suffix_index
 from tallystar.llm.op05_best_fit_packing import op5_best_fit_packing
 from tallystar.llm.op06_weak_supervision import op6_weak_supervision
 from tallystar.llm.op07_noisy_channel import op7_noisy_channel
@@ -22,6 +23,7 @@ QUERIES: dict[str, Query] = {
     "op1_balanced_labels": op1_balanced_labels,
     "op2_license_scan": op2_license_scan,
     "op3_fuzzy_lines": op3_fuzzy_lines,
+    "op4_suffix_index": op4_suffix_index,
     "op5_best_fit_packing": op5_best_fit_packing,
     "op6_weak_supervision": op6_weak_supervision,
     "op7_noisy_channel": op7_noisy_channel,
