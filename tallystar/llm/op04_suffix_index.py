@@ -223,6 +223,8 @@ def reported_anchors(texts: DataFrame, batches: int, parts: int) -> DataFrame:
         scanned.withColumn("report", F.col("part").isNull()).write.partitionBy("report").parquet(f"{root}/scan-{number}")
         reports.append(f"{root}/scan-{number}/report=true")
         path, rank = f"{root}/scan-{number}/report=false", 0
+        if not folder_exists(spark, path):  # a batch of short texts
+            continue
         while rank in levels and number < len(edges):  # the last batch needs no room for another
             old = levels.pop(rank)
             rank += 1

@@ -123,5 +123,10 @@ def best_fit_packing(docs: DataFrame, path: str | None = None) -> DataFrame:
     return pack(durable(token_pieces(docs, path))).drop("row")
 
 
+def pack_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Last pipeline stage."""
+    return best_fit_packing(docs)
+
+
 def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return best_fit_packing(table(spark, sf_dir, "documents"))
