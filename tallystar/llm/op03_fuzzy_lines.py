@@ -8,8 +8,8 @@ line is one shingle) is at least THRESHOLD. Of each component of such lines, the
 2. Signature: the ANCHOR-character shingles that start a word are hashed once, and each hash falls into one of
    BINS bins; the smallest hash of every bin is the MinHash (one permutation).
 3. Banding: the minima of BINS / BANDS neighbouring bins make one key. Lines with a key in common are linked
-   with the smallest and the largest line of that key, never with all, if sketches of two bits per bin agree
-   well enough.
+   with the smallest and the largest line of that key, never with all, if their lengths and marks of their minima
+   are similar.
 4. The true similarity of each such pair is computed from both lines' full shingle sets.
 5. Union-find over the confirmed pairs; all occurrences but the first of a component are removed.
 
@@ -34,7 +34,10 @@ BINS = 32
 BANDS = 8
 BIN_SHIFT = 58  # 63 bits of hash, the upper five are the bin
 BAND_SHIFT = 60
-MAX_DIFFERING_BITS = 20  # of 64; lines of similarity 0.75 differ in 8 on average
+LENGTH_BITS = 16  # of a sketch hold the length of the line, the rest marks of its minima
+MARKS = 48
+MARKS_SHARED = 0.4  # of the marks of either line; lines of similarity 0.75 share 0.6 on average
+LENGTH_RATIO = 0.7
 BROADCAST_BYTES = 64 << 20  # candidate lines' ids up to this size are sent to all executors
 ID_BYTES = 64  # one id in a broadcast table, generously
 
@@ -56,18 +59,32 @@ def signed(lines: DataFrame) -> DataFrame:
 
     minima = hashed.withColumn("m", F.filter("h", first_of_bin)).drop("h")
 
-    def of_band(band: int) -> Column:
-        return F.filter("m", lambda x: F.shiftright(x, BAND_SHIFT) == band)
+    def band_of(x: Column) -> Column:
+        return F.shiftright(x, BAND_SHIFT)
+
+    def key_of_band(x: Column, i: Column) -> Column:
+        """At the first minimum of a band: the hash of the band's minima, which stand next to each other."""
+        starts = (i == 0) | (band_of(x) != band_of(F.get("m", i - 1)))
+        return F.when(starts, F.xxhash64(F.filter(F.slice("m", i + 1, BINS // BANDS), lambda y: band_of(y) == band_of(x))))
+
+    keys = F.filter(F.transform("m", key_of_band), lambda k: k.isNotNull())
+    marks = F.aggregate("m", F.lit(0).cast("long"), lambda s, x: s.bitwiseOR(_mark(x)))
+    length = F.least(F.length("line"), F.lit((1 << LENGTH_BITS) - 1)).cast("long")
+    return minima.withColumn("bands", keys).withColumn("sketch", F.shiftleft(marks, LENGTH_BITS).bitwiseOR(length)).drop("m")
+
+
+def _mark(x: Column) -> Column:
+    """One of MARKS bits, for a hash."""
+    return F.call_function("shiftleft", F.lit(1).cast("long"), (x % MARKS).cast("int"))
 
-    keys = [F.xxhash64(F.lit(band), of_band(band)) for band in range(BANDS)]
-    bits = F.aggregate(
-        "m",
-        F.lit(0).cast("long"),
-        lambda s, x: s.bitwiseOR(F.call_function("shiftleft", x.bitwiseAND(3), (F.shiftright(x, BIN_SHIFT) * 2).cast("int"))),
-    )
-    empty = [F.xxhash64(F.lit(band), F.array().cast("array<bigint>")) for band in range(BANDS)]
-    bands = F.filter(F.array(*[F.when(k != e, k) for k, e in zip(keys, empty, strict=True)]), lambda k: k.isNotNull())
-    return minima.withColumn("bands", bands).withColumn("sketch", bits).drop("m")
+
+def _near(one: str, other: str) -> Column:
+    """Whether two sketches allow near-duplicates: similar lengths, and marks mostly in common."""
+    low = F.lit((1 << LENGTH_BITS) - 1).cast("long")
+    a, b = F.col(one).bitwiseAND(low), F.col(other).bitwiseAND(low)
+    x, y = F.shiftrightunsigned(one, LENGTH_BITS), F.shiftrightunsigned(other, LENGTH_BITS)
+    lengths = LENGTH_RATIO * F.greatest(a, b) <= F.least(a, b)
+    return lengths & (F.bit_count(x.bitwiseAND(y)) >= MARKS_SHARED * F.bit_count(x.bitwiseOR(y)))
 
 
 def distinct_lines(lines: DataFrame) -> DataFrame:
@@ -89,12 +106,8 @@ def candidate_pairs(distinct: DataFrame) -> DataFrame:
         F.min_by("sketch", "num").alias("low_sketch"), F.max_by("sketch", "num").alias("high_sketch"),
     ).filter("low < high")
     joined = rows.join(ends, "key")
-
-    def near(sketch: str) -> Column:
-        return F.bit_count(F.col("sketch").bitwiseXOR(F.col(sketch))) <= MAX_DIFFERING_BITS
-
-    to_low = F.when((F.col("num") != F.col("low")) & near("low_sketch"), F.col("low"))
-    to_high = F.when((F.col("num") != F.col("high")) & near("high_sketch"), F.col("high"))
+    to_low = F.when((F.col("num") != F.col("low")) & _near("sketch", "low_sketch"), F.col("low"))
+    to_high = F.when((F.col("num") != F.col("high")) & _near("sketch", "high_sketch"), F.col("high"))
     pairs = joined.select("num", F.explode(F.array(to_low, to_high)).alias("other")).filter("other IS NOT NULL")
     return pairs.select(F.least("num", "other").alias("a"), F.greatest("num", "other").alias("b")).distinct()
 
@@ -116,9 +129,13 @@ def confirmed(pairs: DataFrame, distinct: DataFrame, lines: DataFrame) -> DataFr
     texts = durable(texts)
     left, right = texts.toDF("a", "line_a"), texts.toDF("b", "line_b")
     both = pairs.join(left, "a").join(right, "b")
-    sets = both.select("a", "b", shingles("line_a").alias("x"), shingles("line_b").alias("y"))
-    shared = sets.select("a", "b", F.size("x").alias("nx"), F.size("y").alias("ny"), F.size(F.array_intersect("x", "y")).alias("n"))
-    return shared.filter(F.col("n") >= THRESHOLD * (F.col("nx") + F.col("ny") - F.col("n"))).select("a", "b")
+    # Bound to a name, so that the sets are made once for each pair.
+    sets = F.array(F.struct(shingles("line_a").alias("x"), shingles("line_b").alias("y")))
+    alike = F.transform(
+        sets,
+        lambda s: (1 + THRESHOLD) * F.size(F.array_intersect(s["x"], s["y"])) >= THRESHOLD * (F.size(s["x"]) + F.size(s["y"])),
+    )
+    return both.filter(F.get(alike, F.lit(0))).select("a", "b")
 
 
 def removed_lines(docs: DataFrame) -> DataFrame:
