@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import os
 import shutil
 import tempfile
@@ -37,6 +38,12 @@ def durable(df: DataFrame) -> DataFrame:
     return settle(df)
 
 
+def release(spark: SparkSession) -> None:
+    """Let the driver forget finished phases, so that Spark's cleaner drops their shuffle files."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def text_bytes(batch: pa.RecordBatch, name: str = "text") -> list[bytes]:
     """The UTF-8 bytes of a text column; null is the empty text."""
     return batch.column(name).cast(pa.binary()).fill_null(b"").to_pylist()

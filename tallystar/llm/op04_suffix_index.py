@@ -24,7 +24,6 @@ are read in overlapping stretches. Extra columns are ignored.
 
 from __future__ import annotations
 
-import gc
 import hashlib
 from collections.abc import Iterator
 
@@ -34,7 +33,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallystar.llm import hashing
-from tallystar.llm.common import durable, ids, map_batches, table, text_bytes
+from tallystar.llm.common import durable, ids, map_batches, release, table, text_bytes
 from tallystar.storage import run_dir
 
 LENGTH = 50
@@ -85,12 +84,6 @@ def by_part(part: np.ndarray) -> tuple[np.ndarray, list[tuple[int, int, int]]]:
     return order, [(int(ordered[a]), int(a), int(b)) for a, b in zip(cuts[:-1], cuts[1:], strict=True) if b > a]
 
 
-def release(spark: SparkSession) -> None:
-    """Let the driver forget finished phases, so that Spark's cleaner drops their shuffle files."""
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
-
-
 SUFFIXES = pa.schema([("level", pa.int32()), ("part", pa.int32()), ("keys", pa.binary()), ("owners", pa.binary())])
 SUFFIX_COLUMNS = "level int, part int, keys binary, owners binary"
 
