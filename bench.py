@@ -27,7 +27,7 @@ QUERIES = {
     "national_view": lambda s: views.national(s),
     "series_of_one_indicator": lambda s: queries.temporal(s, INDICATOR),
     "state_ranking_one_indicator_year": lambda s: queries.ranking_of_states(s, INDICATOR, YEAR),
-    "direct_fact_query": lambda s: queries.kpis(s),
+    "direct_fact_query": lambda s: queries.kpis(s, jurisdiction="F"),
     "municipalities_one_state_one_indicator": lambda s: queries.by_municipality(s, INDICATOR, state=STATE).rows,
     "state_view": lambda s: views.by_state(s),
     "municipality_view": lambda s: views.by_municipality(s),

@@ -1,6 +1,8 @@
 """The star in plain SQL, written the direct way (join all labels, then aggregate).
 
-It shares nothing with the DataFrame code, so equal results mean two derivations agree.
+Cells keep ten decimals until they are summed, as in the staging rules. Derived tables follow the written rules:
+missing cells are counted one by one, metrics come from a calendar of numbered months, deviations from sums of
+squares.
 """
 
 BASE = """
@@ -24,11 +26,11 @@ raw AS (
          CASE WHEN p_type = 'SMALL' THEN c_mktsegment END AS agent,
          CASE WHEN p_type = 'PROMO' THEN l_linestatus END AS weapon,
          CASE WHEN p_type = 'ECONOMY' AND p_size <= 25 THEN 'S' WHEN p_type = 'ECONOMY' THEN 'L' END AS age_band,
-         CAST(CASE WHEN l_returnflag = 'A' THEN l_quantity END AS DECIMAL(14,3)) AS female,
-         CAST(CASE WHEN l_returnflag = 'R' THEN l_quantity END AS DECIMAL(14,3)) AS male,
-         CAST(CASE WHEN l_returnflag = 'N' THEN l_quantity END AS DECIMAL(14,3)) AS unknown_sex,
-         CAST(l_quantity AS DECIMAL(14,3)) AS victim_total,
-         CAST(NULL AS DECIMAL(14,3)) AS count_value, CAST(NULL AS DECIMAL(14,3)) AS weight_value,
+         CAST(CASE WHEN l_returnflag = 'A' THEN l_quantity END AS DECIMAL(28,10)) AS female,
+         CAST(CASE WHEN l_returnflag = 'R' THEN l_quantity END AS DECIMAL(28,10)) AS male,
+         CAST(CASE WHEN l_returnflag = 'N' THEN l_quantity END AS DECIMAL(28,10)) AS unknown_sex,
+         CAST(l_quantity AS DECIMAL(28,10)) AS victim_total,
+         CAST(NULL AS DECIMAL(28,10)) AS count_value, CAST(NULL AS DECIMAL(28,10)) AS weight_value,
          jurisdiction, source_year
   FROM lineitem JOIN placed ON l_orderkey = o_orderkey JOIN part ON l_partkey = p_partkey
   UNION ALL
@@ -38,7 +40,7 @@ raw AS (
   UNION ALL
   SELECT state, municipality,
          CASE WHEN o_orderpriority IN ('1-URGENT', '2-HIGH') THEN 'VALUE PRIORITY' ELSE 'VALUE STANDARD' END,
-         ref_month, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, CAST(o_totalprice AS DECIMAL(14,3)), jurisdiction, source_year
+         ref_month, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, CAST(o_totalprice AS DECIMAL(28,10)), jurisdiction, source_year
   FROM placed
 ),
 staging AS (
@@ -47,8 +49,9 @@ staging AS (
 ),
 grain AS (
   SELECT state, municipality, indicator, ref_month, jurisdiction, agent, weapon, age_band, source_year,
-         SUM(female) AS female, SUM(male) AS male, SUM(unknown_sex) AS unknown_sex,
-         SUM(count_value) AS count_value, SUM(weight_value) AS weight_value
+         CAST(SUM(female) AS DECIMAL(14,3)) AS female, CAST(SUM(male) AS DECIMAL(14,3)) AS male,
+         CAST(SUM(unknown_sex) AS DECIMAL(14,3)) AS unknown_sex,
+         CAST(SUM(count_value) AS DECIMAL(14,3)) AS count_value, CAST(SUM(weight_value) AS DECIMAL(14,3)) AS weight_value
   FROM staging GROUP BY 1, 2, 3, 4, 5, 6, 7, 8, 9
 ),
 dim_time AS (
@@ -119,27 +122,36 @@ cutoff AS (
   SELECT COALESCE(MIN(last_month), 12) AS cutoff_month
   FROM (SELECT year, MAX(month) AS last_month FROM dim_time WHERE is_partial_year GROUP BY year)
 ),
+cells AS (
+  SELECT indicator, 'victim' AS needs, female AS cell FROM grain UNION ALL
+  SELECT indicator, 'victim', male FROM grain UNION ALL SELECT indicator, 'victim', unknown_sex FROM grain UNION ALL
+  SELECT indicator, 'count', count_value FROM grain UNION ALL SELECT indicator, 'weight', weight_value FROM grain
+),
 missing AS (
-  SELECT g.indicator, i.family, COUNT(*) AS grain_rows,
-         CASE WHEN i.family = 'victim' THEN COUNT(*) * 3 ELSE COUNT(*) END AS applicable_cells,
-         CASE i.family
-           WHEN 'victim' THEN COUNT(*) FILTER (WHERE female IS NULL) + COUNT(*) FILTER (WHERE male IS NULL)
-                              + COUNT(*) FILTER (WHERE unknown_sex IS NULL)
-           WHEN 'count' THEN COUNT(*) FILTER (WHERE count_value IS NULL)
-           WHEN 'weight' THEN COUNT(*) FILTER (WHERE weight_value IS NULL) END AS missing_cells
-  FROM grain g JOIN dim_indicator i ON i.indicator = g.indicator
-  GROUP BY g.indicator, i.family
+  SELECT known.indicator, known.family, sizes.grain_rows, COUNT(*) AS applicable_cells, COUNT(*) - COUNT(cells.cell) AS missing_cells
+  FROM dim_indicator AS known
+  JOIN cells ON cells.indicator = known.indicator AND cells.needs = known.family
+  JOIN (SELECT indicator, COUNT(*) AS grain_rows FROM grain GROUP BY indicator) AS sizes ON sizes.indicator = known.indicator
+  GROUP BY known.indicator, known.family, sizes.grain_rows
+),
+numbered AS (
+  SELECT *, ROW_NUMBER() OVER (PARTITION BY indicator ORDER BY ref_month) AS step FROM series
 ),
 metrics AS (
-  SELECT *, LAG(total) OVER w AS previous_month, LAG(total, 12) OVER w AS same_month_last_year,
-         AVG(CAST(total AS DOUBLE)) OVER (PARTITION BY indicator ORDER BY ref_month ROWS BETWEEN 2 PRECEDING AND CURRENT ROW) AS moving_mean_3
-  FROM series WINDOW w AS (PARTITION BY indicator ORDER BY ref_month)
+  SELECT now.* EXCLUDE (step), (SELECT MAX(old.total) FROM numbered AS old WHERE old.indicator = now.indicator AND old.step = now.step - 1) AS previous_month,
+         (SELECT MAX(old.total) FROM numbered AS old WHERE old.indicator = now.indicator AND old.step = now.step - 12) AS same_month_last_year,
+         (SELECT CAST(SUM(old.total) AS DOUBLE) / COUNT(*) FROM numbered AS old
+          WHERE old.indicator = now.indicator AND old.step BETWEEN now.step - 2 AND now.step) AS moving_mean_3
+  FROM numbered AS now
+),
+centred AS (
+  SELECT *, CAST(total AS DOUBLE) - AVG(CAST(total AS DOUBLE)) OVER whole AS apart, COUNT(*) OVER whole AS months,
+         CAST(SUM(total) OVER whole AS DOUBLE) AS overall
+  FROM series WINDOW whole AS (PARTITION BY indicator)
 ),
 deviations AS (
-  SELECT e.*, st.m AS historical_mean, st.s AS historical_deviation,
-         CASE WHEN st.s > 0 THEN ROUND((CAST(e.total AS DOUBLE) - st.m) / st.s, 6) + 0.0::DOUBLE END AS z_score
-  FROM series e JOIN (
-    SELECT indicator, CAST(SUM(total) AS DOUBLE) / COUNT(*) AS m, STDDEV_POP(CAST(total AS DOUBLE)) AS s
-    FROM series GROUP BY indicator) st ON st.indicator = e.indicator
+  SELECT * EXCLUDE (apart, months, overall), overall / months AS historical_mean, SQRT(SUM(apart * apart) OVER (PARTITION BY indicator) / months) AS historical_deviation,
+         ROUND(apart / NULLIF(SQRT(SUM(apart * apart) OVER (PARTITION BY indicator) / months), 0), 6) + CAST(0 AS DOUBLE) AS z_score
+  FROM centred
 )
 """

@@ -7,7 +7,7 @@ are compared at six decimals, where both engines round alike.
 from __future__ import annotations
 
 from collections.abc import Callable
-from dataclasses import dataclass, replace
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -15,9 +15,11 @@ from pyspark.sql import functions as F
 from checks.base_sql import BASE
 from checks.context import Context, context, plain
 from tallystar.operators import profile, quality
-from tallystar.operators.facts import LOOKUPS, bad_values, merged_rows, unpivot, unresolved, with_keys
+from tallystar.operators.dimensions import month_counts
+from tallystar.operators.facts import LOOKUPS, aggregate_to_grain, bad_values, merged_rows, unpivot, unresolved, with_keys
+from tallystar.operators.staging import build_staging
 from tallystar.plans import job, measures, queries, views
-from tallystar.plans.star import Star, source_year_mismatches
+from tallystar.plans.star import source_year_mismatches
 from tallystar.reference import unmapped
 from tallystar.sources.raw import stack_years
 
@@ -39,11 +41,6 @@ def add(name: str, frame: Callable[[Context], DataFrame], sql: str | None) -> No
 D = "CAST({} AS DOUBLE)".format
 
 
-def any_size(c: Context) -> Star:
-    """The star with its size checks off, so that the forms for data of any size are compared too."""
-    return replace(c.star, small_dims=frozenset(), few_values=False, few_rows=False)
-
-
 def r6(expression: str) -> str:
     return f"ROUND({expression}, 6) + CAST(0 AS DOUBLE)"
 
@@ -147,15 +144,41 @@ add(
 # --- dimensions and reference ------------------------------------------------
 
 for dimension, number in (
-    ("time", 2), ("place", 4), ("jurisdiction", 6), ("agent", 7), ("weapon", 8), ("age_band", 9), ("sex", 10),
+    ("time", 2), ("place", 4), ("jurisdiction", 6), ("agent", 7), ("weapon", 8), ("age_band", 9),
 ):
     add(f"dim{number}_{dimension}", lambda c, d=dimension: c.star.dim(d), f"SELECT * FROM dim_{dimension}")
-add("dim5_indicator", lambda c: c.star.dim("indicator"), "SELECT * EXCLUDE (semantic_group) FROM dim_indicator")
+
+
+def with_fact_rows(c: Context, labels: DataFrame, dimension: str) -> DataFrame:
+    """Members of a configured dimension that the fact holds, with the number of their rows."""
+    used = c.star.fact.groupBy(f"{dimension}_id").agg(F.count("*").alias("fact_rows"))
+    return labels.join(used, f"{dimension}_id")
+
+
+def used_sql(dimension: str, columns: str = "d.*") -> str:
+    return f"""SELECT {columns}, u.fact_rows FROM dim_{dimension} d
+        JOIN (SELECT {dimension}_id, COUNT(*) AS fact_rows FROM labelled GROUP BY 1) u ON u.{dimension}_id = d.{dimension}_id"""
+
+
+add("dim5_indicator", lambda c: with_fact_rows(c, c.star.dim("indicator"), "indicator"), used_sql("indicator", "d.* EXCLUDE (semantic_group)"))
+add("dim10_sex", lambda c: with_fact_rows(c, c.star.dim("sex"), "sex"), used_sql("sex"))
+add(
+    "src4_feed_rows",
+    lambda c: c.raw.agg(F.count("*").alias("feed_rows")),
+    "SELECT (SELECT COUNT(*) FROM lineitem) + 2 * COUNT(*) AS feed_rows FROM orders",
+)
+add(
+    "stg3_fine_cells",
+    lambda c: aggregate_to_grain(build_staging(c.raw.withColumn("weight_value", F.col("weight_value") * F.lit("0.00123").cast("decimal(6,5)"))))
+    .groupBy("indicator").agg(F.sum("weight_value").alias("weight_total")).where("weight_total IS NOT NULL"),
+    f"""SELECT indicator, {D('SUM(w)')} AS weight_total FROM (
+          SELECT indicator, CAST(SUM(weight_value * CAST(0.00123 AS DECIMAL(6,5))) AS DECIMAL(14,3)) AS w FROM staging
+          GROUP BY state, municipality, indicator, ref_month, jurisdiction, agent, weapon, age_band, source_year)
+        GROUP BY indicator HAVING SUM(w) IS NOT NULL""",
+)
 add(
     "dim3_partial_years",
-    lambda c: c.star.staging.groupBy(F.year("ref_month").alias("year")).agg(
-        F.count_distinct("ref_month").alias("months"), (F.count_distinct("ref_month") < 12).alias("is_partial_year")
-    ),
+    lambda c: month_counts(c.star.staging).withColumn("is_partial_year", F.col("months") < 12),
     "SELECT CAST(year(ref_month) AS BIGINT) AS year, COUNT(DISTINCT ref_month) AS months, COUNT(DISTINCT ref_month) < 12 AS is_partial_year FROM staging GROUP BY 1",
 )
 add(
@@ -239,8 +262,11 @@ CHECKS = {
         ),
     ),
     "dq6_units": (
-        lambda c: quality.check_units(c.star.dim("indicator")),
-        check_sql("unit_present", "COUNT(*) FILTER (WHERE unit IS NULL OR TRIM(unit) = '') AS n", "n || ' indicators without a unit'", "dim_indicator"),
+        lambda c: quality.check_units(with_fact_rows(c, c.star.dim("indicator"), "indicator")),
+        check_sql(
+            "unit_present", "COUNT(*) FILTER (WHERE unit IS NULL OR TRIM(unit) = '') AS n", "n || ' indicators without a unit'",
+            "(SELECT DISTINCT indicator, unit FROM labelled)",
+        ),
     ),
     "dq7_time": (
         lambda c: quality.check_time(c.star.dim("time")),
@@ -562,15 +588,20 @@ add(
 
 
 def outlier_sql(keys: str) -> str:
-    on = " AND ".join(f"p.{k} = e.{k}" for k in keys.split(", ")) if keys else "TRUE"
-    head, group = (f"{keys}, ", f"GROUP BY {keys}") if keys else ("", "")
-    e_head = "".join(f"e.{k}, " for k in keys.split(", ")) if keys else ""
-    e_group = ("GROUP BY " + ", ".join(f"e.{k}" for k in keys.split(", "))) if keys else ""
-    return f"""SELECT {e_head}COUNT(*) AS row_count, COUNT(*) FILTER (WHERE e.v > p.p99) AS rows_above_p99,
-        CAST(SUM(e.value) AS DOUBLE) / COUNT(*) AS m_all, CAST(SUM(e.value) FILTER (WHERE e.v <= p.p99) AS DOUBLE) / COUNT(*) FILTER (WHERE e.v <= p.p99) AS m_low,
-        SUM(e.value) AS s_all, SUM(e.value) FILTER (WHERE e.v <= p.p99) AS s_low
-        FROM (SELECT *, CAST(value AS DOUBLE) AS v FROM labelled WHERE family = 'weight') e
-        JOIN (SELECT {head}QUANTILE_CONT(CAST(value AS DOUBLE), 0.99) AS p99 FROM labelled WHERE family = 'weight' {group}) p ON {on} {e_group}"""
+    """From ranked weights: position 0.99 (n - 1) lies between two rows of the group, the limit between their values."""
+    group = f"PARTITION BY {keys}" if keys else ""
+    shown = f"{keys}, " if keys else ""
+    by = f"GROUP BY {keys}" if keys else ""
+    return f"""WITH ordered AS (
+          SELECT {shown}value, CAST(value AS DOUBLE) AS v, ROW_NUMBER() OVER ({group} ORDER BY value) - 1 AS place,
+                 0.99::DOUBLE * (COUNT(*) OVER ({group}) - 1) AS point FROM labelled WHERE family = 'weight'),
+        limited AS (
+          SELECT *, MAX(CASE WHEN place = FLOOR(point) THEN v END) OVER ({group}) AS low,
+                 MAX(CASE WHEN place = CEIL(point) THEN v END) OVER ({group}) AS high FROM ordered),
+        marked AS (SELECT *, v > low + (point - FLOOR(point)) * (high - low) AS extreme FROM limited)
+        SELECT {shown}COUNT(*) AS row_count, CAST(COUNT_IF(extreme) AS BIGINT) AS rows_above_p99, SUM(value) AS s_all, SUM(CASE WHEN extreme THEN 0 ELSE value END) AS s_low,
+               CAST(SUM(value) AS DOUBLE) / COUNT(*) AS m_all, CAST(SUM(CASE WHEN extreme THEN 0 ELSE value END) AS DOUBLE) / COUNT_IF(NOT extreme) AS m_low
+        FROM marked {by}"""
 
 
 add(
@@ -580,15 +611,17 @@ add(
         {D('s_all')} AS sum_with_outliers, {D('s_low')} AS sum_without_top, {r6('100 * (m_all - m_low) / NULLIF(m_low, 0)')} AS pct_impact
         FROM ({outlier_sql('indicator')})""",
 )
-add("v26_dim_indicator", lambda c: views.indicator_labels(c.star), "SELECT * FROM dim_indicator")
+add("v26_dim_indicator", lambda c: with_fact_rows(c, views.indicator_labels(c.star), "indicator"), used_sql("indicator"))
 add("v27_quality_not_reported", lambda c: views.VIEWS["quality_not_reported"](c.star), MISSING.replace(", 6)", ", 2)"))
-SUMMARY = """SELECT (SELECT COUNT(*) FROM staging) AS staging_rows, (SELECT COUNT(*) FROM labelled) AS fact_rows,
-  (SELECT COUNT(DISTINCT indicator) FROM dim_indicator) AS indicators, (SELECT COUNT(DISTINCT state) FROM dim_place) AS states,
-  (SELECT COUNT(DISTINCT municipality) FROM dim_place) AS municipality_names, (SELECT COUNT(*) FROM dim_place) AS places,
-  (SELECT MIN(ref_month) FROM dim_time) AS first_month, (SELECT MAX(ref_month) FROM dim_time) AS last_month,
-  (SELECT COUNT(*) FROM dim_time WHERE is_partial_year) AS months_in_partial_years,
-  (SELECT COUNT(DISTINCT year) FROM dim_time WHERE is_partial_year) AS partial_years,
-  (SELECT ROUND(AVG(ROUND(100.0 * missing_cells / applicable_cells, 2)), 6) FROM missing) AS mean_pct_missing"""
+SUMMARY = """SELECT staged.staging_rows, facts.fact_rows, kinds.indicators, where_.states, where_.municipality_names, where_.places,
+    calendar.first_month, calendar.last_month, calendar.months_in_partial_years, calendar.partial_years, gaps.mean_pct_missing
+  FROM (SELECT COUNT(*) AS staging_rows FROM staging) AS staged
+  CROSS JOIN (SELECT COUNT(*) AS fact_rows FROM long) AS facts
+  CROSS JOIN (SELECT COUNT(*) AS indicators FROM dim_indicator) AS kinds
+  CROSS JOIN (SELECT COUNT(*) AS places, COUNT(DISTINCT municipality) AS municipality_names, COUNT(DISTINCT state) AS states FROM dim_place) AS where_
+  CROSS JOIN (SELECT MIN(ref_month) AS first_month, MAX(ref_month) AS last_month, CAST(COUNT_IF(is_partial_year) AS BIGINT) AS months_in_partial_years,
+                     COUNT(DISTINCT CASE WHEN is_partial_year THEN year END) AS partial_years FROM dim_time) AS calendar
+  CROSS JOIN (SELECT ROUND(SUM(ROUND(missing_cells * 100.0 / applicable_cells, 2)) / COUNT(*), 6) AS mean_pct_missing FROM missing) AS gaps"""
 add("v28_quality_summary", lambda c: views.quality_summary(c.star, digits=6), SUMMARY)
 
 
@@ -600,7 +633,7 @@ for name, view in (
     ("v24_weight_percentiles", views.weight_percentiles),
     ("v25_outlier_impact", lambda star: views.outlier_impact(star, digits=6)),
 ):
-    add(f"{name}_any_size", lambda c, view=view: view(any_size(c)), ENTRIES[name].sql.removeprefix(BASE))
+    add(f"{name}_any_size", lambda c, view=view: view(c.star), ENTRIES[name].sql.removeprefix(BASE))
 
 
 def through_view(c: Context) -> DataFrame:
@@ -623,8 +656,12 @@ add(
 
 INDICATOR, STATE, YEAR = 3, "NATION_3", 1998
 ONE = f"indicator_id = {INDICATOR}"
-add("q01_indicators", lambda c: queries.list_indicators(c.star), "SELECT *, (SELECT COUNT(*) FROM dim_indicator) AS total FROM dim_indicator")
-add("q02_indicator", lambda c: queries.get_indicator(c.star, INDICATOR), f"SELECT * FROM dim_indicator WHERE {ONE}")
+add(
+    "q01_indicators",
+    lambda c: with_fact_rows(c, queries.list_indicators(c.star), "indicator"),
+    used_sql("indicator", "d.*, (SELECT COUNT(*) FROM dim_indicator) AS total"),
+)
+add("q02_indicator", lambda c: with_fact_rows(c, queries.get_indicator(c.star, INDICATOR), "indicator"), f"{used_sql('indicator')} WHERE d.{ONE}")
 KPI = f"SELECT indicator_id, indicator, family, unit, {TOTAL} AS value, COUNT(*) AS row_count FROM labelled"
 KPI_GROUP = "GROUP BY indicator_id, indicator, family, unit"
 add("q03_kpis", lambda c: queries.kpis(c.star), f"{KPI} {KPI_GROUP}")
@@ -759,6 +796,14 @@ add(
         {rat('total - same_month_last_year', 'same_month_last_year')} AS ratio_change_last_year, {r6('moving_mean_3')} AS moving_mean_3
         FROM {calendar_sql(STATE_MONTHS, 'indicator, state')}""",
 )
+add(
+    "m10_calendar_metrics_of_a_year",
+    lambda c: measures.calendar_metrics(c.star, ["indicator", "state", "year"], {"year": 1998}).drop("moving_mean_3"),
+    f"""SELECT indicator, state, year(ref_month) AS year, ref_month, {D('total')} AS total, {D('previous_month')} AS previous_month, {D('total - previous_month')} AS change,
+        {rat('total - previous_month', 'previous_month')} AS ratio_change, {D('same_month_last_year')} AS same_month_last_year,
+        {rat('total - same_month_last_year', 'same_month_last_year')} AS ratio_change_last_year
+        FROM {calendar_sql(STATE_MONTHS, 'indicator, state')} WHERE year(ref_month) = 1998""",
+)
 add(
     "m16_comparable_total",
     lambda c: measures.comparable_total(c.star, ["indicator", "state", "year"]),
@@ -787,7 +832,7 @@ for number, item in ((19, "state"), (20, "municipality"), (21, "region"), (23, "
     )
 add(
     "m20_dense_rank_municipality_any_size",
-    lambda c: measures.dense_ranking(any_size(c), "municipality", ["indicator", "year"]),
+    lambda c: measures.dense_ranking(c.star, "municipality", ["indicator", "year"]),
     dense_sql("municipality", "indicator, year"),
 )
 add(
@@ -821,12 +866,12 @@ add("m28_weight_statistics_by_state", lambda c: measures.weight_statistics(c.sta
 OUTLIERS = f"{r6('m_all')} AS mean_with_outliers, {r6('m_low')} AS mean_without_top, {r6('(m_all - m_low) / NULLIF(m_low, 0)')} AS ratio_impact"
 add(
     "m28_weight_statistics_by_state_any_size",
-    lambda c: measures.weight_statistics(any_size(c), ["indicator", "state"]),
+    lambda c: measures.weight_statistics(c.star, ["indicator", "state"]),
     f"SELECT indicator, state, {WEIGHTS} GROUP BY indicator, state",
 )
 add(
     "m33_weight_outliers_by_region_any_size",
-    lambda c: measures.weight_outliers(any_size(c), ["indicator", "region"]),
+    lambda c: measures.weight_outliers(c.star, ["indicator", "region"]),
     f"SELECT indicator, region, {OUTLIERS} FROM ({outlier_sql('indicator, region')})",
 )
 add("m33_weight_outliers", lambda c: measures.weight_outliers(c.star, []), f"SELECT {OUTLIERS} FROM ({outlier_sql('')})")
@@ -835,15 +880,19 @@ add(
     lambda c: measures.weight_outliers(c.star, ["indicator", "region"]),
     f"SELECT indicator, region, {OUTLIERS} FROM ({outlier_sql('indicator, region')})",
 )
-add(
-    "m36_history",
-    lambda c: measures.history(c.star, ["indicator", "region"]),
+HISTORY = (
     f"""SELECT e.indicator, e.region, ref_month, {D('total')} AS total, {r6('m')} AS historical_mean, {r6('s')} AS historical_deviation,
         {r6('(CAST(total AS DOUBLE) - m) / NULLIF(s, 0)')} AS z_score
         FROM (SELECT indicator, region, ref_month, SUM(value) AS total FROM labelled GROUP BY ALL) e
         JOIN (SELECT indicator, region, CAST(SUM(total) AS DOUBLE) / COUNT(*) AS m, STDDEV_POP(CAST(total AS DOUBLE)) AS s
               FROM (SELECT indicator, region, ref_month, SUM(value) AS total FROM labelled GROUP BY ALL) GROUP BY indicator, region) h
-        ON h.indicator = e.indicator AND h.region = e.region""",
+        ON h.indicator = e.indicator AND h.region = e.region"""
+)
+add("m36_history", lambda c: measures.history(c.star, ["indicator", "region"]), HISTORY)
+add(
+    "m36_history_of_a_year",
+    lambda c: measures.history(c.star, ["indicator", "region", "year"], {"year": [1997, 1998]}),
+    f"SELECT *, year(ref_month) AS year FROM ({HISTORY}) WHERE year(ref_month) IN (1997, 1998)",
 )
 add(
     "m39_quality_totals",

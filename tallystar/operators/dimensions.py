@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallystar.operators.sequence import SMALL_ROWS, number_rows
+from tallystar.operators.sequence import number_rows
 from tallystar.reference import SEX_LABELS, Reference, require_coverage
 from tallystar.schema import MONTHS_PER_FULL_YEAR
 from tallystar.storage import settle
@@ -15,10 +15,10 @@ from tallystar.storage import settle
 CLASS_COLUMNS = ("jurisdiction", "agent", "weapon", "age_band")
 
 
-def surrogate_table(df: DataFrame, column: str, id_name: str, small_rows: int = SMALL_ROWS) -> DataFrame:
+def surrogate_table(df: DataFrame, column: str, id_name: str) -> DataFrame:
     """Distinct non-null values in binary order, numbered 1..N."""
     members = df.select(column).where(F.col(column).isNotNull()).distinct()
-    numbered = number_rows(members, [column], id_name, small_rows)
+    numbered = number_rows(members, [column], id_name)
     return numbered.select(F.col(id_name).cast("int").alias(id_name), column)
 
 
@@ -44,12 +44,12 @@ def dim_time(df: DataFrame) -> DataFrame:
     )
 
 
-def dim_place(df: DataFrame, reference: Reference, small_rows: int = SMALL_ROWS) -> DataFrame:
+def dim_place(df: DataFrame, reference: Reference) -> DataFrame:
     """One row per (state, municipality); states without a region fail."""
     # Cut off once: the coverage check and the numbering both read the members.
     members = settle(df.select("state", "municipality").distinct())
     require_coverage(members, reference.regions, "state")
-    numbered = number_rows(members, ["state", "municipality"], "place_id", small_rows)
+    numbered = number_rows(members, ["state", "municipality"], "place_id")
     return numbered.join(reference.regions, "state").select("place_id", "state", "municipality", "region")
 
 

@@ -1,10 +1,10 @@
 """Exact ranks and percentiles for groups too large for one task.
 
-A window or a `percentile` aggregate brings a whole group to one task. Here the distinct values of
-a group are counted first and put into buckets that follow the order of the values. Counts then run
-on two levels, over the buckets of a group and over the values of a bucket. Both are bounded: with
-three decimals a bucket of this width holds at most 10**7 values, and a group of values up to
-10**11 has at most 10**7 buckets.
+A window or a `percentile` aggregate brings a whole group to one task. Ranks come from one range sort
+with offsets per partition. For percentiles the distinct stored values of a group are counted first and
+put into buckets that follow the order of the values. Counts then run on two levels, over the buckets of
+a group and over the values of a bucket. Both are bounded: with three decimals a bucket of this width
+holds at most 10**7 values, and a group of values up to 10**11 has at most 10**7 buckets.
 """
 
 from __future__ import annotations
@@ -15,6 +15,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallystar.functions.columns import join_groups
+from tallystar.operators.sequence import ROW_BITS
+from tallystar.storage import settle
 
 BUCKET_WIDTH = 10_000.0
 
@@ -34,22 +36,33 @@ def _ahead(within: list[str], order: Column) -> Column:
 
 
 def rank_within(df: DataFrame, keys: list[str], value: str, name: str, dense: bool = False) -> DataFrame:
-    """Rank by descending value within the keys: with gaps, or dense. Null values get no rank."""
-    counts = df.where(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count("*").alias("_n"))
-    if dense:
-        counts = counts.withColumn("_n", F.lit(1).cast("bigint"))
-    values, buckets = _levels(counts, keys, value)
-    buckets = buckets.select(*keys, "_bucket", _ahead(keys, F.desc("_bucket")).alias("_ahead1"))
-    values = values.select(*keys, value, "_bucket", _ahead([*keys, "_bucket"], F.desc(value)).alias("_ahead2"))
-    placed = join_groups(values, buckets, [*keys, "_bucket"])
-    ranks = placed.select(*keys, value, (F.col("_ahead1") + F.col("_ahead2") + 1).alias(name))
+    """Rank by descending value within the keys: with gaps, or dense. Null values get no rank.
 
-    pairs = [*keys, value]
-    renamed = ranks.withColumnsRenamed({k: f"_rank_{k}" for k in pairs})
-    condition = F.lit(True)
-    for k in pairs:
-        condition = condition & F.col(k).eqNullSafe(F.col(f"_rank_{k}"))
-    return df.join(renamed, condition, "left").drop(*[f"_rank_{k}" for k in pairs])
+    One range sort on (keys, value), checkpointed; rows of a tie may lie in several partitions. A partition
+    sums up its runs of equal values, so the windows below see the runs of one partition, or one row per
+    partition and key, but never a group.
+    """
+    ranked = df.where(F.col(value).isNotNull())
+    order = [*[F.col(k).asc_nulls_first() for k in keys], F.desc(value), F.xxhash64(*df.columns)]
+    placed = settle(ranked.orderBy(*order).withColumn("_slot", F.monotonically_increasing_id()))
+    placed = placed.withColumn("_part", F.shiftright("_slot", ROW_BITS))
+    run = [*keys, value]
+    runs = placed.groupBy("_part", *run).agg(F.count("*").alias("_n"), F.min("_slot").alias("_first"))
+
+    earlier = Window.partitionBy(*keys).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    parts = runs.groupBy("_part", *keys).agg(F.sum("_n").alias("_n"))
+    parts = parts.select("_part", *keys, F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
+    within = Window.partitionBy("_part", *keys).orderBy("_first").rowsBetween(Window.unboundedPreceding, -1)
+    runs = runs.select("_part", *run, F.coalesce(F.sum("_n").over(within), F.lit(0)).alias("_ahead"))
+    at = (F.col("_before") + F.col("_ahead") + 1).alias(name)
+    # A tie that spans partitions takes the place of its first row.
+    starts = join_groups(runs, parts, ["_part", *keys]).select("_part", *run, at)
+    ties = starts.groupBy(*run).agg(F.min(name).alias(name))
+    if dense:
+        ties = rank_within(ties.drop(name), keys, value, name)
+    ranks = join_groups(starts.drop(name), ties, run)
+    found = join_groups(placed, ranks, ["_part", *run]).select(*df.columns, name)
+    return found.unionByName(df.where(F.col(value).isNull()).withColumn(name, F.lit(None).cast("bigint")))
 
 
 def window_rank(df: DataFrame, keys: list[str], value: str, name: str, dense: bool = False) -> DataFrame:
@@ -120,12 +133,3 @@ def quantiles(
         return (low + part(name) * (high - low)).alias(name)
 
     return found.groupBy(*keys).agg(*[between(name) for name in points])
-
-
-def quantiles_of_few(
-    df: DataFrame, keys: list[str], value: str, points: Mapping[str, float], weight: str
-) -> DataFrame:
-    """The same percentiles in one aggregate, for value counts known to fit the memory of a task."""
-    wanted = F.percentile(F.col(value).cast("double"), list(points.values()), F.col(weight)).alias("_points")
-    found = [F.col("_points")[i].alias(name) for i, name in enumerate(points)]
-    return df.groupBy(*keys).agg(wanted).select(*keys, *found)

@@ -14,8 +14,8 @@ from tallystar.schema import (
     COUNT,
     FACT_KEY,
     FAMILY_MEASURES,
-    MEASURE_TYPE,
     MEASURES,
+    RAW_MEASURE_TYPE,
     MONTHS_PER_FULL_YEAR,
     REQUIRED_IDS,
     VICTIM,
@@ -212,9 +212,9 @@ def layer_counts(layers: Mapping[str, DataFrame]) -> DataFrame:
 
 
 def source_totals(df: DataFrame, indicators: DataFrame, name: str) -> DataFrame:
-    """Total per indicator over the columns its family uses, raw or staging, in one grouped pass."""
-    sums = df.groupBy("indicator").agg(*[F.sum(F.col(m).cast(MEASURE_TYPE)).alias(m) for m in MEASURES])
-    zero = F.lit(0).cast(MEASURE_TYPE)
+    """Unrounded total per indicator over the columns its family uses, raw or staging, in one grouped pass."""
+    sums = df.groupBy("indicator").agg(*[F.sum(F.col(m).cast(RAW_MEASURE_TYPE)).alias(m) for m in MEASURES])
+    zero = F.lit(0).cast(RAW_MEASURE_TYPE)
 
     def of(family: str) -> Column:
         return sum((F.coalesce(F.col(m), zero) for m in FAMILY_MEASURES[family]), zero)
@@ -244,7 +244,7 @@ def reconcile(raw: DataFrame, staging: DataFrame, fact: DataFrame, indicators: D
     ):
         rows = rows.join(totals, "indicator", "left")
     names = ("raw_total", "staging_total", "fact_total")
-    rows = rows.withColumns({n: F.coalesce(F.col(n), F.lit(0).cast(MEASURE_TYPE)) for n in names})
+    rows = rows.withColumns({n: F.coalesce(F.col(n), F.lit(0).cast(RAW_MEASURE_TYPE)) for n in names})
     difference = F.col("fact_total") - F.col("raw_total")
     return rows.withColumn("difference", difference).withColumn(
         "status", F.when(F.abs(number("difference")) <= TOLERANCE, PASS).otherwise(FAIL)
@@ -291,8 +291,8 @@ def constraint_violations(fact: DataFrame, dims: Mapping[str, DataFrame]) -> Dat
     return reduce(DataFrame.unionByName, found)
 
 
-def require_pass(results: DataFrame, what: str, shown: int = 50) -> None:
+def require_pass(results: DataFrame, what: str) -> None:
     """End the run when a row failed."""
-    failed = [row.asDict() for row in results.where(F.col("status") == FAIL).limit(shown).collect()]
+    failed = [row.asDict() for row in results.where(F.col("status") == FAIL).collect()]
     if failed:
         raise ContractError(f"{what} failed: {failed}")

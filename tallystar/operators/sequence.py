@@ -7,26 +7,17 @@ from pyspark.sql import functions as F
 
 from tallystar.storage import settle
 
-# Up to this many rows one sorting task is cheaper than the distributed form.
-SMALL_ROWS = 50_000
 ROW_BITS = 33
 
 
-def _small(df: DataFrame, rows: int) -> bool:
-    return df.limit(rows + 1).count() <= rows
-
-
-def number_rows(df: DataFrame, order: list[str | Column], name: str, small_rows: int = SMALL_ROWS) -> DataFrame:
+def number_rows(df: DataFrame, order: list[str | Column], name: str) -> DataFrame:
     """Add `name` = 1..N following `order`, which has to be unique per row.
 
-    Above `small_rows` rows the frame is range-sorted, each row keeps its slot within its partition
+    The frame is range-sorted, each row keeps its slot within its partition
     (`monotonically_increasing_id`: partition number above 33 bits of row number), and the number of
     rows in earlier partitions is added. The sorted rows are checkpointed first, so that counting
     and numbering see the same partitions even when an executor is lost in between.
     """
-    if _small(df, small_rows):
-        return df.withColumn(name, F.row_number().over(Window.orderBy(*order)).cast("bigint"))
-
     slotted = settle(df.orderBy(*order).withColumn("_slot", F.monotonically_increasing_id()))
     slotted = slotted.withColumn("_part", F.shiftright("_slot", ROW_BITS))
     # One row per partition of the sort, so this window stays small.

@@ -6,16 +6,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallystar.errors import ContractError
-from tallystar.schema import KEY_STRINGS, MEASURE_TYPE, MEASURES, STAGING_COLUMNS
+from tallystar.schema import KEY_STRINGS, MEASURES, RAW_MEASURE_TYPE, STAGING_COLUMNS
 
 
 def build_staging(raw: DataFrame) -> DataFrame:
-    """Trim, cast, prune. Raw carries `source_year`; the derived victim total is left behind.
+    """Trim, cast, prune; measures keep more decimals than the fact, which rounds sums, not rows. Raw carries `source_year`; the derived victim total is left behind.
 
     Casts are strict (ANSI): text that is no number or date fails the job.
     """
     text = {c: F.nullif(F.trim(F.col(c).cast("string")), F.lit("")) for c in KEY_STRINGS}
-    numbers = {c: F.col(c).cast(MEASURE_TYPE) for c in MEASURES}
+    numbers = {c: F.col(c).cast(RAW_MEASURE_TYPE) for c in MEASURES}
     dates = {"ref_month": F.to_date("ref_month"), "source_year": F.col("source_year").cast("int")}
     return raw.withColumns(text | numbers | dates).select(*STAGING_COLUMNS)
 

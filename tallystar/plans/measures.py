@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallystar.functions.columns import mean, number, ratio, rounded, share_of
-from tallystar.operators.ordering import quantiles, quantiles_of_few, window_rank
+from tallystar.operators.ordering import quantiles, rank_within, window_rank
 from tallystar.plans import views
 from tallystar.plans.star import Star
 from tallystar.reference import (
@@ -39,7 +39,10 @@ ATTRIBUTES = {
 }
 CONDITIONAL = ("agent", "weapon", "age_band", "sex")
 # Attributes bounded by configuration or calendar: their ranks fit a window.
-BOUNDED = ("state", "region", "indicator", "family", "unit", "kind", "semantic_group", "sex", "year", "month", "quarter")
+BOUNDED = (
+    "state", "region", "indicator", "family", "unit", "kind", "semantic_group", "sex", "year", "month", "quarter",
+    "jurisdiction", "agent", "weapon", "age_band",
+)
 # One of these among the keys keeps every total within one unit.
 SINGLE_UNIT = ("indicator", "unit")
 
@@ -62,8 +65,9 @@ def sliced(
 ) -> DataFrame:
     """Fact sums by the attributes, within the filters.
 
-    Filters on small dimensions reach the fact as semi-joins; a filter on places, which may be many,
-    waits for the sums per id. Labels join those sums (`total`, `row_count`). `per_value=True` keeps
+    Filters on indicators and times are looked up first: their ids and source years prune the fact's files
+    and partitions. Filters on other small dimensions reach the fact as semi-joins; a filter on places, which
+    may be many, waits for the sums per id. Labels join those sums (`total`, `row_count`). `per_value=True` keeps
     each value apart, with `row_count` as its frequency.
     """
     where = dict(where or {})
@@ -83,6 +87,13 @@ def sliced(
     dims = dict.fromkeys(ATTRIBUTES[a] for a in wanted) | ({"place": None} if "place" in filter_dims else {})
     periods = [a for a in wanted if ATTRIBUTES[a] == "time"]
     fact = star.fact
+    if "indicator" in filter_dims:
+        wanted_ids = [row[0] for row in filtered("indicator").select("indicator_id").collect()]
+        fact = fact.where(F.col("indicator_id").isin(wanted_ids))
+        filter_dims.pop("indicator")
+    if "time" in filter_dims and star.years_agree:
+        years = [row[0] for row in filtered("time").select("year").distinct().collect()]
+        fact = fact.where(F.col("source_year").isin(years))
     if periods and "ref_month" not in periods:
         # Years and quarters are taken up before the sum: fewer sums per place to shuffle.
         fact = fact.join(filtered("time").select("time_id", *periods), "time_id")
@@ -154,15 +165,36 @@ def core(star: Star, by: Sequence[str] = (), where: Filters = None) -> DataFrame
 # --- time --------------------------------------------------------------------
 
 
+def _is_time(attribute: str) -> bool:
+    return ATTRIBUTES.get(attribute) == "time"
+
+
 def _months(star: Star, by: Sequence[str], where: Filters) -> tuple[list[str], DataFrame]:
-    keys = unit_safe([b for b in by if b != "ref_month"])
-    return keys, sliced(star, [*keys, "ref_month"], where)
+    """Keys and whole monthly series: time attributes neither split nor cut a series."""
+    keys = unit_safe([b for b in by if not _is_time(b)])
+    return keys, sliced(star, [*keys, "ref_month"], {a: v for a, v in (where or {}).items() if not _is_time(a)})
+
+
+def _shown(star: Star, metrics: DataFrame, by: Sequence[str], where: Filters) -> DataFrame:
+    """The selected months of computed series, with the time attributes of `by`."""
+    periods = [b for b in dict.fromkeys(by) if _is_time(b) and b != "ref_month"]
+    selected = {a: v for a, v in (where or {}).items() if _is_time(a)}
+    if not periods and not selected:
+        return metrics
+    times = star.dim("time")
+    for attribute, wanted in selected.items():
+        times = times.where(_matches(attribute, wanted))
+    return metrics.join(times.select("ref_month", *periods), "ref_month")
 
 
 def calendar_metrics(star: Star, by: Sequence[str] = ("indicator",), where: Filters = None, digits: int = 6) -> DataFrame:
-    """Previous month, month-over-month, same month of the year before and 3-month mean, by calendar."""
+    """Previous month, month-over-month, same month of the year before and 3-month mean, by calendar.
+
+    Time filters and time attributes choose the months shown; the comparisons reach beyond them.
+    """
     keys, months = _months(star, by, where)
-    metrics = views.series_metrics(months, keys, calendar=True, digits=digits)
+    metrics = _shown(star, views.series_metrics(months, keys, calendar=True, digits=digits), by, where)
+    keys = [*keys, *[b for b in dict.fromkeys(by) if _is_time(b) and b != "ref_month"]]
     # Measures are plain ratios; the views show percentages.
     change_last_year = F.col("total") - F.col("same_month_last_year")
     return metrics.select(
@@ -217,7 +249,7 @@ def dense_ranking(star: Star, item: str, within: Sequence[str] = ("indicator",),
     keys = unit_safe(within)
     totals = sliced(star, list(dict.fromkeys([*keys, item])), where)
     rank_keys = [k for k in keys if k != item]
-    rank = window_rank if item in BOUNDED else views.ranker(star, ATTRIBUTES[item])
+    rank = window_rank if item in BOUNDED else rank_within
     return rank(totals, rank_keys, "total", "rank", dense=True).drop("row_count")
 
 
@@ -244,23 +276,22 @@ def indicator_share_of_family(star: Star, by: Sequence[str] = (), where: Filters
 def weight_statistics(star: Star, by: Sequence[str] = (), where: Filters = None) -> DataFrame:
     """Median, P90, P95, P99 and maximum of the weight family."""
     points = {"median": 0.5} | views.UPPER_POINTS | {"maximum": 1.0}
-    return _weight_points(star, _weight_values(star, by, where), list(by), points)
+    return _weight_points(_weight_values(star, by, where), list(by), points)
 
 
 def _weight_values(star: Star, by: Sequence[str], where: Filters) -> DataFrame:
     return sliced(star, list(by), {**(where or {}), "family": WEIGHT}, per_value=True)
 
 
-def _weight_points(star: Star, values: DataFrame, keys: list[str], points: dict[str, float]) -> DataFrame:
-    find = quantiles_of_few if star.few_rows else quantiles
-    return find(values, keys, "value", points, "row_count")
+def _weight_points(values: DataFrame, keys: list[str], points: dict[str, float]) -> DataFrame:
+    return quantiles(values, keys, "value", points, "row_count")
 
 
 def weight_outliers(star: Star, by: Sequence[str] = ("indicator",), where: Filters = None, digits: int = 6) -> DataFrame:
     """Mean of the weights with and without the top 1% of their group, and the ratio between them."""
     keys = list(by)
     values = _weight_values(star, keys, where)
-    limits = _weight_points(star, values, keys, {"p99": 0.99})
+    limits = _weight_points(values, keys, {"p99": 0.99})
     contrast = views.outlier_contrast(values, limits, keys, "row_count")
     impact = ratio(F.col("mean_with_outliers") - F.col("mean_without_top"), "mean_without_top")
     return contrast.select(
@@ -269,10 +300,13 @@ def weight_outliers(star: Star, by: Sequence[str] = ("indicator",), where: Filte
 
 
 def history(star: Star, by: Sequence[str] = ("indicator",), where: Filters = None, digits: int = 6) -> DataFrame:
-    """Each month against the mean and the population deviation of all months of its group."""
+    """Each month against the mean and the population deviation of all months of its group.
+
+    Time filters and time attributes choose the months shown, never the months compared with.
+    """
     keys, months = _months(star, by, where)
     all_months = Window.partitionBy(*keys)
-    return (
+    scored = (
         months.withColumns(
             {
                 "historical_mean": mean(F.sum("total").over(all_months), F.count("total").over(all_months)),
@@ -283,7 +317,10 @@ def history(star: Star, by: Sequence[str] = ("indicator",), where: Filters = Non
             "z_score",
             rounded(ratio(number("total") - F.col("historical_mean"), "historical_deviation"), digits),
         )
-        .select(*keys, "ref_month", "total", "historical_mean", "historical_deviation", "z_score")
+    )
+    keys = [*keys, *[b for b in dict.fromkeys(by) if _is_time(b) and b != "ref_month"]]
+    return _shown(star, scored, by, where).select(
+        *keys, "ref_month", "total", "historical_mean", "historical_deviation", "z_score"
     )
 
 

@@ -22,11 +22,7 @@ from tallystar.plans.star import Star
 
 # Largest and default sizes of the results.
 MAX_PAGE_SIZE, PAGE_SIZE = 100, 50
-MAX_STATES, MAX_MUNICIPALITIES, MAX_INDICATORS, TOP = 27, 100, 31, 10
-MAX_RADAR, RADAR = 930, 50
-
-# Pages further back than this are cut from a distributed numbering instead of a top-k.
-TOP_K_ROWS = 100_000
+MAX_MUNICIPALITIES, TOP, RADAR = 100, 10, 50
 
 
 def _times(star: Star, year=None, year_from=None, year_to=None, month=None) -> DataFrame | None:
@@ -235,9 +231,8 @@ def by_state(star: Star, indicator_id: int, year=None, month=None, region=None,
 
 
 def _page(rows: DataFrame, order: list, page: int, page_size: int) -> DataFrame:
+    """Cut from a distributed numbering, so that a page far back costs what the first one does."""
     first = (page - 1) * page_size
-    if first + page_size <= TOP_K_ROWS:
-        return rows.orderBy(*order).offset(first).limit(page_size)
     numbered = number_rows(rows, order, "_row").where(F.col("_row").between(first + 1, first + page_size))
     return numbered.drop("_row").orderBy(*order)
 
@@ -267,7 +262,7 @@ def _top(totals: DataFrame, keys: list[str], limit: int) -> DataFrame:
 
 def ranking_of_states(star: Star, indicator_id: int, year: int, limit: int = TOP) -> DataFrame:
     _year(star, "year", arguments.required("year", year))
-    arguments.whole("limit", limit, 1, MAX_STATES)
+    arguments.whole("limit", limit, 1, star.reference.regions.count())
     get_indicator(star, indicator_id)
     totals = _place_year(star, indicator_id, year).join(star.dim("place"), "place_id")
     totals = totals.groupBy("state", "region").agg(F.sum("total").alias("value"))
@@ -291,7 +286,7 @@ def _place_year(star: Star, indicator_id: int, year: int) -> DataFrame:
 def ranking_of_indicators(star: Star, group: str, year: int, limit: int = TOP) -> DataFrame:
     arguments.one_of("group", group, star.reference.group_names)
     _year(star, "year", arguments.required("year", year))
-    arguments.whole("limit", limit, 1, MAX_INDICATORS)
+    arguments.whole("limit", limit, 1, star.dim("indicator").count())
     return (
         views.indicator_ranking(star)
         .where((F.col("semantic_group") == F.lit(group)) & (F.col("year") == F.lit(year)))
@@ -305,7 +300,8 @@ def radar(star: Star, indicator_id=None, year=None, min_abs_z=None, limit: int =
     """Months furthest from the history of their indicator; z-scores compare across units."""
     _year(star, "year", year)
     arguments.within("min_abs_z", min_abs_z, 0)
-    arguments.whole("limit", limit, 1, MAX_RADAR)
+    # At most every indicator in every month.
+    arguments.whole("limit", limit, 1, star.dim("indicator").count() * star.dim("time").count())
     rows = views.deviation_from_history(star, digits)
     if indicator_id is not None:
         wanted = star.dim("indicator").where(F.col("indicator_id") == F.lit(indicator_id)).select("indicator")

@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 
 from tallystar.operators.dimensions import build_dimensions
 from tallystar.operators.facts import aggregate_to_grain, build_fact, require_keys, require_valid_fact, with_keys
-from tallystar.operators.quality import layer_counts
 from tallystar.operators.staging import build_staging
 from tallystar.reference import Reference
 from tallystar.sources import tables
@@ -18,8 +17,6 @@ from tallystar.sources.raw import stack_years
 from tallystar.storage import settle, together
 
 STORED = ("staging", "grain", "fact", "place_year", "indicator_month", "value_counts")
-# Groups of up to this many rows may meet in one task.
-ONE_TASK_ROWS = 1_000_000
 
 
 @dataclass(frozen=True)
@@ -35,14 +32,8 @@ class Star:
     indicator_month: DataFrame
     value_counts: DataFrame
     raw: DataFrame | None = None
-    # The rest is checked on the stored tables; unchecked, the forms for any size are used.
-    # Every row's source year is its calendar year: year filters may prune the fact's partitions.
+    # Checked on the stored tables: every row's source year is its calendar year: year filters may prune the fact's partitions.
     years_agree: bool = False
-    # Dimensions known to fit a sort in one task.
-    small_dims: frozenset[str] = frozenset()
-    # All stored value counts, or all fact rows, together fit the memory of one task.
-    few_values: bool = False
-    few_rows: bool = False
 
     @property
     def spark(self) -> SparkSession:
@@ -131,16 +122,10 @@ def read_star(spark: SparkSession, reference: Reference, root: str, raw: DataFra
 def _checked(
     reference: Reference, dims: Mapping[str, DataFrame], stored: Mapping[str, DataFrame], raw: DataFrame | None
 ) -> Star:
-    # Counts of stored tables come from the file footers.
-    sizes = layer_counts({**dims, "values": stored["value_counts"], "rows": stored["fact"]})
-    rows = {row.layer: row.row_count for row in sizes.collect()}
     return Star(
         reference=reference,
         dims=dims,
         raw=raw,
         years_agree=source_year_mismatches(stored["grain"]).first()[0] == 0,
-        small_dims=frozenset(name for name in dims if rows[name] <= ONE_TASK_ROWS),
-        few_values=rows["values"] <= ONE_TASK_ROWS,
-        few_rows=rows["rows"] <= ONE_TASK_ROWS,
         **stored,
     )

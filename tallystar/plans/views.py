@@ -1,8 +1,8 @@
 """The semantic layer: one function per view, all lazy.
 
 Totals are summed on integer ids first; labels join the few rows that are left. Windows are used
-only where the calendar or the configuration bounds them (months, states, indicators, sexes), or a
-checked row count does. Beyond that, places and classes go through `rank_within` and `share_of`.
+only where the calendar or the configuration bounds them (months, states, indicators, classes). Places
+go through `rank_within` and `share_of`.
 """
 
 from __future__ import annotations
@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from tallystar.functions.columns import join_groups, mean, month_number, number, percent, ratio, rounded, share_of
 from tallystar.operators.facts import not_reported
-from tallystar.operators.ordering import quantiles, quantiles_of_few, rank_within, window_rank
+from tallystar.operators.ordering import quantiles, rank_within, window_rank
 from tallystar.plans.star import Star
 from tallystar.reference import semantic_group
 from tallystar.schema import MONTHS_PER_FULL_YEAR, WEIGHT
@@ -50,15 +50,9 @@ def enriched_fact(star: Star) -> DataFrame:
 # --- aggregates on ids -------------------------------------------------------
 
 
-def ranker(star: Star, dim: str) -> Callable[..., DataFrame]:
-    """How to rank the members of a dimension: by a window when all of them fit one task."""
-    return window_rank if dim in star.small_dims else rank_within
-
-
-def percentiles(star: Star, counts: DataFrame, keys: list[str], points: dict[str, float]) -> DataFrame:
+def percentiles(counts: DataFrame, keys: list[str], points: dict[str, float]) -> DataFrame:
     """Percentiles over (part of) the stored value counts."""
-    find = quantiles_of_few if star.few_values else quantiles
-    return find(counts, keys, "value", points, "times")
+    return quantiles(counts, keys, "value", points, "times")
 
 
 def indicator_year_statistics(star: Star) -> DataFrame:
@@ -72,7 +66,7 @@ def indicator_year_statistics(star: Star) -> DataFrame:
         F.max(value).alias("maximum"),
         F.stddev_pop(number("value")).alias("deviation"),
     )
-    medians = percentiles(star, star.value_counts, keys, {"median": 0.5})
+    medians = percentiles(star.value_counts, keys, {"median": 0.5})
     return (
         stats.join(medians, keys)
         .withColumn("mean", mean("total", "row_count"))
@@ -198,7 +192,7 @@ def by_agent(star: Star) -> DataFrame:
 def by_weapon(star: Star) -> DataFrame:
     """Weapons ranked per year, across indicators."""
     totals = _by_class(star, "weapon", per_indicator=False)
-    return ranker(star, "weapon")(totals, ["year"], "total", "rank").select("year", "weapon", "total", "rank")
+    return window_rank(totals, ["year"], "total", "rank").select("year", "weapon", "total", "rank")
 
 
 def victim_totals(star: Star) -> DataFrame:
@@ -324,7 +318,7 @@ def state_ranking(star: Star) -> DataFrame:
 def municipality_ranking(star: Star) -> DataFrame:
     """Municipalities with a total above zero; ranked on ids before the labels join."""
     positive = indicator_place_year(star).where(F.col("total") > 0)
-    ranked = ranker(star, "place")(positive, ["indicator_id", "year"], "total", "rank")
+    ranked = rank_within(positive, ["indicator_id", "year"], "total", "rank")
     return _label_places(star, ranked).select(
         *LABELS, "year", "is_partial_year", "state", "municipality", "total", "rank"
     )
@@ -349,7 +343,7 @@ def indicator_ranking(star: Star) -> DataFrame:
 
 
 def jurisdiction_ranking(star: Star) -> DataFrame:
-    ranked = ranker(star, "jurisdiction")(by_jurisdiction(star), ["indicator", "year"], "total", "rank")
+    ranked = window_rank(by_jurisdiction(star), ["indicator", "year"], "total", "rank")
     return ranked.select(*LABELS, "year", "jurisdiction", "total", "rank")
 
 
@@ -380,7 +374,7 @@ def weight_percentiles(star: Star) -> DataFrame:
     )
     points = {"median": 0.5} | UPPER_POINTS
     return (
-        stats.join(percentiles(star, counts, keys, points), keys)
+        stats.join(percentiles(counts, keys, points), keys)
         .join(indicator_labels(star), "indicator_id")
         .withColumn("mean", mean("total", "row_count"))
         .select("indicator", "year", "unit", "row_count", "total", "mean", *points, "maximum")
@@ -421,7 +415,7 @@ def outlier_contrast(counts: DataFrame, limits: DataFrame, keys: list[str], weig
 def outlier_impact(star: Star, digits: int = 1) -> DataFrame:
     """Outlier contrast per weight indicator, over all years."""
     counts, keys = weight_counts(star), ["indicator_id"]
-    contrast = outlier_contrast(counts, percentiles(star, counts, keys, {"p99": 0.99}), keys, "times", digits)
+    contrast = outlier_contrast(counts, percentiles(counts, keys, {"p99": 0.99}), keys, "times", digits)
     return contrast.join(star.dim("indicator").select("indicator_id", "indicator"), "indicator_id").select(
         "indicator", "row_count", "rows_above_p99", "mean_with_outliers", "mean_without_top",
         "sum_with_outliers", "sum_without_top", "pct_impact",

@@ -122,8 +122,8 @@ def unmapped(df: DataFrame, table: DataFrame, column: str) -> DataFrame:
     return df.select(column).distinct().join(table.select(column), column, "left_anti")
 
 
-def require_coverage(df: DataFrame, table: DataFrame, column: str, shown: int = 50) -> None:
+def require_coverage(df: DataFrame, table: DataFrame, column: str) -> None:
     """Fail when the data holds unmapped values; a value is never classified by guess."""
-    missing = [row[0] for row in unmapped(df, table, column).orderBy(column).limit(shown).collect()]
+    missing = [row[0] for row in unmapped(df, table, column).orderBy(column).collect()]
     if missing:
         raise CoverageError(f"{column} values without a mapping: {missing}")

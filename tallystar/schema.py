@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import types as T
 
 MEASURE_TYPE = T.DecimalType(14, 3)
+# Of raw and staged cells: rows are summed before they are rounded.
+RAW_MEASURE_TYPE = T.DecimalType(28, 10)
 MONTHS_PER_FULL_YEAR = 12
 
 VICTIM, COUNT, WEIGHT = "victim", "count", "weight"

@@ -196,21 +196,19 @@ def test_reference_tables(spark):
     assert other == "Outro"
 
 
-@pytest.mark.parametrize("small_rows", [0, 10_000])
-def test_numbering_is_consecutive_in_sort_order(spark, small_rows):
+def test_numbering_is_consecutive_in_sort_order(spark):
     rows = [(f"s{i % 7}", f"m{i:04d}") for i in range(2000)]
     df = spark.createDataFrame(rows, "state string, municipality string").repartition(5)
-    numbered = number_rows(df, ["state", "municipality"], "n", small_rows)
+    numbered = number_rows(df, ["state", "municipality"], "n")
     found = [(r.state, r.municipality) for r in numbered.orderBy("n").collect()]
     assert found == sorted(rows)
     assert [r.n for r in numbered.select("n").orderBy("n").collect()] == list(range(1, 2001))
 
 
-def test_place_ids_are_the_same_either_way(spark, star):
-    reference = default_reference(spark)
-    small = dimensions.dim_place(star.grain, reference)
-    large = dimensions.dim_place(star.grain, reference, small_rows=0)
-    assert small.exceptAll(large).isEmpty() and large.exceptAll(small).isEmpty()
+def test_place_ids_follow_the_names(spark, star):
+    places = dimensions.dim_place(star.grain, default_reference(spark)).orderBy("place_id").collect()
+    assert [(p.state, p.municipality) for p in places] == sorted((p.state, p.municipality) for p in places)
+    assert [p.place_id for p in places] == list(range(1, len(places) + 1))
 
 
 def test_surrogates_skip_nulls(star):

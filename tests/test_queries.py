@@ -107,10 +107,8 @@ def test_states_descend(cargo):
     assert [r.state for r in queries.by_state(star, number, region="Sul").collect()] == []
 
 
-@pytest.mark.parametrize("top_k_rows", [100_000, 0], ids=["top-k", "numbered"])
-def test_pages_cover_all_rows_once(cargo, monkeypatch, top_k_rows):
+def test_pages_cover_all_rows_once(cargo):
     star, number = cargo
-    monkeypatch.setattr(queries, "TOP_K_ROWS", top_k_rows)
     pages = [queries.by_municipality(star, number, page=p, page_size=2) for p in (1, 2, 3)]
     rows = [(r.state, r.municipality, float(r.value)) for page in pages for r in page.rows.collect()]
     assert rows == [("SP", "A", 60.0), ("MG", "A", 45.0), ("RJ", "A", 45.0), ("SP", "B", 15.0)]

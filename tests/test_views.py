@@ -73,14 +73,6 @@ def test_every_ranking_starts_at_one(feed_star, view, keys):
     assert view(feed_star).groupBy(*keys).agg(F.min("rank").alias("r")).where("r <> 1").isEmpty()
 
 
-def test_forms_for_any_size_agree(feed_star):
-    any_size = replace(feed_star, small_dims=frozenset(), few_values=False)
-    assert feed_star.few_values and "place" in feed_star.small_dims
-    for view in (views.municipality_ranking, views.by_weapon, views.jurisdiction_ranking):
-        one, other = view(feed_star), view(any_size)
-        assert one.exceptAll(other).isEmpty() and other.exceptAll(one).isEmpty(), view.__name__
-
-
 def test_outlier_view_loses_nothing(feed_star):
     weights = feed_star.dim("indicator").where(F.col("family") == WEIGHT)
     expected = feed_star.fact.join(weights, "indicator_id").groupBy("indicator").agg(F.count("*").alias("n"), F.sum("value").alias("s"))
@@ -247,3 +239,32 @@ def test_drill_levels_have_one_total(feed_star):
     assert len(set(totals.values())) == 1
     with pytest.raises(ValueError):
         measures.drill_down(feed_star, "continent")
+
+
+def scanned(df):
+    """The fact's scan in the plan."""
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_filtered_measures_prune_the_fact(feed_star):
+    by_year = {"year": 1998}
+    plans = {
+        "top_states": scanned(measures.top_states(feed_star, "LINE PROMO", where=by_year)),
+        "core": scanned(measures.core(feed_star, ["state"], by_year)),
+        "weights": scanned(measures.weight_statistics(feed_star, ["indicator"], by_year)),
+        "share": scanned(measures.share(feed_star, "sex", ["indicator"], {"family": "victim", **by_year})),
+    }
+    for name, plan in plans.items():
+        assert "source_year" in plan.split("PartitionFilters: [", 1)[1].split("]", 1)[0], name
+    for name in ("top_states", "weights", "share"):
+        assert any("indicator_id" in part.split("]", 1)[0] for part in plans[name].split("PushedFilters: [")[1:]), name
+
+
+def test_time_filters_do_not_cut_series(feed_star):
+    key = ["indicator", "ref_month"]
+    for measure in (measures.calendar_metrics, measures.history):
+        whole = measure(feed_star).where("year(ref_month) = 1998")
+        for cut in (measure(feed_star, where={"year": 1998}), measure(feed_star, ["indicator", "year"], {"year": 1998}).drop("year")):
+            assert cut.count() == whole.count() > 0
+            assert cut.select(whole.columns).exceptAll(whole).isEmpty()
+        assert not whole.where("ref_month = '1998-01-01'").isEmpty() and key
