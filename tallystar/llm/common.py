@@ -6,6 +6,7 @@ import gc
 import os
 import shutil
 import tempfile
+import time
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -39,9 +40,14 @@ def durable(df: DataFrame) -> DataFrame:
 
 
 def release(spark: SparkSession) -> None:
-    """Let the driver forget finished phases, so that Spark's cleaner drops their shuffle files."""
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+    """Let the driver forget finished phases, so that Spark's cleaner drops their shuffle files.
+
+    The first collection ends what waits for finalizers, the second finds the shuffles unused.
+    """
+    for _ in range(2):
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
+        time.sleep(0.5)
 
 
 def text_bytes(batch: pa.RecordBatch, name: str = "text") -> list[bytes]:

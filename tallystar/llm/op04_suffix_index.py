@@ -229,8 +229,6 @@ def reported_anchors(texts: DataFrame, batches: int, parts: int) -> DataFrame:
             path = merged
         levels[rank] = path
         release(spark)
-    for path in levels.values():
-        drop_folder(spark, path)
     found = None
     for path in reports:
         if folder_exists(spark, path):
@@ -238,7 +236,9 @@ def reported_anchors(texts: DataFrame, batches: int, parts: int) -> DataFrame:
             found = rows if found is None else found.unionByName(rows)
     if found is None:
         found = texts.select(F.col("owner"), F.lit(0).cast("long").alias("key")).limit(0)
-    return found.groupBy("owner").agg(F.collect_set("key").alias("keys"))
+    found = durable(found.groupBy("owner").agg(F.collect_set("key").alias("keys")))
+    drop_folder(spark, root)
+    return found
 
 
 def _path(spark: SparkSession, path: str):
@@ -247,7 +247,7 @@ def _path(spark: SparkSession, path: str):
 
 
 def drop_folder(spark: SparkSession, path: str) -> None:
-    """Remove a level of this run that a merged one has replaced."""
+    """Remove files of this run that later ones have replaced."""
     system, found = _path(spark, path)
     system.delete(found, True)
 
@@ -354,7 +354,7 @@ def repeated_passages(docs: DataFrame, batches: int = BATCHES, part: int = PART)
     owners = durable(named.groupBy("owner").agg(F.min("doc_id").alias("first"), F.max("size").alias("size")))
     size = owners.agg(F.sum("size")).first()[0] or 0
     parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), size // DENSITY // part + 1)
-    keys = durable(reported_anchors(named.filter(F.col("size") >= LENGTH), batches, parts))
+    keys = reported_anchors(named.filter(F.col("size") >= LENGTH), batches, parts)
     release(spark)
     wanted = keys.join(owners, "owner").select(F.col("first").alias("doc_id"), "owner", "keys")
     firsts = named.join(wanted, ["doc_id", "owner"])
