@@ -36,7 +36,7 @@ BIN_SHIFT = 58  # 63 bits of hash, the upper five are the bin
 BAND_SHIFT = 60
 LENGTH_BITS = 16  # of a sketch hold the length of the line, the rest marks of its minima
 MARKS = 48
-MARKS_SHARED = 0.4  # of the marks of either line; lines of similarity 0.75 share 0.6 on average
+MARKS_SHARED = 0.45  # of the marks of either line; lines of similarity 0.75 share 0.6 on average
 LENGTH_RATIO = 0.7
 BROADCAST_BYTES = 64 << 20  # candidate lines' ids up to this size are sent to all executors
 ID_BYTES = 64  # one id in a broadcast table, generously
@@ -50,7 +50,8 @@ def lines_of(docs: DataFrame) -> DataFrame:
 
 def signed(lines: DataFrame) -> DataFrame:
     """Add `bands` (one key per band that has a minimum) and `sketch`."""
-    anchors = F.regexp_extract_all("line", F.lit(r"(?s)(?<!\S)(?=(\S.{0,%d}))" % (ANCHOR - 1)), F.lit(1))
+    # Each match takes up its word, so that the next one starts the next word.
+    anchors = F.regexp_extract_all("line", F.lit(r"(?s)(?=(\S.{0,%d}))\S+" % (ANCHOR - 1)), F.lit(1))
     positive = F.lit((1 << 63) - 1)
     hashed = lines.withColumn("h", F.sort_array(F.transform(anchors, lambda a: F.xxhash64(a).bitwiseAND(positive))))
 
@@ -124,8 +125,10 @@ def confirmed(pairs: DataFrame, distinct: DataFrame, lines: DataFrame) -> DataFr
     named = wanted.select("num", "id", F.col("first.doc_id").alias("doc_id"), F.col("first.pos").alias("pos"))
     if wanted.count() * ID_BYTES <= BROADCAST_BYTES:
         named = F.broadcast(named)
-    same = [lines["id"] == named["id"], lines["doc_id"].eqNullSafe(named["doc_id"]), lines["pos"] == named["pos"]]
-    texts = lines.join(named, same).select("num", "line").dropDuplicates(["num"])
+    # By place first: the hash is needed for the few lines found there.
+    places = lines.select("doc_id", "pos", "line")
+    same = [places["doc_id"].eqNullSafe(named["doc_id"]), places["pos"] == named["pos"]]
+    texts = places.join(named, same).filter(F.unhex(F.md5("line")) == F.col("id")).select("num", "line").dropDuplicates(["num"])
     texts = durable(texts)
     left, right = texts.toDF("a", "line_a"), texts.toDF("b", "line_b")
     both = pairs.join(left, "a").join(right, "b")
