@@ -670,7 +670,7 @@ add(
     lambda c: queries.kpis(c.star, state=STATE, year=YEAR, jurisdiction="O"),
     f"{KPI} WHERE state = '{STATE}' AND year = {YEAR} AND jurisdiction = 'O' {KPI_GROUP}",
 )
-TEMPORAL = f"SELECT year, month, {TOTAL} AS value, BOOL_OR(is_partial_year) AS is_partial_year FROM labelled WHERE {ONE}"
+TEMPORAL = f"SELECT MIN(indicator) AS indicator, MIN(unit) AS unit, year, month, {TOTAL} AS value, BOOL_OR(is_partial_year) AS is_partial_year FROM labelled WHERE {ONE}"
 add("q04_temporal", lambda c: queries.temporal(c.star, INDICATOR), f"{TEMPORAL} GROUP BY year, month")
 add(
     "q04_temporal_filtered",
@@ -691,19 +691,24 @@ def yoy_sql(base: str, other: str) -> str:
 LAST_YEAR = f"(SELECT MAX(year) FROM labelled WHERE {ONE})"
 add("q05_year_over_year", lambda c: queries.year_over_year(c.star, INDICATOR, digits=6), yoy_sql(f"{LAST_YEAR} - 1", LAST_YEAR))
 add("q05_year_over_year_given", lambda c: queries.year_over_year(c.star, INDICATOR, 1996, 1999, digits=6), yoy_sql("1996", "1999"))
-BY_STATE = f"SELECT state, region, {TOTAL} AS value FROM labelled WHERE {ONE}"
+BY_STATE = f"SELECT MIN(indicator) AS indicator, MIN(unit) AS unit, state, region, {TOTAL} AS value FROM labelled WHERE {ONE}"
 add("q06_by_state", lambda c: queries.by_state(c.star, INDICATOR), f"{BY_STATE} GROUP BY state, region")
 add(
     "q06_by_state_filtered",
     lambda c: queries.by_state(c.star, INDICATOR, year=YEAR, month=3, region="ASIA", jurisdiction="O"),
     f"{BY_STATE} AND year = {YEAR} AND month = 3 AND region = 'ASIA' AND jurisdiction = 'O' GROUP BY state, region",
 )
-BY_PLACE = f"SELECT state, municipality, {TOTAL} AS value FROM labelled WHERE {ONE}"
+BY_PLACE = f"SELECT MIN(indicator) AS indicator, MIN(unit) AS unit, state, municipality, {TOTAL} AS value FROM labelled WHERE {ONE}"
 add(
     "q07_by_municipality_page",
     lambda c: queries.by_municipality(c.star, INDICATOR, page=2).rows,
     f"{BY_PLACE} GROUP BY state, municipality ORDER BY value DESC, municipality, state LIMIT 50 OFFSET 50",
 )
+add(
+    "q07_by_municipality_deep_page",
+    lambda c: queries.by_municipality(c.star, INDICATOR, page=3, page_size=20).rows,
+    f"{BY_PLACE} GROUP BY state, municipality ORDER BY value DESC, municipality, state LIMIT 20 OFFSET 40",
+)
 add(
     "q07_by_municipality_total",
     lambda c: queries.by_municipality(c.star, INDICATOR, state=STATE, year=YEAR).total,
@@ -716,11 +721,11 @@ def top_sql(source: str, columns: str, where: str, order: str, limit: int = 10)
 
 
 THIS = f"indicator = (SELECT indicator FROM dim_indicator WHERE {ONE}) AND year = {YEAR}"
-add("q08_ranking_states", lambda c: queries.ranking_of_states(c.star, INDICATOR, YEAR), top_sql(STATE_RANKS, "state, region", THIS, "state, region"))
+add("q08_ranking_states", lambda c: queries.ranking_of_states(c.star, INDICATOR, YEAR), top_sql(STATE_RANKS, "indicator, unit, state, region", THIS, "state, region"))
 add(
     "q09_ranking_municipalities",
     lambda c: queries.ranking_of_municipalities(c.star, INDICATOR, YEAR),
-    top_sql(PLACE_RANKS, "state, municipality", THIS, "state, municipality"),
+    top_sql(PLACE_RANKS, "indicator, unit, state, municipality", THIS, "state, municipality"),
 )
 add(
     "q10_ranking_indicators",

@@ -92,9 +92,17 @@ def run(
 
     warehouse = "not asked for"
     if database is not None:
-        layers = {"staging": star.staging} | {f"dim_{n}": d for n, d in star.dims.items()} | {"fact": star.fact}
+        dims = {f"dim_{name}": path for name, path in tables.dimension_paths(f"{out}/star").items()}
+        layers = {"staging": f"{out}/star/staging", **dims, "fact": f"{out}/star/fact"}
+        # The views a dashboard imports; each has one row per indicator, or one.
+        shown = {
+            "view_indicator": views.indicator_labels(star),
+            "view_not_reported": views.quality_not_reported(star),
+            "view_summary": views.quality_summary(star),
+        }
         try:
-            tables.load_warehouse(star.spark, layers, database)
+            tables.register_tables(star.spark, layers, database)
+            tables.load_warehouse(star.spark, shown, database)
             warehouse = "OK"
         except Exception as problem:  # the written files stay valid whatever the target does
             warehouse = f"FAILED: {problem}"

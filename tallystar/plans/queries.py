@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallystar.errors import NotEnoughDataError, NotFoundError
@@ -123,6 +123,12 @@ def get_indicator(star: Star, indicator_id: int) -> DataFrame:
     return found
 
 
+def _the_indicator(star: Star, indicator_id: int) -> list[Column]:
+    """Name and unit of the one indicator a result is about: a number never stands without them."""
+    row = get_indicator(star, indicator_id).select("indicator", "unit").first()
+    return [F.lit(row["indicator"]).alias("indicator"), F.lit(row["unit"]).alias("unit")]
+
+
 # --- totals and series -------------------------------------------------------
 
 
@@ -146,7 +152,7 @@ def temporal(
     """Monthly sums of one indicator."""
     state = _state(star, state)
     year_from, year_to = _year(star, "year_from", year_from), _year(star, "year_to", year_to)
-    get_indicator(star, indicator_id)
+    indicator = _the_indicator(star, indicator_id)
     places = _places(star, state, municipality) if state or municipality else None
     if places is None and jurisdiction is None:
         months = star.indicator_month.where(F.col("indicator_id") == F.lit(indicator_id))
@@ -161,6 +167,7 @@ def temporal(
         .join(star.dim("time"), "time_id")
         .groupBy("year", "month")
         .agg(F.sum("value").alias("value"), F.bool_or("is_partial_year").alias("is_partial_year"))
+        .select(*indicator, "year", "month", "value", "is_partial_year")
         .orderBy("year", "month")
     )
 
@@ -219,13 +226,14 @@ def year_over_year(
 
 def by_state(star: Star, indicator_id: int, year=None, month=None, region=None, jurisdiction=None) -> DataFrame:
     year, month = _year(star, "year", year), arguments.month(month)
-    get_indicator(star, indicator_id)
+    indicator = _the_indicator(star, indicator_id)
     rows = _place_rows(star, indicator_id, jurisdiction, year, month)
     per_place = rows.groupBy("place_id").agg(F.sum("value").alias("value"))
     return (
         per_place.join(_places(star, region=region), "place_id")
         .groupBy("state", "region")
         .agg(F.sum("value").alias("value"))
+        .select(*indicator, "state", "region", "value")
         .orderBy(F.desc("value"), "state", "region")
     )
 
@@ -242,12 +250,13 @@ def by_municipality(star: Star, indicator_id: int, state=None, year=None, page=1
     state, year = _state(star, state), _year(star, "year", year)
     arguments.whole("page", arguments.required("page", page), 1)
     arguments.whole("page_size", arguments.required("page_size", page_size), 1, MAX_PAGE_SIZE)
-    get_indicator(star, indicator_id)
+    indicator = _the_indicator(star, indicator_id)
     # A place is one (state, municipality), so the sums per place are the groups already.
     per_place = _place_rows(star, indicator_id, year=year).groupBy("place_id").agg(F.sum("value").alias("value"))
     totals = per_place.join(_places(star, state), "place_id").select("state", "municipality", "value")
     order = [F.desc("value"), F.asc("municipality"), F.asc("state")]
-    return Page(_page(totals, order, page, page_size), totals.agg(F.count("*").alias("total")), page, page_size)
+    rows = _page(totals, order, page, page_size).select(*indicator, "state", "municipality", "value")
+    return Page(rows, totals.agg(F.count("*").alias("total")), page, page_size)
 
 
 # --- rankings ----------------------------------------------------------------
@@ -263,19 +272,19 @@ def _top(totals: DataFrame, keys: list[str], limit: int) -> DataFrame:
 def ranking_of_states(star: Star, indicator_id: int, year: int, limit: int = TOP) -> DataFrame:
     _year(star, "year", arguments.required("year", year))
     arguments.whole("limit", limit, 1, star.reference.regions.count())
-    get_indicator(star, indicator_id)
+    indicator = _the_indicator(star, indicator_id)
     totals = _place_year(star, indicator_id, year).join(star.dim("place"), "place_id")
     totals = totals.groupBy("state", "region").agg(F.sum("total").alias("value"))
-    return _top(totals, ["state", "region"], limit).select("rank", "state", "region", "value")
+    return _top(totals, ["state", "region"], limit).select(*indicator, "rank", "state", "region", "value")
 
 
 def ranking_of_municipalities(star: Star, indicator_id: int, year: int, limit: int = TOP) -> DataFrame:
     _year(star, "year", arguments.required("year", year))
     arguments.whole("limit", limit, 1, MAX_MUNICIPALITIES)
-    get_indicator(star, indicator_id)
+    indicator = _the_indicator(star, indicator_id)
     totals = _place_year(star, indicator_id, year).where(F.col("total") > 0).join(star.dim("place"), "place_id")
     totals = totals.select("state", "municipality", F.col("total").alias("value"))
-    return _top(totals, ["state", "municipality"], limit).select("rank", "state", "municipality", "value")
+    return _top(totals, ["state", "municipality"], limit).select(*indicator, "rank", "state", "municipality", "value")
 
 
 def _place_year(star: Star, indicator_id: int, year: int) -> DataFrame:

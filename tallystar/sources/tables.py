@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import DataFrame, SparkSession
 
 from tallystar.schema import DIMENSIONS
@@ -69,6 +71,20 @@ def load_warehouse(spark: SparkSession, tables: dict[str, DataFrame], database:
     return loaded
 
 
+def register_tables(spark: SparkSession, paths: Mapping[str, str], database: str) -> list[str]:
+    """External tables over folders that are written already: nothing is copied, layout and partitions stay."""
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`")
+    registered = []
+    for name, path in paths.items():
+        full_name = f"`{database}`.`{name}`"
+        spark.sql(f"DROP TABLE IF EXISTS {full_name}")
+        spark.catalog.createTable(f"{database}.{name}", path=path, source="parquet")
+        if any(column.isPartition for column in spark.catalog.listColumns(f"{database}.{name}")):
+            spark.catalog.recoverPartitions(f"{database}.{name}")
+        registered.append(full_name)
+    return registered
+
+
 def write_jdbc(df: DataFrame, url: str, table: str, properties: dict[str, str]) -> None:
     """Full refresh of a table in a database, written by the executors in parallel."""
     df.write.mode("overwrite").option("truncate", True).jdbc(url, table, properties=properties)

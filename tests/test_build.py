@@ -33,7 +33,7 @@ def test_staging_keeps_rows_and_drops_the_victim_total(star):
 
 def test_staging_types(star):
     types = dict(star.staging.dtypes)
-    assert types["ref_month"] == "date" and types["female"] == "decimal(14,3)" and types["source_year"] == "int"
+    assert types["ref_month"] == "date" and types["female"] == "decimal(28,10)" and types["source_year"] == "int"
 
 
 def test_staging_trims_and_treats_blank_as_absent(spark):

@@ -149,6 +149,10 @@ def test_job_end_to_end(spark, tmp_path):
     assert (s["checks_passed"], s["checks_total"], s["reconciled_passed"], s["warehouse"]) == (9, 9, 31, "OK")
     assert s["partial_years"] == [2031] and str(s["first_month"]) == "2030-01-01"
     assert spark.table("indicators_dw.fact").count() == s["fact_rows"] == out.star.fact.count()
+    other = spark.newSession()
+    assert other.table("indicators_dw.view_summary").first().fact_rows == s["fact_rows"]
+    assert other.table("indicators_dw.view_indicator").count() == other.table("indicators_dw.dim_indicator").count()
+    assert other.table("indicators_dw.fact").where("source_year = 2031").count() > 0
     # A second load replaces the tables.
     tables.load_warehouse(spark, {"fact": out.star.fact.limit(5)}, "indicators_dw")
     assert spark.table("indicators_dw.fact").count() == 5
