@@ -16,6 +16,7 @@ from tallystar.llm.op07_noisy_channel import op7_noisy_channel
 from tallystar.llm.op08_quality_rules import op8_quality_rules
 from tallystar.llm.op09_templates import op9_templates
 from tallystar.llm.op10_signature_tree import op10_signature_tree
+from tallystar.llm.oracle import JACCARD_COMPONENTS, REPEATED_PASSAGES
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -32,4 +33,7 @@ QUERIES: dict[str, Query] = {
     "op10_signature_tree": op10_signature_tree,
 }
 
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {
+    "op4_suffix_index": REPEATED_PASSAGES,
+    "op10_signature_tree": JACCARD_COMPONENTS,
+}
