@@ -188,24 +188,24 @@ def votes_and_features(text: str, span: Span, is_base: bool) -> tuple[int, int]:
     return votes, sum(1 << i for i, f in enumerate(flags) if f)
 
 
-def overlaps(span: Span, others: list[Span]) -> bool:
-    return any(span[1] < end and start < span[2] for _, start, end in others)
-
-
 def candidates(text: str) -> list[tuple[Span, bool, int, int]]:
     """(span, is base, votes, features); wide candidates that overlap a base span are left to it."""
     base = base_spans(text)
     found = [(span, True, *votes_and_features(text, span, True)) for span in base]
     taken: dict[str, int] = {}
     order = sorted(set(wide_spans(text)), key=lambda s: (s[1], -s[2], KINDS.index(s[0])))
-    edges = sorted((s, e) for _, s, e in base)
+    edges: list[tuple[int, int]] = []  # what base spans cover, without overlaps
+    for _, start, end in sorted(base, key=lambda s: s[1:]):
+        if edges and start < edges[-1][1]:
+            edges[-1] = (edges[-1][0], max(end, edges[-1][1]))
+        else:
+            edges.append((start, end))
     at = 0
     for span in order:
         kind, start, end = span
         while at < len(edges) and edges[at][1] <= start:
             at += 1
-        # Base spans of different kinds may overlap each other, so the next few are looked at.
-        if any(s < end and start < e for s, e in edges[max(0, at - 4) : at + 8]) or start < taken.get(kind, 0):
+        if (at < len(edges) and edges[at][0] < end) or start < taken.get(kind, 0):
             continue
         taken[kind] = end
         found.append((span, False, *votes_and_features(text, span, False)))
