@@ -1,5 +1,3 @@
-from dataclasses import replace
-
 import pytest
 from conftest import as_dicts, months, row, star_of
 from pyspark.sql import functions as F
