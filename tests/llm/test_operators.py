@@ -569,6 +569,22 @@ def test_dual_traversal_loses_no_pair():
                     assert (min(i, j), max(i, j)) in found
 
 
+def test_wide_bitmaps_lose_no_pair():
+    rng = np.random.default_rng(4)
+    base = [rng.integers(0, 2**63, k, dtype=np.uint64) for k in (200, 900, 2600)]
+    sets = [np.unique(np.concatenate([b[: len(b) - k], rng.integers(0, 2**63, k, dtype=np.uint64)])) for b in base for k in (0, 5, 20, 60, 150)]
+    sets += [rng.integers(0, 2**63, k, dtype=np.uint64) for k in (250, 950, 2600, 2700)]
+    n, wide = np.array([len(s) for s in sets]), [op10_signature_tree.wide_bitmap(s) for s in sets]
+    pairs = np.array([(i, j) for i in range(len(sets)) for j in range(i)])
+    kept = {tuple(p) for p in op10_signature_tree.still_possible(pairs, n, wide).tolist()}
+    for i, j in pairs.tolist():
+        common = len(np.intersect1d(sets[i], sets[j]))
+        if 100 * common >= 75 * (n[i] + n[j] - common):
+            assert (i, j) in kept
+    assert not {(16, 5), (17, 10), (18, 17)} & kept
+    assert not op10_signature_tree.still_possible(np.empty((0, 2), np.int64), n, wide).size
+
+
 def test_components_of_awkward_rows(awkward, nothing):
     expected = jaccard_by_brute_force(list(enumerate(AWKWARD)))
     rows = op10_signature_tree.jaccard_components(awkward).collect()
