@@ -5,15 +5,16 @@ line is one shingle) is at least THRESHOLD. Of each component of such lines, the
 (doc_id, line number) is kept. Lines of white space are no candidates and stay.
 
 1. Equal lines meet by their md5; from here on there is one row per different line.
-2. Signature: the ANCHOR-character shingles that start a word are hashed once, and each hash falls into one of
-   BINS bins; the smallest hash of every bin is the MinHash (one permutation).
-3. Banding: the minima of BINS / BANDS neighbouring bins make one key. Lines with a key in common are linked
-   with the smallest and the largest line of that key, never with all, if their lengths and marks of their minima
-   are similar.
+2. Signature: all shingles of a line are hashed once, and each hash falls into one of BINS bins; the smallest hash
+   of every bin is the MinHash (one permutation).
+3. Banding: the minima of BINS / BANDS neighbouring bins make one key. Lines with a key in common are first linked
+   with the smallest and the largest line of that key.
 4. The true similarity of each such pair is computed from both lines' full shingle sets.
-5. Union-find over the confirmed pairs; all occurrences but the first of a component are removed.
+5. Union-find over the confirmed pairs. Under keys whose lines lie in several components, HUBS lines and then all pairs across
+   components are then compared in the same way, so that no pair with a key in common is left out.
+6. All occurrences but the first of a component are removed.
 
-Banding is a filter of high recall, steps 4 and 5 are exact. Defined cases: a null text has no lines and stays
+Banding is a filter of high recall, the steps after it are exact; pairs are left out early only by bounds that lose none. Defined cases: a null text has no lines and stays
 null; an empty text is one line of white space. Equal doc_ids count as one document's lines with equal numbers
 and are treated alike. Extra columns pass through unchanged. Very long lines are shingled whole.
 """
@@ -23,21 +24,19 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallystar.llm.common import durable, table
+from tallystar.llm.common import durable, release, table
 from tallystar.llm.graph import components
 from tallystar.storage import run_dir
 
 SHINGLE = 8
-ANCHOR = 16  # characters from the start of a word that the signature hashes; long ones tell lines apart
 THRESHOLD = 0.75
 BINS = 32
 BANDS = 8
 BIN_SHIFT = 58  # 63 bits of hash, the upper five are the bin
 BAND_SHIFT = 60
-LENGTH_BITS = 16  # of a sketch hold the length of the line, the rest marks of its minima
-MARKS = 48
-MARKS_SHARED = 0.45  # of the marks of either line; lines of similarity 0.75 share 0.6 on average
-LENGTH_RATIO = 0.7
+WORDS = 4  # of 64 bits in a sketch
+HUBS = 8
+BLOCK = 256  # lines of a key that meet in one place
 BROADCAST_BYTES = 64 << 20  # candidate lines' ids up to this size are sent to all executors
 ID_BYTES = 64  # one id in a broadcast table, generously
 
@@ -49,16 +48,16 @@ def lines_of(docs: DataFrame) -> DataFrame:
 
 
 def signed(lines: DataFrame) -> DataFrame:
-    """Add `bands` (one key per band that has a minimum) and `sketch`."""
-    # Each match takes up its word, so that the next one starts the next word.
-    anchors = F.regexp_extract_all("line", F.lit(r"(?s)(?=(\S.{0,%d}))\S+" % (ANCHOR - 1)), F.lit(1))
+    """Add `bands` (one key per band that has a minimum), `sketch` (n different shingles, and WORDS * 64 bits of them)."""
     positive = F.lit((1 << 63) - 1)
-    hashed = lines.withColumn("h", F.sort_array(F.transform(anchors, lambda a: F.xxhash64(a).bitwiseAND(positive))))
+    hashes = F.transform(shingles("line"), lambda a: F.xxhash64(a).bitwiseAND(positive))
+    hashed = lines.withColumn("h", F.sort_array(hashes))
 
     def first_of_bin(x: Column, i: Column) -> Column:
         return (i == 0) | (F.shiftright(x, BIN_SHIFT) != F.shiftright(F.get("h", i - 1), BIN_SHIFT))
 
-    minima = hashed.withColumn("m", F.filter("h", first_of_bin)).drop("h")
+    sketch = F.struct(F.size("h").alias("n"), *[_bits("h", i).alias(f"w{i}") for i in range(WORDS)])
+    minima = hashed.withColumn("sketch", sketch).withColumn("m", F.filter("h", first_of_bin)).drop("h")
 
     def band_of(x: Column) -> Column:
         return F.shiftright(x, BAND_SHIFT)
@@ -69,23 +68,26 @@ def signed(lines: DataFrame) -> DataFrame:
         return F.when(starts, F.xxhash64(F.filter(F.slice("m", i + 1, BINS // BANDS), lambda y: band_of(y) == band_of(x))))
 
     keys = F.filter(F.transform("m", key_of_band), lambda k: k.isNotNull())
-    marks = F.aggregate("m", F.lit(0).cast("long"), lambda s, x: s.bitwiseOR(_mark(x)))
-    length = F.least(F.length("line"), F.lit((1 << LENGTH_BITS) - 1)).cast("long")
-    return minima.withColumn("bands", keys).withColumn("sketch", F.shiftleft(marks, LENGTH_BITS).bitwiseOR(length)).drop("m")
+    return minima.withColumn("bands", keys).drop("m")
 
 
-def _mark(x: Column) -> Column:
-    """One of MARKS bits, for a hash."""
-    return F.call_function("shiftleft", F.lit(1).cast("long"), (x % MARKS).cast("int"))
+def _bits(hashes: str, word: int) -> Column:
+    """One of WORDS words of a bitmap: a bit for each hash that falls into it."""
+    own = F.filter(hashes, lambda x: x.bitwiseAND(F.lit(WORDS - 1).cast("long")) == word)
+    return F.aggregate(own, F.lit(0).cast("long"), lambda s, x: s.bitwiseOR(F.call_function("shiftleft", F.lit(1).cast("long"), F.shiftright(x, 8).bitwiseAND(F.lit(63).cast("long")).cast("int"))))
 
 
 def _near(one: str, other: str) -> Column:
-    """Whether two sketches allow near-duplicates: similar lengths, and marks mostly in common."""
-    low = F.lit((1 << LENGTH_BITS) - 1).cast("long")
-    a, b = F.col(one).bitwiseAND(low), F.col(other).bitwiseAND(low)
-    x, y = F.shiftrightunsigned(one, LENGTH_BITS), F.shiftrightunsigned(other, LENGTH_BITS)
-    lengths = LENGTH_RATIO * F.greatest(a, b) <= F.least(a, b)
-    return lengths & (F.bit_count(x.bitwiseAND(y)) >= MARKS_SHARED * F.bit_count(x.bitwiseOR(y)))
+    """Whether near-duplicates are possible; a bound that follows from the similarity and loses no pair.
+
+    A bit that only one bitmap has stands for at least one shingle that only this line has, so each set shares at most
+    its size without such bits.
+    """
+    words = [(F.col(f"{one}.w{i}"), F.col(f"{other}.w{i}")) for i in range(WORDS)]
+    n, k = F.col(f"{one}.n"), F.col(f"{other}.n")
+    only_one = sum((F.bit_count(x.bitwiseAND(F.bitwise_not(y))) for x, y in words), F.lit(0))
+    only_other = sum((F.bit_count(y.bitwiseAND(F.bitwise_not(x))) for x, y in words), F.lit(0))
+    return (1 + THRESHOLD) * F.least(n - only_one, k - only_other) >= THRESHOLD * (n + k)
 
 
 def distinct_lines(lines: DataFrame) -> DataFrame:
@@ -99,20 +101,59 @@ def distinct_lines(lines: DataFrame) -> DataFrame:
     return grouped.withColumn("num", F.monotonically_increasing_id())
 
 
-def candidate_pairs(distinct: DataFrame) -> DataFrame:
-    """Pairs (a, b) of line numbers with a band in common and similar sketches: a star per band key."""
+def shared_bands(distinct: DataFrame) -> DataFrame:
+    """(key, num, sketch, low, high, low_sketch, high_sketch) of every band key that two lines have."""
     rows = distinct.select("num", "sketch", F.explode("bands").alias("key"))
     ends = rows.groupBy("key").agg(
         F.min("num").alias("low"), F.max("num").alias("high"),
         F.min_by("sketch", "num").alias("low_sketch"), F.max_by("sketch", "num").alias("high_sketch"),
     ).filter("low < high")
-    joined = rows.join(ends, "key")
+    return rows.join(ends, "key")
+
+
+def star_pairs(shared: DataFrame) -> DataFrame:
+    """Pairs (a, b) of line numbers: each line with the smallest and the largest line of its band keys."""
     to_low = F.when((F.col("num") != F.col("low")) & _near("sketch", "low_sketch"), F.col("low"))
     to_high = F.when((F.col("num") != F.col("high")) & _near("sketch", "high_sketch"), F.col("high"))
-    pairs = joined.select("num", F.explode(F.array(to_low, to_high)).alias("other")).filter("other IS NOT NULL")
+    pairs = shared.select("num", F.explode(F.array(to_low, to_high)).alias("other")).filter("other IS NOT NULL")
     return pairs.select(F.least("num", "other").alias("a"), F.greatest("num", "other").alias("b")).distinct()
 
 
+def open_rows(shared: DataFrame, groups: DataFrame) -> DataFrame:
+    """(key, num, sketch, component, blocks) of the band keys whose lines lie in several components."""
+    rows = shared.select("key", "num", "sketch").join(groups.withColumnRenamed("id", "num"), "num", "left")
+    rows = rows.withColumn("component", F.coalesce("component", "num"))
+    several = rows.groupBy("key").agg(F.count("*").alias("lines"), F.min("component").alias("x"), F.max("component").alias("y"))
+    several = several.filter("x < y").select("key", F.ceil(F.col("lines") / BLOCK).cast("int").alias("blocks"))
+    return rows.join(several, "key")
+
+
+def hub_pairs(rows: DataFrame) -> DataFrame:
+    """Pairs (a, b) of each open line with HUBS lines of its keys, chosen by hash: they unite most of what belongs together."""
+    hub = F.struct("num", "sketch", "component")
+    hubs = rows.groupBy("key").agg(F.array_distinct(F.array(*[F.min_by(hub, F.xxhash64("num", F.lit(i))) for i in range(HUBS)])).alias("hubs"))
+    met = rows.join(hubs, "key").withColumn("hub", F.explode("hubs")).withColumn("other", F.col("hub.sketch"))
+    met = met.filter((F.col("component") != F.col("hub.component")) & _near("sketch", "other"))
+    return met.select(F.least("num", "hub.num").alias("a"), F.greatest("num", "hub.num").alias("b")).distinct()
+
+
+def remaining_pairs(rows: DataFrame, done: DataFrame) -> DataFrame:
+    """Pairs (a, b) of open lines with a band in common that are not among `done` and lie in different components.
+
+    Every line meets every line of another component; a key's lines are dealt into blocks of BLOCK, and each pair of
+    blocks is a join key of its own.
+    """
+    open_ = rows.withColumn("block", F.pmod(F.xxhash64("num"), F.col("blocks")).cast("int"))
+    # Blocks i <= j meet under (i, j): a line of block k is on the left for (k, j) and on the right for (i, k).
+    left = open_.withColumn("i", F.col("block")).withColumn("j", F.explode(F.sequence("block", F.col("blocks") - 1)))
+    right = open_.withColumn("j", F.col("block")).withColumn("i", F.explode(F.sequence(F.lit(0), "block")))
+    left = left.select("key", "i", "j", F.col("num").alias("u"), F.col("sketch").alias("s"), F.col("component").alias("c"))
+    right = right.select("key", "i", "j", F.col("num").alias("v"), F.col("sketch").alias("t"), F.col("component").alias("d"))
+    met = left.join(right, ["key", "i", "j"]).filter((F.col("c") != F.col("d")) & ((F.col("i") < F.col("j")) | (F.col("u") < F.col("v"))) & _near("s", "t"))
+    pairs = met.select(F.least("u", "v").alias("a"), F.greatest("u", "v").alias("b")).distinct()
+    return pairs.join(done, ["a", "b"], "left_anti")
+
+
 def shingles(line: str) -> Column:
     whole = F.array_distinct(F.regexp_extract_all(line, F.lit("(?s)(?=(.{%d}))" % SHINGLE), F.lit(1)))
     return F.when(F.length(line) < SHINGLE, F.array(F.col(line))).otherwise(whole)
@@ -147,8 +188,19 @@ def removed_lines(docs: DataFrame) -> DataFrame:
     lines = lines_of(docs)
     distinct_lines(lines).write.parquet(f"{root}/distinct")
     distinct = docs.sparkSession.read.parquet(f"{root}/distinct")
-    pairs = durable(candidate_pairs(distinct))
-    groups = components(confirmed(pairs, distinct, lines))
+    shared = durable(shared_bands(distinct))
+    stars = durable(star_pairs(shared))
+    links = durable(confirmed(stars, distinct, lines))
+    rows = durable(open_rows(shared, components(links)))
+    release(docs.sparkSession)
+    if not rows.isEmpty():
+        hubs = durable(hub_pairs(rows))
+        links = links.unionByName(durable(confirmed(hubs, distinct, lines)))
+        rows = open_rows(rows, components(links))
+        rest = durable(remaining_pairs(rows, stars.unionByName(hubs)))
+        links = durable(links.unionByName(confirmed(rest, distinct, lines)))
+        release(docs.sparkSession)
+    groups = components(links)
     known = distinct.select("num", "id", "first", "times").join(groups.withColumnRenamed("id", "num"), "num", "left")
     heads = known.filter("component IS NOT NULL").groupBy("component").agg(F.min("first").alias("kept"))
     kept = known.join(heads, "component", "left").withColumn("kept", F.coalesce("kept", "first"))

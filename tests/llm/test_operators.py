@@ -244,6 +244,45 @@ def test_lines_of_awkward_rows(awkward, nothing):
     assert op03_fuzzy_lines.fuzzy_line_dedup(nothing).count() == 0
 
 
+def line_docs(spark, lines):
+    return spark.createDataFrame(list(enumerate(lines)), "doc_id long, text string")
+
+
+def test_near_copies_are_found_however_many_lines_share_a_band(spark):
+    rng = random.Random(11)
+    words = [sentence(rng, 1) for _ in range(60)]
+    lines = [" ".join(rng.choices(words, k=8)) for _ in range(900)]
+    lines += [x[:-1] + ("x" if x[-1] != "x" else "y") for x in lines[:300]]
+    distinct = op03_fuzzy_lines.distinct_lines(op03_fuzzy_lines.lines_of(line_docs(spark, lines))).persist()
+    # As if all lines had one band in common: no pair may be left out then.
+    hot = distinct.withColumn("bands", F.array(F.lit(1).cast("long"))).persist()
+    shared = op03_fuzzy_lines.shared_bands(hot)
+    stars = op03_fuzzy_lines.star_pairs(shared).persist()
+    nothing = spark.createDataFrame([], "id long, component long")
+    rest = op03_fuzzy_lines.remaining_pairs(op03_fuzzy_lines.open_rows(shared, nothing), stars)
+    place = {r["num"]: r["first"]["doc_id"] for r in hot.collect()}
+    found = {tuple(sorted((place[r["a"]], place[r["b"]]))) for r in stars.unionByName(rest).collect()}
+    sets = [shingles(x) for x in lines]
+    for i in range(300):
+        a, b = sets[i], sets[900 + i]
+        assert lines[i] == lines[900 + i] or len(a & b) < 0.75 * len(a | b) or (i, 900 + i) in found
+    gone = {r["doc_id"] for r in op03_fuzzy_lines.removed_lines(line_docs(spark, lines)).collect()}
+    close = [900 + i for i in range(300) if len(sets[i] & sets[900 + i]) >= 0.75 * len(sets[i] | sets[900 + i])]
+    assert len(gone & set(close)) >= 0.97 * len(close)
+
+
+def test_equal_shingle_sets_of_other_lengths_are_linked(spark):
+    lines = ["-" * 40, "-" * 80, "=" * 30 + "#" * 30, "ab" * 10, "ab" * 50]
+    assert {r["doc_id"] for r in op03_fuzzy_lines.removed_lines(line_docs(spark, lines)).collect()} == {1, 4}
+
+
+def test_near_copies_without_white_space_are_found(spark):
+    rng = random.Random(12)
+    lines = ["".join(chr(0x4E00 + rng.randrange(3000)) for _ in range(120)) for _ in range(40)]
+    lines += [chr(0x3042) + x[1:] for x in lines]
+    assert len(op03_fuzzy_lines.removed_lines(line_docs(spark, lines)).collect()) == 40
+
+
 # 4. Suffix index
 
 
