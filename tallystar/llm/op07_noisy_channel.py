@@ -1,8 +1,8 @@
 """Toxicity by noisy-channel deobfuscation.
 
 1. A character language model: counts of four characters in a row over the whole corpus, interpolated.
-2. Suspicious tokens of a text (figures or symbols among letters, a letter three times in a row, single letters
-   in a row with separators) become character lattices: a figure may stand for a letter, a repeated letter or a
+2. Suspicious tokens of a text (figures or symbols next to letters, doubled letters, separators within a word,
+   single letters in a row with one or two separators) become character lattices: a figure may stand for a letter, a repeated letter or a
    separator may be dropped. Viterbi finds the reading of smallest cost under channel and model; it replaces
    the token. Other tokens have a single path and stay.
 3. The restored text is scored by a lexicon of words and word beginnings, and a logistic model over what it
@@ -18,6 +18,7 @@ are ignored; repeated rows are scored each.
 
 from __future__ import annotations
 
+import re
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -57,9 +58,11 @@ CODE[128:] = 27
 LETTER = CODE > 0
 FIGURE = np.isin(np.arange(256), list(b"0123456789"))
 SYMBOL = np.isin(np.arange(256), list(b"@$!|+*("))
-LEADING = np.isin(np.arange(256), list(b"@$!|"))
 SPACE = np.isin(np.arange(256), list(b" \t\n\r\x0b\x0c\x00"))
 SEPARATOR = np.isin(np.arange(256), list(SEPARATORS.encode()))
+SIGNS = re.compile(rb"[A-Za-z0-9\x80-\xff@$!|+(]")
+# A single sign has separators or white space around it.
+SPELLED = re.compile(rb"(?<![^ .\-_*,/\t\n\r\x0b\x0c\x00])%b(?:[ .\-_*,/]{1,2}%b)+(?![^ .\-_*,/\t\n\r\x0b\x0c\x00])" % (SIGNS.pattern, SIGNS.pattern))
 
 WORDS = bytes(b + 32 if 65 <= b <= 90 else b if 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
 
@@ -152,32 +155,21 @@ def suspicious(joined: np.ndarray) -> np.ndarray:
     hit = np.zeros(len(joined), bool)
     hit[1:] |= figure[1:] & letter[:-1]
     hit[:-1] |= figure[:-1] & letter[1:]
-    hit[1:-1] |= symbol[1:-1] & letter[:-2] & letter[2:]
-    hit[1:-1] |= LEADING[joined][1:-1] & space[:-2] & letter[2:]
+    hit[1:] |= symbol[1:] & letter[:-1]
+    hit[:-1] |= symbol[:-1] & letter[1:]
+    # A separator within a token: behind a letter, and before a letter or another separator.
+    gap = SEPARATOR[joined] & ~space
+    hit[1:-1] |= gap[1:-1] & letter[:-2] & (letter | gap)[2:]
     lower = np.where(letter, joined | 32, 0)
-    hit[2:] |= letter[2:] & (joined[2:] < 128) & (lower[2:] == lower[1:-1]) & (lower[1:-1] == lower[:-2])
+    hit[1:] |= letter[1:] & (joined[1:] < 128) & (lower[1:] == lower[:-1])
     return np.flatnonzero(hit)
 
 
-def spelled_out(joined: np.ndarray) -> list[tuple[int, int]]:
-    """Stretches of three or more single characters with one separator between each two."""
-    sign = LETTER[joined] | FIGURE[joined] | SYMBOL[joined] & ~SEPARATOR[joined]
-    gap = SEPARATOR[joined]
-    # A single sign: separators or white space around it.
-    edge = gap | SPACE[joined]
-    single = np.zeros(len(joined), bool)
-    single[1:-1] = sign[1:-1] & edge[:-2] & edge[2:]
-    linked = np.zeros(len(joined), bool)
-    linked[1:-1] = gap[1:-1] & single[:-2] & single[2:]
-    starts = np.flatnonzero(linked)
-    found: list[tuple[int, int]] = []
-    for at in starts.tolist():
-        if found and found[-1][1] == at:
-            found[-1] = (found[-1][0], at + 2)
-        else:
-            found.append((at - 1, at + 2))
-    # Three letters at least; figures alone are no word.
-    return [(a, b) for a, b in found if b - a >= 5 and LETTER[joined[a:b]].sum() >= 2]
+def spelled_out(joined: bytes) -> list[tuple[int, int]]:
+    """Stretches of three or more single characters with one or two separators between each two."""
+    # Three signs at least; figures alone are no word.
+    found = (m for m in SPELLED.finditer(joined) if len(SIGNS.findall(m[0])) >= 3)
+    return [m.span() for m in found if LETTER[np.frombuffer(m[0], np.uint8)].sum() >= 2]
 
 
 @dataclass
@@ -200,7 +192,7 @@ class Restorer:
         """The restored texts. They are looked at in one array, with white space in between."""
         joined = b"\n" + b"\n".join(texts) + b"\n"
         codes = np.frombuffer(joined, np.uint8)
-        spans = spelled_out(codes)
+        spans = spelled_out(joined)
         space = np.flatnonzero(SPACE[codes])
         at = suspicious(codes)
         tokens = np.unique(np.searchsorted(space, at))

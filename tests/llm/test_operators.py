@@ -452,6 +452,16 @@ def test_obfuscated_words_are_restored(model):
     assert restore(plain) == plain
 
 
+def test_other_forms_of_obfuscation_are_restored(model):
+    restore = op07_noisy_channel.Restorer(model[2])
+    forms = (b"lo$er", b"lo$$er", b"iiddiioott", b"id-iot", b"i--d--i--o--t", b"i  d  i  o  t", b"stup!d")
+    found = [restore([raw])[0] for raw in forms]
+    assert found == [b"loser", b"loser", b"idiot", b"idiot", b"idiot", b"idiot", b"stupid"], found
+    # Restored anew from now on, whatever the small model makes of them.
+    for raw in (b"f**k", b"a$$hole", b"(rap", b"+he"):
+        assert len(op07_noisy_channel.suspicious(np.frombuffer(b"\n" + raw + b"\n", np.uint8)))
+
+
 def test_model_rows_are_probabilities(model):
     assert np.allclose(np.exp(model[2]).sum(axis=1), 1, atol=1e-4)
 
