@@ -16,7 +16,10 @@ from tallystar.llm.op07_noisy_channel import op7_noisy_channel
 from tallystar.llm.op08_quality_rules import op8_quality_rules
 from tallystar.llm.op09_templates import op9_templates
 from tallystar.llm.op10_signature_tree import op10_signature_tree
-from tallystar.llm.oracle import JACCARD_COMPONENTS, REPEATED_PASSAGES
+from tallystar.llm.op11_fill_in_middle import op11_fill_in_middle
+from tallystar.llm.op12_event_chat import op12_event_chat
+from tallystar.llm.op13_divergence_audit import op13_divergence_audit
+from tallystar.llm.oracle import DIVERGENCE_AUDIT, EVENT_CHAT, FILL_IN_MIDDLE, JACCARD_COMPONENTS, REPEATED_PASSAGES
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -31,9 +34,15 @@ QUERIES: dict[str, Query] = {
     "op8_quality_rules": op8_quality_rules,
     "op9_templates": op9_templates,
     "op10_signature_tree": op10_signature_tree,
+    "op11_fill_in_middle": op11_fill_in_middle,
+    "op12_event_chat": op12_event_chat,
+    "op13_divergence_audit": op13_divergence_audit,
 }
 
 SQL: dict[str, str] = {
     "op4_suffix_index": REPEATED_PASSAGES,
     "op10_signature_tree": JACCARD_COMPONENTS,
+    "op11_fill_in_middle": FILL_IN_MIDDLE,
+    "op12_event_chat": EVENT_CHAT,
+    "op13_divergence_audit": DIVERGENCE_AUDIT,
 }

@@ -52,4 +52,4 @@ def test_run_gives_the_rows_of_the_last_stage(spark, steps):
 def test_queries_are_registered():
     known = __spark_entry__.queries()
     assert "pipeline" in known and set(QUERIES) <= set(known) and set(SQL) <= set(QUERIES)
-    assert sorted({int(n[2:].split("_")[0]) for n in QUERIES}) == list(range(1, 11))
+    assert sorted({int(n[2:].split("_")[0]) for n in QUERIES}) == list(range(1, 14))
