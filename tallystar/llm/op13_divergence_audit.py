@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tallystar.llm.common import batches, durable, map_batches, number_within, table, text_bytes
+from tallystar.llm.common import durable, map_batches, number_within, table, text_bytes
 
 MIN_DOCUMENTS = 10
 TOP_TERMS = 10
@@ -50,33 +50,46 @@ def _count(iterator: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Occurrences and documents of each term, per group, summed within the task; the empty term marks a group."""
     held: dict[tuple[str, str], tuple[Counter, Counter]] = {}
 
-    def handed_on() -> pa.RecordBatch:
-        rows = [
-            (lang, source, term.decode(), n, docs[term])
-            for (lang, source), (times, docs) in held.items()
-            for term, n in times.items()
-        ]
+    def handed_on() -> Iterator[pa.RecordBatch]:
+        for (lang, source), (times, docs) in held.items():
+            terms = list(times)
+            columns = [
+                pa.repeat(pa.scalar(lang, pa.string()), len(terms)),
+                pa.repeat(pa.scalar(source, pa.string()), len(terms)),
+                pa.array(terms, pa.binary()).cast(pa.string()),
+                pa.array(times.values(), pa.int64(), size=len(terms)),
+                pa.array([docs[t] for t in terms], pa.int64()),
+            ]
+            yield pa.RecordBatch.from_arrays(columns, schema=COUNT_ARROW)
         held.clear()
-        return batches(dict(zip(COUNT_ARROW.names, map(list, zip(*rows, strict=True)), strict=True)), COUNT_ARROW)
 
     for batch in iterator:
         langs, sources = batch.column("lang").to_pylist(), batch.column("source").to_pylist()
         for lang, source, text in zip(langs, sources, text_bytes(batch), strict=True):
             times, docs = held.setdefault((lang, source), (Counter({b"": 0}), Counter()))
-            found = Counter(TERM.findall(text.lower()))
+            found = TERM.findall(text.lower())
             times.update(found)
-            docs.update(found.keys())
+            docs.update(set(found))
         if sum(len(times) for times, _ in held.values()) >= HELD:
-            yield handed_on()
-    if held:
-        yield handed_on()
+            yield from handed_on()
+    yield from handed_on()
 
 
-def term_counts(docs: DataFrame) -> DataFrame:
-    """(lang, source, term, n, docs); each group has a row of the empty term and no occurrences."""
+def term_counts(docs: DataFrame, min_documents: int = MIN_DOCUMENTS) -> DataFrame:
+    """(lang, source, term, n, lang_n) of the kept terms; each group also has a row of the empty term.
+
+    Tasks have summed their rows, so those of a term are at most sources x tasks. They meet once, by (lang, term):
+    the sums per group and over the language follow without another shuffle.
+    """
     filled = docs.select(*[F.coalesce(c, F.lit("")).alias(c) for c in ("lang", "source", "text")])
-    counted = map_batches(filled, _count, COUNT_SCHEMA)
-    return counted.groupBy("lang", "source", "term").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
+    met = map_batches(filled, _count, COUNT_SCHEMA).repartition("lang", "term")
+    summed = met.groupBy("lang", "source", "term").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
+    everywhere = Window.partitionBy("lang", "term")
+    return (
+        summed.withColumns({"lang_n": F.sum("n").over(everywhere), "lang_docs": F.sum("docs").over(everywhere)})
+        .filter((F.col("lang_docs") >= min_documents) | (F.col("term") == ""))
+        .select("lang", "source", "term", "n", "lang_n")
+    )
 
 
 def probability(count: Column, total: Column, kept: Column) -> Column:
@@ -152,11 +165,10 @@ def _block_pairs(run: list[pa.RecordBatch], key: tuple[str, int, int, int], tile
     return pa.RecordBatch.from_pydict(found, schema=PAIR_ARROW)
 
 
-def vocabulary(counts: DataFrame, min_documents: int = MIN_DOCUMENTS) -> DataFrame:
+def vocabulary(counts: DataFrame) -> DataFrame:
     """(lang, term, n, id): kept terms with their occurrences in the language and a dense number, most used first."""
-    used = counts.filter("term <> ''").groupBy("lang", "term").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
-    kept = used.filter(F.col("docs") >= min_documents).select("lang", "term", "n", (-F.col("n")).alias("by"))
-    return number_within(kept, ["lang"], ["by", "term"], "id").drop("by")
+    kept = counts.filter("term <> ''").groupBy("lang", "term").agg(F.max("lang_n").alias("n"))
+    return number_within(kept.withColumn("by", -F.col("n")), ["lang"], ["by", "term"], "id").drop("by")
 
 
 def count_levels(of_groups: DataFrame, groups: DataFrame) -> DataFrame:
@@ -180,15 +192,11 @@ def source_divergence(
     docs: DataFrame, min_documents: int = MIN_DOCUMENTS, top_terms: int = TOP_TERMS, tile: int = TILE
 ) -> DataFrame:
     """(lang, source, part, item, value, rank): every other source of the language, and the terms a group favours."""
-    counts = durable(term_counts(docs))
-    terms = durable(vocabulary(counts, min_documents))
+    counts = durable(term_counts(docs, min_documents))
+    terms = durable(vocabulary(counts))
     langs = terms.groupBy("lang").agg(F.count("*").alias("kept"), F.sum("n").alias("lang_total"))
     numbered = number_within(counts.filter("term = ''").select("lang", "source"), ["lang"], ["source"], "number")
-    used = (
-        counts.filter("term <> ''")
-        .select("lang", "source", "term", F.col("n").alias("count"))
-        .join(terms.select("lang", "term", F.col("n").alias("lang_count"), "id"), ["lang", "term"])
-    )
+    used = counts.filter("term <> ''").select("lang", "source", "term", F.col("n").alias("count"), F.col("lang_n").alias("lang_count"))
     totals = used.groupBy("lang", "source").agg(F.sum("count").alias("total"))
     groups = durable(
         numbered.join(totals, ["lang", "source"], "left")
@@ -199,7 +207,9 @@ def source_divergence(
         )
     )
     of_groups = durable(
-        used.join(groups, ["lang", "source"]).select(
+        used.join(terms.select("lang", "term", "id"), ["lang", "term"])
+        .join(groups, ["lang", "source"])
+        .select(
             "lang", "source", "number", "term", "id", F.col("count").alias("n"),
             probability(F.col("count"), F.col("total"), F.col("kept")).alias("p"),
             probability(F.col("lang_count"), F.col("lang_total"), F.col("kept")).alias("q"),
