@@ -1,6 +1,6 @@
 """The star in plain SQL, written the direct way (join all labels, then aggregate).
 
-Cells keep ten decimals until they are summed, as in the staging rules. Derived tables follow the written rules:
+Cells keep ten decimals in every layer. Derived tables follow the written rules:
 missing cells are counted one by one, metrics come from a calendar of numbered months, deviations from sums of
 squares.
 """
@@ -49,9 +49,9 @@ staging AS (
 ),
 grain AS (
   SELECT state, municipality, indicator, ref_month, jurisdiction, agent, weapon, age_band, source_year,
-         CAST(SUM(female) AS DECIMAL(14,3)) AS female, CAST(SUM(male) AS DECIMAL(14,3)) AS male,
-         CAST(SUM(unknown_sex) AS DECIMAL(14,3)) AS unknown_sex,
-         CAST(SUM(count_value) AS DECIMAL(14,3)) AS count_value, CAST(SUM(weight_value) AS DECIMAL(14,3)) AS weight_value
+         CAST(SUM(female) AS DECIMAL(24,10)) AS female, CAST(SUM(male) AS DECIMAL(24,10)) AS male,
+         CAST(SUM(unknown_sex) AS DECIMAL(24,10)) AS unknown_sex,
+         CAST(SUM(count_value) AS DECIMAL(24,10)) AS count_value, CAST(SUM(weight_value) AS DECIMAL(24,10)) AS weight_value
   FROM staging GROUP BY 1, 2, 3, 4, 5, 6, 7, 8, 9
 ),
 dim_time AS (
@@ -102,7 +102,7 @@ labelled AS (
   SELECT t.*, p.place_id, p.state, p.municipality, p.region,
          i.indicator_id, i.indicator, i.family, i.unit, i.kind, i.semantic_group,
          j.jurisdiction_id, j.jurisdiction, a.agent_id, a.agent, w.weapon_id, w.weapon,
-         b.age_band_id, b.age_band, s.sex_id, s.sex, CAST(l.value AS DECIMAL(14,3)) AS value, l.source_year
+         b.age_band_id, b.age_band, s.sex_id, s.sex, CAST(l.value AS DECIMAL(24,10)) AS value, l.source_year
   FROM long l
   JOIN dim_time t ON t.ref_month = l.ref_month
   JOIN dim_place p ON p.state = l.state AND p.municipality = l.municipality

@@ -2,9 +2,9 @@
 
 A window or a `percentile` aggregate brings a whole group to one task. Ranks come from one range sort
 with offsets per partition. For percentiles the distinct stored values of a group are counted first and
-put into buckets that follow the order of the values. Counts then run on two levels, over the buckets of
-a group and over the values of a bucket. Both are bounded: with three decimals a bucket of this width
-holds at most 10**7 values, and a group of values up to 10**11 has at most 10**7 buckets.
+put into buckets that follow the order of the values, coarse and fine. Counts then run on three levels:
+over the coarse buckets of a group, the fine buckets of a coarse one, and the values of a fine one. With ten
+decimals and values up to 10**11 each level holds at most 10**7 parts.
 """
 
 from __future__ import annotations
@@ -18,21 +18,7 @@ from tallystar.functions.columns import join_groups
 from tallystar.operators.sequence import ROW_BITS
 from tallystar.storage import settle
 
-BUCKET_WIDTH = 10_000.0
-
-
-def _levels(counts: DataFrame, keys: list[str], value: str) -> tuple[DataFrame, DataFrame]:
-    """Values and buckets of each group, with the number of rows `_n` of each."""
-    # Cast, division and floor never swap two values, which is all the buckets need.
-    bucket = F.floor(F.col(value).cast("double") / F.lit(BUCKET_WIDTH))
-    values = counts.withColumn("_bucket", bucket)
-    return values, values.groupBy(*keys, "_bucket").agg(F.sum("_n").alias("_n"))
-
-
-def _ahead(within: list[str], order: Column) -> Column:
-    """Rows ordered before this part of the group."""
-    window = Window.partitionBy(*within).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
-    return F.coalesce(F.sum("_n").over(window), F.lit(0))
+BUCKET_WIDTHS = (10_000.0, 0.001)
 
 
 def rank_within(df: DataFrame, keys: list[str], value: str, name: str, dense: bool = False) -> DataFrame:
@@ -72,11 +58,29 @@ def window_rank(df: DataFrame, keys: list[str], value: str, name: str, dense: bo
     return df.withColumn(name, F.when(F.col(value).isNotNull(), function().over(window)).cast("bigint"))
 
 
-def _within_level(level: DataFrame, keys: list[str], order: str) -> DataFrame:
-    """Targets whose row number falls into this part; the row number then counts from its start."""
-    ahead = _ahead(keys, F.asc(order)).alias("_ahead")
-    hit = (F.col("_ahead") <= F.col("_row")) & (F.col("_row") < F.col("_ahead") + F.col("_n"))
-    return level.select("*", ahead).where(hit).withColumn("_row", F.col("_row") - F.col("_ahead"))
+def _targets(points: Mapping[str, float], total: Column) -> Column:
+    """Two row numbers per point (0-based), below and above its position, and how far it lies between them."""
+
+    def target(name: str, side: str, point: float) -> Column:
+        position = F.lit(float(point)) * (total - 1)
+        row = F.floor(position) if side == "low" else F.ceil(position)
+        return F.struct(
+            F.lit(name).alias("name"), F.lit(side).alias("side"), row.alias("row"), (position - F.floor(position)).alias("between")
+        )
+
+    return F.array(*[target(name, side, point) for name, point in points.items() for side in ("low", "high")])
+
+
+def _holding_targets(parts: DataFrame, within: list[str], order: str) -> DataFrame:
+    """The parts that hold a target, with those targets counted from the part's first row.
+
+    A running count over the parts is held against the list of targets, so a part is never copied per target.
+    """
+    earlier = Window.partitionBy(*within).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    counted = parts.withColumn("_ahead", F.coalesce(F.sum("_n").over(earlier), F.lit(0)))
+    here = F.filter("_targets", lambda t: (t["row"] >= F.col("_ahead")) & (t["row"] < F.col("_ahead") + F.col("_n")))
+    moved = F.transform(here, lambda t: t.withField("row", t["row"] - F.col("_ahead")))
+    return counted.select(*within, order, moved.alias("_targets")).where(F.size("_targets") > 0)
 
 
 def quantiles(
@@ -84,52 +88,38 @@ def quantiles(
 ) -> DataFrame:
     """Exact inclusive percentiles with linear interpolation, one column per named point.
 
-    `weight` names a column with the number of times each row counts. Only the buckets a point
-    falls into are opened.
+    `weight` names a column with the number of times each row counts. All points are looked for in one pass
+    over each level, and only the buckets that hold one are opened.
     """
     if not keys:
         one_group = quantiles(df.withColumn("_all", F.lit(0)), ["_all"], value, points, weight)
         return one_group.drop("_all")
     times = F.sum(weight) if weight else F.count("*")
-    counts = df.where(F.col(value).isNotNull()).groupBy(*keys, value).agg(times.alias("_n"))
-    values, buckets = _levels(counts, keys, value)
-
-    # Two row numbers per point (0-based), below and above its position.
-    wanted = F.explode(F.array(*[F.struct(F.lit(n).alias("name"), F.lit(float(p)).alias("p")) for n, p in points.items()]))
-    position = F.col("_point.p") * (F.col("_total") - 1)
-    sides = F.explode(
-        F.array(
-            F.struct(F.lit("low").alias("side"), F.floor("_position").alias("row")),
-            F.struct(F.lit("high").alias("side"), F.ceil("_position").alias("row")),
-        )
-    )
-    target = ["_name", "_side"]
-    totals = buckets.groupBy(*keys).agg(F.sum("_n").alias("_total"))
-    targets = (
-        totals.select("*", wanted.alias("_point"))
-        .withColumn("_position", position)
-        .select("*", sides.alias("_s"))
-        .select(
-            *keys,
-            F.col("_point.name").alias("_name"),
-            F.col("_s.side").alias("_side"),
-            F.col("_s.row").alias("_row"),
-            (F.col("_position") - F.floor("_position")).alias("_part"),
-        )
+    # Cast, division and floor never swap two values, which is all the buckets need.
+    buckets = {f"_bucket_{i}": F.floor(F.col(value).cast("double") / F.lit(w)) for i, w in enumerate(BUCKET_WIDTHS)}
+    values = (
+        df.where(F.col(value).isNotNull()).groupBy(*keys, value).agg(times.alias("_n")).withColumns(buckets)
     )
-    keep = [*keys, *target, "_row", "_part"]
-    found = _within_level(join_groups(buckets, targets, keys), [*keys, *target], "_bucket").select(*keep, "_bucket")
-    opened = join_groups(values, found, [*keys, "_bucket"])
-    found = _within_level(opened, [*keys, *target], value)
 
-    def pick(name: str, side: str) -> Column:
-        return F.max(F.when((F.col("_name") == name) & (F.col("_side") == side), F.col(value).cast("double")))
+    coarse, *finer = buckets
+    total = F.sum("_n").over(Window.partitionBy(*keys))
+    parts = values.groupBy(*keys, coarse).agg(F.sum("_n").alias("_n")).withColumn("_targets", _targets(points, total))
+    found, within = _holding_targets(parts, keys, coarse), [*keys, coarse]
+    for bucket in finer:
+        opened = join_groups(values, found, within).groupBy(*within, bucket)
+        parts = opened.agg(F.sum("_n").alias("_n"), F.first("_targets").alias("_targets"))
+        found, within = _holding_targets(parts, within, bucket), [*within, bucket]
+    found = _holding_targets(join_groups(values, found, within), within, value)
 
-    def part(name: str) -> Column:
-        return F.max(F.when(F.col("_name") == name, F.col("_part")))
+    at = found.select(*keys, F.col(value).cast("double").alias("_value"), F.explode("_targets").alias("_target"))
+
+    def pick(name: str, side: str) -> Column:
+        wanted = (F.col("_target.name") == name) & (F.col("_target.side") == side)
+        return F.max(F.when(wanted, F.col("_value")))
 
-    def between(name: str) -> Column:
+    def interpolated(name: str) -> Column:
         low, high = pick(name, "low"), pick(name, "high")
-        return (low + part(name) * (high - low)).alias(name)
+        between = F.max(F.when(F.col("_target.name") == name, F.col("_target.between")))
+        return (low + between * (high - low)).alias(name)
 
-    return found.groupBy(*keys).agg(*[between(name) for name in points])
+    return at.groupBy(*keys).agg(*[interpolated(name) for name in points])

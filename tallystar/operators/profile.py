@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallystar.functions.columns import mean, percent, share_of
-from tallystar.schema import FAMILY_MEASURES, MEASURE_TYPE, RAW_COLUMNS, SEX_MEASURES
+from tallystar.schema import FAMILY_MEASURES, RAW_COLUMNS, RAW_MEASURE_TYPE, SEX_MEASURES
 
 TEXT_COLUMNS = ("state", "municipality", "indicator", "agent", "weapon", "age_band", "jurisdiction")
 NUMBER_COLUMNS = SEX_MEASURES + ("victim_total", "count_value", "weight_value")
@@ -41,7 +41,7 @@ def number_statistics(raw: DataFrame, columns: Sequence[str] = NUMBER_COLUMNS) -
     """Extremes, sum, mean and number of negative values per year and numeric column."""
 
     def stats(c: str) -> Column:
-        value = F.col(c).cast(MEASURE_TYPE)
+        value = F.col(c).cast(RAW_MEASURE_TYPE)
         return F.struct(
             F.min(value).alias("minimum"),
             F.max(value).alias("maximum"),
@@ -128,8 +128,9 @@ def repetition_by_state(raw: DataFrame, key: Sequence[str] = RAW_COLUMNS, digits
 
 def victim_total_mismatches(raw: DataFrame) -> DataFrame:
     """Rows whose stated victim total is not the sum over the sexes; an absent sex adds nothing."""
-    parts = sum((F.coalesce(F.col(m).cast(MEASURE_TYPE), F.lit(0)) for m in SEX_MEASURES), F.lit(0).cast(MEASURE_TYPE))
-    stated = F.col("victim_total").cast(MEASURE_TYPE)
+    nothing = F.lit(0).cast(RAW_MEASURE_TYPE)
+    parts = sum((F.coalesce(F.col(m).cast(RAW_MEASURE_TYPE), nothing) for m in SEX_MEASURES), nothing)
+    stated = F.col("victim_total").cast(RAW_MEASURE_TYPE)
     return raw.groupBy(YEAR).agg(F.count(stated).alias("stated"), F.count_if(stated != parts).alias("mismatches"))
 
 

@@ -10,7 +10,7 @@ from tallystar.schema import KEY_STRINGS, MEASURES, RAW_MEASURE_TYPE, STAGING_CO
 
 
 def build_staging(raw: DataFrame) -> DataFrame:
-    """Trim, cast, prune; measures keep more decimals than the fact, which rounds sums, not rows. Raw carries `source_year`; the derived victim total is left behind.
+    """Trim, cast, prune; measures keep ten decimals, like grain and fact. Raw carries `source_year`; the derived victim total is left behind.
 
     Casts are strict (ANSI): text that is no number or date fails the job.
     """

@@ -17,7 +17,7 @@ from tallystar.operators.facts import not_reported
 from tallystar.operators.ordering import quantiles, rank_within, window_rank
 from tallystar.plans.star import Star
 from tallystar.reference import semantic_group
-from tallystar.schema import MONTHS_PER_FULL_YEAR, WEIGHT
+from tallystar.schema import MONTHS_PER_FULL_YEAR, TIMES_TYPE, WEIGHT
 
 LABELS = ("indicator", "family", "unit")
 UPPER_POINTS = {"p90": 0.90, "p95": 0.95, "p99": 0.99}
@@ -369,7 +369,7 @@ def weight_percentiles(star: Star) -> DataFrame:
     counts, keys = weight_counts(star), ["indicator_id", "year"]
     stats = counts.groupBy(*keys).agg(
         F.sum("times").alias("row_count"),
-        F.sum(F.col("value") * F.col("times")).alias("total"),
+        F.sum(F.col("value") * F.col("times").cast(TIMES_TYPE)).alias("total"),
         F.max("value").alias("maximum"),
     )
     points = {"median": 0.5} | UPPER_POINTS
@@ -387,7 +387,7 @@ def outlier_contrast(counts: DataFrame, limits: DataFrame, keys: list[str], weig
     Nothing is removed from the data. `weight` is the number of rows with each value.
     """
     below = number("value") <= F.col("p99")
-    weighted = F.col("value") * F.col(weight)
+    weighted = F.col("value") * F.col(weight).cast(TIMES_TYPE)
     return (
         join_groups(counts, limits, keys)
         .groupBy(*keys)

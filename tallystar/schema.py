@@ -4,9 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import types as T
 
-MEASURE_TYPE = T.DecimalType(14, 3)
-# Of raw and staged cells: rows are summed before they are rounded.
+# Of raw and staged cells.
 RAW_MEASURE_TYPE = T.DecimalType(28, 10)
+# Of grain and fact: as many decimals as a cell, so nothing is rounded before the warehouse.
+MEASURE_TYPE = T.DecimalType(24, 10)
+WAREHOUSE_TYPE = T.DecimalType(14, 3)
+# A measure times a number of rows of this type is exact.
+TIMES_TYPE = T.DecimalType(13, 0)
 MONTHS_PER_FULL_YEAR = 12
 
 VICTIM, COUNT, WEIGHT = "victim", "count", "weight"

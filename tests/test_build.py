@@ -120,7 +120,7 @@ def test_fact_rules(star):
     assert "victim_total" not in star.fact.columns
     assert star.fact.where("sex_id is null").count() == 4
     types = dict(star.fact.dtypes)
-    assert types["value"] == "decimal(14,3)" and types["place_id"] == "bigint" and types["time_id"] == "int"
+    assert types["value"] == "decimal(24,10)" and types["place_id"] == "bigint" and types["time_id"] == "int"
 
 
 def test_negative_value_fails_the_build(spark):

@@ -51,6 +51,20 @@ def test_quantiles_match_brute_force(skewed):
             assert found[group][name] == pytest.approx(interpolated(values, point), abs=1e-6), (group, name)
 
 
+def test_quantiles_of_fine_values_and_a_bucket_with_all_rows(spark):
+    """Values a ten-billionth apart share both kinds of buckets; all points come from one pass over the buckets."""
+    rows = [(1, Decimal(i).scaleb(-10)) for i in range(700)] + [(1, Decimal("0.5"))] * 300 + [(2, Decimal("12345678901.0000000001"))]
+    df = spark.createDataFrame(rows, "g int, v decimal(24,10)").repartition(5)
+    many = {f"p{i}": i / 20 for i in range(21)}
+    found = {r.g: r for r in quantiles(df, ["g"], "v", many).collect()}
+    values = [float(v) for g, v in rows if g == 1]
+    for name, point in many.items():
+        assert found[1][name] == pytest.approx(interpolated(values, point), abs=1e-15)
+        assert found[2][name] == float(Decimal("12345678901.0000000001"))
+    plan = quantiles(df, ["g"], "v", many)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join") == 2
+
+
 def test_quantiles_without_keys_and_with_weights(skewed):
     everything = [float(v) for _, v in skewed_rows()]
     row = quantiles(skewed, [], "v", {"p95": 0.95}).first()

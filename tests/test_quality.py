@@ -197,15 +197,16 @@ def test_a_year_filter_prunes_partitions(spark, tmp_path):
     assert "PartitionFilters: [isnotnull(source_year" in plan and "EqualTo(indicator_id,14)" in plan
 
 
-def test_fine_cells_are_summed_before_they_are_rounded(spark):
-    """Three rows of 0.0004 kg are 0.0012 in the raw feed; the fact holds 0.001, and the rest is reported."""
-    from conftest import row, star_of
-
+def test_fine_cells_reach_the_fact_unrounded(spark):
+    """Three rows of 0.0004 kg and one of 1.5 kg: every layer holds 1.5012."""
     fine = [row("SP", "A", "Apreensão de Cocaína", 2030, 1, weight_value=0.0004) for _ in range(3)]
+    fine.append(row("SP", "B", "Apreensão de Cocaína", 2030, 1, weight_value=1.5))
     found = star_of(spark, {2030: fine})
-    assert float(found.fact.first().value) == 0.001
+    assert sorted(float(r.value) for r in found.fact.collect()) == [0.0012, 1.5]
     line = quality.reconcile(found.raw, found.staging, found.fact, found.dim("indicator")).where("indicator = 'Apreensão de Cocaína'").first()
-    assert (float(line.raw_total), float(line.staging_total), float(line.fact_total)) == (0.0012, 0.0012, 0.001)
-    assert line.status == "FAIL"
-    many = star_of(spark, {2030: fine * 5})
-    assert quality.reconcile(many.raw, many.staging, many.fact, many.dim("indicator")).where("status = 'FAIL'").isEmpty()
+    assert (float(line.raw_total), float(line.staging_total), float(line.fact_total)) == (1.5012, 1.5012, 1.5012)
+    assert line.status == "PASS"
+    numbers = profile.number_statistics(found.raw, ["weight_value"]).first()
+    assert (float(numbers.minimum), float(numbers.total), numbers["mean"]) == (0.0004, 1.5012, pytest.approx(0.3753))
+    split = [dict(row("SP", "A", "Homicídio doloso", 2030, 1, female=0.0004, male=0.0, unknown_sex=0.0), victim_total=0.0001)]
+    assert tuple(profile.victim_total_mismatches(stack_years({2030: raw_frame(spark, split)})).first()) == (2030, 1, 1)
