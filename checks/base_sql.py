@@ -1,6 +1,6 @@
 """The star in plain SQL, written the direct way (join all labels, then aggregate).
 
-Cells keep ten decimals in every layer. Derived tables follow the written rules:
+Cells keep ten decimals in every layer; doubles reach them through text, which gives the written decimal. Derived tables follow the written rules:
 missing cells are counted one by one, metrics come from a calendar of numbered months, deviations from sums of
 squares.
 """
@@ -29,7 +29,7 @@ raw AS (
          CAST(CASE WHEN l_returnflag = 'A' THEN l_quantity END AS DECIMAL(28,10)) AS female,
          CAST(CASE WHEN l_returnflag = 'R' THEN l_quantity END AS DECIMAL(28,10)) AS male,
          CAST(CASE WHEN l_returnflag = 'N' THEN l_quantity END AS DECIMAL(28,10)) AS unknown_sex,
-         CAST(l_quantity AS DECIMAL(28,10)) AS victim_total,
+         CAST(CAST(l_quantity AS VARCHAR) AS DECIMAL(28,10)) AS victim_total,
          CAST(NULL AS DECIMAL(28,10)) AS count_value, CAST(NULL AS DECIMAL(28,10)) AS weight_value,
          jurisdiction, source_year
   FROM lineitem JOIN placed ON l_orderkey = o_orderkey JOIN part ON l_partkey = p_partkey
@@ -40,7 +40,7 @@ raw AS (
   UNION ALL
   SELECT state, municipality,
          CASE WHEN o_orderpriority IN ('1-URGENT', '2-HIGH') THEN 'VALUE PRIORITY' ELSE 'VALUE STANDARD' END,
-         ref_month, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, CAST(o_totalprice AS DECIMAL(28,10)), jurisdiction, source_year
+         ref_month, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, CAST(CAST(o_totalprice AS VARCHAR) AS DECIMAL(28,10)), jurisdiction, source_year
   FROM placed
 ),
 staging AS (

@@ -8,17 +8,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tallystar.plans.publish import publish
 from tallystar.plans.star import Star, write_star
 from tallystar.sources import tables
 from tallystar.sources.driver_feed import feed, feed_reference
-from tallystar.sources.raw import read_years
+from tallystar.sources.raw import read_feed
 from tallystar.storage import run_dir
 
 
 @dataclass(frozen=True)
 class Context:
     star: Star
-    raw_by_year: dict[int, DataFrame]
     root: str
 
     @property
@@ -35,8 +35,7 @@ def lay_out(spark: SparkSession, sf_dir: str, root: str) -> dict[int, str]:
 
 
 def build_context(spark: SparkSession, sf_dir: str, root: str, paths: dict[int, str]) -> Context:
-    raw_by_year = read_years(spark, paths)
-    return Context(write_star(raw_by_year, feed_reference(spark, sf_dir), root), raw_by_year, root)
+    return Context(write_star(read_feed(spark, paths), feed_reference(spark, sf_dir), root), root)
 
 
 def context(spark: SparkSession, sf_dir: str) -> Context:
@@ -47,6 +46,18 @@ def context(spark: SparkSession, sf_dir: str) -> Context:
     return _built[key]
 
 
+_published: dict[str, str] = {}
+
+
+def published(c: Context) -> str:
+    """The database the star of a folder is published in, once per session and folder."""
+    if c.root not in _published:
+        database = f"published_{abs(hash(c.root))}"
+        publish(c.star, c.root, database)
+        _published[c.root] = database
+    return _published[c.root]
+
+
 def plain(df: DataFrame, digits: int = 6) -> DataFrame:
     """Types both engines share: exact decimals as doubles, computed doubles rounded, integers as bigint."""
     columns = []

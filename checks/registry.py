@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from checks.base_sql import BASE
-from checks.context import Context, context, plain
+from checks.context import Context, context, plain, published
 from tallystar.operators import profile, quality
 from tallystar.operators.dimensions import month_counts
 from tallystar.operators.facts import LOOKUPS, aggregate_to_grain, bad_values, build_fact, merged_rows, unpivot, unresolved, with_keys
@@ -21,7 +21,6 @@ from tallystar.operators.staging import build_staging
 from tallystar.plans import job, measures, queries, views
 from tallystar.plans.star import source_year_mismatches
 from tallystar.reference import unmapped
-from tallystar.sources.raw import stack_years
 
 
 @dataclass(frozen=True)
@@ -38,7 +37,8 @@ def add(name: str, frame: Callable[[Context], DataFrame], sql: str | None) -> No
     ENTRIES[name] = Entry(frame, BASE + sql if sql else None)
 
 
-D = "CAST({} AS DOUBLE)".format
+# Through text: the nearest double of a wide decimal, which a direct cast may miss by its last bit.
+D = "CAST(CAST({} AS VARCHAR) AS DOUBLE)".format
 
 
 def r6(expression: str) -> str:
@@ -66,7 +66,7 @@ def q(point: float) -> str:
 
 add(
     "src3_all_years",
-    lambda c: stack_years(c.raw_by_year).groupBy("source_year").agg(
+    lambda c: c.raw.groupBy("source_year").agg(
         F.count("*").alias("row_count"),
         F.count("victim_total").alias("victim_rows"),
         F.count("weight_value").alias("weight_rows"),
@@ -669,6 +669,43 @@ add(
         JOIN ({COMPARABLE}) y ON y.indicator = s.indicator AND y.year = s.year GROUP BY s.indicator, s.year""",
 )
 
+# Each published view and the entry that states its rows in SQL.
+PUBLISHED = {
+    "dim_indicator": "v26_dim_indicator", "year_flags": "v05_year_flags", "fact_enriched": "v01_fact_enriched",
+    "agg_indicator_year": "v02_agg_indicator_year", "agg_indicator_place_year": "v03_agg_indicator_place_year",
+    "agg_indicator_jurisdiction_year": "v04_agg_indicator_jurisdiction_year", "agg_indicator_month": "v15_agg_indicator_month",
+    "national": "v06_national", "by_state": "v07_by_state", "by_municipality": "v08_by_municipality", "by_indicator": "v09_by_indicator",
+    "by_jurisdiction": "v10_by_jurisdiction", "by_sex": "v11_by_sex", "by_age_band": "v12_by_age_band", "by_agent": "v13_by_agent",
+    "by_weapon": "v14_by_weapon", "monthly_series": "v16_monthly_series", "monthly_metrics": "v17_monthly_metrics",
+    "comparable_cutoff": "v18_comparable_cutoff", "comparable_years": "v19_comparable_years",
+    "deviation_from_history": "v20_deviation_from_history", "state_ranking": "v21_state_ranking",
+    "municipality_ranking": "v22_municipality_ranking", "region_ranking": "v23a_region_ranking", "indicator_ranking": "v23b_indicator_ranking",
+    "jurisdiction_ranking": "v23c_jurisdiction_ranking", "state_share": "v23d_state_share", "weight_percentiles": "v24_weight_percentiles",
+    "outlier_impact": "v25_outlier_impact", "quality_not_reported": "v27_quality_not_reported", "quality_summary": "v28_quality_summary",
+}
+
+
+def published_rows(c: Context) -> DataFrame:
+    """Row counts of all published views, read by name."""
+    database = published(c)
+    counts = [f"SELECT '{view}' AS view_name, COUNT(*) AS row_count FROM `{database}`.`{view}`" for view in PUBLISHED]
+    return c.star.spark.sql(" UNION ALL ".join(counts))
+
+
+add(
+    "snk6_published_views",
+    published_rows,
+    " UNION ALL ".join(
+        f"SELECT '{view}' AS view_name, COUNT(*) AS row_count FROM ({ENTRIES[name].sql.removeprefix(BASE)})" for view, name in PUBLISHED.items()
+    ),
+)
+for view, name in (("state_ranking", "v21_state_ranking"), ("national", "v06_national"), ("weight_percentiles", "v24_weight_percentiles")):
+    add(
+        f"snk6_published_{view}",
+        lambda c, view=view: c.star.spark.table(f"`{published(c)}`.`{view}`"),
+        ENTRIES[name].sql.removeprefix(BASE),
+    )
+
 # --- read queries ------------------------------------------------------------
 
 INDICATOR, STATE, YEAR = 3, "NATION_3", 1998
@@ -723,8 +760,23 @@ add(
 )
 add(
     "q07_by_municipality_deep_page",
-    lambda c: queries.by_municipality(c.star, INDICATOR, page=3, page_size=20).rows,
-    f"{BY_PLACE} GROUP BY state, municipality ORDER BY value DESC, municipality, state LIMIT 20 OFFSET 40",
+    lambda c: queries.by_municipality(c.star, INDICATOR, page=300, page_size=4).rows,
+    f"{BY_PLACE} GROUP BY state, municipality ORDER BY value DESC, municipality, state LIMIT 4 OFFSET 1196",
+)
+add(
+    "q07_by_municipality_of_state_and_year",
+    lambda c: queries.by_municipality(c.star, INDICATOR, state=STATE, year=YEAR, page=2, page_size=5).rows,
+    f"{BY_PLACE} AND state = '{STATE}' AND year = {YEAR} GROUP BY state, municipality ORDER BY value DESC, municipality, state LIMIT 5 OFFSET 5",
+)
+add(
+    "q07_stored_order",
+    lambda c: c.star.place_order,
+    f"""SELECT indicator_id, year, ROW_NUMBER() OVER (g ORDER BY total DESC, municipality, state) AS position,
+               ROW_NUMBER() OVER (PARTITION BY indicator_id, year, state ORDER BY total DESC, municipality) AS state_position,
+               RANK() OVER (g ORDER BY total DESC) AS "rank", place_id, state, municipality, {D('total')} AS total
+        FROM (SELECT indicator_id, source_year AS year, place_id, state, municipality, SUM(value) AS total FROM labelled GROUP BY ALL
+              UNION ALL SELECT indicator_id, NULL, place_id, state, municipality, SUM(value) FROM labelled GROUP BY ALL)
+        WINDOW g AS (PARTITION BY indicator_id, year)""",
 )
 add(
     "q07_by_municipality_total",
@@ -777,8 +829,8 @@ add(
 # --- measures ----------------------------------------------------------------
 
 
-def core(columns: str, by: tuple[str, ...]) -> Callable[[Context], DataFrame]:
-    return lambda c: measures.core(c.star, by).select(*by, *columns.split(", "))
+def core(columns: str, by: tuple[str, ...], where: measures.Filters = None, units_from: str = "fact") -> Callable[[Context], DataFrame]:
+    return lambda c: measures.core(c.star, by, where, units_from).select(*by, *columns.split(", "))
 
 
 SAFE = f"CASE WHEN COUNT(DISTINCT unit) <= 1 THEN {TOTAL} END AS safe_total"
@@ -809,6 +861,37 @@ add(
     """SELECT semantic_group, CASE WHEN COUNT(DISTINCT indicator) = 1 THEN MIN(indicator) ELSE 'Vários indicadores' END AS selected_indicator,
        CASE WHEN COUNT(DISTINCT unit) = 1 THEN MIN(unit) ELSE 'unidades mistas — não somar' END AS selected_unit FROM labelled GROUP BY semantic_group""",
 )
+# The other reading: units of the indicators that filters on indicators leave, wherever the fact has rows.
+IN_DIMENSION = "distinct_units, safe_total, selected_indicator, selected_unit"
+
+
+def dimension_sql(keys: str, where: str, indicator_keys: str, indicator_where: str = "TRUE") -> str:
+    met = " AND ".join(f"d.{k} IS NOT DISTINCT FROM f.{k}" for k in indicator_keys.split(", ")) if indicator_keys else "TRUE"
+    grouped = f"GROUP BY {indicator_keys}" if indicator_keys else ""
+    shown = f"{indicator_keys}, " if indicator_keys else ""
+    return f"""SELECT {', '.join(f'f.{k}' for k in keys.split(', '))}, f.total_value, f.row_count, d.units AS distinct_units, CASE WHEN d.units <= 1 THEN f.total_value END AS safe_total,
+          CASE WHEN d.indicators = 1 THEN d.one ELSE 'Vários indicadores' END AS selected_indicator,
+          CASE WHEN d.units = 1 THEN d.unit ELSE 'unidades mistas — não somar' END AS selected_unit
+        FROM (SELECT {keys}, {TOTAL} AS total_value, COUNT(*) AS row_count FROM labelled WHERE {where} GROUP BY {keys}) f
+        JOIN (SELECT {shown}COUNT(DISTINCT unit) AS units, COUNT(DISTINCT indicator) AS indicators, MIN(indicator) AS one, MIN(unit) AS unit
+              FROM dim_indicator WHERE {indicator_where} {grouped}) d ON {met}"""
+
+
+add(
+    "m03_units_of_the_dimension_by_place",
+    core(f"total_value, row_count, {IN_DIMENSION}", ("state", "year"), {"region": "ASIA", "jurisdiction": "O"}, "dimension"),
+    dimension_sql("state, year", "region = 'ASIA' AND jurisdiction = 'O'", ""),
+)
+add(
+    "m03_units_of_the_dimension_by_group",
+    core(f"total_value, row_count, {IN_DIMENSION}", ("semantic_group", "state"), {"family": ["victim", "weight"], "year": 1998}, "dimension"),
+    dimension_sql("semantic_group, state", "family IN ('victim', 'weight') AND year = 1998", "semantic_group", "family IN ('victim', 'weight')"),
+)
+add(
+    "m03_units_of_one_indicator",
+    core(f"total_value, row_count, {IN_DIMENSION}", ("state",), {"indicator": "LINE PROMO"}, "dimension"),
+    dimension_sql("state", "indicator = 'LINE PROMO'", "", "indicator = 'LINE PROMO'"),
+)
 STATE_MONTHS = "(SELECT indicator, state, ref_month, SUM(value) AS total FROM labelled GROUP BY ALL)"
 add(
     "m10_calendar_metrics",

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallystar.errors import ContractError
@@ -175,12 +175,14 @@ def check_time(time: DataFrame) -> DataFrame:
     return _check(found, "time_consistency", "n", detail)
 
 
-def check_row_counts(raw: DataFrame, staging: DataFrame) -> DataFrame:
-    found = (
-        staging.agg(F.count("*").alias("s"))
-        .withColumn("r", raw.agg(F.count("*").alias("r")).scalar())
-        .withColumn("n", F.abs(F.col("r") - F.col("s")))
-    )
+def check_row_counts(raw: DataFrame, staging: DataFrame, counts: Mapping[str, int] | None = None) -> DataFrame:
+    """`counts` holds the rows of both layers if they were counted while they were written."""
+    if counts is not None:
+        one = staging.sparkSession.range(1)
+        found = one.select(F.lit(counts["staging"]).cast("bigint").alias("s"), F.lit(counts["raw"]).cast("bigint").alias("r"))
+    else:
+        found = staging.agg(F.count("*").alias("s")).withColumn("r", raw.agg(F.count("*").alias("r")).scalar())
+    found = found.withColumn("n", F.abs(F.col("r") - F.col("s")))
     return _check(found, "staging_keeps_rows", "n", F.concat(F.lit("raw: "), "r", F.lit(", staging: "), "s"))
 
 
@@ -190,10 +192,16 @@ def check_source_year(grain: DataFrame) -> DataFrame:
     return _check(found, "source_year_is_calendar_year", "n", F.concat(F.col("n"), F.lit(" grain rows of another year")))
 
 
-def run_checks(raw: DataFrame, staging: DataFrame, fact: DataFrame, dims: Mapping[str, DataFrame]) -> DataFrame:
+def run_checks(
+    raw: DataFrame,
+    staging: DataFrame,
+    fact: DataFrame,
+    dims: Mapping[str, DataFrame],
+    counts: Mapping[str, int] | None = None,
+) -> DataFrame:
     """The eight checks, one row each."""
     checks = [
-        check_row_counts(raw, staging),
+        check_row_counts(raw, staging, counts),
         check_unique_grain(fact),
         fact_checks(fact, dims["indicator"]),
         check_units(dims["indicator"]),
@@ -202,6 +210,11 @@ def run_checks(raw: DataFrame, staging: DataFrame, fact: DataFrame, dims: Mappin
     return reduce(DataFrame.unionByName, checks)
 
 
+def known_counts(spark: SparkSession, counts: Mapping[str, int]) -> DataFrame:
+    """Row counts taken while the layers were written, in the form of `layer_counts`."""
+    return spark.createDataFrame(list(counts.items()), "layer string, row_count long")
+
+
 def layer_counts(layers: Mapping[str, DataFrame]) -> DataFrame:
     """Row count of every layer."""
     counts = [df.agg(F.lit(name).alias("layer"), F.count("*").alias("row_count")) for name, df in layers.items()]
@@ -263,32 +276,73 @@ def tally(results: DataFrame) -> DataFrame:
 # --- declared constraints ----------------------------------------------------
 
 
-def constraint_violations(fact: DataFrame, dims: Mapping[str, DataFrame]) -> DataFrame:
-    """Violations per declared constraint of the written tables."""
-    found = []
+def _natural_key(name: str, dim: DataFrame) -> list[str]:
+    return [c for c in dim.columns if c in (name, "ref_month", "state", "municipality")] or [f"{name}_id"]
 
-    def add(name: str, one_row: DataFrame) -> None:
-        found.append(one_row.select(F.lit(name).alias("constraint"), F.col("n").cast("bigint").alias("violations")))
 
-    rules = {f"fact.{c} not null": F.col(c).isNull() for c in MANDATORY} | {"fact.value >= 0": F.col("value") < 0}
-    broken = [
-        F.struct(F.lit(name).alias("constraint"), F.count_if(rule).alias("violations")) for name, rule in rules.items()
-    ]
-    found.append(fact.agg(F.array(*broken).alias("_rules")).select(F.inline("_rules")))
-    add("fact key unique", duplicate_keys(fact).agg(F.count("*").alias("n")))
+def _entry(name: str, part: str, key: Column, used: Column, members: Column) -> Column:
+    """One row of the stacked keys: how often the fact uses a key, and how often its dimension holds it."""
+    return F.struct(
+        F.lit(name).alias("name"),
+        F.lit(part).alias("part"),
+        key.cast("string").alias("key"),
+        used.cast("bigint").alias("used"),
+        members.cast("bigint").alias("members"),
+    )
+
+
+def stacked_keys(fact: DataFrame, dims: Mapping[str, DataFrame]) -> DataFrame:
+    """(name, part, key, used, members): every id of the fact and every key of the dimensions, summed in one shuffle.
+
+    The fact is read once and summed per task before the shuffle, so a hot id is one row per task.
+    """
+    one, none = F.lit(1), F.lit(0)
+    of_fact = [_entry(name, "id", F.col(f"{name}_id"), one, none) for name in dims]
+    value = F.when(F.col("value").isNull(), F.lit(None)).otherwise(F.when(F.col("value") < 0, "negative").otherwise("fine"))
+    of_fact.append(_entry("value", "value", value, one, none))
+    parts = [fact.select(F.inline(F.array(*of_fact)))]
+    for name, dim in dims.items():
+        nulls = sum((F.col(c).isNull().cast("int") for c in dim.columns), F.lit(0))
+        of_dim = [
+            _entry(name, "id", F.col(f"{name}_id"), none, one),
+            _entry(name, "natural", F.to_json(F.struct(*_natural_key(name, dim))), none, one),
+            _entry(name, "nulls", F.lit(None), none, nulls),
+        ]
+        parts.append(dim.select(F.inline(F.array(*of_dim))))
+    stacked = reduce(DataFrame.unionByName, parts)
+    return stacked.groupBy("name", "part", "key").agg(F.sum("used").alias("used"), F.sum("members").alias("members"))
+
+
+def constraint_violations(fact: DataFrame, dims: Mapping[str, DataFrame]) -> DataFrame:
+    """Violations per declared constraint of the written tables; the fact is read twice, each dimension once."""
+    key, used, members = F.col("key"), F.col("used"), F.col("members")
+
+    def rows_where(condition: Column) -> Column:
+        return F.sum(F.when(condition, used).otherwise(0))
+
+    summed = stacked_keys(fact, dims).groupBy("name", "part").agg(
+        rows_where(key.isNull()).alias("null_rows"),
+        rows_where(key == "negative").alias("negative_rows"),
+        rows_where(key.isNotNull() & (members == 0)).alias("orphan_rows"),
+        F.count_if(members > 1).alias("repeated"),
+        F.sum("members").alias("members"),
+    )
+    declared = [(f"fact.{c} not null", c.removesuffix("_id"), "value" if c == "value" else "id", "null_rows") for c in MANDATORY]
+    declared.append(("fact.value >= 0", "value", "value", "negative_rows"))
     for name, dim in dims.items():
-        id_name = f"{name}_id"
-        # Ids are counted before they are compared, so a hot id is one row.
-        used = fact.where(F.col(id_name).isNotNull()).groupBy(id_name).agg(F.count("*").alias("_rows"))
-        orphans = used.join(dim.select(id_name), id_name, "left_anti")
-        add(f"fact.{id_name} references {name}", orphans.agg(F.coalesce(F.sum("_rows"), F.lit(0)).alias("n")))
-        natural = [c for c in dim.columns if c in (name, "ref_month", "state", "municipality")] or [id_name]
-        for columns in ([id_name], natural):
-            repeated = duplicate_keys(dim, tuple(columns)).agg(F.count("*").alias("n"))
-            add(f"{name}({', '.join(columns)}) unique", repeated)
-        filled = [F.count_if(F.col(c).isNull()) for c in dim.columns]
-        add(f"{name} not null", dim.agg(sum(filled, F.lit(0)).alias("n")))
-    return reduce(DataFrame.unionByName, found)
+        declared += [
+            (f"fact.{name}_id references {name}", name, "id", "orphan_rows"),
+            (f"{name}({name}_id) unique", name, "id", "repeated"),
+            (f"{name}({', '.join(_natural_key(name, dim))}) unique", name, "natural", "repeated"),
+            (f"{name} not null", name, "nulls", "members"),
+        ]
+    rules = fact.sparkSession.createDataFrame(declared, "constraint string, name string, part string, counted string")
+    counted = F.coalesce(*[F.when(F.col("counted") == c, F.col(c)) for c in ("null_rows", "negative_rows", "orphan_rows", "repeated", "members")])
+    checked = rules.join(F.broadcast(summed), ["name", "part"], "left").select(
+        "constraint", F.coalesce(counted, F.lit(0)).cast("bigint").alias("violations")
+    )
+    unique = duplicate_keys(fact).agg(F.count("*").alias("violations"))
+    return checked.unionByName(unique.select(F.lit("fact key unique").alias("constraint"), "violations"))
 
 
 def require_pass(results: DataFrame, what: str) -> None:

@@ -18,10 +18,11 @@ from tallystar.operators import quality
 from tallystar.operators.facts import not_reported
 from tallystar.operators.staging import require_same_rows
 from tallystar.plans import views
+from tallystar.plans.publish import publish
 from tallystar.plans.star import Star, write_star
 from tallystar.reference import Reference, default_reference
 from tallystar.sources import tables
-from tallystar.sources.raw import read_years
+from tallystar.sources.raw import read_feed
 
 
 @dataclass(frozen=True)
@@ -32,12 +33,14 @@ class Outcome:
 
 
 def quality_results(star: Star) -> dict[str, DataFrame]:
-    """The result sets of a run: layer counts, checks, not-reported table, reconciliation, constraints."""
+    """The result sets of a run: layer counts, checks, not-reported table, reconciliation, constraints.
+
+    Layers that were counted while they were written are not read again for their counts.
+    """
+    layers = {"raw": star.raw, "staging": star.staging, "grain": star.grain, "fact": star.fact}
     return {
-        "layer_counts": quality.layer_counts(
-            {"raw": star.raw, "staging": star.staging, "grain": star.grain, "fact": star.fact}
-        ),
-        "checks": quality.run_checks(star.raw, star.staging, star.fact, star.dims).unionByName(
+        "layer_counts": quality.known_counts(star.spark, star.counts) if star.counts else quality.layer_counts(layers),
+        "checks": quality.run_checks(star.raw, star.staging, star.fact, star.dims, star.counts).unionByName(
             quality.check_source_year(star.grain)
         ),
         "not_reported": not_reported(star.grain, star.dim("indicator")),
@@ -59,16 +62,18 @@ def run_summary(star: Star) -> DataFrame:
         F.struct(F.count_distinct("state").alias("states"), F.count_distinct("municipality").alias("municipalities"))
     )
 
-    def rows(df: DataFrame):
-        return df.agg(F.count("*")).scalar()
+    def rows(layer: str):
+        known = (star.counts or {}).get(layer)
+        return getattr(star, layer).agg(F.count("*")).scalar() if known is None else F.lit(known).cast("bigint")
 
     return (
-        star.staging.agg(F.count("*").alias("staging_rows"))
+        star.spark.range(1)
         .withColumns(
             {
-                "grain_rows": rows(star.grain),
-                "fact_rows": rows(star.fact),
-                "indicators": rows(star.dim("indicator")),
+                "staging_rows": rows("staging"),
+                "grain_rows": rows("grain"),
+                "fact_rows": rows("fact"),
+                "indicators": F.lit(len(star.lookup.indicators)).cast("bigint"),
                 "_place": place.scalar(),
                 "_time": time_dim.scalar(),
             }
@@ -78,11 +83,11 @@ def run_summary(star: Star) -> DataFrame:
 
 
 def run(
-    raw_by_year: Mapping[int, DataFrame], reference: Reference, out: str, database: str | None = None
+    raw: Mapping[int, DataFrame] | DataFrame, reference: Reference, out: str, database: str | None = None
 ) -> Outcome:
     """Build and write the star, then its result sets; a failed warehouse load does not fail the run."""
     started = time.monotonic()
-    star = write_star(raw_by_year, reference, f"{out}/star")
+    star = write_star(raw, reference, f"{out}/star")
     results = {}
     for name, df in quality_results(star).items():
         tables.write_table(df, f"{out}/quality/{name}")
@@ -92,17 +97,8 @@ def run(
 
     warehouse = "not asked for"
     if database is not None:
-        dims = {f"dim_{name}": path for name, path in tables.dimension_paths(f"{out}/star").items()}
-        layers = {"staging": f"{out}/star/staging", **dims, "fact": f"{out}/star/fact"}
-        # The views a dashboard imports; each has one row per indicator, or one.
-        shown = {
-            "view_indicator": views.indicator_labels(star),
-            "view_not_reported": views.quality_not_reported(star),
-            "view_summary": views.quality_summary(star),
-        }
         try:
-            tables.register_tables(star.spark, layers, database)
-            tables.load_warehouse(star.spark, shown, database)
+            publish(star, f"{out}/star", database)
             warehouse = "OK"
         except Exception as problem:  # the written files stay valid whatever the target does
             warehouse = f"FAILED: {problem}"
@@ -137,8 +133,7 @@ def main(arguments: list[str] | None = None) -> None:
     options = parser.parse_args(arguments)
     spark = SparkSession.builder.appName("tallystar").getOrCreate()
     paths = {int(year): path for year, path in (feed.split("=", 1) for feed in options.feed)}
-    raw = read_years(spark, paths, options.format)
-    outcome = run(raw, default_reference(spark), options.out, options.database)
+    outcome = run(read_feed(spark, paths, options.format), default_reference(spark), options.out, options.database)
     views.register_views(spark, outcome.star)
     print(outcome.summary)
     require_passed(outcome)

@@ -6,12 +6,13 @@ values, and shares and ranks take the `parent` or `within` attributes they are r
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterable, Mapping, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallystar.functions.columns import mean, number, ratio, rounded, share_of
+from tallystar.functions.columns import join_groups, mean, number, ratio, rounded, share_of
 from tallystar.operators.ordering import quantiles, rank_within, window_rank
 from tallystar.plans import views
 from tallystar.plans.star import Star
@@ -43,6 +44,8 @@ BOUNDED = (
     "state", "region", "indicator", "family", "unit", "kind", "semantic_group", "sex", "year", "month", "quarter",
     "jurisdiction", "agent", "weapon", "age_band",
 )
+# Attributes of whole years, which the sums per place and year can answer.
+YEARLY = ("year", "is_partial_year")
 # One of these among the keys keeps every total within one unit.
 SINGLE_UNIT = ("indicator", "unit")
 
@@ -57,64 +60,98 @@ def _matches(column: str, wanted) -> Column:
     return F.col(column) == F.lit(wanted)
 
 
+@dataclass(frozen=True)
+class Source:
+    """A table that can answer a question: rows with ids, `total` and `row_count`, its time key and its partitions."""
+
+    rows: DataFrame
+    time_key: str
+    year_column: str | None
+
+
+def choose_source(star: Star, attributes: Iterable[str], per_value: bool = False) -> Source:
+    """The smallest table whose keys cover the attributes: sums per month, per place and year, or the fact.
+
+    The sums per place and year know no months, and their year is that of the feed; where that is not the
+    calendar year, questions about years go to the fact.
+    """
+    dims = {ATTRIBUTES[a] for a in attributes}
+    times = {a for a in attributes if ATTRIBUTES[a] == "time"}
+    if not per_value:
+        if dims <= {"indicator", "time"}:
+            return Source(star.indicator_month, "time_id", None)
+        if dims <= {"indicator", "place", "time"} and times <= set(YEARLY) and (star.years_agree or not times):
+            return Source(star.place_year, "year", "year")
+    rows = star.fact.withColumns({"total": F.col("value"), "row_count": F.lit(1)})
+    return Source(rows, "time_id", "source_year" if star.years_agree else None)
+
+
 def sliced(
     star: Star,
     attributes: Sequence[str],
     where: Filters = None,
     per_value: bool = False,
 ) -> DataFrame:
-    """Fact sums by the attributes, within the filters.
+    """Sums by the attributes, within the filters, from the smallest table that holds them.
 
-    Filters on indicators and times are looked up first: their ids and source years prune the fact's files
-    and partitions. Filters on other small dimensions reach the fact as semi-joins; a filter on places, which
-    may be many, waits for the sums per id. Labels join those sums (`total`, `row_count`). `per_value=True` keeps
-    each value apart, with `row_count` as its frequency.
+    Filters on indicators and times are looked up first: their ids and years prune files and partitions. Filters
+    on other small dimensions reach the rows as semi-joins; a filter on places, which may be many, waits for the
+    sums per id. Labels join those sums (`total`, `row_count`). `per_value=True` keeps each value apart, with
+    `row_count` as its frequency.
     """
     where = dict(where or {})
     wanted = list(dict.fromkeys(attributes))
     unknown = [a for a in [*wanted, *where] if a not in ATTRIBUTES]
     if unknown:
         raise ValueError(f"unknown attributes {unknown}")
+    source = choose_source(star, [*wanted, *where], per_value)
 
-    def filtered(dim: str) -> DataFrame:
+    def key(dim: str) -> str:
+        return source.time_key if dim == "time" else f"{dim}_id"
+
+    def filtered(dim: str, shown: Sequence[str] = ()) -> DataFrame:
+        """Key and shown attributes of the members within the filters, each key once."""
         labels = _labels(star, dim)
         for attribute in where:
             if ATTRIBUTES[attribute] == dim:
                 labels = labels.where(_matches(attribute, where[attribute]))
-        return labels
+        columns = list(dict.fromkeys([key(dim), *shown]))
+        return labels.select(*columns).distinct() if key(dim) == "year" else labels.select(*columns)
 
     filter_dims = dict.fromkeys(ATTRIBUTES[a] for a in where)
     dims = dict.fromkeys(ATTRIBUTES[a] for a in wanted) | ({"place": None} if "place" in filter_dims else {})
-    periods = [a for a in wanted if ATTRIBUTES[a] == "time"]
-    fact = star.fact
+    rows = source.rows
     if "indicator" in filter_dims:
-        wanted_ids = [row[0] for row in filtered("indicator").select("indicator_id").collect()]
-        fact = fact.where(F.col("indicator_id").isin(wanted_ids))
+        wanted_ids = [row[0] for row in filtered("indicator").collect()]
+        rows = rows.where(F.col("indicator_id").isin(wanted_ids))
         filter_dims.pop("indicator")
-    if "time" in filter_dims and star.years_agree:
-        years = [row[0] for row in filtered("time").select("year").distinct().collect()]
-        fact = fact.where(F.col("source_year").isin(years))
+    if "time" in filter_dims and source.year_column is not None:
+        times = _labels(star, "time")
+        for attribute in where:
+            if ATTRIBUTES[attribute] == "time":
+                times = times.where(_matches(attribute, where[attribute]))
+        years = [row[0] for row in times.select("year").distinct().collect()]
+        rows = rows.where(F.col(source.year_column).isin(years))
+    periods = [a for a in wanted if ATTRIBUTES[a] == "time"]
     if periods and "ref_month" not in periods:
         # Years and quarters are taken up before the sum: fewer sums per place to shuffle.
-        fact = fact.join(filtered("time").select("time_id", *periods), "time_id")
+        rows = rows.join(filtered("time", periods), key("time"))
         dims.pop("time")
         filter_dims.pop("time", None)
     else:
         periods = []
     for dim in filter_dims:
         if dim != "place":
-            fact = fact.join(filtered(dim).select(f"{dim}_id"), f"{dim}_id", "left_semi")
+            rows = rows.join(filtered(dim), key(dim), "left_semi")
 
     per_row = periods + (["value"] if per_value else [])
-    ids = [f"{d}_id" for d in dims]
-    sums = [F.count("*").alias("row_count")] + ([] if per_value else [F.sum("value").alias("total")])
-    rows = fact.groupBy(*ids, *per_row).agg(*sums)
+    counted = [F.sum("row_count").alias("row_count")]
+    sums = counted + ([] if per_value else [F.sum("total").alias("total")])
+    rows = rows.groupBy(*[key(d) for d in dims], *per_row).agg(*sums)
     for dim in dims:
         shown = [a for a in wanted if ATTRIBUTES[a] == dim]
         how = "left" if dim in CONDITIONAL and dim not in filter_dims else "inner"
-        rows = rows.join(filtered(dim).select(f"{dim}_id", *shown), f"{dim}_id", how)
-
-    sums = [F.sum("row_count").alias("row_count")] + ([] if per_value else [F.sum("total").alias("total")])
+        rows = rows.join(filtered(dim, shown), key(dim), how)
     return rows.groupBy(*wanted, *(["value"] if per_value else [])).agg(*sums)
 
 
@@ -127,39 +164,81 @@ def unit_safe(keys: Sequence[str]) -> list[str]:
 # --- core --------------------------------------------------------------------
 
 
-def core(star: Star, by: Sequence[str] = (), where: Filters = None) -> DataFrame:
-    """Totals, counts, units in context, unit-safe total, totals per family and selection labels."""
-    by = list(by)
-    context = [c for c in ("indicator", "family", "unit") if c not in by]
-    rows = sliced(star, [*by, *context], where)
+@dataclass(frozen=True)
+class FilterContext:
+    """What a number is looked at under: the attributes of its row and the filters, split by how they act.
+
+    A filter on a dimension's own attributes restricts that dimension. Filters on other dimensions restrict the
+    fact, and reach a dimension only if one asks which of its members the remaining fact rows hold.
+    """
+
+    by: tuple[str, ...]
+    where: Mapping[str, object]
+
+    def keys_of(self, dim: str) -> list[str]:
+        return [a for a in dict.fromkeys(self.by) if ATTRIBUTES[a] == dim]
+
+    def filters_on(self, dim: str) -> dict[str, object]:
+        return {a: v for a, v in self.where.items() if ATTRIBUTES[a] == dim}
+
+    def members(self, star: Star, dim: str) -> DataFrame:
+        """The members a dimension's own filters leave, whether or not the fact holds them."""
+        labels = _labels(star, dim)
+        for attribute, wanted in self.filters_on(dim).items():
+            labels = labels.where(_matches(attribute, wanted))
+        return labels
+
+    def members_held(self, star: Star, dim: str, attributes: Sequence[str]) -> DataFrame:
+        """The members that the fact rows within all filters hold, per row of the context."""
+        return sliced(star, [*self.by, *[a for a in attributes if a not in self.by]], self.where)
+
+
+UNITS_FROM = ("dimension", "fact")
+
+
+def core(star: Star, by: Sequence[str] = (), where: Filters = None, units_from: str = "dimension") -> DataFrame:
+    """Totals, counts, units in context, unit-safe total, totals per family and selection labels.
+
+    `units_from="dimension"` counts the units of the indicators that the filters on indicators leave; a filter on
+    a place does not reach them. `units_from="fact"` counts the units of the fact rows within all filters.
+    """
+    if units_from not in UNITS_FROM:
+        raise ValueError(f"units_from has to be one of {list(UNITS_FROM)}")
+    context = FilterContext(tuple(dict.fromkeys(by)), dict(where or {}))
+    by = list(context.by)
     # Copies, so that attributes named in `by` can be aggregated too.
-    rows = rows.withColumns({"_indicator": F.col("indicator"), "_family": F.col("family"), "_unit": F.col("unit")})
+    copies = {"_indicator": F.col("indicator"), "_family": F.col("family"), "_unit": F.col("unit")}
+    rows = context.members_held(star, "indicator", ["indicator", "family", "unit"]).withColumns(copies)
 
     def of_family(family: str) -> Column:
         return F.sum(F.when(F.col("_family") == family, F.col("total")))
 
-    return (
-        rows.groupBy(*by)
-        .agg(
-            F.sum("total").alias("total_value"),
-            F.sum("row_count").alias("row_count"),
-            F.count_distinct("_unit").alias("distinct_units"),
-            of_family(VICTIM).alias("victim_total"),
-            of_family(COUNT).alias("count_total"),
-            of_family(WEIGHT).alias("weight_total"),
-            F.count_distinct("_indicator").alias("_indicators"),
-            F.min("_indicator").alias("_one_indicator"),
-            F.min("_unit").alias("_one_unit"),
-        )
-        .withColumns(
-            {
-                "safe_total": F.when(F.col("distinct_units") <= 1, F.col("total_value")),
-                "selected_indicator": F.when(F.col("_indicators") == 1, F.col("_one_indicator")).otherwise(SEVERAL_INDICATORS),
-                "selected_unit": F.when(F.col("distinct_units") == 1, F.col("_one_unit")).otherwise(MIXED_UNITS),
-            }
-        )
-        .drop("_indicators", "_one_indicator", "_one_unit")
+    selected = [
+        F.count_distinct("_unit").alias("distinct_units"),
+        F.count_distinct("_indicator").alias("_indicators"),
+        F.min("_indicator").alias("_one_indicator"),
+        F.min("_unit").alias("_one_unit"),
+    ]
+    totals = rows.groupBy(*by).agg(
+        F.sum("total").alias("total_value"),
+        F.sum("row_count").alias("row_count"),
+        of_family(VICTIM).alias("victim_total"),
+        of_family(COUNT).alias("count_total"),
+        of_family(WEIGHT).alias("weight_total"),
+        *(selected if units_from == "fact" else []),
     )
+    if units_from == "dimension":
+        keys = context.keys_of("indicator")
+        members = context.members(star, "indicator").withColumns(copies).groupBy(*keys).agg(*selected)
+        totals = join_groups(totals, members, keys)
+    one_unit = F.col("distinct_units") == 1
+    return totals.withColumns(
+        {
+            "safe_total": F.when(F.col("distinct_units") <= 1, F.col("total_value")),
+            "selected_indicator": F.when(F.col("_indicators") == 1, F.col("_one_indicator")).otherwise(SEVERAL_INDICATORS),
+            "selected_unit": F.when(one_unit, F.col("_one_unit")).otherwise(MIXED_UNITS),
+        }
+    ).drop("_indicators", "_one_indicator", "_one_unit")
 
 
 # --- time --------------------------------------------------------------------

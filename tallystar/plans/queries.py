@@ -2,7 +2,8 @@
 
 Filters reach the fact before it is summed: the indicator and the year prune files and partitions,
 the others are semi-joins with the filtered dimension. Labels join the sums. Questions the stored sums
-per month or per place and year can answer do not read the fact at all.
+per month or per place and year can answer do not read the fact at all. Names, units, years and sizes come from
+the star's lookup, so a query is checked and returned without a job.
 """
 
 from __future__ import annotations
@@ -16,7 +17,6 @@ from tallystar.errors import NotEnoughDataError, NotFoundError
 from tallystar.functions import arguments
 from tallystar.functions.columns import rounded
 from tallystar.operators.ordering import window_rank
-from tallystar.operators.sequence import number_rows
 from tallystar.plans import views
 from tallystar.plans.star import Star
 
@@ -115,18 +115,22 @@ def list_indicators(star: Star) -> DataFrame:
     return labels.withColumn("total", star.dim("indicator").agg(F.count("*").alias("n")).scalar()).orderBy("indicator")
 
 
-def get_indicator(star: Star, indicator_id: int) -> DataFrame:
+def _known(star: Star, indicator_id: int) -> tuple[str, str]:
     arguments.whole("indicator_id", arguments.required("indicator_id", indicator_id), -(2**31), 2**31 - 1)
-    found = views.indicator_labels(star).where(F.col("indicator_id") == F.lit(indicator_id))
-    if found.isEmpty():
+    if indicator_id not in star.lookup.indicators:
         raise NotFoundError(f"no indicator {indicator_id}")
-    return found
+    return star.lookup.indicators[indicator_id]
+
+
+def get_indicator(star: Star, indicator_id: int) -> DataFrame:
+    _known(star, indicator_id)
+    return views.indicator_labels(star).where(F.col("indicator_id") == F.lit(indicator_id))
 
 
 def _the_indicator(star: Star, indicator_id: int) -> list[Column]:
     """Name and unit of the one indicator a result is about: a number never stands without them."""
-    row = get_indicator(star, indicator_id).select("indicator", "unit").first()
-    return [F.lit(row["indicator"]).alias("indicator"), F.lit(row["unit"]).alias("unit")]
+    name, unit = _known(star, indicator_id)
+    return [F.lit(name).alias("indicator"), F.lit(unit).alias("unit")]
 
 
 # --- totals and series -------------------------------------------------------
@@ -175,47 +179,47 @@ def temporal(
 def year_over_year(
     star: Star, indicator_id: int, base_year: int | None = None, comparison_year: int | None = None, digits: int = 2
 ) -> DataFrame:
-    """Two years over the months both have; by default the last year against the one before."""
+    """Two years over the months both have; by default the last year against the one before.
+
+    The last year is the last with any row, also when the cut-off month leaves none of its rows.
+    """
     arguments.whole("base_year", base_year, 0)
     arguments.whole("comparison_year", comparison_year, 0)
-    name = get_indicator(star, indicator_id).select("indicator").first()[0]
-    years = views.comparable_years(star).where(F.col("indicator") == F.lit(name))
+    name, unit = _the_indicator(star, indicator_id)
+    lookup = star.lookup
     if comparison_year is None:
-        # The last year with any row, also when the cut-off month leaves none of its rows.
-        months = views.indicator_month(star).where(F.col("indicator_id") == F.lit(indicator_id))
-        comparison_year = months.join(star.dim("time"), "time_id").agg(F.max("year")).first()[0]
-        if comparison_year is None:
+        if not lookup.years(indicator_id):
             raise NotEnoughDataError(f"indicator {indicator_id} has no rows")
+        comparison_year = lookup.years(indicator_id)[-1]
     if base_year is None:
         base_year = comparison_year - 1
-
-    pair = years.where(F.col("year").isin(base_year, comparison_year))
-    if pair.count() < len({base_year, comparison_year}):
+    if not all(lookup.comparable(indicator_id, year) for year in (base_year, comparison_year)):
         raise NotEnoughDataError(f"not enough data to compare {base_year} and {comparison_year}")
 
-    def at(year: int, column: str):
-        return F.max(F.when(F.col("year") == year, F.col(column)))
+    months = star.dim("time").where(F.col("year").isin(base_year, comparison_year) & (F.col("month") <= F.lit(lookup.cutoff_month)))
+    pair = star.indicator_month.where(F.col("indicator_id") == F.lit(indicator_id)).join(months, "time_id")
+
+    def total(year: int) -> Column:
+        return F.sum(F.when(F.col("year") == year, F.col("total")))
 
     base, other = F.col("base_value"), F.col("comparison_value")
     return (
-        pair.groupBy("indicator", "unit")
-        .agg(
-            at(base_year, "comparable_total").alias("base_value"),
-            at(comparison_year, "comparable_total").alias("comparison_value"),
-            at(comparison_year, "months_included").alias("months_compared"),
+        pair.agg(
+            total(base_year).alias("base_value"),
+            total(comparison_year).alias("comparison_value"),
             F.bool_or("is_partial_year").alias("partial_period"),
         )
         .select(
             F.lit(indicator_id).alias("indicator_id"),
-            "indicator",
-            "unit",
+            name,
+            unit,
             F.lit(base_year).alias("base_year"),
             F.lit(comparison_year).alias("comparison_year"),
             "base_value",
             "comparison_value",
             (other - base).alias("change"),
             rounded(F.try_divide((other - base).cast("double"), base.cast("double")) * 100, digits).alias("pct_change"),
-            "months_compared",
+            F.lit(lookup.cutoff_month).alias("months_compared"),
             "partial_period",
         )
     )
@@ -238,25 +242,30 @@ def by_state(star: Star, indicator_id: int, year=None, month=None, region=None,
     )
 
 
-def _page(rows: DataFrame, order: list, page: int, page_size: int) -> DataFrame:
-    """Cut from a distributed numbering, so that a page far back costs what the first one does."""
-    first = (page - 1) * page_size
-    numbered = number_rows(rows, order, "_row").where(F.col("_row").between(first + 1, first + page_size))
-    return numbered.drop("_row").orderBy(*order)
-
-
 def by_municipality(star: Star, indicator_id: int, state=None, year=None, page=1, page_size=PAGE_SIZE) -> Page:
-    """One page of municipalities by descending value, and the number of all of them."""
+    """One page of municipalities by descending value, and the number of all of them.
+
+    The order is stored, so a page is a filtered read of its own rows, however far back it lies. `year` is the
+    year of the feed, as in the stored sums.
+    """
     state, year = _state(star, state), _year(star, "year", year)
     arguments.whole("page", arguments.required("page", page), 1)
     arguments.whole("page_size", arguments.required("page_size", page_size), 1, MAX_PAGE_SIZE)
     indicator = _the_indicator(star, indicator_id)
-    # A place is one (state, municipality), so the sums per place are the groups already.
-    per_place = _place_rows(star, indicator_id, year=year).groupBy("place_id").agg(F.sum("value").alias("value"))
-    totals = per_place.join(_places(star, state), "place_id").select("state", "municipality", "value")
-    order = [F.desc("value"), F.asc("municipality"), F.asc("state")]
-    rows = _page(totals, order, page, page_size).select(*indicator, "state", "municipality", "value")
-    return Page(rows, totals.agg(F.count("*").alias("total")), page, page_size)
+    place = "position" if state is None else "state_position"
+    listed = _ordered_places(star, indicator_id, year)
+    if state is not None:
+        listed = listed.where(F.col("state") == F.lit(state))
+    first = (page - 1) * page_size
+    rows = listed.where(F.col(place).between(first + 1, first + page_size)).orderBy(place).limit(page_size)
+    shown = rows.select(*indicator, "state", "municipality", F.col("total").alias("value"))
+    return Page(shown, listed.agg(F.count("*").alias("total")), page, page_size)
+
+
+def _ordered_places(star: Star, indicator_id: int, year: int | None) -> DataFrame:
+    """The stored order of an indicator's places in a year, or over all years."""
+    of_year = F.col("year").isNull() if year is None else F.col("year") == F.lit(year)
+    return star.place_order.where((F.col("indicator_id") == F.lit(indicator_id)) & of_year)
 
 
 # --- rankings ----------------------------------------------------------------
@@ -271,7 +280,7 @@ def _top(totals: DataFrame, keys: list[str], limit: int) -> DataFrame:
 
 def ranking_of_states(star: Star, indicator_id: int, year: int, limit: int = TOP) -> DataFrame:
     _year(star, "year", arguments.required("year", year))
-    arguments.whole("limit", limit, 1, star.reference.regions.count())
+    arguments.whole("limit", limit, 1, star.lookup.states)
     indicator = _the_indicator(star, indicator_id)
     totals = _place_year(star, indicator_id, year).join(star.dim("place"), "place_id")
     totals = totals.groupBy("state", "region").agg(F.sum("total").alias("value"))
@@ -279,12 +288,17 @@ def ranking_of_states(star: Star, indicator_id: int, year: int, limit: int = TOP
 
 
 def ranking_of_municipalities(star: Star, indicator_id: int, year: int, limit: int = TOP) -> DataFrame:
+    """The first municipalities with a total above zero, equal totals by state and name."""
     _year(star, "year", arguments.required("year", year))
     arguments.whole("limit", limit, 1, MAX_MUNICIPALITIES)
     indicator = _the_indicator(star, indicator_id)
-    totals = _place_year(star, indicator_id, year).where(F.col("total") > 0).join(star.dim("place"), "place_id")
-    totals = totals.select("state", "municipality", F.col("total").alias("value"))
-    return _top(totals, ["state", "municipality"], limit).select(*indicator, "rank", "state", "municipality", "value")
+    # Ranks are at most positions, so the first `limit` rows by (rank, state, name) have such a rank.
+    listed = _ordered_places(star, indicator_id, year).where((F.col("total") > 0) & (F.col("rank") <= F.lit(limit)))
+    return (
+        listed.orderBy("rank", "state", "municipality")
+        .limit(limit)
+        .select(*indicator, "rank", "state", "municipality", F.col("total").alias("value"))
+    )
 
 
 def _place_year(star: Star, indicator_id: int, year: int) -> DataFrame:
@@ -295,7 +309,7 @@ def _place_year(star: Star, indicator_id: int, year: int) -> DataFrame:
 def ranking_of_indicators(star: Star, group: str, year: int, limit: int = TOP) -> DataFrame:
     arguments.one_of("group", group, star.reference.group_names)
     _year(star, "year", arguments.required("year", year))
-    arguments.whole("limit", limit, 1, star.dim("indicator").count())
+    arguments.whole("limit", limit, 1, len(star.lookup.indicators))
     return (
         views.indicator_ranking(star)
         .where((F.col("semantic_group") == F.lit(group)) & (F.col("year") == F.lit(year)))
@@ -310,7 +324,7 @@ def radar(star: Star, indicator_id=None, year=None, min_abs_z=None, limit: int =
     _year(star, "year", year)
     arguments.within("min_abs_z", min_abs_z, 0)
     # At most every indicator in every month.
-    arguments.whole("limit", limit, 1, star.dim("indicator").count() * star.dim("time").count())
+    arguments.whole("limit", limit, 1, len(star.lookup.indicators) * star.lookup.months)
     rows = views.deviation_from_history(star, digits)
     if indicator_id is not None:
         wanted = star.dim("indicator").where(F.col("indicator_id") == F.lit(indicator_id)).select("indicator")

@@ -5,18 +5,21 @@ from __future__ import annotations
 from collections.abc import Mapping
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tallystar.operators.dimensions import build_dimensions
 from tallystar.operators.facts import aggregate_to_grain, build_fact, require_keys, require_valid_fact, with_keys
 from tallystar.operators.staging import build_staging
+from tallystar.plans.lookup import Lookup, read_lookup
+from tallystar.plans.stored import count_values, order_of_places, total_by_month, total_by_place_year, year_statistics
 from tallystar.reference import Reference
 from tallystar.sources import tables
 from tallystar.sources.raw import stack_years
 from tallystar.storage import settle, together
 
-STORED = ("staging", "grain", "fact", "place_year", "indicator_month", "value_counts")
+SUMS = ("place_year", "indicator_month", "value_counts", "indicator_year", "place_order")
+STORED = ("staging", "grain", "fact", *SUMS)
 
 
 @dataclass(frozen=True)
@@ -31,9 +34,14 @@ class Star:
     place_year: DataFrame
     indicator_month: DataFrame
     value_counts: DataFrame
+    indicator_year: DataFrame
+    place_order: DataFrame
+    lookup: Lookup = field(repr=False)
     raw: DataFrame | None = None
     # Checked on the stored tables: every row's source year is its calendar year: year filters may prune the fact's partitions.
     years_agree: bool = False
+    # Rows of each layer, counted while they were written; absent for stars that are read back.
+    counts: Mapping[str, int] | None = None
 
     @property
     def spark(self) -> SparkSession:
@@ -43,89 +51,91 @@ class Star:
         return self.dims[name]
 
 
-def total_by_place_year(fact: DataFrame) -> DataFrame:
-    """Total and row count per indicator, place and year."""
-    return fact.groupBy("indicator_id", "place_id", F.col("source_year").alias("year")).agg(
-        F.sum("value").alias("total"), F.count("*").alias("row_count")
-    )
-
-
-def total_by_month(fact: DataFrame) -> DataFrame:
-    """Total per indicator and month."""
-    return fact.groupBy("indicator_id", "time_id").agg(F.sum("value").alias("total"))
-
-
-def count_values(fact: DataFrame, time: DataFrame) -> DataFrame:
-    """How often each value occurs, per indicator and year: what percentiles are read from."""
-    return (
-        fact.join(time.select("time_id", "year"), "time_id")
-        .groupBy("indicator_id", "source_year", "year", "value")
-        .agg(F.count("*").alias("times"))
-    )
-
-
 def source_year_mismatches(grain: DataFrame) -> DataFrame:
     """Grain rows whose source year differs from their calendar year."""
     return grain.agg(F.count_if(F.col("source_year") != F.year("ref_month")).alias("rows_of_another_year"))
 
 
-def build_in_memory(raw_by_year: Mapping[int, DataFrame], reference: Reference) -> Star:
+def build_in_memory(raw: Mapping[int, DataFrame] | DataFrame, reference: Reference) -> Star:
     """The star without a warehouse folder, its layers checkpointed: for small feeds and tests."""
-    raw = stack_years(raw_by_year)
+    raw = stack_years(raw)
     staging = build_staging(raw)
     grain = settle(aggregate_to_grain(staging))
     dims = together(**{name: lambda b=b: settle(b()) for name, b in build_dimensions(grain, reference).items()})
     require_keys(with_keys(grain, dims))
     fact = settle(build_fact(grain, dims))
     require_valid_fact(fact)
-    return Star(
-        reference=reference,
-        staging=staging,
-        grain=grain,
-        fact=fact,
-        dims=dims,
-        place_year=total_by_place_year(fact),
-        indicator_month=total_by_month(fact),
-        value_counts=count_values(fact, dims["time"]),
-        raw=raw,
-        years_agree=source_year_mismatches(grain).first()[0] == 0,
-    )
-
-
-def write_star(raw_by_year: Mapping[int, DataFrame], reference: Reference, root: str) -> Star:
-    """Build the star layer by layer; every layer is written once and read back by the next."""
-    raw = stack_years(raw_by_year)
-    staging = tables.write_staging(build_staging(raw), f"{root}/staging")
-    grain = tables.write_table(aggregate_to_grain(staging), f"{root}/grain")
+    place_year, value_counts = total_by_place_year(fact), count_values(fact, dims["time"])
+    sums = {
+        "place_year": place_year,
+        "indicator_month": total_by_month(fact),
+        "value_counts": value_counts,
+        "indicator_year": year_statistics(fact, value_counts),
+        "place_order": order_of_places(place_year, dims["place"]),
+    }
+    return _opened(reference, dims, {"staging": staging, "grain": grain, "fact": fact, **sums}, raw)
+
+
+def write_star(raw: Mapping[int, DataFrame] | DataFrame, reference: Reference, root: str) -> Star:
+    """Build the star layer by layer; every layer is written once, counted on the way, and read back by the next."""
+    raw = stack_years(raw)
+    counted = {name: Observation(name) for name in ("raw", "staging", "grain", "fact")}
+    # Counted in the stage that writes, whose tasks report once each however often one is run again.
+    seen = raw.observe(counted["raw"], F.count("*").alias("rows"))
+    staging = tables.write_staging(build_staging(seen), f"{root}/staging", counted["staging"])
+    grain = tables.write_table(aggregate_to_grain(staging), f"{root}/grain", counted["grain"])
     paths = tables.dimension_paths(root)
     builders = build_dimensions(grain, reference)
     dims = together(
         **{name: lambda name=name: tables.write_dimension(builders[name](), paths[name]) for name in builders}
     )
-    fact = tables.write_fact(build_fact(grain, dims), f"{root}/fact")
+    fact = tables.write_fact(build_fact(grain, dims), f"{root}/fact", counted["fact"])
     require_valid_fact(fact)
-    sums = together(
-        place_year=lambda: tables.write_clustered(total_by_place_year(fact), f"{root}/place_year", "year"),
-        indicator_month=lambda: tables.write_table(total_by_month(fact), f"{root}/indicator_month"),
-        value_counts=lambda: tables.write_table(count_values(fact, dims["time"]), f"{root}/value_counts"),
-    )
-    return _checked(reference, dims, {"staging": staging, "grain": grain, "fact": fact, **sums}, raw)
+
+    def places() -> tuple[DataFrame, DataFrame]:
+        place_year = tables.write_clustered(total_by_place_year(fact), f"{root}/place_year", "year")
+        ordered = order_of_places(place_year, dims["place"])
+        return place_year, tables.write_ordered(ordered, f"{root}/place_order", ["indicator_id", "year", "position"])
+
+    def values() -> tuple[DataFrame, DataFrame]:
+        value_counts = tables.write_table(count_values(fact, dims["time"]), f"{root}/value_counts")
+        return value_counts, tables.write_table(year_statistics(fact, value_counts), f"{root}/indicator_year")
+
+    def months() -> DataFrame:
+        return tables.write_table(total_by_month(fact), f"{root}/indicator_month")
+
+    written = together(places=places, values=values, months=months)
+    stored = {"staging": staging, "grain": grain, "fact": fact, "indicator_month": written["months"]}
+    stored["place_year"], stored["place_order"] = written["places"]
+    stored["value_counts"], stored["indicator_year"] = written["values"]
+    counts = {name: observation.get["rows"] for name, observation in counted.items()}
+    return _opened(reference, dims, stored, raw, counts)
 
 
 def read_star(spark: SparkSession, reference: Reference, root: str, raw: DataFrame | None = None) -> Star:
     """Open the tables of an earlier run."""
     stored = {name: tables.read_table(spark, f"{root}/{name}") for name in STORED}
     dims = {name: tables.read_table(spark, path) for name, path in tables.dimension_paths(root).items()}
-    return _checked(reference, dims, stored, raw)
+    return _opened(reference, dims, stored, raw)
 
 
-def _checked(
-    reference: Reference, dims: Mapping[str, DataFrame], stored: Mapping[str, DataFrame], raw: DataFrame | None
+def _opened(
+    reference: Reference,
+    dims: Mapping[str, DataFrame],
+    stored: Mapping[str, DataFrame],
+    raw: DataFrame | None,
+    counts: Mapping[str, int] | None = None,
 ) -> Star:
+    read = together(
+        lookup=lambda: read_lookup(dims["indicator"], dims["time"], stored["indicator_month"], reference.regions),
+        mismatches=lambda: source_year_mismatches(stored["grain"]).first()[0],
+    )
     return Star(
         reference=reference,
         dims=dims,
         raw=raw,
-        years_agree=source_year_mismatches(stored["grain"]).first()[0] == 0,
+        lookup=read["lookup"],
+        years_agree=read["mismatches"] == 0,
+        counts=counts,
         **stored,
     )

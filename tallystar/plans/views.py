@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from tallystar.functions.columns import join_groups, mean, month_number, number, percent, ratio, rounded, share_of
 from tallystar.operators.facts import not_reported
-from tallystar.operators.ordering import quantiles, rank_within, window_rank
+from tallystar.operators.ordering import quantiles, window_rank
 from tallystar.plans.star import Star
 from tallystar.reference import semantic_group
 from tallystar.schema import MONTHS_PER_FULL_YEAR, TIMES_TYPE, WEIGHT
@@ -57,22 +57,7 @@ def percentiles(counts: DataFrame, keys: list[str], points: dict[str, float]) ->
 
 def indicator_year_statistics(star: Star) -> DataFrame:
     """Count, sum, mean, median, extremes and population deviation per indicator and year."""
-    keys = ["indicator_id", "source_year"]
-    value = F.col("value")
-    stats = star.fact.groupBy(*keys).agg(
-        F.count("*").alias("row_count"),
-        F.sum(value).alias("total"),
-        F.min(value).alias("minimum"),
-        F.max(value).alias("maximum"),
-        F.stddev_pop(number("value")).alias("deviation"),
-    )
-    medians = percentiles(star.value_counts, keys, {"median": 0.5})
-    return (
-        stats.join(medians, keys)
-        .withColumn("mean", mean("total", "row_count"))
-        .withColumnRenamed("source_year", "year")
-        .select("indicator_id", "year", "row_count", "total", "mean", "median", "minimum", "maximum", "deviation")
-    )
+    return star.indicator_year
 
 
 def indicator_place_year(star: Star) -> DataFrame:
@@ -88,7 +73,7 @@ def indicator_jurisdiction_year(star: Star) -> DataFrame:
 
 def indicator_month(star: Star) -> DataFrame:
     """Total per indicator and month."""
-    return star.indicator_month
+    return star.indicator_month.select("indicator_id", "time_id", "total")
 
 
 # --- breakdowns --------------------------------------------------------------
@@ -316,11 +301,12 @@ def state_ranking(star: Star) -> DataFrame:
 
 
 def municipality_ranking(star: Star) -> DataFrame:
-    """Municipalities with a total above zero; ranked on ids before the labels join."""
-    positive = indicator_place_year(star).where(F.col("total") > 0)
-    ranked = rank_within(positive, ["indicator_id", "year"], "total", "rank")
-    return _label_places(star, ranked).select(
-        *LABELS, "year", "is_partial_year", "state", "municipality", "total", "rank"
+    """Municipalities with a total above zero, from the stored order of places."""
+    ranked = star.place_order.where(F.col("year").isNotNull() & (F.col("total") > 0))
+    return (
+        ranked.join(indicator_labels(star), "indicator_id")
+        .join(year_flags(star), "year")
+        .select(*LABELS, "year", "is_partial_year", "state", "municipality", "total", "rank")
     )
 
 

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 from tallystar.schema import DIMENSIONS
 
@@ -16,21 +17,25 @@ def write_landing(raw: DataFrame, path: str) -> dict[int, str]:
     return {row.source_year: f"{path}/source_year={row.source_year}" for row in years}
 
 
-def _stored(df: DataFrame, path: str, partition: str | None = None) -> DataFrame:
-    """Write a table and open what was written; its schema is known, so no file is opened for it."""
-    writer = df.write.mode("overwrite")
+def _stored(df: DataFrame, path: str, partition: str | None = None, counted: Observation | None = None) -> DataFrame:
+    """Write a table and open what was written; its schema is known, so no file is opened for it.
+
+    `counted` takes the number of `rows` on the way, in the stage that writes them.
+    """
+    observed = df if counted is None else df.observe(counted, F.count("*").alias("rows"))
+    writer = observed.write.mode("overwrite")
     if partition is not None:
         writer = writer.partitionBy(partition)
     writer.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def write_staging(staging: DataFrame, path: str) -> DataFrame:
-    return _stored(staging, path, "source_year")
+def write_staging(staging: DataFrame, path: str, counted: Observation | None = None) -> DataFrame:
+    return _stored(staging, path, "source_year", counted)
 
 
-def write_table(df: DataFrame, path: str) -> DataFrame:
-    return _stored(df, path)
+def write_table(df: DataFrame, path: str, counted: Observation | None = None) -> DataFrame:
+    return _stored(df, path, counted=counted)
 
 
 def write_dimension(df: DataFrame, path: str) -> DataFrame:
@@ -38,7 +43,7 @@ def write_dimension(df: DataFrame, path: str) -> DataFrame:
     return _stored(df, path)
 
 
-def write_clustered(df: DataFrame, path: str, year: str) -> DataFrame:
+def write_clustered(df: DataFrame, path: str, year: str, counted: Observation | None = None) -> DataFrame:
     """Partitioned by year, clustered by indicator and place.
 
     The range is over the year, the indicator and the place, so a year or an indicator holding a
@@ -46,11 +51,16 @@ def write_clustered(df: DataFrame, path: str, year: str) -> DataFrame:
     one skips files by their min/max statistics.
     """
     layout = (year, "indicator_id", "place_id")
-    return _stored(df.repartitionByRange(*layout).sortWithinPartitions(*layout), path, year)
+    return _stored(df.repartitionByRange(*layout).sortWithinPartitions(*layout), path, year, counted)
+
+
+def write_fact(fact: DataFrame, path: str, counted: Observation | None = None) -> DataFrame:
+    return write_clustered(fact, path, "source_year", counted)
 
 
-def write_fact(fact: DataFrame, path: str) -> DataFrame:
-    return write_clustered(fact, path, "source_year")
+def write_ordered(df: DataFrame, path: str, order: list[str]) -> DataFrame:
+    """Range-clustered, so that a filter on the leading columns skips files and row groups."""
+    return _stored(df.repartitionByRange(*order).sortWithinPartitions(*order), path)
 
 
 def read_table(spark: SparkSession, path: str) -> DataFrame:

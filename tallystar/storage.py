@@ -5,9 +5,9 @@ from __future__ import annotations
 import tempfile
 import uuid
 from collections.abc import Callable
-from concurrent.futures import ThreadPoolExecutor
 from typing import TypeVar
 
+from pyspark import InheritableThread
 from pyspark.sql import DataFrame, SparkSession
 
 T = TypeVar("T")
@@ -38,7 +38,24 @@ def settle(df: DataFrame) -> DataFrame:
 
 
 def together(**work: Callable[[], T]) -> dict[str, T]:
-    """Start independent jobs side by side, so that small ones do not wait for each other."""
-    with ThreadPoolExecutor(max_workers=len(work)) as pool:
-        started = {name: pool.submit(job) for name, job in work.items()}
-        return {name: done.result() for name, done in started.items()}
+    """Start independent jobs side by side, so that small ones do not wait for each other.
+
+    The threads take over job group, scheduler pool and the session's other local properties.
+    """
+    done: dict[str, T] = {}
+    failed: list[BaseException] = []
+
+    def note(name: str, job: Callable[[], T]) -> None:
+        try:
+            done[name] = job()
+        except BaseException as problem:  # raised again below, in the thread that asked
+            failed.append(problem)
+
+    threads = [InheritableThread(target=note, args=(name, job)) for name, job in work.items()]
+    for thread in threads:
+        thread.start()
+    for thread in threads:
+        thread.join()
+    if failed:
+        raise failed[0]
+    return done

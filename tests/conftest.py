@@ -24,6 +24,7 @@ def spark(tmp_path_factory):
         .config("spark.default.parallelism", "4")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
+        .config("spark.sql.maxMetadataStringLength", "4000")  # plans name their files and filters in full
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.checkpoint.dir", str(folder / "checkpoints"))
         .config("spark.sql.warehouse.dir", str(folder / "warehouse"))

@@ -10,7 +10,7 @@ from tallystar.operators.sequence import number_rows
 from tallystar.operators.staging import build_staging, require_same_rows
 from tallystar.reference import INDICATORS, REGION_STATES, default_reference, semantic_group
 from tallystar.schema import FACT_KEY, RAW_COLUMNS, SOURCE_HEADERS, STAGING_COLUMNS
-from tallystar.sources.raw import raw_frame, read_year, read_years, stack_years
+from tallystar.sources.raw import raw_frame, read_feed, read_year, read_years, stack_years
 
 
 def values_of(star, indicator, *columns, **where):
@@ -77,6 +77,30 @@ def test_csv_round_trip_with_published_headers(spark, tmp_path):
     assert staged.count() == 24 and staged.exceptAll(expected).isEmpty() and expected.exceptAll(staged).isEmpty()
 
 
+@pytest.mark.parametrize("file_format", ["csv", "json", "parquet"])
+def test_all_years_of_one_layout_are_one_scan(spark, tmp_path, file_format):
+    back = {new: old for old, new in SOURCE_HEADERS.items()}
+    paths = {}
+    for year, rows in {**feed_rows(), 2032: months(2032, 2)}.items():
+        paths[year] = str(tmp_path / f"y {year}")
+        raw_frame(spark, rows).withColumnsRenamed(back).write.option("header", True).format(file_format).save(paths[year])
+    feed = read_feed(spark, paths, file_format)
+    assert feed._jdf.queryExecution().executedPlan().toString().count("FileScan") == 1
+    staged = build_staging(feed)
+    expected = build_staging(stack_years(read_years(spark, paths, file_format)))
+    assert staged.count() == 26 and staged.exceptAll(expected).isEmpty() and expected.exceptAll(staged).isEmpty()
+    if file_format == "json":
+        assert {t for c, t in feed.dtypes if c != "source_year"} == {"string"}
+
+
+def test_years_of_different_layouts_are_read_by_name(spark, tmp_path):
+    raw_frame(spark, months(2030, 12)).write.option("header", True).csv(str(tmp_path / "a"))
+    turned = raw_frame(spark, months(2031, 3)).select(*reversed(RAW_COLUMNS), F.lit("x").alias("extra"))
+    turned.write.option("header", True).csv(str(tmp_path / "b"))
+    feed = read_feed(spark, {2030: str(tmp_path / "a"), 2031: str(tmp_path / "b")}, "csv")
+    assert {r.source_year: r.n for r in build_staging(feed).groupBy("source_year").agg(F.count("female").alias("n")).collect()} == {2030: 12, 2031: 3}
+
+
 def test_missing_file_and_missing_column_fail(spark, tmp_path):
     with pytest.raises(Exception, match="PATH_NOT_FOUND"):
         read_year(spark, str(tmp_path / "absent"), 2030)

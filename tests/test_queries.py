@@ -130,6 +130,38 @@ def test_stored_sums_and_the_fact_agree(feed_context):
         assert [tuple(r) for r in query(star).collect()] == [tuple(r) for r in query(unknown).collect()]
 
 
+def test_queries_return_and_fail_without_a_job(feed_context):
+    star, context = feed_context.star, feed_context.star.spark.sparkContext
+    context.setJobGroup("lookups", "queries before they are collected")
+    try:
+        queries.year_over_year(star, 3)
+        queries.by_state(star, 3, year=1998)
+        queries.by_municipality(star, 3, page=7, page_size=3)
+        queries.ranking_of_states(star, 3, 1998)
+        queries.ranking_of_municipalities(star, 3, 1998)
+        queries.ranking_of_indicators(star, "Lines", 1998)
+        queries.radar(star, 3)
+        queries.temporal(star, 3)
+        for wrong, error in ((lambda: queries.by_state(star, 999), NotFoundError), (lambda: queries.year_over_year(star, 3, 1901, 1902), NotEnoughDataError)):
+            with pytest.raises(error):
+                wrong()
+        assert list(context.statusTracker().getJobIdsForGroup("lookups")) == []
+    finally:
+        context.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_a_deep_page_is_one_filtered_read(feed_context):
+    star = feed_context.star
+    whole = queries.by_municipality(star, 3, page=1, page_size=100).rows.collect()
+    for page in (1, 9, 25):
+        rows = queries.by_municipality(star, 3, page=page, page_size=4).rows
+        plan = rows._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("FileScan") == 1 and "Sort " not in plan and "Exchange" not in plan and "GreaterThanOrEqual(position" in plan
+        assert rows.collect() == whole[(page - 1) * 4 : page * 4]
+    inside = queries.by_municipality(star, 3, state="NATION_3", page=2, page_size=2).rows.collect()
+    assert inside == queries.by_municipality(star, 3, state="NATION_3", page_size=4).rows.collect()[2:]
+
+
 def test_rankings(cargo):
     star, number = cargo
     assert [(r["rank"], r.state) for r in queries.ranking_of_states(star, number, 2030).collect()] == [(1, "SP"), (2, "MG"), (2, "RJ")]

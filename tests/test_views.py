@@ -1,3 +1,5 @@
+from dataclasses import replace
+
 import pytest
 from conftest import as_dicts, months, row, star_of
 from pyspark.sql import functions as F
@@ -253,11 +255,54 @@ def test_filtered_measures_prune_the_fact(feed_star):
         "share": scanned(measures.share(feed_star, "sex", ["indicator"], {"family": "victim", **by_year})),
     }
     for name, plan in plans.items():
-        assert "source_year" in plan.split("PartitionFilters: [", 1)[1].split("]", 1)[0], name
+        assert any("year" in part.split("]", 1)[0] for part in plan.split("PartitionFilters: [")[1:]), name
     for name in ("top_states", "weights", "share"):
         assert any("indicator_id" in part.split("]", 1)[0] for part in plans[name].split("PushedFilters: [")[1:]), name
 
 
+def test_sums_answer_what_their_keys_cover(feed_star):
+    def read(df):
+        plan = scanned(df)
+        return [t for t in ("fact", "place_year", "indicator_month", "value_counts") if f"/{t}]" in plan]
+
+    assert read(measures.core(feed_star, ["state", "year"])) == ["place_year"]
+    assert read(measures.core(feed_star, ["region"], {"year": 1998, "family": "count"})) == ["place_year"]
+    assert read(measures.core(feed_star, ["month"])) == read(measures.group_series(feed_star)) == ["indicator_month"]
+    assert read(measures.group_totals(feed_star)) == read(measures.group_distribution(feed_star)) == ["indicator_month"]
+    assert read(measures.share(feed_star, "state", ["indicator", "year"])) == ["place_year"]
+    assert read(measures.drill_down(feed_star, "municipality")) == ["place_year"]
+    for by, where in ((["state", "month"], None), (["jurisdiction"], None), (["state"], {"sex": "Feminino"})):
+        assert read(measures.core(feed_star, by, where)) == ["fact"], by
+    assert read(measures.core(replace(feed_star, years_agree=False), ["state", "year"])) == ["fact"]
+    assert read(measures.core(replace(feed_star, years_agree=False), ["state"])) == ["place_year"]
+
+
+def test_every_source_gives_the_same_sums(feed_star):
+    unknown = replace(feed_star, years_agree=False)
+    by = ["semantic_group", "state", "year", "is_partial_year"]
+    for where in (None, {"year": [1997, 1998], "region": "ASIA"}, {"indicator": "LINE PROMO", "is_partial_year": False}):
+        stored, direct = (measures.sliced(s, by, where) for s in (feed_star, unknown))
+        assert stored.count() == direct.count() > 0
+        assert stored.select(sorted(stored.columns)).exceptAll(direct.select(sorted(stored.columns))).isEmpty()
+
+
+def test_units_in_context_by_dimension_and_by_fact(star):
+    """One place holds one indicator, but a filter on places does not reach the indicator dimension."""
+    where = {"municipality": "BRASÍLIA"}
+    dimension, fact = (measures.core(star, [], where, units_from=u).first() for u in measures.UNITS_FROM)
+    units = star.dim("indicator").select("unit").distinct().count()
+    assert (dimension.distinct_units, fact.distinct_units) == (units, 1) and units > 1
+    assert dimension.safe_total is None and float(fact.safe_total) == 2.0
+    assert (dimension.selected_indicator, fact.selected_indicator) == ("Vários indicadores", "Homicídio doloso")
+    assert dimension.total_value == fact.total_value and dimension.row_count == fact.row_count
+    grouped = {r.semantic_group: r for r in measures.core(star, ["semantic_group"], where).collect()}
+    assert set(grouped) == {"Vítimas"} and grouped["Vítimas"].distinct_units == 1 and float(grouped["Vítimas"].safe_total) == 2.0
+    one = measures.core(star, ["state"], {"indicator": "Homicídio doloso"}).collect()
+    assert {r.selected_indicator for r in one} == {"Homicídio doloso"} and all(r.safe_total is not None for r in one)
+    with pytest.raises(ValueError, match="units_from"):
+        measures.core(star, units_from="both")
+
+
 def test_time_filters_do_not_cut_series(feed_star):
     key = ["indicator", "ref_month"]
     for measure in (measures.calendar_metrics, measures.history):
