@@ -16,10 +16,11 @@ from tallystar.storage import together
 
 @dataclass(frozen=True)
 class Lookup:
-    """Names and units by indicator id, the first month with rows of each indicator and year, and sizes."""
+    """Names and units by indicator id, ids by jurisdiction, the first month with rows of each indicator and year, and sizes."""
 
     indicators: dict[int, tuple[str, str]]
     first_months: dict[int, dict[int, int]]
+    jurisdictions: dict[str, int]
     cutoff_month: int
     months: int
     states: int
@@ -33,7 +34,9 @@ class Lookup:
         return self.first_months.get(indicator_id, {}).get(year, MONTHS_PER_FULL_YEAR + 1) <= self.cutoff_month
 
 
-def read_lookup(indicators: DataFrame, time: DataFrame, indicator_month: DataFrame, regions: DataFrame) -> Lookup:
+def read_lookup(
+    indicators: DataFrame, time: DataFrame, jurisdictions: DataFrame, indicator_month: DataFrame, regions: DataFrame
+) -> Lookup:
     spans = (
         indicator_month.join(time.select("time_id", "year", "month"), "time_id")
         .groupBy("indicator_id", "year")
@@ -42,6 +45,7 @@ def read_lookup(indicators: DataFrame, time: DataFrame, indicator_month: DataFra
     read = together(
         indicators=lambda: indicators.select("indicator_id", "indicator", "unit").collect(),
         calendar=lambda: time.select("year", "month", "is_partial_year").collect(),
+        jurisdictions=lambda: jurisdictions.select("jurisdiction", "jurisdiction_id").collect(),
         spans=spans.collect,
         states=regions.count,
     )
@@ -55,6 +59,7 @@ def read_lookup(indicators: DataFrame, time: DataFrame, indicator_month: DataFra
     return Lookup(
         indicators={row.indicator_id: (row.indicator, row.unit) for row in read["indicators"]},
         first_months=first_months,
+        jurisdictions={row.jurisdiction: row.jurisdiction_id for row in read["jurisdictions"]},
         cutoff_month=min(last_months.values(), default=MONTHS_PER_FULL_YEAR),
         months=len(read["calendar"]),
         states=read["states"],

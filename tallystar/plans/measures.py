@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from tallystar.functions.columns import join_groups, mean, number, ratio, rounded, share_of
 from tallystar.operators.ordering import quantiles, rank_within, window_rank
+from tallystar.operators.outliers import UPPER_POINTS, outlier_contrast, ratio_impact
 from tallystar.plans import views
 from tallystar.plans.star import Star
 from tallystar.reference import (
@@ -354,7 +355,7 @@ def indicator_share_of_family(star: Star, by: Sequence[str] = (), where: Filters
 
 def weight_statistics(star: Star, by: Sequence[str] = (), where: Filters = None) -> DataFrame:
     """Median, P90, P95, P99 and maximum of the weight family."""
-    points = {"median": 0.5} | views.UPPER_POINTS | {"maximum": 1.0}
+    points = {"median": 0.5} | UPPER_POINTS | {"maximum": 1.0}
     return _weight_points(_weight_values(star, by, where), list(by), points)
 
 
@@ -371,10 +372,9 @@ def weight_outliers(star: Star, by: Sequence[str] = ("indicator",), where: Filte
     keys = list(by)
     values = _weight_values(star, keys, where)
     limits = _weight_points(values, keys, {"p99": 0.99})
-    contrast = views.outlier_contrast(values, limits, keys, "row_count")
-    impact = ratio(F.col("mean_with_outliers") - F.col("mean_without_top"), "mean_without_top")
+    contrast = outlier_contrast(values, limits, keys, "row_count")
     return contrast.select(
-        *keys, "mean_with_outliers", "mean_without_top", rounded(impact, digits).alias("ratio_impact")
+        *keys, "mean_with_outliers", "mean_without_top", rounded(ratio_impact(), digits).alias("ratio_impact")
     )
 
 

@@ -59,15 +59,13 @@ def resolve(text: str, database: str) -> str:
 
 
 def results(star: Star) -> dict[str, DataFrame]:
-    """What the SQL views cannot compute in one bounded pass, and the counts of the layers."""
+    """Labels by configured rules, missing cells per indicator, and the counts of the layers: a few rows each."""
     counts = star.counts or {name: getattr(star, name).count() for name in ("staging", "fact")}
     layer_rows = star.spark.range(1).select(
         F.lit(counts["staging"]).cast("bigint").alias("staging_rows"), F.lit(counts["fact"]).cast("bigint").alias("fact_rows")
     )
     return {
         "labels": views.indicator_labels(star),
-        "weight_points": views.weight_percentiles(star),
-        "weight_impact": views.outlier_impact(star),
         "missing_cells": views.quality_not_reported(star),
         "layer_rows": layer_rows,
     }

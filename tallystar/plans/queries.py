@@ -59,8 +59,8 @@ def _fact(star: Star, indicator_id=None, jurisdiction=None, **period) -> DataFra
         if last is not None:
             fact = fact.where(F.col("source_year") <= F.lit(last))
     if jurisdiction is not None:
-        ids = star.dim("jurisdiction").where(F.col("jurisdiction") == F.lit(jurisdiction)).select("jurisdiction_id")
-        fact = fact.join(ids, "jurisdiction_id", "left_semi")
+        # An unknown jurisdiction has no id, and no rows.
+        fact = fact.where(F.col("jurisdiction_id") == F.lit(star.lookup.jurisdictions.get(jurisdiction)))
     return fact
 
 

@@ -12,13 +12,22 @@ from tallystar.operators.dimensions import build_dimensions
 from tallystar.operators.facts import aggregate_to_grain, build_fact, require_keys, require_valid_fact, with_keys
 from tallystar.operators.staging import build_staging
 from tallystar.plans.lookup import Lookup, read_lookup
-from tallystar.plans.stored import count_values, order_of_places, total_by_month, total_by_place_year, year_statistics
+from tallystar.plans.stored import (
+    count_values,
+    order_of_places,
+    total_by_month,
+    total_by_place_year,
+    weight_contrast,
+    weight_statistics,
+    weights_of,
+    year_statistics,
+)
 from tallystar.reference import Reference
 from tallystar.sources import tables
 from tallystar.sources.raw import stack_years
 from tallystar.storage import settle, together
 
-SUMS = ("place_year", "indicator_month", "value_counts", "indicator_year", "place_order")
+SUMS = ("place_year", "indicator_month", "value_counts", "indicator_year", "weight_year", "weight_contrast", "place_order")
 STORED = ("staging", "grain", "fact", *SUMS)
 
 
@@ -35,6 +44,8 @@ class Star:
     indicator_month: DataFrame
     value_counts: DataFrame
     indicator_year: DataFrame
+    weight_year: DataFrame
+    weight_contrast: DataFrame
     place_order: DataFrame
     lookup: Lookup = field(repr=False)
     raw: DataFrame | None = None
@@ -71,6 +82,8 @@ def build_in_memory(raw: Mapping[int, DataFrame] | DataFrame, reference: Referen
         "indicator_month": total_by_month(fact),
         "value_counts": value_counts,
         "indicator_year": year_statistics(fact, value_counts),
+        "weight_year": weight_statistics(weights_of(value_counts, dims["indicator"])),
+        "weight_contrast": weight_contrast(weights_of(value_counts, dims["indicator"])),
         "place_order": order_of_places(place_year, dims["place"]),
     }
     return _opened(reference, dims, {"staging": staging, "grain": grain, "fact": fact, **sums}, raw)
@@ -97,17 +110,22 @@ def write_star(raw: Mapping[int, DataFrame] | DataFrame, reference: Reference, r
         ordered = order_of_places(place_year, dims["place"])
         return place_year, tables.write_ordered(ordered, f"{root}/place_order", ["indicator_id", "year", "position"])
 
-    def values() -> tuple[DataFrame, DataFrame]:
-        value_counts = tables.write_table(count_values(fact, dims["time"]), f"{root}/value_counts")
-        return value_counts, tables.write_table(year_statistics(fact, value_counts), f"{root}/indicator_year")
-
     def months() -> DataFrame:
         return tables.write_table(total_by_month(fact), f"{root}/indicator_month")
 
-    written = together(places=places, values=values, months=months)
-    stored = {"staging": staging, "grain": grain, "fact": fact, "indicator_month": written["months"]}
+    value_counts = tables.write_table(count_values(fact, dims["time"]), f"{root}/value_counts")
+    weights = weights_of(value_counts, dims["indicator"])
+    written = together(
+        places=places,
+        months=months,
+        years=lambda: tables.write_table(year_statistics(fact, value_counts), f"{root}/indicator_year"),
+        weights=lambda: tables.write_table(weight_statistics(weights), f"{root}/weight_year"),
+        contrast=lambda: tables.write_table(weight_contrast(weights), f"{root}/weight_contrast"),
+    )
+    stored = {"staging": staging, "grain": grain, "fact": fact, "value_counts": value_counts}
     stored["place_year"], stored["place_order"] = written["places"]
-    stored["value_counts"], stored["indicator_year"] = written["values"]
+    stored |= {"indicator_month": written["months"], "indicator_year": written["years"]}
+    stored |= {"weight_year": written["weights"], "weight_contrast": written["contrast"]}
     counts = {name: observation.get["rows"] for name, observation in counted.items()}
     return _opened(reference, dims, stored, raw, counts)
 
@@ -127,7 +145,9 @@ def _opened(
     counts: Mapping[str, int] | None = None,
 ) -> Star:
     read = together(
-        lookup=lambda: read_lookup(dims["indicator"], dims["time"], stored["indicator_month"], reference.regions),
+        lookup=lambda: read_lookup(
+            dims["indicator"], dims["time"], dims["jurisdiction"], stored["indicator_month"], reference.regions
+        ),
         mismatches=lambda: source_year_mismatches(stored["grain"]).first()[0],
     )
     return Star(

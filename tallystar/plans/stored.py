@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallystar.functions.columns import join_groups, mean, number
 from tallystar.operators.ordering import quantiles
-from tallystar.operators.sequence import number_rows
+from tallystar.operators.outliers import UPPER_POINTS, outlier_contrast
+from tallystar.operators.sequence import ROW_BITS
+from tallystar.schema import TIMES_TYPE, WEIGHT
+from tallystar.storage import settle
 
 
 def total_by_place_year(fact: DataFrame) -> DataFrame:
@@ -50,30 +53,64 @@ def year_statistics(fact: DataFrame, value_counts: DataFrame) -> DataFrame:
     )
 
 
-ORDER_KEYS = ["indicator_id", "year"]
+def weights_of(value_counts: DataFrame, indicators: DataFrame) -> DataFrame:
+    """Value counts of the weight family."""
+    weights = indicators.where(F.col("family") == WEIGHT).select("indicator_id")
+    return value_counts.join(weights, "indicator_id", "left_semi")
+
+
+def weight_statistics(weights: DataFrame) -> DataFrame:
+    """Count, sum, mean, percentiles and maximum of the weights per indicator and calendar year."""
+    keys = ["indicator_id", "year"]
+    stats = weights.groupBy(*keys).agg(
+        F.sum("times").alias("row_count"),
+        F.sum(F.col("value") * F.col("times").cast(TIMES_TYPE)).alias("total"),
+        F.max("value").alias("maximum"),
+    )
+    points = quantiles(weights, keys, "value", {"median": 0.5} | UPPER_POINTS, "times")
+    return stats.join(points, keys).withColumn("mean", mean("total", "row_count"))
+
 
+def weight_contrast(weights: DataFrame) -> DataFrame:
+    """Outlier contrast per weight indicator, over all years."""
+    keys = ["indicator_id"]
+    return outlier_contrast(weights, quantiles(weights, keys, "value", {"p99": 0.99}, "times"), keys, "times")
 
-def _placed(rows: DataFrame, keys: list[str], order: list, name: str) -> DataFrame:
-    """Add `name` = 1..n within the keys: a distributed numbering of all rows, less where each group starts."""
-    numbered = number_rows(rows, [*[F.col(k).asc_nulls_first() for k in keys], *order], "_row")
-    starts = numbered.groupBy(*keys).agg(F.min("_row").alias("_start"))
-    return join_groups(numbered, starts, keys).withColumn(name, F.col("_row") - F.col("_start") + 1).drop("_row", "_start")
+
+ORDER_KEYS = ["indicator_id", "year"]
 
 
 def order_of_places(place_year: DataFrame, places: DataFrame) -> DataFrame:
     """Every place's position by descending total, per indicator and year and (null year) over all years.
 
     `position` counts within the whole list, `state_position` within the state, and `rank` gives equal totals the
-    same number. Pages and rankings are filters on these.
+    same number. Pages and rankings are filters on these. One range sort, checkpointed, gives all three: rows count up
+    within a partition of the sort, and counts per partition say how many stand in earlier ones.
     """
     yearly = place_year.select("indicator_id", "year", "place_id", "total")
     overall = yearly.groupBy("indicator_id", "place_id").agg(F.sum("total").alias("total"))
     totals = yearly.unionByName(overall.withColumn("year", F.lit(None).cast("int")))
     labelled = totals.join(places.select("place_id", "state", "municipality"), "place_id")
-    order = [F.desc("total"), F.asc("municipality"), F.asc("state")]
-    within_state = _placed(labelled, [*ORDER_KEYS, "state"], [F.desc("total"), F.asc("municipality")], "state_position")
-    placed = _placed(within_state, ORDER_KEYS, order, "position")
-    ties = placed.groupBy(*ORDER_KEYS, "total").agg(F.min("position").alias("rank"))
-    return join_groups(placed, ties, [*ORDER_KEYS, "total"]).select(
+    order = [F.asc("indicator_id"), F.asc_nulls_first("year"), F.desc("total"), F.asc("municipality"), F.asc("state")]
+    placed = settle(labelled.orderBy(*order).withColumn("_slot", F.monotonically_increasing_id()))
+    placed = placed.withColumn("_part", F.shiftright("_slot", ROW_BITS))
+
+    def earlier(*keys: str) -> Column:
+        window = Window.partitionBy(*keys).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+        return F.coalesce(F.sum("_n").over(window), F.lit(0))
+
+    cells = placed.groupBy("_part", *ORDER_KEYS, "state").agg(F.count("*").alias("_n"), F.min("_slot").alias("_first"))
+    parts = cells.groupBy("_part", *ORDER_KEYS).agg(F.sum("_n").alias("_n"), F.min("_first").alias("_start"))
+    parts = parts.select("_part", *ORDER_KEYS, "_start", earlier(*ORDER_KEYS).alias("_before"))
+    cells = cells.select("_part", *ORDER_KEYS, "state", earlier(*ORDER_KEYS, "state").alias("_state_before"))
+    offsets = join_groups(cells, parts, ["_part", *ORDER_KEYS])
+    in_state = F.row_number().over(Window.partitionBy("_part", *ORDER_KEYS, "state").orderBy("_slot"))
+    counted = join_groups(placed.withColumn("_in_state", in_state), offsets, ["_part", *ORDER_KEYS, "state"]).select(
+        *ORDER_KEYS, "place_id", "state", "municipality", "total",
+        (F.col("_before") + F.col("_slot") - F.col("_start") + 1).alias("position"),
+        (F.col("_state_before") + F.col("_in_state")).alias("state_position"),
+    )
+    ties = counted.groupBy(*ORDER_KEYS, "total").agg(F.min("position").alias("rank"))
+    return join_groups(counted, ties, [*ORDER_KEYS, "total"]).select(
         *ORDER_KEYS, "position", "state_position", "rank", "place_id", "state", "municipality", "total"
     )

@@ -86,8 +86,11 @@ VIEW_SQL: dict[str, str] = {
     "jurisdiction_ranking": _rank("@by_jurisdiction", f"{LABELS}, year, jurisdiction"),
     "state_share": f"""SELECT {LABELS}, year, is_partial_year, state, region, total,
           {_percent('total', 'SUM(total) OVER (PARTITION BY indicator, year)')} AS pct_of_nation FROM @by_state""",
-    "weight_percentiles": "SELECT * FROM @weight_points",
-    "outlier_impact": "SELECT * FROM @weight_impact",
+    "weight_percentiles": """SELECT indicator, year, unit, row_count, total, mean, median, p90, p95, p99, maximum
+        FROM @weight_year JOIN @dim_indicator USING (indicator_id)""",
+    "outlier_impact": """SELECT indicator, row_count, rows_above_p99, mean_with_outliers, mean_without_top, sum_with_outliers, sum_without_top,
+          ROUND(100 * TRY_DIVIDE(mean_with_outliers - mean_without_top, mean_without_top), 1) + 0.0D AS pct_impact
+        FROM @weight_contrast JOIN @dim_indicator USING (indicator_id)""",
     "quality_not_reported": "SELECT * FROM @missing_cells",
     "quality_summary": """SELECT staging_rows, fact_rows, indicators, states, municipality_names, places, first_month, last_month, months_in_partial_years,
           partial_years, (SELECT ROUND(AVG(pct_missing), 2) + 0.0D FROM @missing_cells) AS mean_pct_missing

@@ -12,15 +12,15 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tallystar.functions.columns import join_groups, mean, month_number, number, percent, ratio, rounded, share_of
+from tallystar.functions.columns import mean, month_number, number, percent, ratio, rounded, share_of
 from tallystar.operators.facts import not_reported
-from tallystar.operators.ordering import quantiles, window_rank
+from tallystar.operators.ordering import window_rank
+from tallystar.operators.outliers import UPPER_POINTS, pct_impact
 from tallystar.plans.star import Star
 from tallystar.reference import semantic_group
-from tallystar.schema import MONTHS_PER_FULL_YEAR, TIMES_TYPE, WEIGHT
+from tallystar.schema import MONTHS_PER_FULL_YEAR
 
 LABELS = ("indicator", "family", "unit")
-UPPER_POINTS = {"p90": 0.90, "p95": 0.95, "p99": 0.99}
 
 
 # --- labels ------------------------------------------------------------------
@@ -50,11 +50,6 @@ def enriched_fact(star: Star) -> DataFrame:
 # --- aggregates on ids -------------------------------------------------------
 
 
-def percentiles(counts: DataFrame, keys: list[str], points: dict[str, float]) -> DataFrame:
-    """Percentiles over (part of) the stored value counts."""
-    return quantiles(counts, keys, "value", points, "times")
-
-
 def indicator_year_statistics(star: Star) -> DataFrame:
     """Count, sum, mean, median, extremes and population deviation per indicator and year."""
     return star.indicator_year
@@ -345,67 +340,21 @@ def state_share(star: Star, digits: int = 2) -> DataFrame:
 # --- weights and outliers ----------------------------------------------------
 
 
-def weight_counts(star: Star) -> DataFrame:
-    """Value counts of the weight family."""
-    weights = star.dim("indicator").where(F.col("family") == WEIGHT).select("indicator_id")
-    return star.value_counts.join(weights, "indicator_id", "left_semi")
-
-
 def weight_percentiles(star: Star) -> DataFrame:
-    counts, keys = weight_counts(star), ["indicator_id", "year"]
-    stats = counts.groupBy(*keys).agg(
-        F.sum("times").alias("row_count"),
-        F.sum(F.col("value") * F.col("times").cast(TIMES_TYPE)).alias("total"),
-        F.max("value").alias("maximum"),
-    )
-    points = {"median": 0.5} | UPPER_POINTS
-    return (
-        stats.join(percentiles(counts, keys, points), keys)
-        .join(indicator_labels(star), "indicator_id")
-        .withColumn("mean", mean("total", "row_count"))
-        .select("indicator", "year", "unit", "row_count", "total", "mean", *points, "maximum")
-    )
-
-
-def outlier_contrast(counts: DataFrame, limits: DataFrame, keys: list[str], weight: str, digits: int = 1) -> DataFrame:
-    """Means and sums with and without the values above `p99`, their group's limit.
-
-    Nothing is removed from the data. `weight` is the number of rows with each value.
-    """
-    below = number("value") <= F.col("p99")
-    weighted = F.col("value") * F.col(weight).cast(TIMES_TYPE)
-    return (
-        join_groups(counts, limits, keys)
-        .groupBy(*keys)
-        .agg(
-            F.sum(weight).alias("row_count"),
-            F.coalesce(F.sum(F.when(~below, F.col(weight))), F.lit(0)).alias("rows_above_p99"),
-            F.sum(weighted).alias("sum_with_outliers"),
-            F.sum(F.when(below, weighted)).alias("sum_without_top"),
-            F.sum(F.when(below, F.col(weight))).alias("_kept"),
-        )
-        .withColumns(
-            {
-                "mean_with_outliers": mean("sum_with_outliers", "row_count"),
-                "mean_without_top": mean("sum_without_top", "_kept"),
-            }
-        )
-        .withColumn(
-            "pct_impact",
-            rounded(100 * ratio(F.col("mean_with_outliers") - F.col("mean_without_top"), "mean_without_top"), digits),
-        )
-        .drop("_kept")
+    """Count, sum, mean, percentiles and maximum of the weights, per indicator and year."""
+    labels = star.dim("indicator").select("indicator_id", "indicator", "unit")
+    return star.weight_year.join(labels, "indicator_id").select(
+        "indicator", "year", "unit", "row_count", "total", "mean", "median", *UPPER_POINTS, "maximum"
     )
 
 
 def outlier_impact(star: Star, digits: int = 1) -> DataFrame:
     """Outlier contrast per weight indicator, over all years."""
-    counts, keys = weight_counts(star), ["indicator_id"]
-    contrast = outlier_contrast(counts, percentiles(counts, keys, {"p99": 0.99}), keys, "times", digits)
-    return contrast.join(star.dim("indicator").select("indicator_id", "indicator"), "indicator_id").select(
+    names = star.dim("indicator").select("indicator_id", "indicator")
+    return star.weight_contrast.join(names, "indicator_id").select(
         "indicator", "row_count", "rows_above_p99", "mean_with_outliers", "mean_without_top",
-        "sum_with_outliers", "sum_without_top", "pct_impact",
-    )
+        "sum_with_outliers", "sum_without_top", pct_impact(digits),
+    )
 
 
 # --- quality -----------------------------------------------------------------
