@@ -12,6 +12,7 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 import tallystar
 from tallystar.storage import settle
@@ -63,7 +64,7 @@ def batches(rows: dict[str, list], schema: pa.Schema) -> pa.RecordBatch:
     return pa.RecordBatch.from_pydict(rows, schema=schema)
 
 
-def map_batches(df: DataFrame, function, schema: str) -> DataFrame:
+def map_batches(df: DataFrame, function, schema: str | StructType) -> DataFrame:
     """`mapInArrow` after shipping the package."""
     ship(df.sparkSession)
     return df.mapInArrow(function, schema)

@@ -4,7 +4,9 @@
 2. Suspicious tokens of a text (figures or symbols next to letters, doubled letters, separators within a word,
    single letters in a row with one or two separators) become character lattices: a figure may stand for a letter, a repeated letter or a
    separator may be dropped. Viterbi finds the reading of smallest cost under channel and model; it replaces
-   the token. Other tokens have a single path and stay.
+   the token. Other tokens have a single path and stay. Suspicious tokens are counted over all documents: the
+   frequent ones are decoded once for the corpus, rare ones where they stand, and a frequent token of plain letters
+   with ordinary doubled letters (worthless) is a word and stays as it is.
 3. The restored text is scored by a lexicon of words and word beginnings, and a logistic model over what it
    finds, both learned from labelled rows. Of labelled near copies, one is learned from.
 
@@ -27,12 +29,16 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
 from tallystar.llm.common import durable, held_out, ids, map_batches, table, text_bytes
 
 SAMPLE = 20_000
 TOXIC_FROM = 0.7
 SLICE = 512  # documents that are looked at together
+HELD = 200_000  # different suspicious tokens a task counts before it hands them on
+MOST_TOKENS = 200_000  # frequent tokens that are decoded once for the corpus
+LEAST_TOKEN = 4
 
 SYMBOLS = 28  # 0 boundary, 1 to 26 letters, 27 other letters
 ORDER = 4
@@ -67,30 +73,77 @@ SPELLED = re.compile(rb"(?<![^ .\-_*,/\t\n\r\x0b\x0c\x00])%b(?:[ .\-_*,/]{1,2}%b
 WORDS = bytes(b + 32 if 65 <= b <= 90 else b if 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
 
 
-def count_characters(docs: DataFrame) -> np.ndarray:
-    """How often each run of ORDER characters occurs, over all documents; SYMBOLS ** ORDER counts at most."""
+def gather(docs: DataFrame) -> DataFrame:
+    """Over all documents: (run, null, n) for each run of ORDER characters, (null, token, n) for each suspicious token.
+
+    Tasks sum both before they are shuffled; they hold HELD different tokens at most.
+    """
     size = SYMBOLS**ORDER
 
+    def rows(run: np.ndarray, tokens: list[bytes], n) -> pa.RecordBatch:
+        columns = [pa.array(run, pa.int32()), pa.nulls(len(run), pa.binary())] if len(run) else [pa.nulls(len(tokens), pa.int32()), pa.array(tokens, pa.binary())]
+        return pa.RecordBatch.from_arrays([*columns, pa.array(n, pa.int64())], names=["run", "token", "n"])
+
     def count(iterator: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(size, np.int64)
+        total, seen = np.zeros(size, np.int64), Counter()
         for batch in iterator:
             for at in range(0, batch.num_rows, SLICE):
-                joined = b"\n\n\n\n".join([b"", *text_bytes(batch.slice(at, SLICE)), b""])
+                texts = text_bytes(batch.slice(at, SLICE))
+                joined = b"\n\n\n\n".join([b"", *texts, b""])
                 code = CODE[np.frombuffer(joined, np.uint8)].astype(np.int32)
                 run = code[: 1 - ORDER].copy()
                 for i in range(1, ORDER):
                     run *= SYMBOLS
                     run += code[i : len(code) - ORDER + 1 + i]
                 total += np.bincount(run, minlength=size)
-        seen = np.flatnonzero(total)
-        yield pa.RecordBatch.from_pydict({"run": pa.array(seen, pa.int32()), "n": pa.array(total[seen], pa.int64())})
-
-    rows = map_batches(docs.select("text"), count, "run int, n long").groupBy("run").agg(F.sum("n").alias("n")).toPandas()
-    counts = np.zeros(size)
+                joined = b"\n" + b"\n".join(texts) + b"\n"
+                seen.update([joined[a:b] for a, b in suspicious_spans(joined)])
+            if len(seen) >= HELD:
+                yield rows(np.empty(0), list(seen), list(seen.values()))
+                seen.clear()
+        found = np.flatnonzero(total)
+        if len(found):
+            yield rows(found, [], total[found])
+        if seen:
+            yield rows(np.empty(0), list(seen), list(seen.values()))
+
+    counted = map_batches(docs.select("text"), count, "run int, token binary, n long")
+    return counted.groupBy("run", "token").agg(F.sum("n").alias("n"))
+
+
+def character_counts(gathered: DataFrame) -> np.ndarray:
+    """How often each run of ORDER characters occurs; SYMBOLS ** ORDER counts at most."""
+    rows = gathered.filter("run IS NOT NULL").select("run", "n").toPandas()
+    counts = np.zeros(SYMBOLS**ORDER)
     counts[rows["run"].to_numpy()] = rows["n"].to_numpy()
     return counts
 
 
+def count_characters(docs: DataFrame) -> np.ndarray:
+    return character_counts(gather(docs))
+
+
+def frequent_readings(gathered: DataFrame, model) -> dict[bytes, bytes]:
+    """What the frequent suspicious tokens say, decoded in parallel; `model` is a broadcast of the language model.
+
+    A token is frequent from LEAST_TOKEN occurrences and one in MOST_TOKENS of all occurrences on, so there are at
+    most MOST_TOKENS of them at any size of the corpus.
+    """
+    tokens = gathered.filter("token IS NOT NULL")
+    total = tokens.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n")).first()["n"]
+    least = max(LEAST_TOKEN, -(-total // MOST_TOKENS))
+    parts = max(1, tokens.sparkSession.sparkContext.defaultParallelism * 2)
+
+    def read(iterator: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in iterator:
+            raw = batch.column("token").to_pylist()
+            said = [t if ordinary(t) else decode(t, model.value) for t in raw]
+            yield pa.RecordBatch.from_arrays([pa.array(raw, pa.binary()), pa.array(said, pa.binary())], names=["token", "said"])
+
+    chosen = tokens.filter(F.col("n") >= least).select("token").repartition(parts)
+    return {bytes(r["token"]): bytes(r["said"]) for r in map_batches(chosen, read, "token binary, said binary").collect()}
+
+
 def language_model(counts: np.ndarray) -> np.ndarray:
     """log P(character | the three before), of shape (SYMBOLS ** 3, SYMBOLS), interpolated with shorter contexts."""
     p = np.full(SYMBOLS, 1.0 / SYMBOLS)
@@ -172,16 +225,43 @@ def spelled_out(joined: bytes) -> list[tuple[int, int]]:
     return [m.span() for m in found if LETTER[np.frombuffer(m[0], np.uint8)].sum() >= 2]
 
 
+def suspicious_spans(joined: bytes) -> list[tuple[int, int]]:
+    """Tokens and spelled out stretches that may be obfuscated, in order and apart from each other.
+
+    `joined` begins and ends with white space.
+    """
+    codes = np.frombuffer(joined, np.uint8)
+    space = np.flatnonzero(SPACE[codes])
+    tokens = np.unique(np.searchsorted(space, suspicious(codes)))
+    spans = spelled_out(joined) + [(int(space[k - 1]) + 1, int(space[k])) for k in tokens.tolist()]
+    apart, done = [], 0
+    for a, b in sorted(spans):
+        if a >= done:  # else within a stretch that is there already
+            apart.append((a, b))
+            done = b
+    return apart
+
+
+def ordinary(token: bytes) -> bool:
+    """Plain letters with doubled ones as words have them: none three times in a row, fewer than half doubled."""
+    lower = token.lower()
+    if not all(LETTER[b] for b in lower):
+        return False
+    doubled = [a == b for a, b in zip(lower, lower[1:])]
+    return not any(a and b for a, b in zip(doubled, doubled[1:])) and 4 * sum(doubled) < len(lower)
+
+
 @dataclass
 class Restorer:
-    """Restores texts; remembers a bounded number of tokens per worker."""
+    """Restores texts. `frequent` tokens are decoded already; of others a bounded number is remembered per worker."""
 
     model: np.ndarray
+    frequent: dict[bytes, bytes] = field(default_factory=dict)
     known: dict[bytes, bytes] = field(default_factory=dict)
     limit: int = 100_000
 
     def token(self, raw: bytes) -> bytes:
-        found = self.known.get(raw)
+        found = self.frequent.get(raw) or self.known.get(raw)
         if found is None:
             if len(self.known) >= self.limit:
                 self.known.clear()
@@ -191,23 +271,13 @@ class Restorer:
     def __call__(self, texts: list[bytes]) -> list[bytes]:
         """The restored texts. They are looked at in one array, with white space in between."""
         joined = b"\n" + b"\n".join(texts) + b"\n"
-        codes = np.frombuffer(joined, np.uint8)
-        spans = spelled_out(joined)
-        space = np.flatnonzero(SPACE[codes])
-        at = suspicious(codes)
-        tokens = np.unique(np.searchsorted(space, at))
-        spans += [(int(space[k - 1]) + 1, int(space[k])) for k in tokens.tolist()]
         ends = np.cumsum([len(t) + 1 for t in texts])  # of each text, in `joined`
         out = list(texts)
         changes: dict[int, list[tuple[int, int, bytes]]] = {}
-        done = 0
-        for a, b in sorted(spans):
-            if a < done:  # within a stretch that is restored already
-                continue
-            done = b
-            restored = self.token(joined[a:b])
-            text = int(np.searchsorted(ends, a, side="left"))
-            changes.setdefault(text, []).append((a, b, restored))
+        spans = suspicious_spans(joined)
+        owners = np.searchsorted(ends, [a for a, _ in spans], side="left").tolist()
+        for text, (a, b) in zip(owners, spans, strict=True):
+            changes.setdefault(text, []).append((a, b, self.token(joined[a:b])))
         for text, own in changes.items():
             start = int(ends[text]) - len(texts[text])
             parts, last = [], start
@@ -290,7 +360,8 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, sample: int) -> DataFram
         .orderBy(F.xxhash64("doc_id"), "doc_id")
         .limit(sample)
     )
-    joined = docs.select("doc_id", "text").join(usable, "doc_id")
+    # At most `sample` ids: the texts stay where they are.
+    joined = docs.select("doc_id", "text").join(F.broadcast(usable), "doc_id")
     # Near copies share the smallest hash of five words with the probability of their similarity.
     words = F.split(F.lower(F.coalesce("text", F.lit(""))), r"\s+")
     fives = F.sequence(F.lit(1), F.greatest(F.size("w") - 4, F.lit(1)))
@@ -299,16 +370,27 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, sample: int) -> DataFram
     return once.select("row.*")
 
 
-def lexicon(sampled: DataFrame, restorer_of) -> dict[bytes, float]:
+def restored_sample(sampled: DataFrame, restorer_of) -> DataFrame:
+    """(words, y): the restored words of the sampled rows, joined by spaces."""
+
+    def restore(iterator: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        restorer = restorer_of()
+        for batch in iterator:
+            words = [b" ".join(words) for _, words in restored_words(batch, restorer)]
+            yield pa.RecordBatch.from_arrays([pa.array(words, pa.binary()), batch.column("y").cast(pa.int64())], names=["words", "y"])
+
+    return map_batches(sampled, restore, "words binary, y long")
+
+
+def lexicon(restored: DataFrame) -> dict[bytes, float]:
     """Terms that stand in toxic documents more often than chance explains; among the sampled rows."""
 
     def count(iterator: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        restorer, toxic, clean = restorer_of(), Counter(), Counter()
+        toxic, clean = Counter(), Counter()
         for batch in iterator:
-            marks = ids(batch, "y")
-            for (_, words), y in zip(restored_words(batch, restorer), marks, strict=True):
+            for words, y in zip(batch.column("words").to_pylist(), ids(batch, "y"), strict=True):
                 own = toxic if y == 1 else clean
-                own.update({t for w in set(words) for t in terms_of(w)})
+                own.update({t for w in set(words.split()) for t in terms_of(w)})
                 own[b""] += 1
         words = list(toxic.keys() | clean.keys())
         yield pa.RecordBatch.from_pydict({
@@ -317,7 +399,7 @@ def lexicon(sampled: DataFrame, restorer_of) -> dict[bytes, float]:
             "clean": pa.array([clean[w] for w in words], pa.int64()),
         })
 
-    counted = map_batches(sampled, count, "word binary, toxic long, clean long")
+    counted = map_batches(restored, count, "word binary, toxic long, clean long")
     counted = durable(counted.groupBy("word").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean")))
     totals = counted.filter(F.col("word") == F.lit(b"")).collect()
     if not totals:
@@ -334,25 +416,26 @@ def lexicon(sampled: DataFrame, restorer_of) -> dict[bytes, float]:
     return {bytes(r["word"]): float(r["odds"]) for r in chosen.orderBy("word").collect()}
 
 
-def toxicity(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFrame:
-    """One row per document: fold, score, prediction."""
+def with_scores(docs: DataFrame, labels: DataFrame, name: str, sample: int = SAMPLE) -> DataFrame:
+    """`docs`, each row with its own score in the column `name`."""
     context = docs.sparkSession.sparkContext
-    model = context.broadcast(language_model(count_characters(docs)))
+    gathered = durable(gather(docs))
+    model = context.broadcast(language_model(character_counts(gathered)))
+    frequent = context.broadcast(frequent_readings(gathered, model))
 
     def restorer() -> Restorer:
-        return Restorer(model.value)
+        return Restorer(model.value, frequent.value)
 
-    sampled = durable(labelled_sample(docs, labels, sample))
-    weights = lexicon(sampled, restorer)
+    restored = durable(restored_sample(labelled_sample(docs, labels, sample), restorer))
+    weights = lexicon(restored)
     plain = Scorer(weights, np.zeros(4))
 
     def features(iterator: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = restorer()
         for batch in iterator:
-            rows = np.array([plain.features(words) for _, words in restored_words(batch, own)])
+            rows = np.array([plain.features(words.split()) for words in batch.column("words").to_pylist()]).reshape(-1, 3)
             yield pa.RecordBatch.from_arrays([batch.column("y"), *map(pa.array, rows.T)], names=["y", "a", "b", "c"])
 
-    learned = map_batches(sampled.select("doc_id", "text", F.col("y").cast("long").alias("y")), features, "y long, a double, b double, c double")
+    learned = map_batches(restored, features, "y long, a double, b double, c double")
     learned = learned.toPandas().sort_values(["y", "a", "b", "c"])
     scorer = Scorer(weights, logistic(learned[["a", "b", "c"]].to_numpy(float), learned["y"].to_numpy(float)))
 
@@ -360,17 +443,21 @@ def toxicity(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFr
         own = restorer()
         for batch in iterator:
             rows = np.array([scorer.features(words) for _, words in restored_words(batch, own)]).reshape(-1, 3)
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(scorer.score(rows))], names=["doc_id", "score"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(scorer.score(rows))], names=[*batch.schema.names, name])
 
-    scored = map_batches(docs.select("doc_id", "text"), score, "doc_id long, score double")
+    return map_batches(docs, score, StructType([*docs.schema.fields, StructField(name, DoubleType())]))
+
+
+def toxicity(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFrame:
+    """One row per document: fold, score, prediction."""
+    scored = with_scores(docs.select("doc_id", "text"), labels, "score", sample)
     return scored.select("doc_id", held_out().alias("held_out"), "score", (F.col("score") >= TOXIC_FROM).cast("int").alias("predicted"))
 
 
 def keep_clean(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pipeline stage: documents that are predicted toxic go."""
-    labels = table(spark, sf_dir, "labels")
-    rejected = toxicity(docs, labels).filter("predicted = 1").select("doc_id")
-    return docs.join(rejected, "doc_id", "left_anti").select(docs.columns)
+    """Pipeline stage: rows that are predicted toxic go. Each row is judged by its own text, whatever its id."""
+    scored = with_scores(docs, table(spark, sf_dir, "labels"), "_toxicity")
+    return scored.filter(F.col("_toxicity") < TOXIC_FROM).select(docs.columns)
 
 
 def op7_noisy_channel(spark: SparkSession, sf_dir: str) -> DataFrame:

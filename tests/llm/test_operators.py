@@ -476,6 +476,53 @@ def test_scores_of_held_out_documents(spark, model):
     assert [found[900_000 + i]["predicted"] for i in (1, 2, 3)] == [1, 0, 0]
 
 
+def test_viterbi_finds_the_cheapest_of_all_readings(model):
+    """Every way to read a short token, one by one, under the same costs."""
+    op, costs = op07_noisy_channel, model[2]
+
+    def all_readings(raw):
+        paths = [(0.0, 0, b"")]
+        for i in range(len(raw)):
+            paths = [
+                (cost + channel, state, written)
+                if symbol < 0 or (symbol == 0 and state % op.SYMBOLS == 0)
+                else (cost + channel - costs[state, symbol], state % op.SYMBOLS ** (op.ORDER - 2) * op.SYMBOLS + symbol, written + text)
+                for cost, state, written in paths
+                for symbol, text, channel in op._readings(raw, i)
+            ]
+        return [(cost - costs[state, 0] * (state % op.SYMBOLS > 0), written) for cost, state, written in paths]
+
+    for raw in (b"1d10t", b"l0ss", b"a$$", b"i-d-i", b"st*p1d", b"b00k", b"w o r d", b"heeel", b"*l|"):
+        found = all_readings(raw)
+        best = min(found)[0]
+        assert op.decode(raw, costs) in {written for cost, written in found if abs(cost - best) < 1e-4}, raw
+
+
+def test_ordinary_doubled_letters_stay(spark, model):
+    """A frequent word is a word; letters doubled throughout, and rare tokens, still reach the decoder."""
+    op = op07_noisy_channel
+    assert op.ordinary(b"worthless") and op.ordinary(b"Letter") and not op.ordinary(b"iiddiioott") and not op.ordinary(b"looose") and not op.ordinary(b"w0rthless")
+    docs = spark.createDataFrame([(i, "worthless letters wwoorrtthh 1d10t") for i in range(9)], "doc_id long, text string")
+    context = spark.sparkContext
+    frequent = op.frequent_readings(op.gather(docs), context.broadcast(model[2]))
+    assert set(frequent) == {b"worthless", b"letters", b"wwoorrtthh", b"1d10t"}
+    assert frequent[b"worthless"] == b"worthless" and frequent[b"1d10t"] == op.decode(b"1d10t", model[2])
+    restored = op.Restorer(model[2], frequent)([b"worthless 1d10t"])[0]
+    assert restored.split()[0] == b"worthless"
+
+
+def test_each_row_is_judged_by_its_own_text(spark, model):
+    """Toxic rows go and clean rows stay, also where ids are null or repeated."""
+    docs, labels, _ = model
+    scored = op07_noisy_channel.toxicity(docs, labels)
+    bad, fine = (scored.filter(f"predicted = {p}").join(docs, "doc_id").filter("length(text) > 100").select("text").first()[0] for p in (1, 0))
+    rows = [(None, bad), (None, fine), (900001, bad), (900001, fine), (900002, None)]
+    more = docs.select("doc_id", "text").unionByName(spark.createDataFrame(rows, "doc_id long, text string"))
+    kept = op07_noisy_channel.with_scores(more, labels, "_toxicity").filter("doc_id IS NULL OR doc_id > 900000")
+    judged = sorted((str(r["doc_id"]), r["text"] == bad, r["_toxicity"] >= op07_noisy_channel.TOXIC_FROM) for r in kept.collect())
+    assert judged == [("900001", False, False), ("900001", True, True), ("900002", False, False), ("None", False, False), ("None", True, True)]
+
+
 def test_toxicity_of_awkward_rows(awkward, nothing, labels):
     assert op07_noisy_channel.toxicity(awkward, labels).filter("predicted = 0").count() == len(AWKWARD) + 1
     assert op07_noisy_channel.toxicity(nothing, labels.limit(0)).count() == 0
