@@ -44,6 +44,34 @@ def test_each_stage_decides_on_its_own_input(spark, steps):
     assert names(steps[5]) == names(steps[4])
 
 
+def odd_documents(spark, docs):
+    """Null and repeated ids, repeated rows, and near copies of a document among them."""
+    text = docs.filter("length(text) > 800").orderBy("doc_id").first()["text"]
+    words = text.split(" ")
+    near = " ".join([*words[:-1], "changed"])
+    rows = [(None, text), (None, "quite another text of its own, with some more words"), (None, None), (None, ""), (7, near), (7, near), (7, near), (5, ""), (5, "")]
+    full = [(i, t, "en", "s", len(t or "")) for i, t in rows]
+    return spark.createDataFrame(full, docs.schema).repartition(3), text, near
+
+
+def test_one_row_of_a_component_stays_whatever_its_id(spark, steps):
+    odd, text, near = odd_documents(spark, steps[0])
+    kept = sorted(((r["doc_id"], r["text"]) for r in op10_signature_tree.keep_one(spark, odd, SF).collect()), key=str)
+    assert kept == sorted([(7, near), (None, "quite another text of its own, with some more words"), (None, None), (None, ""), (5, ""), (5, "")], key=str)
+
+
+def test_all_stages_take_odd_rows_and_an_empty_table(spark, steps, tmp_path):
+    odd, _, _ = odd_documents(spark, steps[0])
+    for name, docs in (("odd", odd), ("empty", odd.limit(0))):
+        for stage, function in corpus_pipeline.STAGES:
+            before = docs
+            function(spark, before, SF).write.parquet(f"{tmp_path}/{name}/{stage}")
+            docs = spark.read.parquet(f"{tmp_path}/{name}/{stage}")
+            if stage != "packing":
+                assert docs.columns == odd.columns and docs.count() <= before.count()
+        assert (docs.count() == 0) == (name == "empty")
+
+
 def test_run_gives_the_rows_of_the_last_stage(spark, steps):
     columns = ["doc_id", "piece", "start", "length", "ids_crc32"]
     assert {tuple(r) for r in corpus_pipeline.run(spark, SF).select(columns).collect()} == {tuple(r) for r in steps[5].select(columns).collect()}
