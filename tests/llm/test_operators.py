@@ -628,6 +628,54 @@ def jaccard_by_brute_force(rows):
     return {d: (len(sets[d]), top(d)) for d in sets}
 
 
+def test_edited_items_and_passages_are_found(spark):
+    """Each benchmark item alone as a document: words put in, left out or changed anywhere, and its halves."""
+    rng = random.Random(9)
+    items = [(r["item_id"], r["text"]) for r in spark.read.parquet("/root/testdata/sf0.01/benchmark.parquet").collect()]
+
+    def inserted(words, n):
+        for _ in range(n):
+            words.insert(rng.randrange(1, len(words)), "inserted" + rng.choice("abcdefgh"))
+        return words
+
+    def changed(words, n):
+        for i in rng.sample(range(len(words)), n):
+            words[i] = "other" + rng.choice("abcdefgh")
+        return words
+
+    def dropped(words, n):
+        for _ in range(n):
+            del words[rng.randrange(len(words))]
+        return words
+
+    kinds = {"whole": lambda w: w, "first half": lambda w: w[: -(-len(w) // 2) + 1], "second half": lambda w: w[len(w) // 2 - 1 :]}
+    kinds |= {f"{f.__name__} {n}": lambda w, f=f, n=n: f(w, n) for f in (inserted, changed, dropped) for n in (1, 2, 3)}
+    kinds["mixed"] = lambda w: rng.sample(w, len(w))
+    names = list(kinds)
+    rows = [(k * 1000 + i, "so it said here , " + " ".join(kinds[name](text.split())) + " and so on .") for k, name in enumerate(names) for i, (_, text) in enumerate(items)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(8)
+    found = collections.Counter()
+    for r in op09_templates.contaminated(docs, spark.createDataFrame(items, "item_id long, text string")).select("doc_id", "item_id").distinct().collect():
+        if items[r["doc_id"] % 1000][0] == r["item_id"]:
+            found[names[r["doc_id"] // 1000]] += 1
+    least = {"whole": 40, "inserted 1": 38, "inserted 2": 38, "inserted 3": 38, "changed 1": 38, "changed 2": 38, "dropped 1": 38, "dropped 2": 38, "first half": 30, "second half": 30}
+    assert len(items) == 40 and all(found[k] >= n for k, n in least.items()) and found["mixed"] == 0, dict(found)
+
+
+def test_slots_may_have_other_lengths_and_must_stay_the_same_value(spark):
+    item = "the farmer Ann sold 12 apples at the market and then the farmer Ann bought 30 pears from her friend there"
+    texts = {
+        1: item,
+        2: item.replace("Ann", "Mary Lou").replace("12", "7 kg").replace("30", "41"),
+        3: item.replace("Ann", "Mary", 1),
+        4: item.replace("12", "30"),
+        5: "farmers sell apples and pears at any market , and friends buy them there",
+    }
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    found = {r["doc_id"]: r["exact"] for r in op09_templates.contaminated(docs, spark.createDataFrame([(1, item)], "item_id long, text string")).collect()}
+    assert found == {1: True, 2: False, 4: False}
+
+
 def test_components_equal_brute_force(docs, texts):
     rows = [(3 * i + 1, t) for i, t in enumerate(texts)]
     found = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in op10_signature_tree.jaccard_components(docs).collect()}
