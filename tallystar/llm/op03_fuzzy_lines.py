@@ -5,16 +5,19 @@ line is one shingle) is at least THRESHOLD. Of each component of such lines, the
 (doc_id, line number) is kept. Lines of white space are no candidates and stay.
 
 1. Equal lines meet by their md5; from here on there is one row per different line.
-2. Signature: all shingles of a line are hashed once, and each hash falls into one of BINS bins; the smallest hash
-   of every bin is the MinHash (one permutation).
-3. Banding: the minima of BINS / BANDS neighbouring bins make one key. Lines with a key in common are first linked
-   with the smallest and the largest line of that key.
+2. Signature: each shingle of a line (of code points, whichever plane they are of) is hashed, and each hash falls into one
+   of BINS bins; the smallest hash of every bin is a MinHash (one permutation). Shingles are rows that are
+   aggregated as they come, so a line of any length needs a fixed amount of memory.
+3. Banding: the bins stand in a square of SIDE rows and columns; the minima of each row and of each column make one key.
+   Lines with a key in common are first linked with the smallest and the largest line of that key.
 4. The true similarity of each such pair is computed from both lines' full shingle sets.
 5. Union-find over the confirmed pairs. Under keys whose lines lie in several components, HUBS lines and then all pairs across
-   components are then compared in the same way, so that no pair with a key in common is left out.
+   components are then compared in the same way, so that no pair with a key in common is left out. Only lines of such
+   keys get a sketch, a bitmap of their shingles that excludes most pairs.
 6. All occurrences but the first of a component are removed.
 
-Banding is a filter of high recall, the steps after it are exact; pairs are left out early only by bounds that lose none. Defined cases: a null text has no lines and stays
+Banding is a filter of high recall, the steps after it are exact; pairs are left out early only by bounds that lose none.
+Shingle sets are compared as sets of 64-bit hashes. Defined cases: a null text has no lines and stays
 null; an empty text is one line of white space. Equal doc_ids count as one document's lines with equal numbers
 and are treated alike. Extra columns pass through unchanged. Very long lines are shingled whole.
 """
@@ -30,12 +33,15 @@ from tallystar.storage import run_dir
 
 SHINGLE = 8
 THRESHOLD = 0.75
-BINS = 32
-BANDS = 8
-BIN_SHIFT = 58  # 63 bits of hash, the upper five are the bin
-BAND_SHIFT = 60
+CODE_POINT = 4  # bytes in UTF-32
+SIDE = 4  # minima of a band key
+BINS = SIDE * SIDE
+BIN_SHIFT = 59  # 63 bits of hash, the upper four are the bin
+DEPTH = 3
+EMPTY = 4  # a line with more different shingles than DEPTH * BINS has so many empty bins once in a thousand times
 WORDS = 4  # of 64 bits in a sketch
 HUBS = 8
+SKETCH = "struct<n: int, " + ", ".join(f"w{i}: bigint" for i in range(WORDS)) + ">"
 BLOCK = 256  # lines of a key that meet in one place
 BROADCAST_BYTES = 64 << 20  # candidate lines' ids up to this size are sent to all executors
 ID_BYTES = 64  # one id in a broadcast table, generously
@@ -47,28 +53,54 @@ def lines_of(docs: DataFrame) -> DataFrame:
     return every.filter(F.col("line").rlike(r"\S")).withColumn("id", F.unhex(F.md5("line")))
 
 
-def signed(lines: DataFrame) -> DataFrame:
-    """Add `bands` (one key per band that has a minimum), `sketch` (n different shingles, and WORDS * 64 bits of them)."""
-    positive = F.lit((1 << 63) - 1)
-    hashes = F.transform(shingles("line"), lambda a: F.xxhash64(a).bitwiseAND(positive))
-    hashed = lines.withColumn("h", F.sort_array(hashes))
+def _start_of_shingles(raw: Column) -> Column:
+    """The byte, from 1, at which each shingle of a UTF-32 text starts; a short text is one shingle."""
+    last = F.length(raw) - CODE_POINT * SHINGLE + 1
+    return F.sequence(F.lit(1), F.greatest(last, F.lit(1)), F.lit(CODE_POINT))
 
-    def first_of_bin(x: Column, i: Column) -> Column:
-        return (i == 0) | (F.shiftright(x, BIN_SHIFT) != F.shiftright(F.get("h", i - 1), BIN_SHIFT))
 
-    sketch = F.struct(F.size("h").alias("n"), *[_bits("h", i).alias(f"w{i}") for i in range(WORDS)])
-    minima = hashed.withColumn("sketch", sketch).withColumn("m", F.filter("h", first_of_bin)).drop("h")
+def _hash_at(raw: Column, start: Column) -> Column:
+    """The 63-bit hash of the shingle there."""
+    return F.xxhash64(F.substring(raw, start, F.lit(CODE_POINT * SHINGLE))).bitwiseAND(F.lit((1 << 63) - 1))
 
-    def band_of(x: Column) -> Column:
-        return F.shiftright(x, BAND_SHIFT)
 
-    def key_of_band(x: Column, i: Column) -> Column:
-        """At the first minimum of a band: the hash of the band's minima, which stand next to each other."""
-        starts = (i == 0) | (band_of(x) != band_of(F.get("m", i - 1)))
-        return F.when(starts, F.xxhash64(F.filter(F.slice("m", i + 1, BINS // BANDS), lambda y: band_of(y) == band_of(x))))
+def shingle_hashes(line: Column) -> Column:
+    """The set of a line's shingles, as an array of hashes. The text is bound to a name, so that it is encoded once."""
+    raw = F.array(F.encode(line, "UTF-32"))
+    every = F.transform(raw, lambda x: F.transform(_start_of_shingles(x), lambda i: _hash_at(x, i)))
+    return F.array_distinct(F.get(every, F.lit(0)))
 
-    keys = F.filter(F.transform("m", key_of_band), lambda k: k.isNotNull())
-    return minima.withColumn("bands", keys).drop("m")
+
+def signed(lines: DataFrame, key: str, whole: bool = False) -> DataFrame:
+    """(key, bands, weak) of each different line: one key of each band of bins that has a minimum.
+
+    Of a long line only hashes in the lowest part of their bin are aggregated: so large a part that DEPTH different
+    hashes of a bin are expected there. If the minimum of two lines' union lies above it, the bin is empty for both,
+    which agrees as well. A line of few different shingles may have too many empty bins; it is `weak` and has to be
+    signed again as a `whole`.
+    """
+    raw = lines.select(key, F.encode("line", "UTF-32").alias("raw"))
+    starts = raw.withColumn("start", F.explode(_start_of_shingles(F.col("raw"))))
+    starts = starts.withColumn("windows", F.length("raw") / CODE_POINT - SHINGLE + 1)
+    hashes = starts.select(key, "start", "windows", _hash_at(F.col("raw"), F.col("start")).alias("h"))
+    in_bin = F.col("h").bitwiseAND(F.lit((1 << BIN_SHIFT) - 1))
+    low = F.lit(whole) | (in_bin * F.col("windows") <= float(DEPTH * BINS << BIN_SHIFT))
+    # The first shingle's row stands for the line, whatever its hash is.
+    rows = hashes.filter(low | (F.col("start") == 1)).select(
+        key, F.when(low, F.col("h")).alias("h"), (F.col("windows") > DEPTH * BINS).cast("int").alias("cut"),
+        F.when(low, F.shiftright("h", BIN_SHIFT)).alias("bin"),
+    )
+    names = [f"m{i}" for i in range(BINS)]
+    minima = rows.groupBy(key).agg(F.max("cut").alias("cut"), *[F.min(F.when(F.col("bin") == i, F.col("h"))).alias(m) for i, m in enumerate(names)])
+    across = [names[SIDE * i : SIDE * (i + 1)] for i in range(SIDE)]
+    down = [list(column) for column in zip(*across)]
+    keys = [
+        F.when(F.coalesce(*band).isNotNull(), F.xxhash64(F.lit(i), *[F.coalesce(m, F.lit(-1)) for m in band]))
+        for i, band in enumerate(across + down)
+    ]
+    empty = sum((F.col(m).isNull().cast("int") for m in names), F.lit(0))
+    weak = ~F.lit(whole) & (F.col("cut") == 1) & (empty > EMPTY)
+    return minima.select(key, F.array_compact(F.array(*keys)).alias("bands"), weak.alias("weak"))
 
 
 def _bits(hashes: str, word: int) -> Column:
@@ -87,49 +119,54 @@ def _near(one: str, other: str) -> Column:
     n, k = F.col(f"{one}.n"), F.col(f"{other}.n")
     only_one = sum((F.bit_count(x.bitwiseAND(F.bitwise_not(y))) for x, y in words), F.lit(0))
     only_other = sum((F.bit_count(y.bitwiseAND(F.bitwise_not(x))) for x, y in words), F.lit(0))
-    return (1 + THRESHOLD) * F.least(n - only_one, k - only_other) >= THRESHOLD * (n + k)
+    possible = (1 + THRESHOLD) * F.least(n - only_one, k - only_other) >= THRESHOLD * (n + k)
+    return F.coalesce(possible, F.lit(True))
+
+
+def sketched(texts: DataFrame) -> DataFrame:
+    """(num, sketch) of (num, line): the number of different shingles, and WORDS * 64 bits of them."""
+    hashed = texts.select("num", shingle_hashes(F.col("line")).alias("h"))
+    return hashed.select("num", F.struct(F.size("h").alias("n"), *[_bits("h", i).alias(f"w{i}") for i in range(WORDS)]).alias("sketch"))
 
 
 def distinct_lines(lines: DataFrame) -> DataFrame:
-    """One row per different line: number, id, first occurrence, how often, bands, sketch."""
-    grouped = signed(lines).drop("line").groupBy("id").agg(
-        F.min(F.struct("doc_id", "pos")).alias("first"),
-        F.count("*").alias("times"),
-        F.first("bands").alias("bands"),
-        F.first("sketch").alias("sketch"),
-    )
-    return grouped.withColumn("num", F.monotonically_increasing_id())
+    """One row per different line: number, id, first occurrence, how often, bands, weak."""
+    places = lines.groupBy("id").agg(F.min(F.struct("doc_id", "pos")).alias("first"), F.count("*").alias("times"))
+    return places.join(signed(lines, "id"), "id").withColumn("num", F.monotonically_increasing_id())
 
 
 def shared_bands(distinct: DataFrame) -> DataFrame:
-    """(key, num, sketch, low, high, low_sketch, high_sketch) of every band key that two lines have."""
-    rows = distinct.select("num", "sketch", F.explode("bands").alias("key"))
-    ends = rows.groupBy("key").agg(
-        F.min("num").alias("low"), F.max("num").alias("high"),
-        F.min_by("sketch", "num").alias("low_sketch"), F.max_by("sketch", "num").alias("high_sketch"),
-    ).filter("low < high")
+    """(key, num, low, high) of every band key that two lines have."""
+    rows = distinct.select("num", F.explode("bands").alias("key"))
+    ends = rows.groupBy("key").agg(F.min("num").alias("low"), F.max("num").alias("high")).filter("low < high")
     return rows.join(ends, "key")
 
 
 def star_pairs(shared: DataFrame) -> DataFrame:
     """Pairs (a, b) of line numbers: each line with the smallest and the largest line of its band keys."""
-    to_low = F.when((F.col("num") != F.col("low")) & _near("sketch", "low_sketch"), F.col("low"))
-    to_high = F.when((F.col("num") != F.col("high")) & _near("sketch", "high_sketch"), F.col("high"))
+    to_low = F.when(F.col("num") != F.col("low"), F.col("low"))
+    to_high = F.when(F.col("num") != F.col("high"), F.col("high"))
     pairs = shared.select("num", F.explode(F.array(to_low, to_high)).alias("other")).filter("other IS NOT NULL")
     return pairs.select(F.least("num", "other").alias("a"), F.greatest("num", "other").alias("b")).distinct()
 
 
 def open_rows(shared: DataFrame, groups: DataFrame) -> DataFrame:
-    """(key, num, sketch, component, blocks) of the band keys whose lines lie in several components."""
-    rows = shared.select("key", "num", "sketch").join(groups.withColumnRenamed("id", "num"), "num", "left")
+    """(key, num, component, blocks) of the band keys whose lines lie in several components."""
+    rows = shared.select("key", "num").join(groups.withColumnRenamed("id", "num"), "num", "left")
     rows = rows.withColumn("component", F.coalesce("component", "num"))
     several = rows.groupBy("key").agg(F.count("*").alias("lines"), F.min("component").alias("x"), F.max("component").alias("y"))
     several = several.filter("x < y").select("key", F.ceil(F.col("lines") / BLOCK).cast("int").alias("blocks"))
     return rows.join(several, "key")
 
 
-def hub_pairs(rows: DataFrame) -> DataFrame:
+def _with_sketch(rows: DataFrame, sketches: DataFrame | None) -> DataFrame:
+    """Open rows with the sketch of their line; without sketches no pair is excluded by them."""
+    return rows.withColumn("sketch", F.lit(None).cast(SKETCH)) if sketches is None else rows.join(sketches, "num", "left")
+
+
+def hub_pairs(rows: DataFrame, sketches: DataFrame | None = None) -> DataFrame:
     """Pairs (a, b) of each open line with HUBS lines of its keys, chosen by hash: they unite most of what belongs together."""
+    rows = _with_sketch(rows, sketches)
     hub = F.struct("num", "sketch", "component")
     hubs = rows.groupBy("key").agg(F.array_distinct(F.array(*[F.min_by(hub, F.xxhash64("num", F.lit(i))) for i in range(HUBS)])).alias("hubs"))
     met = rows.join(hubs, "key").withColumn("hub", F.explode("hubs")).withColumn("other", F.col("hub.sketch"))
@@ -137,13 +174,13 @@ def hub_pairs(rows: DataFrame) -> DataFrame:
     return met.select(F.least("num", "hub.num").alias("a"), F.greatest("num", "hub.num").alias("b")).distinct()
 
 
-def remaining_pairs(rows: DataFrame, done: DataFrame) -> DataFrame:
+def remaining_pairs(rows: DataFrame, done: DataFrame, sketches: DataFrame | None = None) -> DataFrame:
     """Pairs (a, b) of open lines with a band in common that are not among `done` and lie in different components.
 
     Every line meets every line of another component; a key's lines are dealt into blocks of BLOCK, and each pair of
     blocks is a join key of its own.
     """
-    open_ = rows.withColumn("block", F.pmod(F.xxhash64("num"), F.col("blocks")).cast("int"))
+    open_ = _with_sketch(rows, sketches).withColumn("block", F.pmod(F.xxhash64("num"), F.col("blocks")).cast("int"))
     # Blocks i <= j meet under (i, j): a line of block k is on the left for (k, j) and on the right for (i, k).
     left = open_.withColumn("i", F.col("block")).withColumn("j", F.explode(F.sequence("block", F.col("blocks") - 1)))
     right = open_.withColumn("j", F.col("block")).withColumn("i", F.explode(F.sequence(F.lit(0), "block")))
@@ -154,15 +191,9 @@ def remaining_pairs(rows: DataFrame, done: DataFrame) -> DataFrame:
     return pairs.join(done, ["a", "b"], "left_anti")
 
 
-def shingles(line: str) -> Column:
-    whole = F.array_distinct(F.regexp_extract_all(line, F.lit("(?s)(?=(.{%d}))" % SHINGLE), F.lit(1)))
-    return F.when(F.length(line) < SHINGLE, F.array(F.col(line))).otherwise(whole)
-
-
-def confirmed(pairs: DataFrame, distinct: DataFrame, lines: DataFrame) -> DataFrame:
-    """The pairs whose shingle sets have the demanded Jaccard similarity."""
-    wanted = pairs.select(F.col("a").alias("num")).unionByName(pairs.select(F.col("b").alias("num"))).distinct()
-    wanted = durable(distinct.select("num", "id", "first").join(wanted, "num"))
+def texts_of(wanted: DataFrame, distinct: DataFrame, lines: DataFrame) -> DataFrame:
+    """(num, line) of the wanted numbers, read again at the lines' first places."""
+    wanted = durable(distinct.select("num", "id", "first").join(wanted, "num", "left_semi"))
     named = wanted.select("num", "id", F.col("first.doc_id").alias("doc_id"), F.col("first.pos").alias("pos"))
     if wanted.count() * ID_BYTES <= BROADCAST_BYTES:
         named = F.broadcast(named)
@@ -170,16 +201,18 @@ def confirmed(pairs: DataFrame, distinct: DataFrame, lines: DataFrame) -> DataFr
     places = lines.select("doc_id", "pos", "line")
     same = [places["doc_id"].eqNullSafe(named["doc_id"]), places["pos"] == named["pos"]]
     texts = places.join(named, same).filter(F.unhex(F.md5("line")) == F.col("id")).select("num", "line").dropDuplicates(["num"])
-    texts = durable(texts)
+    return durable(texts)
+
+
+def confirmed(pairs: DataFrame, distinct: DataFrame, lines: DataFrame) -> DataFrame:
+    """The pairs whose shingle sets have the demanded Jaccard similarity."""
+    wanted = pairs.select(F.col("a").alias("num")).unionByName(pairs.select(F.col("b").alias("num")))
+    texts = texts_of(wanted, distinct, lines)
     left, right = texts.toDF("a", "line_a"), texts.toDF("b", "line_b")
     both = pairs.join(left, "a").join(right, "b")
-    # Bound to a name, so that the sets are made once for each pair.
-    sets = F.array(F.struct(shingles("line_a").alias("x"), shingles("line_b").alias("y")))
-    alike = F.transform(
-        sets,
-        lambda s: (1 + THRESHOLD) * F.size(F.array_intersect(s["x"], s["y"])) >= THRESHOLD * (F.size(s["x"]) + F.size(s["y"])),
-    )
-    return both.filter(F.get(alike, F.lit(0))).select("a", "b")
+    sets = both.select("a", "b", shingle_hashes(F.col("line_a")).alias("x"), shingle_hashes(F.col("line_b")).alias("y"))
+    common = (1 + THRESHOLD) * F.size(F.array_intersect("x", "y"))
+    return sets.filter(common >= THRESHOLD * (F.size("x") + F.size("y"))).select("a", "b")
 
 
 def removed_lines(docs: DataFrame) -> DataFrame:
@@ -188,16 +221,19 @@ def removed_lines(docs: DataFrame) -> DataFrame:
     lines = lines_of(docs)
     distinct_lines(lines).write.parquet(f"{root}/distinct")
     distinct = docs.sparkSession.read.parquet(f"{root}/distinct")
-    shared = durable(shared_bands(distinct))
+    weak = texts_of(distinct.filter("weak").select("num"), distinct, lines)
+    again = durable(signed(weak, "num", whole=True)).select("num", "bands")
+    shared = durable(shared_bands(distinct.filter("NOT weak").select("num", "bands").unionByName(again)))
     stars = durable(star_pairs(shared))
     links = durable(confirmed(stars, distinct, lines))
     rows = durable(open_rows(shared, components(links)))
     release(docs.sparkSession)
     if not rows.isEmpty():
-        hubs = durable(hub_pairs(rows))
+        sketches = durable(sketched(texts_of(rows.select("num"), distinct, lines)))
+        hubs = durable(hub_pairs(rows, sketches))
         links = links.unionByName(durable(confirmed(hubs, distinct, lines)))
         rows = open_rows(rows, components(links))
-        rest = durable(remaining_pairs(rows, stars.unionByName(hubs)))
+        rest = durable(remaining_pairs(rows, stars.unionByName(hubs), sketches))
         links = durable(links.unionByName(confirmed(rest, distinct, lines)))
         release(docs.sparkSession)
     groups = components(links)
