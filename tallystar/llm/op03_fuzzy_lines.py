@@ -204,15 +204,17 @@ def texts_of(wanted: DataFrame, distinct: DataFrame, lines: DataFrame) -> DataFr
     return durable(texts)
 
 
-def confirmed(pairs: DataFrame, distinct: DataFrame, lines: DataFrame) -> DataFrame:
+def confirmed(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     """The pairs whose shingle sets have the demanded Jaccard similarity."""
-    wanted = pairs.select(F.col("a").alias("num")).unionByName(pairs.select(F.col("b").alias("num")))
-    texts = texts_of(wanted, distinct, lines)
     left, right = texts.toDF("a", "line_a"), texts.toDF("b", "line_b")
     both = pairs.join(left, "a").join(right, "b")
-    sets = both.select("a", "b", shingle_hashes(F.col("line_a")).alias("x"), shingle_hashes(F.col("line_b")).alias("y"))
-    common = (1 + THRESHOLD) * F.size(F.array_intersect("x", "y"))
-    return sets.filter(common >= THRESHOLD * (F.size("x") + F.size("y"))).select("a", "b")
+    # Bound to a name, so that the sets are made once for each pair.
+    sets = F.array(F.struct(shingle_hashes(F.col("line_a")).alias("x"), shingle_hashes(F.col("line_b")).alias("y")))
+    alike = F.transform(
+        sets,
+        lambda s: (1 + THRESHOLD) * F.size(F.array_intersect(s["x"], s["y"])) >= THRESHOLD * (F.size(s["x"]) + F.size(s["y"])),
+    )
+    return both.filter(F.get(alike, F.lit(0))).select("a", "b")
 
 
 def removed_lines(docs: DataFrame) -> DataFrame:
@@ -224,17 +226,18 @@ def removed_lines(docs: DataFrame) -> DataFrame:
     weak = texts_of(distinct.filter("weak").select("num"), distinct, lines)
     again = durable(signed(weak, "num", whole=True)).select("num", "bands")
     shared = durable(shared_bands(distinct.filter("NOT weak").select("num", "bands").unionByName(again)))
+    texts = texts_of(shared.select("num"), distinct, lines)
     stars = durable(star_pairs(shared))
-    links = durable(confirmed(stars, distinct, lines))
+    links = durable(confirmed(stars, texts))
     rows = durable(open_rows(shared, components(links)))
     release(docs.sparkSession)
     if not rows.isEmpty():
-        sketches = durable(sketched(texts_of(rows.select("num"), distinct, lines)))
+        sketches = durable(sketched(texts.join(rows.select("num"), "num", "left_semi")))
         hubs = durable(hub_pairs(rows, sketches))
-        links = links.unionByName(durable(confirmed(hubs, distinct, lines)))
+        links = links.unionByName(durable(confirmed(hubs, texts)))
         rows = open_rows(rows, components(links))
         rest = durable(remaining_pairs(rows, stars.unionByName(hubs), sketches))
-        links = durable(links.unionByName(confirmed(rest, distinct, lines)))
+        links = durable(links.unionByName(confirmed(rest, texts)))
         release(docs.sparkSession)
     groups = components(links)
     known = distinct.select("num", "id", "first", "times").join(groups.withColumnRenamed("id", "num"), "num", "left")
