@@ -4,22 +4,29 @@ Every byte is removed that lies in a LENGTH-byte string which also starts in a d
 
 1. Sync points: of every LENGTH-byte window the KEY-byte string of smallest hash is its anchor, which depends on
    the window's bytes only. Equal windows have equal anchors, and one byte in thirteen starts an anchor.
-2. Batches and levels: documents come in batches, in order of doc_id. A batch's suffix array holds its suffixes
-   at sync points, in order of the hash of their first KEY bytes and cut into parts by that hash. It is
-   merge-scanned against itself and every level of the index: an anchor that stands in two different texts is
-   reported for both. Then it becomes a level; two levels of equal rank merge into one of the next rank, so a
-   suffix is rewritten O(log batches) times.
-3. Suffix contexts: around reported anchors the suffixes are compared in full. Each takes the up to LENGTH - 1 bytes
-   on both sides that belong to its windows to the part of its anchor, where equal windows meet and learn the
-   smallest document that has them.
+2. Batches and levels: documents come in batches, in order of doc_id; there are more of them the larger the input. A
+   batch's suffix array holds its suffixes at sync points, in order of the hash of their first KEY bytes and cut into parts
+   by that hash. It is merge-scanned against itself and every level of the index: an anchor that stands in two
+   different texts is reported for both. Then it becomes a level; two levels of equal rank merge into one of the next
+   rank, so a suffix is rewritten O(log batches) times. A task that reads documents reports the anchors that its own
+   documents share and sends each anchor on once.
+3. Suffix contexts: around reported anchors the suffixes are compared in full. Equal windows meet and learn the
+   smallest document that has them: first those of SLICE documents in the task that reads them, then what is left, the
+   smallest of each slice, in the part of its anchor. Windows meet by a 64-bit hash and are equal only if all their bytes are.
 4. Matched windows return to their documents, which are cut.
 
-Equal texts are one text, owned by its smallest doc_id; all others are covered wholly. Windows are compared by
-64-bit hashes of all their bytes. Memory: a task holds the arrays of one part, of about PART anchors.
+Equal texts (by SHA-256) are one text, owned by its smallest doc_id; all others are covered wholly. In the index a text
+is named by 64 bits: an anchor that only stands in two different texts of the same name would not be reported.
 
-Defined cases: null is the empty text; texts below LENGTH bytes keep all bytes. Rows with an equal doc_id and
-different texts are outside the contract: each is compared with documents of smaller doc_id only. Very long texts
-are read in overlapping stretches. Extra columns are ignored.
+Memory: a task holds the arrays of one part, of about PART anchors. A passage that very many documents share reaches the
+part of its anchor once a slice. Windows that differ around it, where it begins and ends, do not shrink like that; so an
+anchor that was reported more than PART / HEAVY times is heavy, and its windows are dealt one by one, by the hash
+of all their bytes.
+
+Defined cases: null is the empty text; texts below LENGTH bytes keep all bytes. A row without a doc_id has no place in the
+order: it keeps all bytes and takes none from others. Rows with an equal doc_id and different texts are outside the
+contract: each is compared with documents of smaller doc_id only. Very long texts are read in overlapping stretches.
+Extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -41,10 +48,14 @@ KEY = 26
 WINDOW = LENGTH - KEY + 1  # anchors' starts that a window may choose from
 STRETCH = 1 << 20  # bytes looked at together
 PLACE = np.uint64(STRETCH - 1)
-BATCHES = 4
+LEAST_BATCHES = 4
+BATCH_BYTES = 1 << 26  # twice the input is one batch more
 PART = 400_000
+HEAVY = 4
 DENSITY = 13  # bytes per anchor
 SLICE = 1024
+OWN, REPORT = -1, -2  # levels of a batch's own suffixes, and of anchors that are known to be shared
+BROADCAST_BYTES = 16 << 20  # heavy anchors up to this size are sent to all executors
 
 
 def anchors(text: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -88,8 +99,23 @@ SUFFIXES = pa.schema([("level", pa.int32()), ("part", pa.int32()), ("keys", pa.b
 SUFFIX_COLUMNS = "level int, part int, keys binary, owners binary"
 
 
+def _grouped(keys: np.ndarray, owners: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(keys and owners in order of key, start of each key, whether it has several owners)."""
+    order = np.argsort(keys, kind="stable")
+    key, owner = keys[order], owners[order]
+    starts = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+    return key, owner, starts, np.minimum.reduceat(owner, starts) != np.maximum.reduceat(owner, starts)
+
+
+def _sizes(starts: np.ndarray, total: int) -> np.ndarray:
+    return np.diff(np.concatenate([starts, [total]]))
+
+
 def batch_suffixes(texts: DataFrame, parts: int) -> DataFrame:
-    """The suffixes of a batch at its sync points, as arrays per task and part; level -1."""
+    """The suffixes of a batch at its sync points, as arrays per task and part: one suffix per key, level OWN.
+
+    Keys that several texts of a task have are reported here, for each of them, as rows of level REPORT.
+    """
 
     def collect(iterator: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in iterator:
@@ -100,14 +126,19 @@ def batch_suffixes(texts: DataFrame, parts: int) -> DataFrame:
                     own = np.unique(anchors(text)[0])
                     keys.append(own)
                     owners.append(np.full(len(own), owner, np.int64))
-            if not keys:
+            if not sum(map(len, keys)):
                 continue
-            key, owner = np.concatenate(keys), np.concatenate(owners)
+            key, owner, starts, differs = _grouped(np.concatenate(keys), np.concatenate(owners))
+            shared = np.repeat(differs, _sizes(starts, len(key)))
+            if shared.any():  # any part will do for a report
+                row = [[REPORT], part_of(key[shared][:1], parts).tolist(), [key[shared].tobytes()], [owner[shared].tobytes()]]
+                yield pa.RecordBatch.from_pydict(dict(zip(SUFFIXES.names, row, strict=True)), schema=SUFFIXES)
+            key, owner = key[starts], owner[starts]
             order, pieces = by_part(part_of(key, parts))
             key, owner = key[order], owner[order]
             for at in range(0, len(pieces), 64):
                 some = pieces[at : at + 64]
-                columns = [[-1] * len(some), [p for p, _, _ in some], [key[a:b].tobytes() for _, a, b in some], [owner[a:b].tobytes() for _, a, b in some]]
+                columns = [[OWN] * len(some), [p for p, _, _ in some], [key[a:b].tobytes() for _, a, b in some], [owner[a:b].tobytes() for _, a, b in some]]
                 yield pa.RecordBatch.from_pydict(dict(zip(SUFFIXES.names, columns, strict=True)), schema=SUFFIXES)
 
     return map_batches(texts.select("owner", "text"), collect, SUFFIX_COLUMNS)
@@ -127,11 +158,6 @@ def _parts(iterator: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, list[tuple
         yield current, rows
 
 
-def _sorted(keys: np.ndarray, owners: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    order = np.argsort(keys, kind="stable")
-    return keys[order], owners[order]
-
-
 def scan_and_insert(suffixes: DataFrame, levels: list[DataFrame], parts: int) -> DataFrame:
     """Merge-scan a batch against itself and all levels.
 
@@ -139,17 +165,21 @@ def scan_and_insert(suffixes: DataFrame, levels: list[DataFrame], parts: int) ->
     suffix array, sorted, one row per part and one suffix per key.
     """
 
+    def reports(keys: list[np.ndarray], owners: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+        joined = [np.concatenate(x) for x in (keys, owners)] if keys else [[], []]
+        for at in range(0, len(joined[0]), 100_000):
+            row = [[None], [None], *([x[at : at + 100_000].tobytes()] for x in joined)]
+            yield pa.RecordBatch.from_pydict(dict(zip(SUFFIXES.names, row, strict=True)), schema=SUFFIXES)
+
     def scan(iterator: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, rows in _parts(iterator):
-            own = [r for r in rows if r[0] < 0]
+            found_keys, found_owners = ([r[i] for r in rows if r[0] == REPORT] for i in (1, 2))
+            own = [r for r in rows if r[0] == OWN]
             if not own:
+                yield from reports(found_keys, found_owners)
                 continue
-            key, owner = _sorted(np.concatenate([k for _, k, _ in own]), np.concatenate([o for _, _, o in own]))
-            starts = np.concatenate([[0], np.flatnonzero(key[1:] != key[:-1]) + 1])
-            sizes = np.diff(np.concatenate([starts, [len(key)]]))
+            key, owner, starts, differs = _grouped(np.concatenate([k for _, k, _ in own]), np.concatenate([o for _, _, o in own]))
             first = owner[starts]
-            differs = np.minimum.reduceat(owner, starts) != np.maximum.reduceat(owner, starts)
-            found_keys, found_owners = [], []
             for level, old_keys, old_owners in rows:
                 if level >= 0:  # both sides are sorted and have each key once
                     at = np.minimum(np.searchsorted(old_keys, key[starts]), len(old_keys) - 1)
@@ -158,13 +188,10 @@ def scan_and_insert(suffixes: DataFrame, levels: list[DataFrame], parts: int) ->
                     differs |= hit
                     found_keys.append(key[starts][hit])
                     found_owners.append(old_owners[at[hit]])
-            inside = np.repeat(differs, sizes)
+            inside = np.repeat(differs, _sizes(starts, len(key)))
             found_keys.append(key[inside])
             found_owners.append(owner[inside])
-            reported = (np.concatenate(found_keys), np.concatenate(found_owners))
-            for at in range(0, len(reported[0]), 100_000):
-                row = [[None], [None], *([x[at : at + 100_000].tobytes()] for x in reported)]
-                yield pa.RecordBatch.from_pydict(dict(zip(SUFFIXES.names, row, strict=True)), schema=SUFFIXES)
+            yield from reports(found_keys, found_owners)
             row = [[0], [part], [key[starts].tobytes()], [first.tobytes()]]
             yield pa.RecordBatch.from_pydict(dict(zip(SUFFIXES.names, row, strict=True)), schema=SUFFIXES)
 
@@ -180,17 +207,19 @@ def merge_levels(left: DataFrame, right: DataFrame, rank: int, parts: int) -> Da
 
     def merge(iterator: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, rows in _parts(iterator):
-            key, owner = _sorted(np.concatenate([r[1] for r in rows]), np.concatenate([r[2] for r in rows]))
-            fresh = np.concatenate([[True], key[1:] != key[:-1]])
-            row = [[rank], [part], [key[fresh].tobytes()], [owner[fresh].tobytes()]]
+            key, owner, starts, _ = _grouped(np.concatenate([r[1] for r in rows]), np.concatenate([r[2] for r in rows]))
+            row = [[rank], [part], [key[starts].tobytes()], [owner[starts].tobytes()]]
             yield pa.RecordBatch.from_pydict(dict(zip(SUFFIXES.names, row, strict=True)), schema=SUFFIXES)
 
     dealt = left.unionByName(right).repartition(parts, "part").sortWithinPartitions("part", "level")
     return map_batches(dealt, merge, SUFFIX_COLUMNS)
 
 
-def reported_anchors(texts: DataFrame, batches: int, parts: int) -> DataFrame:
-    """(owner, keys): anchors that stand in two texts or more, for each text that has them."""
+def reported_anchors(texts: DataFrame, batches: int, parts: int, heavy: int) -> DataFrame:
+    """(owner, keys, heavy): anchors that stand in two texts or more, for each text that has them.
+
+    `heavy` has those of them that were reported more than `heavy` times.
+    """
     spark = texts.sparkSession
     root = run_dir(spark, "suffixes")
     schema = pa.schema([("owner", pa.int64()), ("key", pa.int64())])
@@ -236,7 +265,10 @@ def reported_anchors(texts: DataFrame, batches: int, parts: int) -> DataFrame:
             found = rows if found is None else found.unionByName(rows)
     if found is None:
         found = texts.select(F.col("owner"), F.lit(0).cast("long").alias("key")).limit(0)
-    found = durable(found.groupBy("owner").agg(F.collect_set("key").alias("keys")))
+    often = durable(found.groupBy("key").count().filter(F.col("count") > heavy).select("key", F.col("key").alias("often")))
+    often = F.broadcast(often) if often.count() * 16 <= BROADCAST_BYTES else often
+    found = found.join(often, "key", "left").groupBy("owner")
+    found = durable(found.agg(F.collect_set("key").alias("keys"), F.collect_set("often").alias("heavy")))
     drop_folder(spark, root)
     return found
 
@@ -263,72 +295,151 @@ CONTEXTS = pa.schema([
 CONTEXT_COLUMNS = "part int, docs binary, firsts binary, numbers binary, bytes binary"
 
 
+Contexts = tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]  # documents, first windows, numbers of windows, bytes
+STEPS = (*range(0, LENGTH - 7, 8), LENGTH - 8)  # words of 8 bytes that make up a window
+
+
+def equal_windows(hashed: np.ndarray, starts: np.ndarray, joined: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(order, heads): windows in an order where equal ones stand together, and where each group of them begins.
+
+    The hash orders them; equality is that of all bytes. Should unlike windows have one hash, the bytes order them.
+    """
+    words = np.ndarray((len(joined) - 7,), "<u8", joined, strides=(1,))
+    order = np.argsort(hashed, kind="stable")
+    ordered = hashed[order]
+    meet = ordered[1:] == ordered[:-1]
+    same = meet.copy()
+    for step in STEPS:
+        word = words[starts[order] + step]
+        same &= word[1:] == word[:-1]
+    if (same != meet).any():
+        columns = [words[starts + step] for step in STEPS]
+        order = np.lexsort(columns)
+        same = np.logical_and.reduce([c[order][1:] == c[order][:-1] for c in columns])
+    return order, np.flatnonzero(np.concatenate([[True], ~same]))
+
+
+def settle_windows(contexts: Contexts) -> tuple[tuple[np.ndarray, np.ndarray], np.ndarray, Contexts, np.ndarray]:
+    """Which windows of some contexts stand in a smaller document of these contexts too.
+
+    Gives (documents, runs) of those that do, a run being first window * 256 + length; and of the others their runs as
+    contexts again, with the context each comes from and the hash of each of their windows.
+    """
+    docs, firsts, numbers, joined = contexts
+    offsets = np.cumsum(numbers + LENGTH - 1) - (numbers + LENGTH - 1)
+    within = np.arange(numbers.sum()) - np.repeat(np.cumsum(numbers) - numbers, numbers)
+    starts = np.repeat(offsets, numbers) + within
+    hashed = hashing.windows(hashing.prefix_sums(joined), starts, starts + LENGTH)
+    source = np.repeat(np.arange(len(docs)), numbers)
+    doc, window = docs[source], firsts[source] + within
+    order, heads = equal_windows(hashed, starts, joined)
+    hit = np.zeros(len(doc), bool)
+    hit[order] = np.repeat(np.minimum.reduceat(doc[order], heads), _sizes(heads, len(doc))) < doc[order]
+
+    def runs(mask: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        at = np.flatnonzero(mask)
+        begin = np.flatnonzero(np.concatenate([[True], (np.diff(at) != 1) | (within[at[1:]] == 0)])) if len(at) else at
+        return at[begin], _sizes(begin, len(at)) if len(at) else at
+
+    at, lengths = runs(hit)
+    left, sizes = runs(~hit)
+    stretch = sizes + LENGTH - 1
+    places = np.arange(stretch.sum()) - np.repeat(np.cumsum(stretch) - stretch, stretch) + np.repeat(starts[left], stretch)
+    rest = (doc[left], window[left], sizes, joined[places])
+    return (doc[at], window[at] * 256 + lengths), source[left], rest, hashed[~hit]
+
+
+def single_windows(contexts: Contexts) -> Contexts:
+    """Contexts of one window each."""
+    docs, firsts, numbers, joined = contexts
+    offsets = np.cumsum(numbers + LENGTH - 1) - (numbers + LENGTH - 1)
+    within = np.arange(numbers.sum()) - np.repeat(np.cumsum(numbers) - numbers, numbers)
+    starts = np.repeat(offsets, numbers) + within
+    places = starts[:, None] + np.arange(LENGTH)
+    return np.repeat(docs, numbers), np.repeat(firsts, numbers) + within, np.ones(len(starts), np.int64), joined[places].ravel()
+
+
+def _packed(part: np.ndarray, contexts: Contexts) -> Iterator[pa.RecordBatch]:
+    """Contexts as rows, one a part."""
+    docs, firsts, numbers, joined = contexts
+    order, pieces = by_part(part)
+    stretch = numbers + LENGTH - 1
+    offsets = (np.cumsum(stretch) - stretch)[order]
+    stretch = stretch[order]
+    ends = np.cumsum(stretch)
+    dealt = joined[np.arange(stretch.sum()) - np.repeat(ends - stretch, stretch) + np.repeat(offsets, stretch)]
+    docs, firsts, numbers = docs[order], firsts[order], numbers[order].astype(np.uint8)
+    for at in range(0, len(pieces), 256):
+        some = pieces[at : at + 256]
+        columns = [[p for p, _, _ in some], *([x[a:b].tobytes() for _, a, b in some] for x in (docs, firsts, numbers))]
+        columns.append([dealt[ends[a] - stretch[a] : ends[b - 1]].tobytes() for _, a, b in some])
+        yield pa.RecordBatch.from_pydict(dict(zip(CONTEXTS.names, columns, strict=True)), schema=CONTEXTS)
+
+
 def suffix_contexts(texts: DataFrame, parts: int) -> DataFrame:
-    """For reported anchors: document, first window, number of windows and the bytes of all of them, per part."""
+    """For reported anchors: document, first window, number of windows and the bytes of all of them, per part.
+
+    Windows that a smaller document of the same slice has are matched here already: a row of documents and, in place of
+    first windows, runs, without numbers and bytes.
+    """
 
     def cut(iterator: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in iterator:
             for at in range(0, batch.num_rows, SLICE):
                 rows = batch.slice(at, SLICE)
-                found: list[tuple[int, int, int, int, bytes]] = []
-                for doc_id, text, wanted in zip(ids(rows), text_bytes(rows), rows.column("keys"), strict=True):
+                found: list[list] = [[], [], [], [], [], []]
+                for doc_id, text, wanted, often in zip(ids(rows), text_bytes(rows), rows.column("keys"), rows.column("heavy"), strict=True):
                     keys, firsts, numbers = anchors(text)
-                    shared = np.isin(keys, wanted.values.to_numpy(zero_copy_only=False).view(np.uint64))
-                    part = part_of(keys[shared], parts)
-                    for p, f, n in zip(part.tolist(), firsts[shared].tolist(), numbers[shared].tolist(), strict=True):
-                        found.append((p, doc_id, f, n, text[f : f + n + LENGTH - 1]))
-                found.sort(key=lambda r: r[0])
-                order, pieces = by_part(np.array([r[0] for r in found], np.int32))
-                for i in range(0, len(pieces), 256):
-                    out: list[list] = [[], [], [], [], []]
-                    for p, a, b in pieces[i : i + 256]:
-                        own = found[a:b]
-                        out[0].append(p)
-                        for column, kind in ((1, np.int64), (2, np.int64), (3, np.uint8)):
-                            out[column].append(np.array([r[column] for r in own], kind).tobytes())
-                        out[4].append(b"".join([r[4] for r in own]))
-                    yield pa.RecordBatch.from_pydict(dict(zip(CONTEXTS.names, out, strict=True)), schema=CONTEXTS)
-
-    return map_batches(texts.select("doc_id", "text", "keys"), cut, CONTEXT_COLUMNS)
+                    wanted, often = (x.values.to_numpy(zero_copy_only=False).view(np.uint64) for x in (wanted, often))
+                    shared = np.isin(keys, wanted)
+                    own = (keys[shared], firsts[shared], numbers[shared], np.isin(keys[shared], often))
+                    for column, values in zip(found, (np.full(len(own[0]), doc_id, np.int64), *own), strict=False):
+                        column.append(values)
+                    found[5].extend([text[f : f + n + LENGTH - 1] for f, n in zip(own[1].tolist(), own[2].tolist(), strict=True)])
+                docs, keys, firsts, numbers, heavy = (np.concatenate(c) for c in found[:5])
+                if not len(docs):
+                    continue
+                contexts = (docs, firsts, numbers, np.frombuffer(b"".join(found[5]), np.uint8))
+                matched, source, rest, hashed = settle_windows(contexts)
+                if len(matched[0]):  # any part will do
+                    row = [part_of(keys[:1], parts).tolist(), *([x.tobytes()] for x in matched), [None], [None]]
+                    yield pa.RecordBatch.from_pydict(dict(zip(CONTEXTS.names, row, strict=True)), schema=CONTEXTS)
+                for chosen, kind in ((~heavy[source], False), (heavy[source], True)):
+                    if not chosen.any():
+                        continue
+                    stretch = np.repeat(chosen, rest[2] + LENGTH - 1)
+                    some = (rest[0][chosen], rest[1][chosen], rest[2][chosen], rest[3][stretch])
+                    dealt = hashed[np.repeat(chosen, rest[2])] if kind else keys[source[chosen]]
+                    yield from _packed(part_of(dealt, parts), single_windows(some) if kind else some)
+
+    return map_batches(texts.select("doc_id", "text", "keys", "heavy"), cut, CONTEXT_COLUMNS)
 
 
 def matched_windows(contexts: DataFrame, parts: int) -> DataFrame:
     """(doc_id, run): runs of windows that stand in a smaller document too; first window * 256 + length."""
 
-    def match(rows: list[tuple]) -> pa.RecordBatch:
-        docs, firsts = (np.concatenate([np.frombuffer(r[i], np.int64) for r in rows]) for i in (0, 1))
-        numbers = np.concatenate([np.frombuffer(r[2], np.uint8) for r in rows]).astype(np.int64)
-        joined = np.concatenate([np.frombuffer(r[3], np.uint8) for r in rows])
-        offsets = np.cumsum(numbers + LENGTH - 1) - (numbers + LENGTH - 1)
-        within = np.arange(numbers.sum()) - np.repeat(np.cumsum(numbers) - numbers, numbers)
-        starts = np.repeat(offsets, numbers) + within
-        hashed = hashing.windows(hashing.prefix_sums(joined), starts, starts + LENGTH)
-        doc, window = np.repeat(docs, numbers), np.repeat(firsts, numbers) + within
-        order = np.argsort(hashed, kind="stable")
-        ordered = hashed[order]
-        heads = np.concatenate([[0], np.flatnonzero(ordered[1:] != ordered[:-1]) + 1])
-        smallest = np.minimum.reduceat(doc[order], heads)
-        hit = np.zeros(len(doc), bool)
-        hit[order] = np.repeat(smallest, np.diff(np.concatenate([heads, [len(doc)]]))) < doc[order]
-        at = np.flatnonzero(hit)
-        if not len(at):
-            return pa.RecordBatch.from_pydict({"doc_id": pa.array([], pa.int64()), "run": pa.array([], pa.int64())})
-        fresh = np.concatenate([[True], (np.diff(at) != 1) | (within[at[1:]] == 0)])
-        begin = np.flatnonzero(fresh)
-        lengths = np.diff(np.concatenate([begin, [len(at)]]))
-        return pa.RecordBatch.from_pydict({"doc_id": doc[at[begin]], "run": window[at[begin]] * 256 + lengths})
+    def match(rows: list[list]) -> Iterator[pa.RecordBatch]:
+        known, rows = [r for r in rows if r[2] is None], [r for r in rows if r[2] is not None]
+        found = [tuple(np.frombuffer(x, np.int64) for x in r[:2]) for r in known]
+        if rows:
+            docs, firsts = (np.concatenate([np.frombuffer(r[i], np.int64) for r in rows]) for i in (0, 1))
+            numbers = np.concatenate([np.frombuffer(r[2], np.uint8) for r in rows]).astype(np.int64)
+            joined = np.concatenate([np.frombuffer(r[3], np.uint8) for r in rows])
+            found.append(settle_windows((docs, firsts, numbers, joined))[0])
+        columns = [pa.array(np.concatenate(x), pa.int64()) for x in zip(*found, strict=True)]
+        yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "run"])
 
     def meet(iterator: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         current, rows = None, []
         for batch in iterator:
             for part, *row in zip(*(batch.column(c).to_pylist() for c in CONTEXTS.names), strict=True):
                 if part != current and rows:
-                    yield match(rows)
+                    yield from match(rows)
                     rows = []
                 current = part
                 rows.append(row)
         if rows:
-            yield match(rows)
+            yield from match(rows)
 
     dealt = contexts.repartition(parts, "part").sortWithinPartitions("part")
     return map_batches(dealt, meet, "doc_id long, run long")
@@ -347,22 +458,28 @@ def covered(runs: np.ndarray, size: int) -> list[tuple[int, int]]:
     return out
 
 
-def repeated_passages(docs: DataFrame, batches: int = BATCHES, part: int = PART) -> DataFrame:
+def repeated_passages(docs: DataFrame, batches: int | None = None, part: int = PART) -> DataFrame:
     """(doc_id, whole, runs): whole is true for later copies of an equal text; runs as in matched_windows."""
     spark = docs.sparkSession
-    named = docs.select("doc_id", "text", F.xxhash64(F.coalesce("text", F.lit(""))).alias("owner"), F.coalesce(F.octet_length("text"), F.lit(0)).alias("size"))
-    owners = durable(named.groupBy("owner").agg(F.min("doc_id").alias("first"), F.max("size").alias("size")))
+    text = F.coalesce("text", F.lit(""))
+    named = docs.select("doc_id", "text", F.xxhash64(text).alias("owner"), F.octet_length(text).alias("size"))
+    digest = F.unhex(F.sha2(text.cast("binary"), 256)).alias("digest")
+    hashed = docs.select("doc_id", F.xxhash64(text).alias("owner"), digest, F.octet_length(text).alias("size"))
+    owners = hashed.groupBy("owner", "digest").agg(F.min("doc_id").alias("first"), F.max("size").alias("size"), F.count("*").alias("times"))
+    owners = durable(owners)
     size = owners.agg(F.sum("size")).first()[0] or 0
     parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), size // DENSITY // part + 1)
-    keys = reported_anchors(named.filter(F.col("size") >= LENGTH), batches, parts)
+    batches = batches or max(LEAST_BATCHES, (size // BATCH_BYTES).bit_length())
+    keys = reported_anchors(named.filter(F.col("size") >= LENGTH), batches, parts, part // HEAVY)
     release(spark)
-    wanted = keys.join(owners, "owner").select(F.col("first").alias("doc_id"), "owner", "keys")
+    wanted = keys.join(owners, "owner").select(F.col("first").alias("doc_id"), "owner", "keys", "heavy")
     firsts = named.join(wanted, ["doc_id", "owner"])
     runs = matched_windows(suffix_contexts(firsts, parts), parts)
     runs = durable(runs.groupBy("doc_id").agg(F.collect_set("run").alias("runs")))
     release(spark)
-    copies = named.select("doc_id", "owner", "size").join(owners.select("owner", "first"), "owner")
-    copies = copies.filter((F.col("doc_id") > F.col("first")) & (F.col("size") >= LENGTH)).select("doc_id", F.lit(True).alias("whole")).distinct()
+    several = owners.filter((F.col("times") > 1) & (F.col("size") >= LENGTH)).select("owner", "digest", "first")
+    copies = hashed.drop("size").join(several, ["owner", "digest"]).filter(F.col("doc_id") > F.col("first"))
+    copies = copies.select("doc_id", F.lit(True).alias("whole")).distinct()
     return runs.join(copies, "doc_id", "full").select("doc_id", F.coalesce("whole", F.lit(False)).alias("whole"), "runs")
 
 
@@ -384,9 +501,9 @@ def _cut_rows(iterator: Iterator[pa.RecordBatch], with_text: bool) -> Iterator[p
             yield pa.RecordBatch.from_arrays(columns, names=["doc_id", *names])
 
 
-def suffix_dedup(docs: DataFrame, batches: int = BATCHES, with_text: bool = False) -> DataFrame:
+def suffix_dedup(docs: DataFrame, batches: int | None = None, with_text: bool = False, part: int = PART) -> DataFrame:
     """(doc_id, n_bytes, n_removed, n_spans, kept_sha256) and, on demand, `kept`: the remaining bytes."""
-    found = repeated_passages(docs, batches)
+    found = repeated_passages(docs, batches, part)
     joined = docs.select("doc_id", "text").join(found, "doc_id", "left")
     columns = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + ", kept binary" * with_text
 

@@ -308,6 +308,33 @@ def test_passages_are_cut_like_brute_force(docs, texts, batches):
     assert {r["doc_id"]: tuple(r)[1:] for r in found} == cut_by_brute_force([(3 * i + 1, t) for i, t in enumerate(texts)])
 
 
+@pytest.mark.parametrize(("part", "slice_"), [(60, 2), (400_000, 3)])
+def test_passages_in_most_documents(spark, monkeypatch, part, slice_):
+    """A passage of most documents, its ends unlike: small parts make its anchors heavy, small slices meet again."""
+    monkeypatch.setattr(op04_suffix_index, "SLICE", slice_)
+    rng = random.Random(part)
+    passage = sentence(rng, 60)
+    rows = [(i, sentence(rng, i % 9) + (passage if i % 3 else passage[i : i + 70 + i]) + sentence(rng, i % 7)) for i in range(90)]
+    rows += [(90 + i, rows[i][1]) for i in range(20)] + [(None, passage), (None, passage)]
+    found = op04_suffix_index.suffix_dedup(spark.createDataFrame(rows, "doc_id long, text string"), 3, part=part).collect()
+    expected = cut_by_brute_force([r for r in rows if r[0] is not None])
+    assert {r["doc_id"]: tuple(r)[1:] for r in found if r["doc_id"] is not None} == expected
+    assert [r["n_removed"] for r in found if r["doc_id"] is None] == [0, 0]
+
+
+def test_windows_are_equal_only_with_all_bytes():
+    rng = np.random.default_rng(5)
+    texts = [bytes(rng.integers(97, 99, 50, dtype=np.uint8)) for _ in range(6)]
+    texts += [texts[0][:49] + b"z", b"z" + texts[1][1:]]
+    picks = rng.integers(0, len(texts), 200)
+    joined = np.frombuffer(b"".join(texts[i] for i in picks), np.uint8)
+    starts = np.arange(200) * 50
+    for hashed in (picks.astype(np.uint64) * np.uint64(7), (picks % 2).astype(np.uint64), np.zeros(200, np.uint64)):
+        order, heads = op04_suffix_index.equal_windows(hashed, starts, joined)
+        groups = np.split(order, heads[1:])
+        assert sorted(sorted(g.tolist()) for g in groups) == sorted(np.flatnonzero(picks == i).tolist() for i in np.unique(picks))
+
+
 def test_passages_at_limits_and_in_stretches(spark, monkeypatch):
     rng = random.Random(3)
     shared = sentence(rng, 40)
