@@ -19,9 +19,9 @@ Equal texts (by SHA-256) are one text, owned by its smallest doc_id; all others
 is named by 64 bits: an anchor that only stands in two different texts of the same name would not be reported.
 
 Memory: a task holds the arrays of one part, of about PART anchors. A passage that very many documents share reaches the
-part of its anchor once a slice. Windows that differ around it, where it begins and ends, do not shrink like that; so an
-anchor that was reported more than PART / HEAVY times is heavy, and its windows are dealt one by one, by the hash
-of all their bytes.
+part of its anchor once a slice. Windows that differ around it, where it begins and ends, do not shrink like that. So an
+anchor is heavy that more than HEAVY texts of one Arrow batch have, or more than HEAVY batches of texts, and its windows
+are dealt one by one, by the hash of all their bytes.
 
 Defined cases: null is the empty text; texts below LENGTH bytes keep all bytes. A row without a doc_id has no place in the
 order: it keeps all bytes and takes none from others. Rows with an equal doc_id and different texts are outside the
@@ -51,10 +51,10 @@ PLACE = np.uint64(STRETCH - 1)
 LEAST_BATCHES = 4
 BATCH_BYTES = 1 << 26  # twice the input is one batch more
 PART = 400_000
-HEAVY = 4
+HEAVY = 256
 DENSITY = 13  # bytes per anchor
 SLICE = 1024
-OWN, REPORT = -1, -2  # levels of a batch's own suffixes, and of anchors that are known to be shared
+OWN, REPORT, OFTEN = -1, -2, -3  # levels of a batch's own suffixes, of anchors known to be shared and of heavy ones
 BROADCAST_BYTES = 16 << 20  # heavy anchors up to this size are sent to all executors
 
 
@@ -89,7 +89,7 @@ def part_of(keys: np.ndarray, parts: int) -> np.ndarray:
 
 def by_part(part: np.ndarray) -> tuple[np.ndarray, list[tuple[int, int, int]]]:
     """An order by part, and (part, start, end) in that order."""
-    order = np.argsort(part, kind="stable")
+    order = np.argsort(part)
     ordered = part[order]
     cuts = np.concatenate([[0], np.flatnonzero(np.diff(ordered)) + 1, [len(ordered)]])
     return order, [(int(ordered[a]), int(a), int(b)) for a, b in zip(cuts[:-1], cuts[1:], strict=True) if b > a]
@@ -101,20 +101,26 @@ SUFFIX_COLUMNS = "level int, part int, keys binary, owners binary"
 
 def _grouped(keys: np.ndarray, owners: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """(keys and owners in order of key, start of each key, whether it has several owners)."""
-    order = np.argsort(keys, kind="stable")
+    order = np.argsort(keys)
     key, owner = keys[order], owners[order]
     starts = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
     return key, owner, starts, np.minimum.reduceat(owner, starts) != np.maximum.reduceat(owner, starts)
 
 
+def _row(level: int | None, part: int | None, keys: np.ndarray, owners: np.ndarray) -> pa.RecordBatch:
+    values = [[level], [part], [keys.tobytes()], [owners.tobytes()]]
+    return pa.RecordBatch.from_pydict(dict(zip(SUFFIXES.names, values, strict=True)), schema=SUFFIXES)
+
+
 def _sizes(starts: np.ndarray, total: int) -> np.ndarray:
     return np.diff(np.concatenate([starts, [total]]))
 
 
-def batch_suffixes(texts: DataFrame, parts: int) -> DataFrame:
+def batch_suffixes(texts: DataFrame, parts: int, heavy: int) -> DataFrame:
     """The suffixes of a batch at its sync points, as arrays per task and part: one suffix per key, level OWN.
 
-    Keys that several texts of a task have are reported here, for each of them, as rows of level REPORT.
+    Keys that several texts of a task have are reported here, for each of them, as rows of level REPORT; those that more
+    than `heavy` have are named in rows of level OFTEN too.
     """
 
     def collect(iterator: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -129,10 +135,12 @@ def batch_suffixes(texts: DataFrame, parts: int) -> DataFrame:
             if not sum(map(len, keys)):
                 continue
             key, owner, starts, differs = _grouped(np.concatenate(keys), np.concatenate(owners))
-            shared = np.repeat(differs, _sizes(starts, len(key)))
+            sizes = _sizes(starts, len(key))
+            shared, often = np.repeat(differs, sizes), key[starts[sizes > heavy]]
             if shared.any():  # any part will do for a report
-                row = [[REPORT], part_of(key[shared][:1], parts).tolist(), [key[shared].tobytes()], [owner[shared].tobytes()]]
-                yield pa.RecordBatch.from_pydict(dict(zip(SUFFIXES.names, row, strict=True)), schema=SUFFIXES)
+                yield _row(REPORT, int(part_of(key[shared][:1], parts)[0]), key[shared], owner[shared])
+            if len(often):
+                yield _row(OFTEN, int(part_of(often[:1], parts)[0]), often, often[:0])
             key, owner = key[starts], owner[starts]
             order, pieces = by_part(part_of(key, parts))
             key, owner = key[order], owner[order]
@@ -158,22 +166,22 @@ def _parts(iterator: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, list[tuple
         yield current, rows
 
 
-def scan_and_insert(suffixes: DataFrame, levels: list[DataFrame], parts: int) -> DataFrame:
+def scan_and_insert(suffixes: DataFrame, levels: list[DataFrame], parts: int, heavy: int) -> DataFrame:
     """Merge-scan a batch against itself and all levels.
 
-    Rows with a null part report (key, owner) pairs in `keys` and `owners`; the others are the batch's own
-    suffix array, sorted, one row per part and one suffix per key.
+    Rows with a null part report (key, owner) pairs in `keys` and `owners`, or heavy keys where their level is OFTEN; the
+    others are the batch's own suffix array, sorted, one row per part and one suffix per key.
     """
 
     def reports(keys: list[np.ndarray], owners: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
         joined = [np.concatenate(x) for x in (keys, owners)] if keys else [[], []]
         for at in range(0, len(joined[0]), 100_000):
-            row = [[None], [None], *([x[at : at + 100_000].tobytes()] for x in joined)]
-            yield pa.RecordBatch.from_pydict(dict(zip(SUFFIXES.names, row, strict=True)), schema=SUFFIXES)
+            yield _row(None, None, *(x[at : at + 100_000] for x in joined))
 
     def scan(iterator: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, rows in _parts(iterator):
             found_keys, found_owners = ([r[i] for r in rows if r[0] == REPORT] for i in (1, 2))
+            yield from (_row(OFTEN, None, r[1], r[2]) for r in rows if r[0] == OFTEN)
             own = [r for r in rows if r[0] == OWN]
             if not own:
                 yield from reports(found_keys, found_owners)
@@ -188,12 +196,14 @@ def scan_and_insert(suffixes: DataFrame, levels: list[DataFrame], parts: int) ->
                     differs |= hit
                     found_keys.append(key[starts][hit])
                     found_owners.append(old_owners[at[hit]])
-            inside = np.repeat(differs, _sizes(starts, len(key)))
+            sizes = _sizes(starts, len(key))
+            if (sizes > heavy).any():
+                yield _row(OFTEN, None, key[starts[sizes > heavy]], owner[:0])
+            inside = np.repeat(differs, sizes)
             found_keys.append(key[inside])
             found_owners.append(owner[inside])
             yield from reports(found_keys, found_owners)
-            row = [[0], [part], [key[starts].tobytes()], [first.tobytes()]]
-            yield pa.RecordBatch.from_pydict(dict(zip(SUFFIXES.names, row, strict=True)), schema=SUFFIXES)
+            yield _row(0, part, key[starts], first)
 
     everything = suffixes
     for level in levels:
@@ -208,8 +218,7 @@ def merge_levels(left: DataFrame, right: DataFrame, rank: int, parts: int) -> Da
     def merge(iterator: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, rows in _parts(iterator):
             key, owner, starts, _ = _grouped(np.concatenate([r[1] for r in rows]), np.concatenate([r[2] for r in rows]))
-            row = [[rank], [part], [key[starts].tobytes()], [owner[starts].tobytes()]]
-            yield pa.RecordBatch.from_pydict(dict(zip(SUFFIXES.names, row, strict=True)), schema=SUFFIXES)
+            yield _row(rank, part, key[starts], owner[starts])
 
     dealt = left.unionByName(right).repartition(parts, "part").sortWithinPartitions("part", "level")
     return map_batches(dealt, merge, SUFFIX_COLUMNS)
@@ -218,7 +227,7 @@ def merge_levels(left: DataFrame, right: DataFrame, rank: int, parts: int) -> Da
 def reported_anchors(texts: DataFrame, batches: int, parts: int, heavy: int) -> DataFrame:
     """(owner, keys, heavy): anchors that stand in two texts or more, for each text that has them.
 
-    `heavy` has those of them that were reported more than `heavy` times.
+    `heavy` has those of them that more than `heavy` texts of a task, or that many tasks, have.
     """
     spark = texts.sparkSession
     root = run_dir(spark, "suffixes")
@@ -229,6 +238,11 @@ def reported_anchors(texts: DataFrame, batches: int, parts: int, heavy: int) ->
             for keys, owners in zip(batch.column("keys").to_pylist(), batch.column("owners").to_pylist(), strict=True):
                 yield pa.RecordBatch.from_arrays([pa.array(np.frombuffer(owners, np.int64)), pa.array(np.frombuffer(keys, np.int64))], schema=schema)
 
+    def unpack_often(iterator: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in iterator:
+            for keys in batch.column("keys").to_pylist():
+                yield pa.RecordBatch.from_arrays([pa.array(np.frombuffer(keys, np.int64))], names=["key"])
+
     limits = texts.agg(F.percentile_approx("doc_id", [i / batches for i in range(1, batches)], 10_000).alias("q")).first()["q"] or []
     edges = sorted(set(limits))
     levels: dict[int, str] = {}
@@ -240,10 +254,11 @@ def reported_anchors(texts: DataFrame, batches: int, parts: int, heavy: int) ->
         if number < len(edges):
             batch = batch.filter(F.col("doc_id") <= edges[number])
         known = [spark.read.schema(SUFFIX_COLUMNS).parquet(path) for path in levels.values()]
-        scanned = scan_and_insert(batch_suffixes(batch, parts), known, parts)
+        scanned = scan_and_insert(batch_suffixes(batch, parts, heavy), known, parts, heavy)
         # Reports are named by a null part, the batch's own suffix array by its parts.
         scanned.withColumn("report", F.col("part").isNull()).write.partitionBy("report").parquet(f"{root}/scan-{number}")
         reports.append(f"{root}/scan-{number}/report=true")
+        release(spark)
         path, rank = f"{root}/scan-{number}/report=false", 0
         if not folder_exists(spark, path):  # a batch of short texts
             continue
@@ -258,14 +273,15 @@ def reported_anchors(texts: DataFrame, batches: int, parts: int, heavy: int) ->
             path = merged
         levels[rank] = path
         release(spark)
-    found = None
-    for path in reports:
-        if folder_exists(spark, path):
-            rows = map_batches(spark.read.schema(SUFFIX_COLUMNS).parquet(path), unpack, "owner long, key long")
-            found = rows if found is None else found.unionByName(rows)
-    if found is None:
-        found = texts.select(F.col("owner"), F.lit(0).cast("long").alias("key")).limit(0)
-    often = durable(found.groupBy("key").count().filter(F.col("count") > heavy).select("key", F.col("key").alias("often")))
+    reports = [path for path in reports if folder_exists(spark, path)]
+    if reports:
+        rows = spark.read.schema(SUFFIX_COLUMNS).parquet(*reports)
+        found = map_batches(rows.filter("level IS NULL"), unpack, "owner long, key long")
+        often = map_batches(rows.filter(F.col("level") == OFTEN), unpack_often, "key long").distinct()
+        often = durable(often.withColumn("often", F.col("key")))
+    else:
+        found = texts.select("owner", F.lit(0).cast("long").alias("key")).limit(0)
+        often = found.select("key", F.col("key").alias("often"))
     often = F.broadcast(often) if often.count() * 16 <= BROADCAST_BYTES else often
     found = found.join(often, "key", "left").groupBy("owner")
     found = durable(found.agg(F.collect_set("key").alias("keys"), F.collect_set("often").alias("heavy")))
@@ -305,14 +321,12 @@ def equal_windows(hashed: np.ndarray, starts: np.ndarray, joined: np.ndarray) ->
     The hash orders them; equality is that of all bytes. Should unlike windows have one hash, the bytes order them.
     """
     words = np.ndarray((len(joined) - 7,), "<u8", joined, strides=(1,))
-    order = np.argsort(hashed, kind="stable")
+    order = np.argsort(hashed)
     ordered = hashed[order]
-    meet = ordered[1:] == ordered[:-1]
-    same = meet.copy()
-    for step in STEPS:
-        word = words[starts[order] + step]
-        same &= word[1:] == word[:-1]
-    if (same != meet).any():
+    same = ordered[1:] == ordered[:-1]
+    after = np.flatnonzero(same) + 1
+    one, other = starts[order[after - 1]], starts[order[after]]
+    if any((words[one + step] != words[other + step]).any() for step in STEPS):
         columns = [words[starts + step] for step in STEPS]
         order = np.lexsort(columns)
         same = np.logical_and.reduce([c[order][1:] == c[order][:-1] for c in columns])
@@ -458,7 +472,7 @@ def covered(runs: np.ndarray, size: int) -> list[tuple[int, int]]:
     return out
 
 
-def repeated_passages(docs: DataFrame, batches: int | None = None, part: int = PART) -> DataFrame:
+def repeated_passages(docs: DataFrame, batches: int | None = None, heavy: int = HEAVY) -> DataFrame:
     """(doc_id, whole, runs): whole is true for later copies of an equal text; runs as in matched_windows."""
     spark = docs.sparkSession
     text = F.coalesce("text", F.lit(""))
@@ -468,9 +482,9 @@ def repeated_passages(docs: DataFrame, batches: int | None = None, part: int = P
     owners = hashed.groupBy("owner", "digest").agg(F.min("doc_id").alias("first"), F.max("size").alias("size"), F.count("*").alias("times"))
     owners = durable(owners)
     size = owners.agg(F.sum("size")).first()[0] or 0
-    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), size // DENSITY // part + 1)
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), size // DENSITY // PART + 1)
     batches = batches or max(LEAST_BATCHES, (size // BATCH_BYTES).bit_length())
-    keys = reported_anchors(named.filter(F.col("size") >= LENGTH), batches, parts, part // HEAVY)
+    keys = reported_anchors(named.filter(F.col("size") >= LENGTH), batches, parts, heavy)
     release(spark)
     wanted = keys.join(owners, "owner").select(F.col("first").alias("doc_id"), "owner", "keys", "heavy")
     firsts = named.join(wanted, ["doc_id", "owner"])
@@ -501,9 +515,9 @@ def _cut_rows(iterator: Iterator[pa.RecordBatch], with_text: bool) -> Iterator[p
             yield pa.RecordBatch.from_arrays(columns, names=["doc_id", *names])
 
 
-def suffix_dedup(docs: DataFrame, batches: int | None = None, with_text: bool = False, part: int = PART) -> DataFrame:
+def suffix_dedup(docs: DataFrame, batches: int | None = None, with_text: bool = False, heavy: int = HEAVY) -> DataFrame:
     """(doc_id, n_bytes, n_removed, n_spans, kept_sha256) and, on demand, `kept`: the remaining bytes."""
-    found = repeated_passages(docs, batches, part)
+    found = repeated_passages(docs, batches, heavy)
     joined = docs.select("doc_id", "text").join(found, "doc_id", "left")
     columns = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + ", kept binary" * with_text
 

@@ -308,15 +308,15 @@ def test_passages_are_cut_like_brute_force(docs, texts, batches):
     assert {r["doc_id"]: tuple(r)[1:] for r in found} == cut_by_brute_force([(3 * i + 1, t) for i, t in enumerate(texts)])
 
 
-@pytest.mark.parametrize(("part", "slice_"), [(60, 2), (400_000, 3)])
-def test_passages_in_most_documents(spark, monkeypatch, part, slice_):
-    """A passage of most documents, its ends unlike: small parts make its anchors heavy, small slices meet again."""
+@pytest.mark.parametrize(("heavy", "slice_"), [(3, 2), (1_000, 3)])
+def test_passages_in_most_documents(spark, monkeypatch, heavy, slice_):
+    """A passage of most documents, its ends unlike: a low limit makes its anchors heavy, small slices meet again."""
     monkeypatch.setattr(op04_suffix_index, "SLICE", slice_)
-    rng = random.Random(part)
+    rng = random.Random(heavy)
     passage = sentence(rng, 60)
     rows = [(i, sentence(rng, i % 9) + (passage if i % 3 else passage[i : i + 70 + i]) + sentence(rng, i % 7)) for i in range(90)]
     rows += [(90 + i, rows[i][1]) for i in range(20)] + [(None, passage), (None, passage)]
-    found = op04_suffix_index.suffix_dedup(spark.createDataFrame(rows, "doc_id long, text string"), 3, part=part).collect()
+    found = op04_suffix_index.suffix_dedup(spark.createDataFrame(rows, "doc_id long, text string"), 3, heavy=heavy).collect()
     expected = cut_by_brute_force([r for r in rows if r[0] is not None])
     assert {r["doc_id"]: tuple(r)[1:] for r in found if r["doc_id"] is not None} == expected
     assert [r["n_removed"] for r in found if r["doc_id"] is None] == [0, 0]
