@@ -166,11 +166,11 @@ def _parts(iterator: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, list[tuple
         yield current, rows
 
 
-def scan_and_insert(suffixes: DataFrame, levels: list[DataFrame], parts: int, heavy: int) -> DataFrame:
+def scan_and_insert(suffixes: DataFrame, levels: list[DataFrame], parts: int, heavy: int, insert: bool = True) -> DataFrame:
     """Merge-scan a batch against itself and all levels.
 
     Rows with a null part report (key, owner) pairs in `keys` and `owners`, or heavy keys where their level is OFTEN; the
-    others are the batch's own suffix array, sorted, one row per part and one suffix per key.
+    others are the batch's own suffix array, sorted, one row per part and one suffix per key, if it is to be inserted.
     """
 
     def reports(keys: list[np.ndarray], owners: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
@@ -203,7 +203,8 @@ def scan_and_insert(suffixes: DataFrame, levels: list[DataFrame], parts: int, he
             found_keys.append(key[inside])
             found_owners.append(owner[inside])
             yield from reports(found_keys, found_owners)
-            yield _row(0, part, key[starts], first)
+            if insert:
+                yield _row(0, part, key[starts], first)
 
     everything = suffixes
     for level in levels:
@@ -254,15 +255,15 @@ def reported_anchors(texts: DataFrame, batches: int, parts: int, heavy: int) ->
         if number < len(edges):
             batch = batch.filter(F.col("doc_id") <= edges[number])
         known = [spark.read.schema(SUFFIX_COLUMNS).parquet(path) for path in levels.values()]
-        scanned = scan_and_insert(batch_suffixes(batch, parts, heavy), known, parts, heavy)
+        scanned = scan_and_insert(batch_suffixes(batch, parts, heavy), known, parts, heavy, insert=number < len(edges))  # no scan follows the last batch
         # Reports are named by a null part, the batch's own suffix array by its parts.
         scanned.withColumn("report", F.col("part").isNull()).write.partitionBy("report").parquet(f"{root}/scan-{number}")
         reports.append(f"{root}/scan-{number}/report=true")
         release(spark)
         path, rank = f"{root}/scan-{number}/report=false", 0
-        if not folder_exists(spark, path):  # a batch of short texts
+        if not folder_exists(spark, path):  # a batch of short texts, or the last one
             continue
-        while rank in levels and number < len(edges):  # the last batch needs no room for another
+        while rank in levels:
             old = levels.pop(rank)
             rank += 1
             merged = f"{root}/level-{number}-{rank}"
