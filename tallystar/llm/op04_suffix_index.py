@@ -54,6 +54,7 @@ PART = 400_000
 HEAVY = 256
 DENSITY = 13  # bytes per anchor
 SLICE = 1024
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 OWN, REPORT, OFTEN = -1, -2, -3  # levels of a batch's own suffixes, of anchors known to be shared and of heavy ones
 BROADCAST_BYTES = 16 << 20  # heavy anchors up to this size are sent to all executors
 
@@ -257,7 +258,7 @@ def reported_anchors(texts: DataFrame, batches: int, parts: int, heavy: int) ->
         known = [spark.read.schema(SUFFIX_COLUMNS).parquet(path) for path in levels.values()]
         scanned = scan_and_insert(batch_suffixes(batch, parts, heavy), known, parts, heavy, insert=number < len(edges))  # no scan follows the last batch
         # Reports are named by a null part, the batch's own suffix array by its parts.
-        scanned.withColumn("report", F.col("part").isNull()).write.partitionBy("report").parquet(f"{root}/scan-{number}")
+        write_and_forget(scanned.withColumn("report", F.col("part").isNull()), f"{root}/scan-{number}", "report")
         reports.append(f"{root}/scan-{number}/report=true")
         release(spark)
         path, rank = f"{root}/scan-{number}/report=false", 0
@@ -268,7 +269,7 @@ def reported_anchors(texts: DataFrame, batches: int, parts: int, heavy: int) ->
             rank += 1
             merged = f"{root}/level-{number}-{rank}"
             left, right = (spark.read.schema(SUFFIX_COLUMNS).parquet(p) for p in (old, path))
-            merge_levels(left, right, rank, parts).write.parquet(merged)
+            write_and_forget(merge_levels(left, right, rank, parts), merged)
             for gone in (old, path):
                 drop_folder(spark, gone)
             path = merged
@@ -290,6 +291,17 @@ def reported_anchors(texts: DataFrame, batches: int, parts: int, heavy: int) ->
     return found
 
 
+def write_and_forget(df: DataFrame, path: str, *by: str) -> None:
+    """Write a table; Spark removes the shuffles of the write as soon as it has ended, without waiting for its cleaner."""
+    conf = df.sparkSession.conf
+    before = conf.get(SHUFFLE_CLEANUP, "false")
+    conf.set(SHUFFLE_CLEANUP, "true")
+    try:
+        df.write.partitionBy(*by).parquet(path)
+    finally:
+        conf.set(SHUFFLE_CLEANUP, before)
+
+
 def _path(spark: SparkSession, path: str):
     found = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     return found.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), found
