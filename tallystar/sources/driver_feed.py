@@ -80,9 +80,12 @@ def feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
     kind, flag, quantity = F.col("p_type"), F.col("l_returnflag"), F.col("l_quantity")
+    # Parts first: where they are too many to broadcast, lines are shuffled by part before the order's texts are added.
+    sold = lineitem.join(part, F.col("l_partkey") == F.col("p_partkey")).select(
+        "l_orderkey", "l_quantity", "l_returnflag", "l_linestatus", "p_type", "p_size"
+    )
     lines = (
-        lineitem.join(placed, F.col("l_orderkey") == F.col("o_orderkey"))
-        .join(part, F.col("l_partkey") == F.col("p_partkey"))
+        sold.join(placed, F.col("l_orderkey") == F.col("o_orderkey"))
         .withColumns(
             {
                 "indicator": F.concat(F.lit("LINE "), kind),

@@ -2,14 +2,16 @@
 
 import random
 
-from conftest import feed_rows, star_of
+from conftest import SF, feed_rows, star_of
 from pyspark.sql import functions as F
 
 from tallystar import storage
+from tallystar.operators.facts import build_fact
 from tallystar.plans import star as star_module
-from tallystar.plans.stored import order_of_places
+from tallystar.plans.stored import order_of_places, total_by_place_year
 from tallystar.reference import default_reference
 from tallystar.sources import tables
+from tallystar.sources.driver_feed import feed
 from tallystar.sources.raw import raw_frame
 
 
@@ -95,3 +97,51 @@ def test_places_of_equal_totals_over_many_partitions(spark, tmp_path, monkeypatc
             in_state[i % 3] = in_state.get(i % 3, 0) + 1
             rank = 1 + sum(total > members[i] for total in members.values())
             assert found[*key, i] == (position, in_state[i % 3], rank)
+
+
+def inputs_of_joins(df, column):
+    """The columns that enter each join on a condition with this column from its left, as names."""
+    found, nodes = [], [df._jdf.queryExecution().optimizedPlan()]
+    while nodes:
+        node = nodes.pop()
+        below = node.children()
+        nodes += [below.apply(i) for i in range(below.size())]
+        if node.nodeName() == "Join" and column in node.condition().toString():
+            found.append({name.split("#")[0] for name in below.apply(0).output().mkString(",").split(",")})
+    return found
+
+
+def test_growing_tables_are_joined_with_narrow_rows(spark, star):
+    (lines,) = inputs_of_joins(feed(spark, SF), "l_partkey")
+    assert "n_name" not in lines and "state" not in lines and "municipality" not in lines
+    for columns in inputs_of_joins(build_fact(star.grain, star.dims), "municipality"):
+        assert "value" in columns
+        assert not columns & {"indicator", "jurisdiction", "weapon", "female", "weight_value", "measure"}
+
+
+def test_fact_of_null_and_unknown_keys(spark, star):
+    one = star.grain.where("count_value IS NOT NULL").limit(1)
+    odd = one.unionByName(one.withColumn("municipality", F.lit(None).cast("string")))
+    odd = odd.unionByName(one.withColumn("municipality", F.lit("nowhere"))).withColumn("weight_value", F.col("count_value"))
+    found = build_fact(odd, star.dims)
+    assert found.count() == 6 and found.where("place_id IS NULL").count() == 4
+    assert found.where("time_id IS NULL OR indicator_id IS NULL").count() == 0
+
+
+def test_sums_of_places_take_one_shuffle_each(spark, star, tmp_path):
+    sums = total_by_place_year(tables.clustered(star.fact, "source_year"))
+    plan = sums._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange ") == 1 and "rangepartitioning(source_year" in plan
+    written = tables.write_clustered(sums, str(tmp_path / "sums"), "year")
+    assert rows(written.select(star.place_year.columns)) == rows(star.place_year)
+    assert all(".zstd." in f.name for f in (tmp_path / "sums").glob("*/part-*"))
+
+    plans = []
+
+    def keep(df):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return storage.settle(df)
+
+    order_of_places(storage.settle(star.place_year), star.dim("place"), keep)
+    dealt = [line for line in plans[0].splitlines() if "Exchange hashpartitioning(" in line]
+    assert dealt and not any("hashpartitioning(indicator_id" in line for line in dealt)
