@@ -17,17 +17,22 @@ from __future__ import annotations
 import zlib
 from collections.abc import Iterator
 from functools import partial
+from typing import TYPE_CHECKING
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallystar.llm import tokens
 from tallystar.llm.common import durable, ids, map_batches, ship, table, text_bytes
+from tallystar.storage import batches_of
+
+if TYPE_CHECKING:  # workers that only cut texts do not load it
+    import pandas as pd
 
 CAPACITY = 4096
+BATCH = 1024  # texts a worker holds at once
 END = 1
 GROUP = 32_768
 GROUP_BITS = 32  # bins of a group are numbered below its own number
@@ -57,8 +62,8 @@ def token_pieces(docs: DataFrame, path: str | None = None) -> DataFrame:
 
     def cut(iterator: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in iterator:
-            for at in range(0, batch.num_rows, 1024):
-                yield pa.RecordBatch.from_pydict(_cut_batch(batch.slice(at, 1024), path), schema=PIECES_ARROW)
+            for at in range(0, batch.num_rows, BATCH):
+                yield pa.RecordBatch.from_pydict(_cut_batch(batch.slice(at, BATCH), path), schema=PIECES_ARROW)
 
     rows = docs.select("doc_id", "text", F.monotonically_increasing_id().alias("row"))
     return map_batches(rows, cut, PIECES)
@@ -120,7 +125,9 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY, group: int = GROUP) -> Dat
 
 def best_fit_packing(docs: DataFrame, path: str | None = None) -> DataFrame:
     """One row per piece with its sequence and its place there."""
-    return pack(durable(token_pieces(docs, path))).drop("row")
+    with batches_of(docs.sparkSession, BATCH):
+        pieces = durable(token_pieces(docs, path))
+    return pack(pieces).drop("row")
 
 
 def pack_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

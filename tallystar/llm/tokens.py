@@ -9,8 +9,8 @@ import public_tokenizers
 from tokenizers import Tokenizer
 
 VOCABULARY = "word_bpe_49k.json"
-CHUNKS = 700_000  # whitespace-separated pieces a worker remembers
-WORDS = 400_000  # plain words a worker remembers
+CHUNKS = 350_000  # whitespace-separated pieces a worker remembers
+WORDS = 200_000  # plain words a worker remembers
 
 # Visible ASCII and the letters of Latin-1, which are composed, one byte pair each, and lowered one by one.
 LATIN = re.compile(r"[\x21-\x7eÀ-ÖØ-öø-ÿ]+")

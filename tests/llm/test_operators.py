@@ -2,14 +2,18 @@
 
 import collections
 import hashlib
+import os
 import random
 import re
+import subprocess
+import sys
 import zlib
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from tallystar import storage
 from tallystar.llm import (
     boosting,
     op01_balanced_labels,
@@ -397,6 +401,30 @@ def test_packing_awkward_rows(awkward, nothing):
     assert op05_best_fit_packing.best_fit_packing(nothing).count() == 0
 
 
+def test_texts_are_cut_in_small_batches_without_pandas(spark, docs, monkeypatch):
+    seen, durable = [], op05_best_fit_packing.durable
+
+    def watched(df):
+        seen.append(spark.conf.get(storage.BATCH_CONF))
+        return durable(df)
+
+    monkeypatch.setattr(op05_best_fit_packing, "durable", watched)
+    before = spark.conf.get(storage.BATCH_CONF)
+    op05_best_fit_packing.best_fit_packing(docs).count()
+    assert int(seen[0]) <= 1024 and spark.conf.get(storage.BATCH_CONF) == before
+    code = "import sys, tallystar.llm.op05_best_fit_packing; sys.exit('pandas' in sys.modules)"
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    assert subprocess.run([sys.executable, "-B", "-c", code], cwd=root).returncode == 0
+
+
+def test_words_forgotten_and_met_again_have_the_same_ids(monkeypatch):
+    text = " ".join(AWKWARD[6:7] + ["it's naïve 42 <unk>", sentence(random.Random(8), 200)] * 2).encode()
+    whole = tokens.words().ids(text)
+    monkeypatch.setattr(tokens, "CHUNKS", 3)
+    monkeypatch.setattr(tokens, "WORDS", 2)
+    assert tokens.Words(tokens.public_tokenizers.path(tokens.VOCABULARY)).ids(text) == whole
+
+
 def test_sum_of_squares_fills_perfectly_packable_sizes():
     lengths = np.array(sorted([3, 7] * 50, reverse=True))
     bins, offsets = op05_best_fit_packing.sum_of_squares(lengths, 10)
