@@ -10,10 +10,11 @@ line is one shingle) is at least THRESHOLD. Of each component of such lines, the
    aggregated as they come, so a line of any length needs a fixed amount of memory.
 3. Banding: the bins stand in a square of SIDE rows and columns; the minima of each row and of each column make one key.
    Lines with a key in common are first linked with the smallest and the largest line of that key.
-4. The true similarity of each such pair is computed from both lines' full shingle sets.
-5. Union-find over the confirmed pairs. Under keys whose lines lie in several components, HUBS lines and then all pairs across
-   components are then compared in the same way, so that no pair with a key in common is left out. Only lines of such
-   keys get a sketch, a bitmap of their shingles that excludes most pairs.
+4. Lines with a shared key get a sketch, a bitmap of their shingles that excludes most pairs which are no near-duplicates. The
+   true similarity of the others is computed from both lines' full shingle sets.
+5. Union-find over the confirmed pairs. Under keys whose lines lie in several components, the lines outside the key's
+   largest component are then compared in the same way with HUBS lines and with all lines of other components, so that
+   no pair with a key in common is left out.
 6. All occurrences but the first of a component are removed.
 
 Banding is a filter of high recall, the steps after it are exact; pairs are left out early only by bounds that lose none.
@@ -39,9 +40,12 @@ BINS = SIDE * SIDE
 BIN_SHIFT = 59  # 63 bits of hash, the upper four are the bin
 DEPTH = 3
 EMPTY = 4  # a line with more different shingles than DEPTH * BINS has so many empty bins once in a thousand times
-WORDS = 4  # of 64 bits in a sketch
+WORDS = 32  # of 64 bits in a sketch
+SHINGLES_PER_WORD = 16  # at most, or the sketch excludes little: a line of more shingles has a second one of fitting width
+MAX_WIDE = 1 << 16  # words of a second sketch
 HUBS = 8
-SKETCH = "struct<n: int, " + ", ".join(f"w{i}: bigint" for i in range(WORDS)) + ">"
+WIDE = "wide: array<bigint>, wide_spare: int, half: array<bigint>, half_spare: int"
+SKETCH = "struct<n: int, spare: int, " + ", ".join(f"w{i}: bigint" for i in range(WORDS)) + f", {WIDE}>"
 BLOCK = 256  # lines of a key that meet in one place
 BROADCAST_BYTES = 64 << 20  # candidate lines' ids up to this size are sent to all executors
 ID_BYTES = 64  # one id in a broadcast table, generously
@@ -103,30 +107,68 @@ def signed(lines: DataFrame, key: str, whole: bool = False) -> DataFrame:
     return minima.select(key, F.array_compact(F.array(*keys)).alias("bands"), weak.alias("weak"))
 
 
-def _bits(hashes: str, word: int) -> Column:
-    """One of WORDS words of a bitmap: a bit for each hash that falls into it."""
-    own = F.filter(hashes, lambda x: x.bitwiseAND(F.lit(WORDS - 1).cast("long")) == word)
-    return F.aggregate(own, F.lit(0).cast("long"), lambda s, x: s.bitwiseOR(F.call_function("shiftleft", F.lit(1).cast("long"), F.shiftright(x, 8).bitwiseAND(F.lit(63).cast("long")).cast("int"))))
-
-
 def _near(one: str, other: str) -> Column:
     """Whether near-duplicates are possible; a bound that follows from the similarity and loses no pair.
 
-    A bit that only one bitmap has stands for at least one shingle that only this line has, so each set shares at most
-    its size without such bits.
+    A bit that only one bitmap has stands for at least one shingle that only this line has. So the lines share at most
+    as many shingles as bits, and the `spare` shingles of either line that found their bit set already. Long lines are then
+    compared in the same way by their wide bitmaps; of two widths the larger one is halved.
     """
-    words = [(F.col(f"{one}.w{i}"), F.col(f"{other}.w{i}")) for i in range(WORDS)]
-    n, k = F.col(f"{one}.n"), F.col(f"{other}.n")
-    only_one = sum((F.bit_count(x.bitwiseAND(F.bitwise_not(y))) for x, y in words), F.lit(0))
-    only_other = sum((F.bit_count(y.bitwiseAND(F.bitwise_not(x))) for x, y in words), F.lit(0))
-    possible = (1 + THRESHOLD) * F.least(n - only_one, k - only_other) >= THRESHOLD * (n + k)
-    return F.coalesce(possible, F.lit(True))
+    x, y = F.col(one), F.col(other)
+
+    def enough(shared: Column) -> Column:
+        return F.coalesce((1 + THRESHOLD) * shared >= THRESHOLD * (x["n"] + y["n"]), F.lit(True))
+
+    in_common = sum((F.bit_count(x[f"w{i}"].bitwiseAND(y[f"w{i}"])) for i in range(WORDS)), F.lit(0))
+
+    def fitting(own: Column, against: Column, name: str) -> Column:
+        return F.when(F.size(own["wide"]) > F.size(against["wide"]), own[f"half{name}"]).otherwise(own[f"wide{name}"])
+
+    both = F.zip_with(fitting(x, y, ""), fitting(y, x, ""), lambda v, w: F.bit_count(v.bitwiseAND(w)))
+    wide_in_common = F.aggregate(both, F.lit(0), lambda total, bits: total + bits)
+    spares = F.least(fitting(x, y, "_spare"), fitting(y, x, "_spare"))
+    return enough(in_common + F.least(x["spare"], y["spare"])) & enough(wide_in_common + spares)
+
+
+def _popcount(words: Column) -> Column:
+    return F.aggregate(words, F.lit(0), lambda total, word: total + F.bit_count(word))
 
 
 def sketched(texts: DataFrame) -> DataFrame:
-    """(num, sketch) of (num, line): the number of different shingles, and WORDS * 64 bits of them."""
+    """(num, sketch) of (num, line): the number of different shingles, WORDS * 64 bits of them, wide bitmaps of long lines."""
+    place = F.shiftright("h", 40).bitwiseAND(F.lit(63).cast("long")).cast("int")
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), place)
+    zero = F.lit(0).cast("long")
+
     hashed = texts.select("num", shingle_hashes(F.col("line")).alias("h"))
-    return hashed.select("num", F.struct(F.size("h").alias("n"), *[_bits("h", i).alias(f"w{i}") for i in range(WORDS)]).alias("sketch"))
+    rows = hashed.select("num", F.size("h").alias("n"), F.explode("h").alias("h")).withColumn("bit", bit)
+    word = F.col("h").bitwiseAND(F.lit(WORDS - 1).cast("long"))
+    words = {f"w{i}": F.coalesce(F.bit_or(F.when(word == i, F.col("bit"))), zero) for i in range(WORDS)}
+    maps = rows.groupBy("num").agg(F.first("n").alias("n"), *[bits.alias(w) for w, bits in words.items()])
+    spare = F.col("n") - sum((F.bit_count(w) for w in words), F.lit(0))
+
+    # Width by length: shingles that occur twice only make it wider than it has to be.
+    width = F.least(F.lit(MAX_WIDE), F.pow(F.lit(2), F.ceil(F.log2(F.char_length("line") / SHINGLES_PER_WORD)))).cast("long")
+    long_lines = texts.filter(F.char_length("line") > WORDS * SHINGLES_PER_WORD).withColumn("width", width)
+    set_bits = long_lines.select("num", "width", F.explode(shingle_hashes(F.col("line"))).alias("h"))
+    set_bits = set_bits.select("num", F.col("h").bitwiseAND(F.col("width") - 1).alias("word"), bit.alias("bit"))
+    no_bits = long_lines.select("num", F.explode(F.sequence(zero, F.col("width") - 1)).alias("word"), zero.alias("bit"))
+    wide = set_bits.unionByName(no_bits).groupBy("num", "word").agg(F.bit_or("bit").alias("bits")).groupBy("num")
+    wide = wide.agg(F.sort_array(F.collect_list(F.struct("word", "bits")))["bits"].alias("wide"))
+    middle = (F.size("wide") / 2).cast("int")
+    half = F.zip_with(F.slice("wide", 1, middle), F.slice("wide", middle + 1, middle), lambda v, w: v.bitwiseOR(w))
+    wide = wide.withColumn("half", half)
+
+    found = maps.join(wide, "num", "left")
+    spares = [spare.cast("int").alias("spare"), *words]
+    spares += [c for name in ("wide", "half") for c in (F.col(name), (F.col("n") - _popcount(F.col(name))).alias(f"{name}_spare"))]
+    return found.select("num", F.struct("n", *spares).alias("sketch"))
+
+
+def possible(pairs: DataFrame, sketches: DataFrame) -> DataFrame:
+    """The pairs (a, b) that the sketches of their lines do not exclude."""
+    both = pairs.join(sketches.toDF("a", "s"), "a", "left").join(sketches.toDF("b", "t"), "b", "left")
+    return both.filter(_near("s", "t")).select("a", "b")
 
 
 def distinct_lines(lines: DataFrame) -> DataFrame:
@@ -151,43 +193,58 @@ def star_pairs(shared: DataFrame) -> DataFrame:
 
 
 def open_rows(shared: DataFrame, groups: DataFrame) -> DataFrame:
-    """(key, num, component, blocks) of the band keys whose lines lie in several components."""
+    """(key, num, component, main, blocks, other_blocks) of the band keys whose lines lie in several components.
+
+    `main` is the component with the most lines of the key; blocks are counted for all lines and for those outside it.
+    """
     rows = shared.select("key", "num").join(groups.withColumnRenamed("id", "num"), "num", "left")
     rows = rows.withColumn("component", F.coalesce("component", "num"))
-    several = rows.groupBy("key").agg(F.count("*").alias("lines"), F.min("component").alias("x"), F.max("component").alias("y"))
-    several = several.filter("x < y").select("key", F.ceil(F.col("lines") / BLOCK).cast("int").alias("blocks"))
-    return rows.join(several, "key")
+    sizes = rows.groupBy("key", "component").agg(F.count("*").alias("lines"))
+    ends = [F.count("*").alias("parts"), F.sum("lines").alias("lines"), F.max(F.struct("lines", "component")).alias("most")]
+    several = sizes.groupBy("key").agg(*ends).filter("parts > 1")
+    counts = {"blocks": F.col("lines"), "other_blocks": F.col("lines") - F.col("most.lines")}
+    blocks = [F.ceil(n / BLOCK).cast("int").alias(name) for name, n in counts.items()]
+    return rows.join(several.select("key", F.col("most.component").alias("main"), *blocks), "key")
 
 
-def _with_sketch(rows: DataFrame, sketches: DataFrame | None) -> DataFrame:
-    """Open rows with the sketch of their line; without sketches no pair is excluded by them."""
-    return rows.withColumn("sketch", F.lit(None).cast(SKETCH)) if sketches is None else rows.join(sketches, "num", "left")
+def hub_pairs(rows: DataFrame) -> DataFrame:
+    """Pairs (a, b) of open lines outside the main component with HUBS lines of their keys, chosen by hash.
 
-
-def hub_pairs(rows: DataFrame, sketches: DataFrame | None = None) -> DataFrame:
-    """Pairs (a, b) of each open line with HUBS lines of its keys, chosen by hash: they unite most of what belongs together."""
-    rows = _with_sketch(rows, sketches)
-    hub = F.struct("num", "sketch", "component")
+    They unite most of what belongs together.
+    """
+    hub = F.struct("num", "component")
     hubs = rows.groupBy("key").agg(F.array_distinct(F.array(*[F.min_by(hub, F.xxhash64("num", F.lit(i))) for i in range(HUBS)])).alias("hubs"))
-    met = rows.join(hubs, "key").withColumn("hub", F.explode("hubs")).withColumn("other", F.col("hub.sketch"))
-    met = met.filter((F.col("component") != F.col("hub.component")) & _near("sketch", "other"))
+    met = rows.filter("component <> main").join(hubs, "key").withColumn("hub", F.explode("hubs"))
+    met = met.filter(F.col("component") != F.col("hub.component"))
     return met.select(F.least("num", "hub.num").alias("a"), F.greatest("num", "hub.num").alias("b")).distinct()
 
 
-def remaining_pairs(rows: DataFrame, done: DataFrame, sketches: DataFrame | None = None) -> DataFrame:
+def remaining_pairs(rows: DataFrame, done: DataFrame, known: DataFrame | None = None) -> DataFrame:
     """Pairs (a, b) of open lines with a band in common that are not among `done` and lie in different components.
 
-    Every line meets every line of another component; a key's lines are dealt into blocks of BLOCK, and each pair of
-    blocks is a join key of its own.
+    One line of such a pair lies outside the main component, so these lines meet all lines of their key. Both are dealt into
+    blocks of BLOCK, and each pair of blocks is a join key of its own. With `known` (num, line, sketch, bands) of every line the
+    pairs are confirmed where they meet, under the smallest key that they share, so that only links become rows.
     """
-    open_ = _with_sketch(rows, sketches).withColumn("block", F.pmod(F.xxhash64("num"), F.col("blocks")).cast("int"))
-    # Blocks i <= j meet under (i, j): a line of block k is on the left for (k, j) and on the right for (i, k).
-    left = open_.withColumn("i", F.col("block")).withColumn("j", F.explode(F.sequence("block", F.col("blocks") - 1)))
-    right = open_.withColumn("j", F.col("block")).withColumn("i", F.explode(F.sequence(F.lit(0), "block")))
-    left = left.select("key", "i", "j", F.col("num").alias("u"), F.col("sketch").alias("s"), F.col("component").alias("c"))
-    right = right.select("key", "i", "j", F.col("num").alias("v"), F.col("sketch").alias("t"), F.col("component").alias("d"))
-    met = left.join(right, ["key", "i", "j"]).filter((F.col("c") != F.col("d")) & ((F.col("i") < F.col("j")) | (F.col("u") < F.col("v"))) & _near("s", "t"))
-    pairs = met.select(F.least("u", "v").alias("a"), F.greatest("u", "v").alias("b")).distinct()
+    open_ = rows if known is None else rows.join(known, "num")
+
+    def dealt(lines: DataFrame, own: str, other: str, block: str, met: str) -> DataFrame:
+        mine = F.pmod(F.xxhash64("num"), F.col(own)).cast("int").alias(block)
+        lines = lines.select("*", mine, F.explode(F.sequence(F.lit(0), F.col(other) - 1)).alias(met))
+        return lines.drop("blocks", "other_blocks")
+
+    def side(lines: DataFrame, suffix: str) -> DataFrame:
+        return lines.withColumnsRenamed({c: f"{c}_{suffix}" for c in lines.columns if c not in ("key", "i", "j")})
+
+    left = side(dealt(open_.filter("component <> main"), "other_blocks", "blocks", "i", "j"), "a")
+    right = side(dealt(open_, "blocks", "other_blocks", "j", "i"), "b")
+    # Two lines outside the main component meet twice.
+    wanted = (F.col("component_a") != F.col("component_b")) & ((F.col("component_b") == F.col("main_b")) | (F.col("num_a") < F.col("num_b")))
+    if known is not None:
+        here = F.col("key") == F.array_min(F.array_intersect("bands_a", "bands_b"))
+        wanted = wanted & here & _near("sketch_a", "sketch_b") & _alike("line_a", "line_b")
+    met = left.join(right, ["key", "i", "j"]).filter(wanted)
+    pairs = met.select(F.least("num_a", "num_b").alias("a"), F.greatest("num_a", "num_b").alias("b")).distinct()
     return pairs.join(done, ["a", "b"], "left_anti")
 
 
@@ -204,17 +261,21 @@ def texts_of(wanted: DataFrame, distinct: DataFrame, lines: DataFrame) -> DataFr
     return durable(texts)
 
 
-def confirmed(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """The pairs whose shingle sets have the demanded Jaccard similarity."""
-    left, right = texts.toDF("a", "line_a"), texts.toDF("b", "line_b")
-    both = pairs.join(left, "a").join(right, "b")
+def _alike(one: str, other: str) -> Column:
+    """Whether the shingle sets of two lines have the demanded Jaccard similarity."""
     # Bound to a name, so that the sets are made once for each pair.
-    sets = F.array(F.struct(shingle_hashes(F.col("line_a")).alias("x"), shingle_hashes(F.col("line_b")).alias("y")))
+    sets = F.array(F.struct(shingle_hashes(F.col(one)).alias("x"), shingle_hashes(F.col(other)).alias("y")))
     alike = F.transform(
         sets,
         lambda s: (1 + THRESHOLD) * F.size(F.array_intersect(s["x"], s["y"])) >= THRESHOLD * (F.size(s["x"]) + F.size(s["y"])),
     )
-    return both.filter(F.get(alike, F.lit(0))).select("a", "b")
+    return F.get(alike, F.lit(0))
+
+
+def confirmed(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+    """The pairs whose shingle sets have the demanded Jaccard similarity."""
+    left, right = texts.toDF("a", "line_a"), texts.toDF("b", "line_b")
+    return pairs.join(left, "a").join(right, "b").filter(_alike("line_a", "line_b")).select("a", "b")
 
 
 def removed_lines(docs: DataFrame) -> DataFrame:
@@ -227,17 +288,18 @@ def removed_lines(docs: DataFrame) -> DataFrame:
     again = durable(signed(weak, "num", whole=True)).select("num", "bands")
     shared = durable(shared_bands(distinct.filter("NOT weak").select("num", "bands").unionByName(again)))
     texts = texts_of(shared.select("num"), distinct, lines)
-    stars = durable(star_pairs(shared))
+    sketches = durable(sketched(texts))
+    stars = durable(possible(star_pairs(shared), sketches))
     links = durable(confirmed(stars, texts))
     rows = durable(open_rows(shared, components(links)))
     release(docs.sparkSession)
     if not rows.isEmpty():
-        sketches = durable(sketched(texts.join(rows.select("num"), "num", "left_semi")))
-        hubs = durable(hub_pairs(rows, sketches))
+        hubs = durable(possible(hub_pairs(rows), sketches))
         links = links.unionByName(durable(confirmed(hubs, texts)))
         rows = open_rows(rows, components(links))
-        rest = durable(remaining_pairs(rows, stars.unionByName(hubs), sketches))
-        links = durable(links.unionByName(confirmed(rest, texts)))
+        bands = shared.groupBy("num").agg(F.collect_list("key").alias("bands"))
+        known = texts.join(sketches, "num").join(bands, "num")
+        links = durable(links.unionByName(remaining_pairs(rows, stars.unionByName(hubs), known)))
         release(docs.sparkSession)
     groups = components(links)
     known = distinct.select("num", "id", "first", "times").join(groups.withColumnRenamed("id", "num"), "num", "left")

@@ -275,6 +275,25 @@ def test_near_copies_are_found_however_many_lines_share_a_band(spark):
     assert len(gone & set(close)) >= 0.97 * len(close)
 
 
+def test_only_near_copies_become_rows_where_many_lines_share_a_band(spark):
+    rng = random.Random(13)
+    family = [sentence(rng, 12), sentence(rng, 130)]
+    lines = [near(rng, x, rng.randint(0, 6)) + "." * rng.randint(1, 40) for x in family for _ in range(150)]
+    lines = sorted(set(lines))
+    distinct = op03_fuzzy_lines.distinct_lines(op03_fuzzy_lines.lines_of(line_docs(spark, lines))).persist()
+    hot = distinct.withColumn("bands", F.array(F.lit(1).cast("long"), F.lit(2).cast("long"))).persist()
+    shared = op03_fuzzy_lines.shared_bands(hot)
+    place = {r["num"]: r["first"]["doc_id"] for r in hot.collect()}
+    texts = spark.createDataFrame([(n, lines[d]) for n, d in place.items()], "num long, line string")
+    known = texts.join(op03_fuzzy_lines.sketched(texts), "num").join(hot.select("num", "bands"), "num")
+    links, pairs = (spark.createDataFrame([], f"{c} long, {d} long") for c, d in (("id", "component"), ("a", "b")))
+    rest = op03_fuzzy_lines.remaining_pairs(op03_fuzzy_lines.open_rows(shared, links), pairs, known)
+    found = [tuple(sorted((place[r["a"]], place[r["b"]]))) for r in rest.collect()]
+    sets = [shingles(x) for x in lines]
+    expected = {(i, j) for j, b in enumerate(sets) for i, a in enumerate(sets[:j]) if len(a & b) >= 0.75 * len(a | b)}
+    assert sorted(found) == sorted(expected) and 0 < len(expected) < len(lines) * (len(lines) - 1) / 3
+
+
 def test_equal_shingle_sets_of_other_lengths_are_linked(spark):
     lines = ["-" * 40, "-" * 80, "=" * 30 + "#" * 30, "ab" * 10, "ab" * 50]
     assert {r["doc_id"] for r in op03_fuzzy_lines.removed_lines(line_docs(spark, lines)).collect()} == {1, 4}
