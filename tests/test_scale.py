@@ -1,6 +1,7 @@
 """What keeps the star's build linear: tasks follow rows, years are written unsorted, places are ordered by one sort."""
 
 import random
+import time
 
 from conftest import SF, feed_rows, star_of
 from pyspark.sql import functions as F
@@ -145,3 +146,29 @@ def test_sums_of_places_take_one_shuffle_each(spark, star, tmp_path):
     order_of_places(storage.settle(star.place_year), star.dim("place"), keep)
     dealt = [line for line in plans[0].splitlines() if "Exchange hashpartitioning(" in line]
     assert dealt and not any("hashpartitioning(indicator_id" in line for line in dealt)
+
+
+def shuffle_files(spark):
+    files = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    names = (files.apply(i).getName() for i in range(files.size()))
+    return {name for name in names if name.startswith("shuffle_") and name.endswith(".data")}
+
+
+def left_behind(spark, before, seconds=20):
+    """Shuffles that came since and stay: Spark removes them in the background."""
+    until = time.monotonic() + seconds
+    while (left := shuffle_files(spark) - before) and time.monotonic() < until:
+        time.sleep(0.2)
+    return left
+
+
+def test_the_build_leaves_no_shuffles_and_no_scratch_tables(spark, tmp_path):
+    raw, before = feed(spark, SF), shuffle_files(spark)
+    tables.write_landing(raw, str(tmp_path / "landing"))
+    assert not left_behind(spark, before)
+    raw = {year: raw_frame(spark, rows) for year, rows in feed_rows().items()}
+    written = star_module.write_star(raw, default_reference(spark), str(tmp_path / "star"))
+    assert not left_behind(spark, before)
+    folders = {path.name for path in (tmp_path / "star").iterdir()}
+    assert folders == {*star_module.STORED, *(f"dim_{name}" for name in written.dims)}
+    assert spark.conf.get(storage.CLEANUP_CONF) == "false"
