@@ -6,6 +6,7 @@ import time
 from conftest import SF, feed_rows, star_of
 from pyspark.sql import functions as F
 
+from checks.registry import reconciled_fine
 from tallystar import storage
 from tallystar.operators.facts import build_fact
 from tallystar.plans import star as star_module
@@ -172,3 +173,10 @@ def test_the_build_leaves_no_shuffles_and_no_scratch_tables(spark, tmp_path):
     folders = {path.name for path in (tmp_path / "star").iterdir()}
     assert folders == {*star_module.STORED, *(f"dim_{name}" for name in written.dims)}
     assert spark.conf.get(storage.CLEANUP_CONF) == "false"
+
+
+def test_the_fine_grain_leaves_no_shuffle(spark, feed_context):
+    before = shuffle_files(spark)
+    found = reconciled_fine(feed_context)
+    assert not left_behind(spark, before)
+    assert {row.status for row in found.collect()} == {"PASS"}
