@@ -180,3 +180,27 @@ def test_the_fine_grain_leaves_no_shuffle(spark, feed_context):
     found = reconciled_fine(feed_context)
     assert not left_behind(spark, before)
     assert {row.status for row in found.collect()} == {"PASS"}
+
+
+def test_partitions_of_shuffles_stay_small_while_the_star_is_written(spark, tmp_path, monkeypatch):
+    seen, stored = [], tables._stored
+    limits = (storage.JOINED_CONF, storage.HASH_JOIN_CONF)
+
+    def watched(*given, **named):
+        seen.append([spark.conf.get(name) for name in limits])
+        return stored(*given, **named)
+
+    monkeypatch.setattr(tables, "_stored", watched)
+    raw = {year: raw_frame(spark, rows) for year, rows in feed_rows().items()}
+    before = [spark.conf.get(name, None) for name in limits]
+    star_module.write_star(raw, default_reference(spark), str(tmp_path / "star"))
+    assert {joined for joined, _ in seen} == {str(8 << 20)}
+    assert {hashed for _, hashed in seen[1:]} == {str(8 << 20)}
+    spark.conf.set(storage.JOINED_CONF, "2m")  # a smaller setting of the session stays
+    try:
+        with storage.building(spark):
+            assert spark.conf.get(storage.JOINED_CONF) == str(2 << 20)
+        assert spark.conf.get(storage.JOINED_CONF) == "2m"
+    finally:
+        spark.conf.unset(storage.JOINED_CONF)
+    assert [spark.conf.get(name, None) for name in limits] == before
